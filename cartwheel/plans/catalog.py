@@ -58,4 +58,52 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.staging_and_marts())
+    out.update(oracle.features(_features.load_spec()))
+    out["feature_avg"] = oracle.with_base(
+        "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
+    )
     return {k: v for k, v in out.items() if k in QUERIES}
+
+
+# ---------------------------------------------------------------- feature store
+from cartwheel.plans import features as _features  # noqa: E402
+
+
+def _store(spark: SparkSession, sf_dir: str, spec=None) -> DataFrame:
+    return _features.build_feature_store(Models(spark, sf_dir).stg_events, spec or _features.load_spec())
+
+
+@register("feature_store")
+def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir)
+
+
+@register("feature_store_report")
+def feature_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _features.load_spec()
+    return _features.feature_store_report(_store(spark, sf_dir, spec), spec.label.name)
+
+
+@register("leakage_violations")
+def leakage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _features.leakage_violations(_store(spark, sf_dir))
+
+
+def avg_spec():
+    """Default spec plus one ``avg`` feature (FIXTURES section 5)."""
+    base = _features.load_spec()
+    extra = _features.Feature(
+        name="avg_order_value_30d",
+        aggregation="avg",
+        column="CAST(purchase_revenue AS DECIMAL(18,2))",
+        filter="event_name = 'purchase'",
+        window_days=30,
+    )
+    return _features.FeatureSpec(
+        entity=base.entity, cutoffs=base.cutoffs, label=base.label, features=base.features + (extra,)
+    ).validate()
+
+
+@register("feature_avg")
+def feature_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir, avg_spec()).select("entity_id", "as_of_date", "avg_order_value_30d")
