@@ -59,6 +59,7 @@ def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.staging_and_marts())
     out.update(oracle.features(_features.load_spec()))
+    out.update(oracle.baseline_metrics(_features.load_spec()))
     out["feature_avg"] = oracle.with_base(
         "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
     )
@@ -107,3 +108,72 @@ def avg_spec():
 @register("feature_avg")
 def feature_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir, avg_spec()).select("entity_id", "as_of_date", "avg_order_value_30d")
+
+
+# ---------------------------------------------------------------- ranking metrics and model
+from datetime import date as _date  # noqa: E402
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+from cartwheel.operators import ranking as _ranking  # noqa: E402
+from cartwheel.plans import propensity as _prop  # noqa: E402
+
+
+def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _features.load_spec()
+    valid = sorted(spec.cutoffs)[-1]
+    st = _store(spark, sf_dir, spec).filter(_F.col("as_of_date") == _F.lit(_date.fromisoformat(valid)))
+    return st.select(
+        "entity_id",
+        "as_of_date",
+        _F.col(_prop.BASELINE_FEATURE).cast("double").alias("score"),
+        _F.col(spec.label.name).cast("bigint").alias("y"),
+    )
+
+
+@register("baseline_auc")
+def baseline_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranking.roc_auc(_validation(spark, sf_dir), "score", "y")
+
+
+@register("baseline_average_precision")
+def baseline_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranking.average_precision(_validation(spark, sf_dir), "score", "y")
+
+
+@register("baseline_lift")
+def baseline_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranking.top_fraction_lift(_validation(spark, sf_dir), "score", "y", "entity_id")
+
+
+@register("propensity_decile")
+def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _ranking.percent_rank_average(_validation(spark, sf_dir), "score", "pct_rank")
+    return v.select("entity_id", "as_of_date", "score", "pct_rank", _ranking.decile_from_pct("pct_rank").alias("decile"))
+
+
+def _model_run(spark: SparkSession, sf_dir: str):
+    spec = _features.load_spec()
+    return _prop.train_propensity(_store(spark, sf_dir, spec), spec)
+
+
+@register("propensity_scores")
+def propensity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model_run(spark, sf_dir).scores
+
+
+@register("feature_weights")
+def feature_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model_run(spark, sf_dir).weights
+
+
+@register("model_metrics")
+def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model_run(spark, sf_dir).metrics
+
+
+@register("remarketing_audience")
+def remarketing_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.marts import remarketing_audience as _aud
+
+    return _aud(_model_run(spark, sf_dir).scores)
