@@ -60,6 +60,27 @@ def oracles() -> dict[str, str]:
     out.update(oracle.staging_and_marts())
     out.update(oracle.features(_features.load_spec()))
     out.update(oracle.baseline_metrics(_features.load_spec()))
+    spec = _features.load_spec()
+    ref, checks = sql_checks()
+    for c in checks:
+        if c.name in DQ_QUERIES:
+            out[DQ_QUERIES[c.name]] = oracle.with_base(oracle.dq_check_sql(c, ref), oracle.dq_ctes(spec))
+    out["dq_results"] = oracle.with_base(
+        "\nUNION ALL\n".join(oracle.dq_check_sql(c, ref) for c in checks), oracle.dq_ctes(spec)
+    )
+    out["dq_score"] = oracle.dq_score_sql(checks, ref, spec)
+    out["dq_assert_unique_rows"] = oracle.with_base(
+        "SELECT * FROM raw_events WHERE event_id IN "
+        "(SELECT event_id FROM raw_events GROUP BY event_id HAVING count(*) > 1)"
+    )
+    nn = " OR ".join(f"{c} IS NULL" for c in NON_NULL_COLUMNS)
+    out["dq_assert_non_null_rows"] = oracle.with_base(f"SELECT * FROM raw_events WHERE {nn}")
+    out["dq_assert_row_conditions"] = oracle.with_base(
+        "\nUNION ALL\n".join(
+            f"SELECT *, {oracle._q(c)} AS failed_condition FROM raw_events WHERE NOT coalesce(({c}), TRUE)"
+            for c in ROW_CONDITIONS
+        )
+    )
     out["feature_avg"] = oracle.with_base(
         "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
     )
@@ -177,3 +198,86 @@ def remarketing_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.marts import remarketing_audience as _aud
 
     return _aud(_model_run(spark, sf_dir).scores)
+
+
+# ---------------------------------------------------------------- data quality
+from cartwheel.operators import quality as _quality  # noqa: E402
+from cartwheel.plans.models import ModelTables  # noqa: E402
+
+# check name -> registered query name
+DQ_QUERIES = {
+    "events_volume": "dq_row_count",
+    "events_freshness": "dq_freshness",
+    "user_id_not_null": "dq_not_null",
+    "event_id_unique": "dq_unique",
+    "event_name_accepted": "dq_accepted_values",
+    "revenue_non_negative": "dq_min_value",
+    "conversion_rate_plausible": "dq_range_agg",
+    "sessions_reconcile_events": "dq_reconcile",
+    "propensity_scores_not_orphaned": "dq_relationship",
+    "quarantine_rate_within_slo": "dq_quarantine_rate",
+}
+
+
+def sql_checks():
+    """Default checks; the orphan check reads the feature store (same entities as the
+    scores, which need the fitted model) so that every check has an SQL oracle."""
+    ref, checks = _quality.load_checks()
+    out = []
+    for c in checks:
+        if c.type == "relationship" and c.table == "mart_propensity_scores":
+            c = _quality.Check(c.name, c.type, "feature_store", c.column, c.severity, c.params)
+        out.append(c)
+    return ref, out
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> ModelTables:
+    m = Models(spark, sf_dir)
+    return ModelTables(m, {"feature_store": _features.build_feature_store(m.stg_events, _features.load_spec())})
+
+
+def _dq(check_name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ref, checks = sql_checks()
+        ch = [c for c in checks if c.name == check_name]
+        return _quality.check_results(spark, ch, _tables(spark, sf_dir), ref)
+
+    return run
+
+
+for _check, _qname in DQ_QUERIES.items():
+    QUERIES[_qname] = _dq(_check)
+
+
+@register("dq_score")
+def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, checks = sql_checks()
+    return _quality.quality_score(_quality.check_results(spark, checks, _tables(spark, sf_dir), ref))
+
+
+@register("dq_results")
+def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, checks = sql_checks()
+    return _quality.check_results(spark, checks, _tables(spark, sf_dir), ref)
+
+
+@register("dq_assert_unique_rows")
+def dq_assert_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.assert_unique_rows(Models(spark, sf_dir).raw_events, ["event_id"])
+
+
+NON_NULL_COLUMNS = ["event_id", "event_timestamp", "user_pseudo_id", "event_name"]
+ROW_CONDITIONS = [
+    "event_name IN ('session_start','page_view','view_item','add_to_cart','begin_checkout','purchase')",
+    "purchase_revenue IS NULL OR purchase_revenue >= 0",
+]
+
+
+@register("dq_assert_non_null_rows")
+def dq_assert_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.assert_non_null_rows(Models(spark, sf_dir).raw_events, NON_NULL_COLUMNS).drop("null_columns")
+
+
+@register("dq_assert_row_conditions")
+def dq_assert_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.assert_row_conditions(Models(spark, sf_dir).raw_events, ROW_CONDITIONS)

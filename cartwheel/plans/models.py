@@ -95,3 +95,27 @@ class Models:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+class ModelTables:
+    """Read-only mapping ``name -> DataFrame`` over a :class:`Models` plus extra tables."""
+
+    def __init__(self, models: Models, extra: dict[str, DataFrame] | None = None):
+        self.models = models
+        self.extra = dict(extra or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self.extra:
+            return self.extra[name]
+        if name == "raw_events":
+            return self.models.raw_events
+        if name in {m for _, m in Models.LAYERED} or name == "campaign_efficiency_events":
+            return self.models.table(name)
+        raise KeyError(name)
+
+    def __contains__(self, name: str) -> bool:
+        try:
+            self[name]
+            return True
+        except KeyError:
+            return False
