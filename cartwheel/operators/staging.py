@@ -131,3 +131,54 @@ def stg_ad_spend(raw: DataFrame) -> DataFrame:
 def stg_crm_customers(raw: DataFrame) -> DataFrame:
     """CRM customer master, typed (M4)."""
     return raw.select("customer_id", F.col("signup_date").cast("date").alias("signup_date"), "plan", "region")
+
+
+# ------------------------------------------------------------------ nested export
+def _param_int(key: str):
+    """``(SELECT value.int_value FROM UNNEST(event_params) WHERE key = k)`` without a join."""
+    hit = F.filter("event_params", lambda p: p["key"] == F.lit(key))
+    return F.get(hit, 0)["value"]["int_value"]
+
+
+def _items_quantity():
+    """Sum of item quantities; NULL when no item has one (like SUM over an empty set)."""
+    q = F.filter(F.transform("items", lambda i: i["quantity"]), lambda v: v.isNotNull())
+    return F.when(F.size(q) > 0, F.aggregate(q, F.lit(0).cast("bigint"), lambda acc, v: acc + v))
+
+
+def flatten_ga4(export: DataFrame) -> DataFrame:
+    """Nested export rows -> flat event shape (higher-order functions, no UNNEST join)."""
+    sess = _param_int("ga_session_id")
+    first = F.get(F.col("items"), 0)
+    ts = F.expr("timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    return export.select(
+        F.md5(
+            F.concat(
+                F.col("user_pseudo_id"),
+                F.col("event_timestamp").cast("string"),
+                F.col("event_name"),
+                F.coalesce(sess.cast("string"), F.lit("")),
+            )
+        ).alias("event_id"),
+        ts.alias("event_timestamp"),
+        F.to_date(F.col("event_date"), "yyyyMMdd").alias("event_date"),
+        "event_name",
+        "user_pseudo_id",
+        F.col("user_id").alias("customer_id"),
+        sess.alias("ga_session_id"),
+        F.col("device.category").alias("device_category"),
+        F.col("geo.country").alias("country"),
+        F.col("traffic_source.name").alias("campaign_id"),
+        F.col("traffic_source.source").alias("traffic_source"),
+        F.col("traffic_source.medium").alias("traffic_medium"),
+        first["item_id"].alias("item_id"),
+        first["item_category"].alias("item_category"),
+        first["item_name"].alias("item_name"),
+        _items_quantity().alias("quantity"),
+        F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue"),
+    )
+
+
+def stg_events_ga4(export: DataFrame) -> DataFrame:
+    """Warehouse staging model: flatten, validate, de-duplicate on the surrogate id."""
+    return dedup_first(flatten_ga4(export).filter(is_valid()))

@@ -60,6 +60,7 @@ def oracles() -> dict[str, str]:
     out.update(oracle.staging_and_marts())
     out.update(oracle.features(_features.load_spec()))
     out.update(oracle.baseline_metrics(_features.load_spec()))
+    out["ga4_flatten"] = oracle.ga4_flatten()
     spec = _features.load_spec()
     ref, checks = sql_checks()
     for c in checks:
@@ -281,3 +282,12 @@ def dq_assert_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dq_assert_row_conditions")
 def dq_assert_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.assert_row_conditions(Models(spark, sf_dir).raw_events, ROW_CONDITIONS)
+
+
+# ---------------------------------------------------------------- nested export
+from cartwheel.sources import ga4 as _ga4  # noqa: E402
+
+
+@register("ga4_flatten")
+def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_events_ga4(_ga4.ga4_export(Models(spark, sf_dir).raw_events))
