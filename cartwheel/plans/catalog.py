@@ -61,6 +61,16 @@ def oracles() -> dict[str, str]:
     out.update(oracle.features(_features.load_spec()))
     out.update(oracle.baseline_metrics(_features.load_spec()))
     out["ga4_flatten"] = oracle.ga4_flatten()
+    out["partition_pruned_scan"] = oracle.with_base(
+        f"SELECT * FROM stg_events WHERE event_date BETWEEN DATE '{PRUNE_RANGE[0]}' AND DATE '{PRUNE_RANGE[1]}'"
+    )
+    out["run_reconciliation"] = oracle.with_base(
+        f"""SELECT r AS raw_events, c AS events_processed, q AS records_quarantined,
+               {oracle.rnd('CASE WHEN r > 0 THEN CAST(q AS DOUBLE) / r ELSE 0.0 END', 5)} AS quarantine_rate,
+               CAST(greatest(0, r - q - c) AS BIGINT) AS dedup_removed
+        FROM (SELECT (SELECT count(*) FROM raw_events) AS r, (SELECT count(*) FROM stg_events) AS c,
+                     (SELECT count(*) FROM stg_events_rejected) AS q)"""
+    )
     spec = _features.load_spec()
     ref, checks = sql_checks()
     for c in checks:
@@ -291,3 +301,24 @@ from cartwheel.sources import ga4 as _ga4  # noqa: E402
 @register("ga4_flatten")
 def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_events_ga4(_ga4.ga4_export(Models(spark, sf_dir).raw_events))
+
+
+# ---------------------------------------------------------------- sinks / scans / reconciliation
+from cartwheel.operators import ledger as _ledger  # noqa: E402
+from cartwheel.sources import sinks as _sinks  # noqa: E402
+
+PRUNE_RANGE = ("2024-01-08", "2024-01-14")
+
+
+@register("partition_pruned_scan")
+def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the clean events day-partitioned and clustered, then read one week back."""
+    path = _sinks.scratch_root(spark, "stg_events_by_day")
+    _sinks.write_partitioned(Models(spark, sf_dir).stg_events, path)
+    return _sinks.read_date_range(spark, path, *PRUNE_RANGE)
+
+
+@register("run_reconciliation")
+def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return _ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)
