@@ -185,8 +185,13 @@ def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_run(spark: SparkSession, sf_dir: str):
+    """Fit on a checkpointed store: the fit, the scoring and the metrics all read it,
+    and none of them should recompute the feature store from the raw events."""
+    from cartwheel.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     spec = _features.load_spec()
-    return _prop.train_propensity(_store(spark, sf_dir, spec), spec)
+    return _prop.train_propensity(_store(spark, sf_dir, spec).checkpoint(eager=True), spec)
 
 
 @register("propensity_scores")

@@ -17,6 +17,7 @@ deviation per feature, and the fitted coefficients.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from datetime import date, timedelta
 
 from pyspark.ml.classification import LogisticRegression
@@ -35,10 +36,23 @@ BASELINE_FEATURE = "add_to_cart_last_14d"
 @dataclass
 class PropensityRun:
     scores: DataFrame  # entity_id, as_of_date, propensity, decile, actual_label
-    weights: DataFrame  # feature, weight (signed), sorted by |weight| desc
-    metrics: DataFrame  # one row per ranker: ranker, auc, average_precision, lift, ...
+    weights: DataFrame  # rank, feature, weight (signed), by |weight| desc
+    scored: DataFrame  # validation rows with model and baseline scores
     train_cutoffs: list[str]
     valid_cutoff: str
+    n_train: int
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """One row per ranker: ROC-AUC, step-wise AP, top-decile lift (computed on first use)."""
+        model_m = ranking_metrics(self.scored, "propensity", "actual_label", "entity_id", "model")
+        base_m = ranking_metrics(self.scored, "_baseline", "actual_label", "entity_id", "baseline_" + BASELINE_FEATURE)
+        return model_m.unionByName(base_m).withColumns(
+            {
+                "valid_cutoff": F.lit(self.valid_cutoff).cast("date"),
+                "n_train": F.lit(self.n_train).cast("bigint"),
+            }
+        )
 
 
 def split_cutoffs(spec: FeatureSpec, embargo_days: int = 0) -> tuple[list[str], str]:
@@ -145,15 +159,7 @@ def train_propensity(
         ),
     )
 
-    model_m = ranking_metrics(scored, "propensity", "actual_label", "entity_id", "model")
-    base_m = ranking_metrics(scored, "_baseline", "actual_label", "entity_id", "baseline_" + BASELINE_FEATURE)
-    metrics = model_m.unionByName(base_m).withColumns(
-        {
-            "valid_cutoff": F.lit(valid_cutoff).cast("date"),
-            "n_train": F.lit(n).cast("bigint"),
-        }
-    )
-    return PropensityRun(scores, weights, metrics, train_cutoffs, valid_cutoff)
+    return PropensityRun(scores, weights, scored, train_cutoffs, valid_cutoff, n)
 
 
 def auc_improvement(metrics: DataFrame) -> DataFrame:

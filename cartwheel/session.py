@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CARTWHEEL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -40,8 +40,19 @@ COST_DIVISOR = 10000
 # -------------------------------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table.
+
+    With ``spread`` a scan that yields fewer splits than the cluster has cores
+    (a small file with a single row group cannot be split) is spread
+    round-robin over the cores; a scan of many files is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _case(col: Column, mapping: dict) -> Column:
@@ -53,7 +64,7 @@ def _case(col: Column, mapping: dict) -> Column:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw shop events (17 columns, reference raw shape) derived from ``events``."""
-    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = _table(spark, sf_dir, "events", spread=True).select("event_id", "ts", "user_id", "event_type", "value", "props")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
@@ -113,7 +124,7 @@ def raw_crm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign x day spend aggregated from ``orders`` (partial + final hash aggregate)."""
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    o = _table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_totalprice")
     cno = (F.expr(f"o_orderkey div {SPEND_DAYS}") % N_CAMPAIGNS).alias("cno")
     day = F.date_add(F.lit(SIGNUP_BASE).cast("date"), (F.col("o_orderkey") % SPEND_DAYS).cast("int")).alias("date")
     g = o.groupBy(day, cno).agg(
