@@ -97,13 +97,27 @@ def score_counts(df: DataFrame, score: str, label: str | None = None) -> DataFra
     return df.groupBy(F.col(score).alias("_s")).agg(*aggs)
 
 
-def percent_rank_average(df: DataFrame, score: str, out: str = "pct_rank") -> DataFrame:
+def score_table(df: DataFrame, score: str, label: str | None = None) -> DataFrame:
+    """One row per distinct score (ascending, NULL lowest) with its counts, the counts
+    of all lower scores (``<c>_before``) and the totals (``<c>_total``).
+
+    Percent rank, ROC-AUC and average precision all read this one table, so a
+    ranker costs one range-partitioned pass over its distinct scores.
+    """
+    cols = ["n"] + (["pos", "neg"] if label else [])
+    p = prefix_sums(score_counts(df, score, label), [F.col("_s").asc_nulls_first()], cols)
+    totals = p.agg(*[F.sum(c).alias(f"{c}_total") for c in cols])  # one row
+    return p.crossJoin(F.broadcast(totals))
+
+
+def percent_rank_average(df: DataFrame, score: str, out: str = "pct_rank", table: DataFrame | None = None) -> DataFrame:
     """Percentile rank with tied rows sharing their average rank (pandas ``rank(pct=True)``)."""
-    g = prefix_sums(score_counts(df, score), [F.col("_s").asc_nulls_last()], ["n"])
-    total = g.agg(F.sum("n").alias("_N"))  # one row
-    ranks = g.crossJoin(F.broadcast(total)).select(
-        "_s", ((F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("_N")).alias(out)
+    st = table if table is not None else score_table(df, score)
+    ranks = st.select(
+        "_s", ((F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")).alias(out)
     )
+    # one row per distinct score on the right; a score shared by many rows is a
+    # skewed key on the left, which AQE's skew-join splitting handles
     return df.join(ranks, F.col(score).eqNullSafe(F.col("_s")), "left").drop("_s")
 
 
@@ -113,18 +127,18 @@ def decile_from_pct(pct: str | Column) -> Column:
     return F.least(c * F.lit(10.0), F.lit(10.0)).cast("int")
 
 
-def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, table: DataFrame | None = None) -> DataFrame:
     """Exact ROC-AUC with ties counted half, as one row ``(auc, n, positives)``.
 
-    ``2 * sum_s pos_s * (2 * neg_below_s + neg_s)`` is summed in integers, so the
+    ``sum_s pos_s * (2 * neg_below_s + neg_s)`` is summed in integers, so the
     result does not depend on summation order.
     """
-    g = prefix_sums(score_counts(df, score, label), [F.col("_s").asc_nulls_first()], ["neg"])
-    r = g.agg(
+    st = table if table is not None else score_table(df, score, label)
+    r = st.agg(
         F.sum(F.col("pos") * (F.lit(2) * F.col("neg_before") + F.col("neg"))).alias("_num2"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("_negatives"),
-        F.sum("n").alias("n"),
+        F.first("pos_total").alias("positives"),
+        F.first("neg_total").alias("_negatives"),
+        F.first("n_total").alias("n"),
     )
     return r.select(
         round_half_up(
@@ -137,15 +151,15 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Step-wise average precision ``sum_s pos_s * precision(s) / P`` (not the PR trapezoid)."""
-    g = prefix_sums(score_counts(df, score, label), [F.col("_s").desc_nulls_last()], ["pos", "n"])
-    tp = F.col("pos_before") + F.col("pos")
-    seen = F.col("n_before") + F.col("n")
-    r = g.agg(
+def average_precision(df: DataFrame, score: str, label: str, table: DataFrame | None = None) -> DataFrame:
+    """Step-wise average precision ``sum_s pos_s * precision(>= s) / P`` (not the PR trapezoid)."""
+    st = table if table is not None else score_table(df, score, label)
+    tp = F.col("pos_total") - F.col("pos_before")  # positives scored >= s
+    seen = F.col("n_total") - F.col("n_before")  # rows scored >= s
+    r = st.agg(
         F.sum(F.when(F.col("pos") > 0, F.col("pos").cast("double") * tp / seen)).alias("_num"),
-        F.sum("pos").alias("positives"),
-        F.sum("n").alias("n"),
+        F.first("pos_total").alias("positives"),
+        F.first("n_total").alias("n"),
     )
     return r.select(
         round_half_up(F.col("_num") / F.col("positives"), METRIC_DIGITS).alias("average_precision"),

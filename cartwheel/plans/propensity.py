@@ -80,8 +80,10 @@ def _scaled(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, float]
 
 
 def ranking_metrics(df: DataFrame, score: str, label: str, key: str, name: str) -> DataFrame:
-    auc = ranking.roc_auc(df, score, label).select("auc", "n", "positives")
-    ap = ranking.average_precision(df, score, label).select("average_precision")
+    """ROC-AUC, AP and top-decile lift: one pass over distinct scores + one ordered pass."""
+    st = ranking.score_table(df, score, label)
+    auc = ranking.roc_auc(df, score, label, table=st).select("auc", "n", "positives")
+    ap = ranking.average_precision(df, score, label, table=st).select("average_precision")
     lift = ranking.top_fraction_lift(df, score, label, key).select("k", "top_positives", "base_rate", "lift")
     return auc.crossJoin(ap).crossJoin(lift).select(F.lit(name).alias("ranker"), "*")
 
