@@ -160,9 +160,11 @@ def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         r = tgt.crossJoin(src)
         return r.select(*_row(check, _pass(F.col("_t") == F.col("_s")), F.col("_t"), F.col("_s")))
     if check.type == "relationship":
-        a = tables[check.table].select(F.col(col).alias("_k"))
+        # count per child key first (a hot or NULL key becomes one row), then
+        # anti-join the distinct parent keys; NULL never matches, so it is an orphan
+        a = tables[check.table].groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
         b = tables[p["to_table"]].select(F.col(p["to_column"]).alias("_k")).distinct()
-        orphans = a.join(b, "_k", "left_anti").agg(F.count(F.lit(1)).alias("_o"))
+        orphans = a.join(b, "_k", "left_anti").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
         return orphans.select(*_row(check, _pass(F.col("_o") == 0), F.col("_o"), 0.0))
     if check.type == "quarantine_rate":
         rej = tables[p["rejected_table"]].agg(F.count(F.lit(1)).alias("_r"))

@@ -110,15 +110,45 @@ def score_table(df: DataFrame, score: str, label: str | None = None) -> DataFram
     return p.crossJoin(F.broadcast(totals))
 
 
-def percent_rank_average(df: DataFrame, score: str, out: str = "pct_rank", table: DataFrame | None = None) -> DataFrame:
+def percent_rank_average(
+    df: DataFrame, score: str, out: str = "pct_rank", table: DataFrame | None = None, salts: int = 64
+) -> DataFrame:
     """Percentile rank with tied rows sharing their average rank (pandas ``rank(pct=True)``)."""
     st = table if table is not None else score_table(df, score)
     ranks = st.select(
-        "_s", ((F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")).alias(out)
+        "_s", "n", "n_total", ((F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")).alias(out)
+    )
+    return lookup_by_score(df, score, ranks, [out], salts=salts)
+
+
+HOT_FRACTION = 1e-3  # a score held by more than this share of rows is split over salts
+
+
+def lookup_by_score(
+    df: DataFrame, score: str, table: DataFrame, cols: Sequence[str], salts: int = 64, hot_fraction: float = HOT_FRACTION
+) -> DataFrame:
+    """Attach per-score columns of ``table`` (one row per distinct score, with ``n`` and
+    ``n_total``) to every row of ``df`` without a skewed join.
+
+    Scores holding more than ``hot_fraction`` of all rows are "hot": there are
+    fewer than ``1 / hot_fraction`` of them, so their list is broadcast with a
+    proven size bound. Rows with a hot score are spread over ``salts`` join keys
+    and the hot table rows are replicated to match; every other score joins
+    on salt 0.
+    """
+    is_hot = F.col("n") > F.col("n_total") * F.lit(float(hot_fraction))
+    hot = table.filter(is_hot).select(F.col("_s").alias("_hs"), F.lit(True).alias("_hot"))
+    right = table.select(
+        "_s",
+        *cols,
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
+    )
+    left = df.join(F.broadcast(hot), F.col(score).eqNullSafe(F.col("_hs")), "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))).otherwise(F.lit(0)),
     )
-    # one row per distinct score on the right; a score shared by many rows is a
-    # skewed key on the left, which AQE's skew-join splitting handles
-    return df.join(ranks, F.col(score).eqNullSafe(F.col("_s")), "left").drop("_s")
+    joined = left.join(right, F.col(score).eqNullSafe(F.col("_s")) & (left["_salt"] == right["_salt"]), "left")
+    return joined.select(*[df[c] for c in df.columns], *[F.col(c) for c in cols])
 
 
 def decile_from_pct(pct: str | Column) -> Column:

@@ -63,3 +63,14 @@ def test_prefix_sums_cross_partitions(spark):
     df = spark.range(0, 1000).select(F.col("id"), F.lit(1).cast("bigint").alias("one"))
     out = ranking.prefix_sums(df, [F.col("id").asc()], ["one"], num_partitions=7).collect()
     assert all(r.one_before == r.id for r in out)
+
+
+def test_percent_rank_with_a_hot_score_matches_pandas(spark):
+    import pandas as pd
+
+    vals = [0.0] * 300 + [float(i % 17) for i in range(100)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, score double")
+    got = {r.id: r.p for r in ranking.percent_rank_average(df, "score", "p", salts=4).collect()}
+    want = pd.Series(vals).rank(pct=True)
+    assert len(got) == len(vals)
+    assert all(got[i] == want[i] for i in range(len(vals)))
