@@ -7,6 +7,7 @@ over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+@lru_cache(maxsize=8)
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """One memoised model DAG per (session, input folder): queries that share
+    upstream models share their (already analysed) DataFrames."""
+    return Models(spark, sf_dir)
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -28,7 +36,7 @@ def register(name: str):
 
 def _model(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Models(spark, sf_dir).table(name)
+        return models_for(spark, sf_dir).table(name)
 
     run.__name__ = name
     return run
@@ -52,7 +60,7 @@ for _name in [
 
 @register("reject_counts")
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.reject_counts(Models(spark, sf_dir).stg_events_rejected)
+    return staging.reject_counts(models_for(spark, sf_dir).stg_events_rejected)
 
 
 def oracles() -> dict[str, str]:
@@ -102,8 +110,13 @@ def oracles() -> dict[str, str]:
 from cartwheel.plans import features as _features  # noqa: E402
 
 
+@lru_cache(maxsize=8)
+def _store_for(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
+    return _features.build_feature_store(models_for(spark, sf_dir).stg_events, spec)
+
+
 def _store(spark: SparkSession, sf_dir: str, spec=None) -> DataFrame:
-    return _features.build_feature_store(Models(spark, sf_dir).stg_events, spec or _features.load_spec())
+    return _store_for(spark, sf_dir, spec or _features.load_spec())
 
 
 @register("feature_store")
@@ -248,7 +261,7 @@ def sql_checks():
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> ModelTables:
-    m = Models(spark, sf_dir)
+    m = models_for(spark, sf_dir)
     return ModelTables(m, {"feature_store": _features.build_feature_store(m.stg_events, _features.load_spec())})
 
 
@@ -279,7 +292,7 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dq_assert_unique_rows")
 def dq_assert_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_unique_rows(Models(spark, sf_dir).raw_events, ["event_id"])
+    return _quality.assert_unique_rows(models_for(spark, sf_dir).raw_events, ["event_id"])
 
 
 NON_NULL_COLUMNS = ["event_id", "event_timestamp", "user_pseudo_id", "event_name"]
@@ -291,12 +304,12 @@ ROW_CONDITIONS = [
 
 @register("dq_assert_non_null_rows")
 def dq_assert_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_non_null_rows(Models(spark, sf_dir).raw_events, NON_NULL_COLUMNS).drop("null_columns")
+    return _quality.assert_non_null_rows(models_for(spark, sf_dir).raw_events, NON_NULL_COLUMNS).drop("null_columns")
 
 
 @register("dq_assert_row_conditions")
 def dq_assert_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_row_conditions(Models(spark, sf_dir).raw_events, ROW_CONDITIONS)
+    return _quality.assert_row_conditions(models_for(spark, sf_dir).raw_events, ROW_CONDITIONS)
 
 
 # ---------------------------------------------------------------- nested export
@@ -305,7 +318,7 @@ from cartwheel.sources import ga4 as _ga4  # noqa: E402
 
 @register("ga4_flatten")
 def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stg_events_ga4(_ga4.ga4_export(Models(spark, sf_dir).raw_events))
+    return staging.stg_events_ga4(_ga4.ga4_export(models_for(spark, sf_dir).raw_events))
 
 
 # ---------------------------------------------------------------- sinks / scans / reconciliation
@@ -319,11 +332,11 @@ PRUNE_RANGE = ("2024-01-08", "2024-01-14")
 def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the clean events day-partitioned and clustered, then read one week back."""
     path = _sinks.scratch_root(spark, "stg_events_by_day")
-    _sinks.write_partitioned(Models(spark, sf_dir).stg_events, path)
+    _sinks.write_partitioned(models_for(spark, sf_dir).stg_events, path)
     return _sinks.read_date_range(spark, path, *PRUNE_RANGE)
 
 
 @register("run_reconciliation")
 def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models(spark, sf_dir)
+    m = models_for(spark, sf_dir)
     return _ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)

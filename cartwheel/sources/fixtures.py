@@ -40,6 +40,17 @@ COST_DIVISOR = 10000
 # -------------------------------------------------------------------------------------
 
 
+# Columns of the driver tables the adapter reads. An explicit read schema skips
+# the footer-inference job per table and pins the types.
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_totalprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Read one driver table.
 
@@ -47,7 +58,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     (a small file with a single row group cannot be split) is spread
     round-robin over the cores; a scan of many files is left as it is.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(DRIVER_SCHEMAS[name]) if name in DRIVER_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir}/{name}.parquet")
     if spread:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
