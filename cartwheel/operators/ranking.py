@@ -170,12 +170,10 @@ def roc_auc(df: DataFrame, score: str, label: str, table: DataFrame | None = Non
         F.first("neg_total").alias("_negatives"),
         F.first("n_total").alias("n"),
     )
+    pairs = F.lit(2.0) * F.col("positives").cast("double") * F.col("_negatives").cast("double")
     return r.select(
-        round_half_up(
-            F.col("_num2").cast("double")
-            / (F.lit(2.0) * F.col("positives").cast("double") * F.col("_negatives").cast("double")),
-            METRIC_DIGITS,
-        ).alias("auc"),
+        # undefined (NULL) when only one class is present
+        F.when(pairs > 0, round_half_up(F.col("_num2").cast("double") / pairs, METRIC_DIGITS)).alias("auc"),
         F.col("n").cast("bigint").alias("n"),
         F.col("positives").cast("bigint").alias("positives"),
     )
@@ -192,7 +190,9 @@ def average_precision(df: DataFrame, score: str, label: str, table: DataFrame |
         F.first("n_total").alias("n"),
     )
     return r.select(
-        round_half_up(F.col("_num") / F.col("positives"), METRIC_DIGITS).alias("average_precision"),
+        F.when(F.col("positives") > 0, round_half_up(F.col("_num") / F.col("positives"), METRIC_DIGITS)).alias(
+            "average_precision"
+        ),
         F.col("n").cast("bigint").alias("n"),
         F.col("positives").cast("bigint").alias("positives"),
     )

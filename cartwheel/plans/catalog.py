@@ -66,6 +66,7 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.staging_and_marts())
+    out.update(oracle.build_options())
     out.update(oracle.features(_features.load_spec()))
     out.update(oracle.baseline_metrics(_features.load_spec()))
     out["ga4_flatten"] = oracle.ga4_flatten()
@@ -340,3 +341,29 @@ def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models_for(spark, sf_dir)
     return _ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)
+
+
+# ---------------------------------------------------------------- build options
+@register("stg_events_strict")
+def stg_events_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging with ``strict=True``: a NULL event name is quarantined instead of lost."""
+    return staging.stg_events(models_for(spark, sf_dir).raw_events, strict=True)
+
+
+@register("stg_events_rejected_strict")
+def stg_events_rejected_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_events_rejected(models_for(spark, sf_dir).raw_events, strict=True)
+
+
+@register("mart_cohort_retention_calendar_weeks")
+def mart_cohort_retention_calendar_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohort retention counting Monday boundaries crossed instead of whole 7-day spans (T4)."""
+    from cartwheel.operators.marts import mart_cohort_retention as _ret
+
+    m = models_for(spark, sf_dir)
+    return _ret(m.int_sessions, m.stg_crm_customers, calendar_weeks=True)
+
+
+@register("roc_auc_improvement")
+def roc_auc_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prop.auc_improvement(_model_run(spark, sf_dir).metrics)

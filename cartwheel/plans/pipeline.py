@@ -91,6 +91,8 @@ class PipelineRun:
             rows.append((self.run_id, self.run_ts, model, layer, n, round(time.perf_counter() - t0, 4), status, err))
         led = self.spark.createDataFrame(rows, ledger.LEDGER_SCHEMA)
         sinks.append_table(led, self.path("_run_ledger"))
+        # Run-level numbers over the whole ledger history
+        sinks.write_table(ledger.run_summary(self.ledger()), self.path("run_summary"))
         return led
 
     def ledger(self) -> DataFrame:
@@ -109,7 +111,9 @@ class PipelineRun:
         leaks = feat.leakage_violations(self.tables["feature_store"]).first()["violations"]
         if leaks:
             raise AssertionError(f"point-in-time violation: {leaks} rows with negative recency")
-        return feat.feature_store_report(self.tables["feature_store"], self.spec.label.name)
+        report = feat.feature_store_report(self.tables["feature_store"], self.spec.label.name)
+        sinks.write_table(report, self.path("feature_store_report"))  # S12
+        return self._read("feature_store_report")
 
     # ------------------------------------------------------------ model (ML*, S10)
     def train(self, embargo_days: int = 0) -> propensity.PropensityRun:
@@ -130,7 +134,9 @@ class PipelineRun:
         sinks.append_table(res, self.path("dq_audit_results"), "run_date")
         audit = self._read("dq_audit_results")
         this_run = audit.filter(F.col("run_ts") == F.lit(run_ts).cast("timestamp"))
-        score = quality.quality_score(this_run).first()
+        summary = quality.quality_score(this_run).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
+        sinks.append_table(summary, self.path("dq_scores"))  # S12: one row per quality run
+        score = summary.first()
         if fail_on_critical:
             quality.gate(score)
         return this_run, score
