@@ -20,25 +20,42 @@ def _dec_sum(c: str, scale: int = 2):
 
 # ----------------------------------------------------------------- M6 customer features
 def mart_customer_features(sessions: DataFrame) -> DataFrame:
-    """RFM-style features per user; recency against the data's last session date."""
-    bounds = sessions.agg(F.max("session_date").alias("as_of_date"))  # exactly one row
-    agg = sessions.groupBy("user_pseudo_id").agg(
+    """RFM-style features per user; recency against the data's last session date.
+
+    Two decomposable levels: (user, campaign) then user. The most frequent
+    campaign (lowest id on ties, trap T3) is a ``min_by`` over
+    (-sessions, campaign) at the second level, so no per-user buffer grows
+    with the user's history and a hot user is combined map-side at both levels.
+    """
+    as_of = sessions.agg(F.max("session_date")).scalar()  # one value, uncorrelated subquery
+    per_campaign = sessions.groupBy("user_pseudo_id", "campaign_id").agg(
         F.max("customer_id").alias("customer_id"),
         F.min("device_category").alias("device_category"),
         F.min("country").alias("country"),
-        # most frequent campaign, lowest id on ties (trap T3); the buffer is one
-        # counter per distinct campaign of the user, combined map-side
-        F.mode("campaign_id", deterministic=True).alias("primary_campaign"),
         F.count(F.lit(1)).alias("sessions"),
         F.sum("did_purchase").cast("bigint").alias("purchasing_sessions"),
         F.sum("did_add_to_cart").cast("bigint").alias("cart_sessions"),
-        _dec_sum("revenue").alias("monetary"),
+        F.sum(money("revenue")).alias("monetary"),
         F.sum("event_count").cast("bigint").alias("total_events"),
         F.max("products_viewed").alias("max_products_viewed"),
         F.min("session_date").alias("first_seen"),
         F.max("session_date").alias("last_seen"),
     )
-    a = agg.crossJoin(F.broadcast(bounds))
+    rank_key = F.struct((-F.col("sessions")).alias("neg_sessions"), F.col("campaign_id").alias("campaign_id"))
+    a = per_campaign.groupBy("user_pseudo_id").agg(
+        F.max("customer_id").alias("customer_id"),
+        F.min("device_category").alias("device_category"),
+        F.min("country").alias("country"),
+        F.min_by(F.col("campaign_id"), F.when(F.col("campaign_id").isNotNull(), rank_key)).alias("primary_campaign"),
+        F.sum("sessions").alias("sessions"),
+        F.sum("purchasing_sessions").cast("bigint").alias("purchasing_sessions"),
+        F.sum("cart_sessions").cast("bigint").alias("cart_sessions"),
+        F.sum("monetary").cast("double").alias("monetary"),
+        F.sum("total_events").cast("bigint").alias("total_events"),
+        F.max("max_products_viewed").alias("max_products_viewed"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    ).withColumn("as_of_date", as_of)
     return a.select(
         "user_pseudo_id",
         "customer_id",

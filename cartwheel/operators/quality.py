@@ -155,9 +155,8 @@ def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         r = dupes.agg(F.count(F.lit(1)).alias("_d"))
         return r.select(*_row(check, _pass(F.col("_d") == 0), F.col("_d"), 0.0))
     if check.type == "reconcile_count":
-        tgt = tables[check.table].agg(F.count(F.lit(1)).alias("_t"))
-        src = tables[p["source_table"]].agg(F.expr(p["source_expr"]).alias("_s"))
-        r = tgt.crossJoin(src)
+        src = tables[p["source_table"]].agg(F.expr(p["source_expr"])).scalar()
+        r = tables[check.table].agg(F.count(F.lit(1)).alias("_t")).withColumn("_s", src)
         return r.select(*_row(check, _pass(F.col("_t") == F.col("_s")), F.col("_t"), F.col("_s")))
     if check.type == "relationship":
         # count per child key first (a hot or NULL key becomes one row), then
@@ -167,10 +166,9 @@ def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         orphans = a.join(b, "_k", "left_anti").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
         return orphans.select(*_row(check, _pass(F.col("_o") == 0), F.col("_o"), 0.0))
     if check.type == "quarantine_rate":
-        rej = tables[p["rejected_table"]].agg(F.count(F.lit(1)).alias("_r"))
-        raw = tables[p.get("raw_table", "raw_events")].agg(F.count(F.lit(1)).alias("_w"))
+        raw = tables[p.get("raw_table", "raw_events")].agg(F.count(F.lit(1))).scalar()
+        r = tables[p["rejected_table"]].agg(F.count(F.lit(1)).alias("_r")).withColumn("_w", raw)
         rate = F.when(F.col("_w") > 0, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
-        r = rej.crossJoin(raw)
         return r.select(*_row(check, _pass(rate <= p["max_rate"]), rate, float(p["max_rate"])))
     raise ValueError(f"unknown check type: {check.type}")
 

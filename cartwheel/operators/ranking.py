@@ -39,7 +39,8 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 def prefix_sums(
     df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str], num_partitions: int | None = None
 ) -> DataFrame:
-    """Add ``<c>_before`` = sum of ``c`` over all rows strictly before each row in ``order``.
+    """Add ``<c>_before`` = sum of ``c`` over all rows strictly before each row in
+    ``order``, and ``<c>_total`` = the sum over all rows.
 
     ``order`` must be a total order on the rows for a row-level meaning; with
     ties the split between tied rows follows the range partitioning.
@@ -74,15 +75,19 @@ def prefix_sums(
     totals = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(
         *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(f"_{c}_tot") for c in sum_cols]
     )
-    # one row per range partition: a global window here touches k rows only
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition: windows here touch k rows only
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
     offsets = totals.select(
-        "_pid", *[F.coalesce(F.sum(f"_{c}_tot").over(w), F.lit(0)).alias(f"_{c}_off") for c in sum_cols]
+        "_pid",
+        *[F.coalesce(F.sum(f"_{c}_tot").over(before), F.lit(0)).alias(f"_{c}_off") for c in sum_cols],
+        *[F.sum(f"_{c}_tot").over(everything).alias(f"{c}_total") for c in sum_cols],
     )
     out = within.join(F.broadcast(offsets), "_pid", "left")
     return out.select(
         *df.columns,
         *[(F.coalesce(F.col(f"_{c}_off"), F.lit(0)) + F.col(f"_{c}_in")).alias(f"{c}_before") for c in sum_cols],
+        *[F.col(f"{c}_total") for c in sum_cols],
     )
 
 
@@ -105,9 +110,7 @@ def score_table(df: DataFrame, score: str, label: str | None = None) -> DataFram
     ranker costs one range-partitioned pass over its distinct scores.
     """
     cols = ["n"] + (["pos", "neg"] if label else [])
-    p = prefix_sums(score_counts(df, score, label), [F.col("_s").asc_nulls_first()], cols)
-    totals = p.agg(*[F.sum(c).alias(f"{c}_total") for c in cols])  # one row
-    return p.crossJoin(F.broadcast(totals))
+    return prefix_sums(score_counts(df, score, label), [F.col("_s").asc_nulls_first()], cols)
 
 
 def percent_rank_average(
@@ -204,15 +207,21 @@ def top_fraction_lift(df: DataFrame, score: str, label: str, key: str, fraction:
     Rows are ordered by score descending, then ``key`` ascending, so tied scores
     are cut reproducibly.
     """
-    rows = df.select(F.col(score).alias("_s"), F.col(key).alias("_k"), F.col(label).cast("bigint").alias("_y"))
-    rows = rows.withColumn("_one", F.lit(1).cast("bigint"))
-    pos = prefix_sums(rows, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one"])
-    n_tot = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("positives"))  # one row
-    k = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(fraction)))).cast("bigint")
-    cut = n_tot.select("n", "positives", k.alias("k"))
-    top = pos.crossJoin(F.broadcast(cut)).filter(F.col("_one_before") < F.col("k"))
-    hits = top.agg(F.sum("_y").alias("top_positives"))
-    r = cut.crossJoin(hits)
+    rows = df.select(
+        F.col(score).alias("_s"),
+        F.col(key).alias("_k"),
+        F.col(label).cast("bigint").alias("_y"),
+        F.lit(1).cast("bigint").alias("_one"),
+    )
+    pos = prefix_sums(rows, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one", "_y"])
+    # every row carries the totals, so k and the cut are row-level expressions
+    k = F.greatest(F.lit(1), F.floor(F.col("_one_total") * F.lit(float(fraction)))).cast("bigint")
+    r = pos.agg(
+        F.first("_one_total").alias("n"),
+        F.first("_y_total").alias("positives"),
+        F.first(k).alias("k"),
+        F.sum(F.when(F.col("_one_before") < k, F.col("_y")).otherwise(F.lit(0))).alias("top_positives"),
+    )
     base = F.col("positives").cast("double") / F.col("n")
     top_rate = F.coalesce(F.col("top_positives"), F.lit(0)).cast("double") / F.col("k")
     return r.select(
@@ -222,4 +231,3 @@ def top_fraction_lift(df: DataFrame, score: str, label: str, key: str, fraction:
         round_half_up(base, METRIC_DIGITS).alias("base_rate"),
         round_half_up(F.when(base > 0, top_rate / base).otherwise(F.lit(0.0)), METRIC_DIGITS).alias("lift"),
     )
-

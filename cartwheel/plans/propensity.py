@@ -85,7 +85,15 @@ def ranking_metrics(df: DataFrame, score: str, label: str, key: str, name: str)
     auc = ranking.roc_auc(df, score, label, table=st).select("auc", "n", "positives")
     ap = ranking.average_precision(df, score, label, table=st).select("average_precision")
     lift = ranking.top_fraction_lift(df, score, label, key).select("k", "top_positives", "base_rate", "lift")
-    return auc.crossJoin(ap).crossJoin(lift).select(F.lit(name).alias("ranker"), "*")
+    # three one-row results side by side: AP and lift enter as scalar subqueries
+    ap_v = ap.select(F.struct("*")).scalar()
+    lift_v = lift.select(F.struct("*")).scalar()
+    return auc.select(
+        F.lit(name).alias("ranker"),
+        "*",
+        ap_v["average_precision"].alias("average_precision"),
+        *[lift_v[c].alias(c) for c in ("k", "top_positives", "base_rate", "lift")],
+    )
 
 
 def train_propensity(
