@@ -96,7 +96,7 @@ def mart_funnel(sessions: DataFrame, total_label: str = "ALL", ordered: bool = T
     and is a UNION rather than ``rollup`` so empty input still yields the
     total row (trap T6).
     """
-    by_source = sessions.groupBy("traffic_source").agg(
+    per_source = sessions.groupBy("traffic_source").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.sum("did_view").cast("bigint").alias("view_item"),
         F.sum("did_add_to_cart").cast("bigint").alias("add_to_cart"),
@@ -104,13 +104,13 @@ def mart_funnel(sessions: DataFrame, total_label: str = "ALL", ordered: bool = T
         F.sum("did_purchase").cast("bigint").alias("purchase"),
         _dec_sum("revenue").alias("revenue"),
     )
-    total = by_source.agg(
+    total = per_source.agg(
         F.lit(total_label).alias("traffic_source"),
         F.sum("sessions").cast("bigint").alias("sessions"),
         *[F.sum(s).cast("bigint").alias(s) for s in FUNNEL_STAGES],
         _dec_sum("revenue").alias("revenue"),
     )
-    u = by_source.unionByName(total)
+    u = per_source.unionByName(total)
     out = u.select(
         "traffic_source",
         "sessions",
@@ -140,14 +140,14 @@ def spend_by_campaign(spend: DataFrame) -> DataFrame:
 def mart_campaign_efficiency(sessions: DataFrame, spend: DataFrame, ordered: bool = True) -> DataFrame:
     """Conversion, CAC, ROAS per campaign. Campaigns without sessions drop;
     campaigns without spend get NULL money metrics; zero spend gives NULL ROAS."""
-    sp = spend_by_campaign(spend)
-    se = sessions.groupBy("campaign_id").agg(
+    campaign_cost = spend_by_campaign(spend)
+    campaign_sessions = sessions.groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.sum("did_purchase").cast("bigint").alias("buyers"),
         _dec_sum("revenue").alias("revenue"),
         F.count_distinct("user_pseudo_id").alias("users"),
     )
-    j = se.join(sp, "campaign_id", "left")
+    j = campaign_sessions.join(campaign_cost, "campaign_id", "left")
     out = j.select(
         "campaign_id",
         "channel",
@@ -208,10 +208,10 @@ def mart_cohort_retention(
     Sessions are first reduced to distinct (customer, day) pairs, which bounds
     a hot customer to one row per day before the join with the CRM table.
     """
-    cohort = crm.select("customer_id", "signup_date", F.trunc("signup_date", "week").alias("cohort_week"))
+    signups = crm.select("customer_id", "signup_date", F.trunc("signup_date", "week").alias("cohort_week"))
     days = sessions.filter(F.col("customer_id").isNotNull()).select("customer_id", "session_date").distinct()
-    activity = (
-        days.join(cohort, "customer_id")
+    active = (
+        days.join(signups, "customer_id")
         .filter(F.col("session_date") >= F.col("signup_date"))
         .select(
             "customer_id",
@@ -220,11 +220,11 @@ def mart_cohort_retention(
         )
         .filter(F.col("weeks_since_signup").between(0, max_week))
     )
-    sizes = cohort.groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))
-    retained = activity.groupBy("cohort_week", "weeks_since_signup").agg(
+    cohort_sizes = signups.groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))
+    retained = active.groupBy("cohort_week", "weeks_since_signup").agg(
         F.count_distinct("customer_id").alias("retained_customers")
     )
-    out = retained.join(sizes, "cohort_week").select(
+    out = retained.join(cohort_sizes, "cohort_week").select(
         "cohort_week",
         "cohort_size",
         "weeks_since_signup",
@@ -247,13 +247,13 @@ def campaign_efficiency_events(events: DataFrame, spend: DataFrame, ordered: boo
         F.max(flag(is_buy)).alias("_buy"),
         F.sum(F.when(is_buy, money("purchase_revenue")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("_rev"),
     )
-    sess = per_session.groupBy("campaign_id").agg(
+    by_campaign = per_session.groupBy("campaign_id").agg(
         F.count("ga_session_id").alias("sessions"),
         F.count(F.when((F.col("_buy") == 1) & F.col("ga_session_id").isNotNull(), F.lit(1))).alias("buyers"),
         F.sum("_rev").cast("double").alias("revenue"),
     )
-    sp = spend.groupBy("campaign_id").agg(_dec_sum("cost", 6).alias("spend"))
-    out = sess.join(sp, "campaign_id", "left").select(
+    cost = spend.groupBy("campaign_id").agg(_dec_sum("cost", 6).alias("spend"))
+    out = by_campaign.join(cost, "campaign_id", "left").select(
         "campaign_id",
         "spend",
         "sessions",

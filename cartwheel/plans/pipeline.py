@@ -74,7 +74,7 @@ class PipelineRun:
             self.tables[name] = self._read(os.path.join("raw", name))
 
     # ------------------------------------------------------------ models + ledger
-    def run_models(self) -> DataFrame:
+    def materialise_models(self) -> DataFrame:
         if not self.tables:
             self.land_raw()
         rows = []
@@ -104,7 +104,7 @@ class PipelineRun:
         )
 
     # ------------------------------------------------------------ feature store (FS11, FS12, S8)
-    def build_features(self) -> DataFrame:
+    def backfill_features(self) -> DataFrame:
         store = feat.build_feature_store(self.tables["stg_events"], self.spec)
         sinks.overwrite_partitions(store, self.path("feature_store"), "as_of_date")
         self.tables["feature_store"] = self._read("feature_store")
@@ -116,7 +116,7 @@ class PipelineRun:
         return self._read("feature_store_report")
 
     # ------------------------------------------------------------ model (ML*, S10)
-    def train(self, embargo_days: int = 0) -> propensity.PropensityRun:
+    def fit_model(self, embargo_days: int = 0) -> propensity.PropensityRun:
         run = propensity.train_propensity(self.tables["feature_store"], self.spec, embargo_days=embargo_days)
         sinks.overwrite_partitions(run.scores, self.path("mart_propensity_scores"), "as_of_date")
         self.tables["mart_propensity_scores"] = self._read("mart_propensity_scores")
@@ -125,7 +125,7 @@ class PipelineRun:
         return run
 
     # ------------------------------------------------------------ checks (DQ13-DQ15, S9)
-    def run_checks(self, fail_on_critical: bool = False):
+    def check_quality(self, fail_on_critical: bool = False):
         ref, checks = quality.load_checks(self.checks_path)
         run_ts = datetime.now(timezone.utc).replace(tzinfo=None)
         res = quality.check_results(self.spark, checks, self.tables, ref).withColumn(
@@ -142,8 +142,8 @@ class PipelineRun:
         return this_run, score
 
     def run_all(self, fail_on_critical: bool = False) -> dict:
-        led = self.run_models()
-        report = self.build_features()
-        run = self.train()
-        _, score = self.run_checks(fail_on_critical)
+        led = self.materialise_models()
+        report = self.backfill_features()
+        run = self.fit_model()
+        _, score = self.check_quality(fail_on_critical)
         return {"ledger": led, "feature_report": report, "model": run, "quality": score}

@@ -17,7 +17,7 @@ def platform(spark):
     out = run.run_all()
     out["run"] = run
     # a second quality run appends to the same audit table
-    run.run_checks()
+    run.check_quality()
     return out
 
 
