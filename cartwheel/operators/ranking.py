@@ -30,12 +30,6 @@ from cartwheel.session import ensure_checkpoint_dir
 METRIC_DIGITS = 10
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return int(n)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def prefix_sums(
     df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str], num_partitions: int | None = None
 ) -> DataFrame:
@@ -48,8 +42,10 @@ def prefix_sums(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    k = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(k, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # without an explicit count AQE sizes the range partitions from the data
+    # (contiguous ranges are merged, so partition order still follows ``order``)
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
 
     in_schema = ranged.schema
     out_schema = T.StructType(
