@@ -45,3 +45,15 @@ def test_quality_gate_and_audit_history(platform, spark):
     assert q.critical_failures == 0 and q.quality_score >= 90
     audit = spark.read.parquet(platform["run"].path("dq_audit_results"))
     assert audit.count() == 22  # two runs of eleven checks survive in the append-only table
+
+
+def test_run_from_raw_parquet_paths(spark, platform):
+    """The same DAG over a raw zone of Parquet files read with explicit schemas."""
+    src = platform["run"]
+    wh = tempfile.mkdtemp(prefix="cartwheel-wh2-", dir="/tmp")
+    run = PipelineRun.from_raw_paths(
+        spark, wh, src.path("raw/raw_events"), src.path("raw/raw_ad_spend"), src.path("raw/raw_crm_customers")
+    )
+    led = run.materialise_models().collect()
+    assert all(r.status == "success" for r in led)
+    assert run.tables["stg_events"].count() == src.tables["stg_events"].count()
