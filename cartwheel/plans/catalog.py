@@ -198,8 +198,11 @@ def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("entity_id", "as_of_date", "score", "pct_rank", _ranking.decile_from_pct("pct_rank").alias("decile"))
 
 
+@lru_cache(maxsize=4)
 def _model_run(spark: SparkSession, sf_dir: str):
-    """Fit on a checkpointed store: the fit, the scoring and the metrics all read it,
+    """One fitted model per (session, input folder), shared by the model queries.
+
+    Fit on a checkpointed store: the fit, the scoring and the metrics all read it,
     and none of them should recompute the feature store from the raw events."""
     from cartwheel.session import ensure_checkpoint_dir
 
