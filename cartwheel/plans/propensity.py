@@ -50,6 +50,7 @@ class PropensityRun:
         return model_m.unionByName(base_m).withColumns(
             {
                 "valid_cutoff": F.lit(self.valid_cutoff).cast("date"),
+                "train_cutoffs": F.lit(",".join(self.train_cutoffs)),
                 "n_train": F.lit(self.n_train).cast("bigint"),
             }
         )

@@ -57,3 +57,17 @@ def test_run_from_raw_parquet_paths(spark, platform):
     led = run.materialise_models().collect()
     assert all(r.status == "success" for r in led)
     assert run.tables["stg_events"].count() == src.tables["stg_events"].count()
+
+
+def test_failed_model_is_recorded_and_the_run_goes_on(spark):
+    from cartwheel.sources import fixtures
+
+    raw = fixtures.raw_zone(spark, SF_SMALL)
+    del raw["raw_ad_spend"]  # spend missing: its staging model and the campaign mart fail
+    run = PipelineRun(spark, tempfile.mkdtemp(prefix="cartwheel-wh3-", dir="/tmp"), raw=raw)
+    led = {r.model: r for r in run.materialise_models().collect()}
+    assert led["stg_ad_spend"].status == "failed" and led["mart_campaign_efficiency"].status == "failed"
+    assert led["stg_ad_spend"].error
+    assert all(r.status == "success" for m, r in led.items() if m not in ("stg_ad_spend", "mart_campaign_efficiency"))
+    summary = spark.read.parquet(run.path("run_summary")).first()
+    assert summary.models_run == 10 and summary.models_succeeded == 8 and summary.success_rate == 0.8
