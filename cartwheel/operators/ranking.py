@@ -31,15 +31,36 @@ METRIC_DIGITS = 10
 
 
 def prefix_sums(
-    df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str], num_partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[Column],
+    sum_cols: Sequence[str],
+    num_partitions: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<c>_before`` = sum of ``c`` over all rows strictly before each row in
     ``order``, and ``<c>_total`` = the sum over all rows.
 
+    With ``partition_by`` the sums restart for every group (non-NULL group
+    keys): one range-partitioned pass serves all groups, and each group's
+    start is subtracted afterwards.
+
     ``order`` must be a total order on the rows for a row-level meaning; with
     ties the split between tied rows follows the range partitioning.
-    Sum columns must be integral.
+    Sum columns must be integral and non-negative.
     """
+    if partition_by:
+        glob = prefix_sums(df, [F.col(g).asc() for g in partition_by] + list(order), sum_cols, num_partitions)
+        # one row per group: where the group starts in the global order, and its total
+        starts = glob.groupBy(*partition_by).agg(
+            *[F.min(f"{c}_before").alias(f"_{c}_start") for c in sum_cols],
+            *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(f"_{c}_gtot") for c in sum_cols],
+        )
+        j = glob.drop(*[f"{c}_total" for c in sum_cols]).join(starts, list(partition_by), "left")
+        return j.select(
+            *df.columns,
+            *[(F.col(f"{c}_before") - F.col(f"_{c}_start")).alias(f"{c}_before") for c in sum_cols],
+            *[F.col(f"_{c}_gtot").alias(f"{c}_total") for c in sum_cols],
+        )
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     # without an explicit count AQE sizes the range partitions from the data
@@ -87,18 +108,18 @@ def prefix_sums(
     )
 
 
-def score_counts(df: DataFrame, score: str, label: str | None = None) -> DataFrame:
-    """One row per distinct score: ``n`` rows, and ``pos`` / ``neg`` when a label is given."""
+def score_counts(df: DataFrame, score: str, label: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct score (per group): ``n`` rows, and ``pos`` / ``neg`` when a label is given."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if label:
         aggs += [
             F.sum(F.col(label).cast("bigint")).alias("pos"),
             (F.count(F.lit(1)) - F.sum(F.col(label).cast("bigint"))).alias("neg"),
         ]
-    return df.groupBy(F.col(score).alias("_s")).agg(*aggs)
+    return df.groupBy(*[F.col(b) for b in by], F.col(score).alias("_s")).agg(*aggs)
 
 
-def score_table(df: DataFrame, score: str, label: str | None = None) -> DataFrame:
+def score_table(df: DataFrame, score: str, label: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score (ascending, NULL lowest) with its counts, the counts
     of all lower scores (``<c>_before``) and the totals (``<c>_total``).
 
@@ -106,7 +127,9 @@ def score_table(df: DataFrame, score: str, label: str | None = None) -> DataFram
     ranker costs one range-partitioned pass over its distinct scores.
     """
     cols = ["n"] + (["pos", "neg"] if label else [])
-    return prefix_sums(score_counts(df, score, label), [F.col("_s").asc_nulls_first()], cols)
+    return prefix_sums(
+        score_counts(df, score, label, by), [F.col("_s").asc_nulls_first()], cols, partition_by=tuple(by)
+    )
 
 
 def percent_rank_average(
@@ -156,14 +179,22 @@ def decile_from_pct(pct: str | Column) -> Column:
     return F.least(c * F.lit(10.0), F.lit(10.0)).cast("int")
 
 
-def roc_auc(df: DataFrame, score: str, label: str, table: DataFrame | None = None) -> DataFrame:
+def _agg(df: DataFrame, by: Sequence[str], *aggs: Column) -> DataFrame:
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+def roc_auc(
+    df: DataFrame, score: str, label: str, table: DataFrame | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Exact ROC-AUC with ties counted half, as one row ``(auc, n, positives)``.
 
     ``sum_s pos_s * (2 * neg_below_s + neg_s)`` is summed in integers, so the
     result does not depend on summation order.
     """
-    st = table if table is not None else score_table(df, score, label)
-    r = st.agg(
+    st = table if table is not None else score_table(df, score, label, by)
+    r = _agg(
+        st,
+        by,
         F.sum(F.col("pos") * (F.lit(2) * F.col("neg_before") + F.col("neg"))).alias("_num2"),
         F.first("pos_total").alias("positives"),
         F.first("neg_total").alias("_negatives"),
@@ -171,6 +202,7 @@ def roc_auc(df: DataFrame, score: str, label: str, table: DataFrame | None = Non
     )
     pairs = F.lit(2.0) * F.col("positives").cast("double") * F.col("_negatives").cast("double")
     return r.select(
+        *by,
         # undefined (NULL) when only one class is present
         F.when(pairs > 0, round_half_up(F.col("_num2").cast("double") / pairs, METRIC_DIGITS)).alias("auc"),
         F.col("n").cast("bigint").alias("n"),
@@ -178,17 +210,22 @@ def roc_auc(df: DataFrame, score: str, label: str, table: DataFrame | None = Non
     )
 
 
-def average_precision(df: DataFrame, score: str, label: str, table: DataFrame | None = None) -> DataFrame:
+def average_precision(
+    df: DataFrame, score: str, label: str, table: DataFrame | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Step-wise average precision ``sum_s pos_s * precision(>= s) / P`` (not the PR trapezoid)."""
-    st = table if table is not None else score_table(df, score, label)
+    st = table if table is not None else score_table(df, score, label, by)
     tp = F.col("pos_total") - F.col("pos_before")  # positives scored >= s
     seen = F.col("n_total") - F.col("n_before")  # rows scored >= s
-    r = st.agg(
+    r = _agg(
+        st,
+        by,
         F.sum(F.when(F.col("pos") > 0, F.col("pos").cast("double") * tp / seen)).alias("_num"),
         F.first("pos_total").alias("positives"),
         F.first("n_total").alias("n"),
     )
     return r.select(
+        *by,
         F.when(F.col("positives") > 0, round_half_up(F.col("_num") / F.col("positives"), METRIC_DIGITS)).alias(
             "average_precision"
         ),
@@ -197,22 +234,29 @@ def average_precision(df: DataFrame, score: str, label: str, table: DataFrame |
     )
 
 
-def top_fraction_lift(df: DataFrame, score: str, label: str, key: str, fraction: float = 0.10) -> DataFrame:
+def top_fraction_lift(
+    df: DataFrame, score: str, label: str, key: str, fraction: float = 0.10, by: Sequence[str] = ()
+) -> DataFrame:
     """Positive rate in the top ``max(1, int(n * fraction))`` rows over the base rate.
 
     Rows are ordered by score descending, then ``key`` ascending, so tied scores
     are cut reproducibly.
     """
     rows = df.select(
+        *[F.col(b) for b in by],
         F.col(score).alias("_s"),
         F.col(key).alias("_k"),
         F.col(label).cast("bigint").alias("_y"),
         F.lit(1).cast("bigint").alias("_one"),
     )
-    pos = prefix_sums(rows, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one", "_y"])
+    pos = prefix_sums(
+        rows, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one", "_y"], partition_by=tuple(by)
+    )
     # every row carries the totals, so k and the cut are row-level expressions
     k = F.greatest(F.lit(1), F.floor(F.col("_one_total") * F.lit(float(fraction)))).cast("bigint")
-    r = pos.agg(
+    r = _agg(
+        pos,
+        by,
         F.first("_one_total").alias("n"),
         F.first("_y_total").alias("positives"),
         F.first(k).alias("k"),
@@ -221,6 +265,7 @@ def top_fraction_lift(df: DataFrame, score: str, label: str, key: str, fraction:
     base = F.col("positives").cast("double") / F.col("n")
     top_rate = F.coalesce(F.col("top_positives"), F.lit(0)).cast("double") / F.col("k")
     return r.select(
+        *by,
         F.col("n").cast("bigint").alias("n"),
         F.col("k").cast("bigint").alias("k"),
         F.coalesce(F.col("top_positives"), F.lit(0)).cast("bigint").alias("top_positives"),

@@ -44,10 +44,17 @@ class PropensityRun:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        """One row per ranker: ROC-AUC, step-wise AP, top-decile lift (computed on first use)."""
-        model_m = ranking_metrics(self.scored, "propensity", "actual_label", "entity_id", "model")
-        base_m = ranking_metrics(self.scored, "_baseline", "actual_label", "entity_id", "baseline_" + BASELINE_FEATURE)
-        return model_m.unionByName(base_m).withColumns(
+        """One row per ranker: ROC-AUC, step-wise AP, top-decile lift (computed on first use).
+
+        Model and baseline are stacked into one long frame keyed by ``ranker``,
+        so the two rankers share each range-partitioned pass.
+        """
+        rankers = F.array(
+            F.struct(F.lit("model").alias("ranker"), F.col("propensity").alias("score")),
+            F.struct(F.lit("baseline_" + BASELINE_FEATURE).alias("ranker"), F.col("_baseline").alias("score")),
+        )
+        long = self.scored.select("entity_id", "actual_label", F.inline(rankers))
+        return ranking_metrics(long, "score", "actual_label", "entity_id", by=("ranker",)).withColumns(
             {
                 "valid_cutoff": F.lit(self.valid_cutoff).cast("date"),
                 "train_cutoffs": F.lit(",".join(self.train_cutoffs)),
@@ -80,17 +87,21 @@ def _scaled(df: DataFrame, cols: list[str], stats: dict[str, tuple[float, float]
     return df.select(*[x for x in df.columns if x not in cols], *exprs)
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, key: str, name: str) -> DataFrame:
-    """ROC-AUC, AP and top-decile lift: one pass over distinct scores + one ordered pass."""
-    st = ranking.score_table(df, score, label)
-    auc = ranking.roc_auc(df, score, label, table=st).select("auc", "n", "positives")
-    ap = ranking.average_precision(df, score, label, table=st).select("average_precision")
-    lift = ranking.top_fraction_lift(df, score, label, key).select("k", "top_positives", "base_rate", "lift")
-    # three one-row results side by side: AP and lift enter as scalar subqueries
+def ranking_metrics(df: DataFrame, score: str, label: str, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """ROC-AUC, AP and top-decile lift per group of ``by``: one pass over distinct
+    scores for AUC and AP, one ordered pass over the rows for the lift."""
+    st = ranking.score_table(df, score, label, by)
+    auc = ranking.roc_auc(df, score, label, table=st, by=by)
+    ap = ranking.average_precision(df, score, label, table=st, by=by).select(*by, "average_precision")
+    lift = ranking.top_fraction_lift(df, score, label, key, by=by).select(
+        *by, "k", "top_positives", "base_rate", "lift"
+    )
+    if by:
+        # one row per group on every side
+        return auc.join(ap, list(by)).join(lift, list(by))
     ap_v = ap.select(F.struct("*")).scalar()
     lift_v = lift.select(F.struct("*")).scalar()
     return auc.select(
-        F.lit(name).alias("ranker"),
         "*",
         ap_v["average_precision"].alias("average_precision"),
         *[lift_v[c].alias(c) for c in ("k", "top_positives", "base_rate", "lift")],

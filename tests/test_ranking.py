@@ -74,3 +74,18 @@ def test_percent_rank_with_a_hot_score_matches_pandas(spark):
     want = pd.Series(vals).rank(pct=True)
     assert len(got) == len(vals)
     assert all(got[i] == want[i] for i in range(len(vals)))
+
+
+def test_grouped_metrics_equal_per_group_runs(spark):
+    rnd = random.Random(7)
+    rows = [(g, f"k{i:03d}", float(rnd.choice([0, 1, 2, 3])), int(rnd.random() < 0.3)) for g in ("a", "b") for i in range(150)]
+    df = spark.createDataFrame(rows, "g string, k string, s double, y int")
+    grouped = {r.g: r for r in ranking.roc_auc(df, "s", "y", by=("g",)).collect()}
+    ap = {r.g: r for r in ranking.average_precision(df, "s", "y", by=("g",)).collect()}
+    lift = {r.g: r for r in ranking.top_fraction_lift(df, "s", "y", "k", by=("g",)).collect()}
+    for g in ("a", "b"):
+        one = df.filter(F.col("g") == g)
+        assert grouped[g].auc == ranking.roc_auc(one, "s", "y").first().auc
+        assert ap[g].average_precision == ranking.average_precision(one, "s", "y").first().average_precision
+        solo = ranking.top_fraction_lift(one, "s", "y", "k").first()
+        assert (lift[g].k, lift[g].top_positives, lift[g].lift) == (solo.k, solo.top_positives, solo.lift)
