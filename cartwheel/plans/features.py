@@ -113,7 +113,7 @@ def cutoff_bounds(spec: FeatureSpec) -> Column:
     return F.array(*items)
 
 
-def _feature_agg(f: Feature, ts: Column) -> Column:
+def _feature_agg(f: Feature, ts: Column, ts_name: str) -> Column:
     c = F.col("_c")
     cond = (ts > c[f"lo_{int(f.window_days)}"]) & (ts <= c["hi"])
     if f.filter:
@@ -121,7 +121,11 @@ def _feature_agg(f: Feature, ts: Column) -> Column:
     if f.aggregation == "count":
         return F.count(F.when(cond, F.lit(1)))
     if f.aggregation == "count_distinct":
-        return F.count_distinct(F.when(cond, F.expr(f.column)))
+        # a FILTER clause (not a CASE inside DISTINCT) lets Catalyst share one
+        # Expand group among all distinct counts of the same column
+        window = f"`{ts_name}` > _c.lo_{int(f.window_days)} AND `{ts_name}` <= _c.hi"
+        where = f"{window} AND ({f.filter})" if f.filter else window
+        return F.expr(f"count(DISTINCT {f.column}) FILTER (WHERE {where})")
     if f.aggregation == "sum":
         return F.sum(F.when(cond, F.expr(f.column))).cast("double")
     if f.aggregation == "avg":
@@ -149,7 +153,7 @@ def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None) -> D
 
     c = F.col("_c")
     label_hit = (F.col(spec.event_column) == spec.label.event) & (ts > c["hi"]) & (ts <= c["top"])
-    aggs = [_feature_agg(f, ts).alias(f.name) for f in spec.features]
+    aggs = [_feature_agg(f, ts, spec.timestamp).alias(f.name) for f in spec.features]
     aggs.append(F.max(F.when(label_hit, F.lit(1))).alias(spec.label.name))
     per_cutoff = pairs.groupBy(F.col(spec.entity).alias("entity_id"), c["as_of_date"].alias("as_of_date")).agg(*aggs)
 
