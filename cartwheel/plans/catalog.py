@@ -1,31 +1,31 @@
-"""Registry of the queries checked against the SQL oracle.
+"""Registry of the queries of the driver contract and their SQL oracles.
 
-Every entry reads the driver tables (through the fixture adapter) and runs
-over whole tables.
+Every query reads the driver tables (through the fixture adapter) or data
+Spark derives from them, over whole tables. Upstream DataFrames are memoised
+per (session, input folder), so queries that share models share their
+analysed plans (never their results: each query executes in full).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel import oracle
-from cartwheel.operators import staging
-from cartwheel.plans.models import Models
+from cartwheel.operators import ledger, marts, quality, ranking, staging
+from cartwheel.plans import features, propensity
+from cartwheel.plans.models import Models, ModelTables
+from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.sources import ga4, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-@lru_cache(maxsize=8)
-def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """One memoised model DAG per (session, input folder): queries that share
-    upstream models share their (already analysed) DataFrames."""
-    return Models(spark, sf_dir)
-
-
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -34,6 +34,13 @@ def register(name: str):
     return deco
 
 
+@lru_cache(maxsize=8)
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """One memoised model DAG per (session, input folder)."""
+    return Models(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- staging, sessions, marts
 def _model(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return models_for(spark, sf_dir).table(name)
@@ -63,152 +70,137 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.reject_counts(models_for(spark, sf_dir).stg_events_rejected)
 
 
-def oracles() -> dict[str, str]:
-    out: dict[str, str] = {}
-    out.update(oracle.staging_and_marts())
-    out.update(oracle.build_options())
-    out.update(oracle.features(_features.load_spec()))
-    out.update(oracle.baseline_metrics(_features.load_spec()))
-    out["ga4_flatten"] = oracle.ga4_flatten()
-    out["partition_pruned_scan"] = oracle.with_base(
-        f"SELECT * FROM stg_events WHERE event_date BETWEEN DATE '{PRUNE_RANGE[0]}' AND DATE '{PRUNE_RANGE[1]}'"
-    )
-    out["run_reconciliation"] = oracle.with_base(
-        f"""SELECT r AS raw_events, c AS events_processed, q AS records_quarantined,
-               {oracle.rnd('CASE WHEN r > 0 THEN CAST(q AS DOUBLE) / r ELSE 0.0 END', 5)} AS quarantine_rate,
-               CAST(greatest(0, r - q - c) AS BIGINT) AS dedup_removed
-        FROM (SELECT (SELECT count(*) FROM raw_events) AS r, (SELECT count(*) FROM stg_events) AS c,
-                     (SELECT count(*) FROM stg_events_rejected) AS q)"""
-    )
-    spec = _features.load_spec()
-    ref, checks = sql_checks()
-    for c in checks:
-        if c.name in DQ_QUERIES:
-            out[DQ_QUERIES[c.name]] = oracle.with_base(oracle.dq_check_sql(c, ref), oracle.dq_ctes(spec))
-    out["dq_results"] = oracle.with_base(
-        "\nUNION ALL\n".join(oracle.dq_check_sql(c, ref) for c in checks), oracle.dq_ctes(spec)
-    )
-    out["dq_score"] = oracle.dq_score_sql(checks, ref, spec)
-    out["dq_assert_unique_rows"] = oracle.with_base(
-        "SELECT * FROM raw_events WHERE event_id IN "
-        "(SELECT event_id FROM raw_events GROUP BY event_id HAVING count(*) > 1)"
-    )
-    nn = " OR ".join(f"{c} IS NULL" for c in NON_NULL_COLUMNS)
-    out["dq_assert_non_null_rows"] = oracle.with_base(f"SELECT * FROM raw_events WHERE {nn}")
-    out["dq_assert_row_conditions"] = oracle.with_base(
-        "\nUNION ALL\n".join(
-            f"SELECT *, {oracle._q(c)} AS failed_condition FROM raw_events WHERE NOT coalesce(({c}), TRUE)"
-            for c in ROW_CONDITIONS
-        )
-    )
-    out["feature_avg"] = oracle.with_base(
-        "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
-    )
-    return {k: v for k, v in out.items() if k in QUERIES}
+@register("stg_events_strict")
+def stg_events_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging with ``strict=True``: a NULL event name is quarantined instead of lost."""
+    return staging.stg_events(models_for(spark, sf_dir).raw_events, strict=True)
 
 
-# ---------------------------------------------------------------- feature store
-from cartwheel.plans import features as _features  # noqa: E402
+@register("stg_events_rejected_strict")
+def stg_events_rejected_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_events_rejected(models_for(spark, sf_dir).raw_events, strict=True)
 
 
-@lru_cache(maxsize=8)
-def _store_for(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
-    return _features.build_feature_store(models_for(spark, sf_dir).stg_events, spec)
+@register("mart_cohort_retention_calendar_weeks")
+def mart_cohort_retention_calendar_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohort retention counting Monday boundaries crossed instead of whole 7-day spans (T4)."""
+    m = models_for(spark, sf_dir)
+    return marts.mart_cohort_retention(m.int_sessions, m.stg_crm_customers, calendar_weeks=True)
 
 
-def _store(spark: SparkSession, sf_dir: str, spec=None) -> DataFrame:
-    return _store_for(spark, sf_dir, spec or _features.load_spec())
+@register("ga4_flatten")
+def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_events_ga4(ga4.ga4_export(models_for(spark, sf_dir).raw_events))
 
 
-@register("feature_store")
-def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _store(spark, sf_dir)
+PRUNE_RANGE = ("2024-01-08", "2024-01-14")
 
 
-@register("feature_store_report")
-def feature_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = _features.load_spec()
-    return _features.feature_store_report(_store(spark, sf_dir, spec), spec.label.name)
+@register("partition_pruned_scan")
+def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the clean events day-partitioned and clustered, then read one week back."""
+    path = sinks.scratch_root(spark, "stg_events_by_day")
+    sinks.write_partitioned(models_for(spark, sf_dir).stg_events, path)
+    return sinks.read_date_range(spark, path, *PRUNE_RANGE)
 
 
-@register("leakage_violations")
-def leakage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features.leakage_violations(_store(spark, sf_dir))
+@register("run_reconciliation")
+def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = models_for(spark, sf_dir)
+    return ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)
+
 
+# ---------------------------------------------------------------- feature store
+@lru_cache(maxsize=8)
+def _store_for(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec) -> DataFrame:
+    return features.build_feature_store(models_for(spark, sf_dir).stg_events, spec)
+
+
+def _store(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec | None = None) -> DataFrame:
+    return _store_for(spark, sf_dir, spec or features.load_spec())
 
-def avg_spec():
+
+def avg_spec() -> features.FeatureSpec:
     """Default spec plus one ``avg`` feature (FIXTURES section 5)."""
-    base = _features.load_spec()
-    extra = _features.Feature(
+    base = features.load_spec()
+    extra = features.Feature(
         name="avg_order_value_30d",
         aggregation="avg",
         column="CAST(purchase_revenue AS DECIMAL(18,2))",
         filter="event_name = 'purchase'",
         window_days=30,
     )
-    return _features.FeatureSpec(
+    return features.FeatureSpec(
         entity=base.entity, cutoffs=base.cutoffs, label=base.label, features=base.features + (extra,)
     ).validate()
 
 
-@register("feature_avg")
-def feature_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _store(spark, sf_dir, avg_spec()).select("entity_id", "as_of_date", "avg_order_value_30d")
+@register("feature_store")
+def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir)
 
 
-# ---------------------------------------------------------------- ranking metrics and model
-from datetime import date as _date  # noqa: E402
+@register("feature_store_report")
+def feature_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = features.load_spec()
+    return features.feature_store_report(_store(spark, sf_dir, spec), spec.label.name)
+
 
-from pyspark.sql import functions as _F  # noqa: E402
+@register("leakage_violations")
+def leakage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.leakage_violations(_store(spark, sf_dir))
 
-from cartwheel.operators import ranking as _ranking  # noqa: E402
-from cartwheel.plans import propensity as _prop  # noqa: E402
 
+@register("feature_avg")
+def feature_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir, avg_spec()).select("entity_id", "as_of_date", "avg_order_value_30d")
 
+
+# ---------------------------------------------------------------- ranking metrics and model
 def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = _features.load_spec()
-    valid = sorted(spec.cutoffs)[-1]
-    st = _store(spark, sf_dir, spec).filter(_F.col("as_of_date") == _F.lit(_date.fromisoformat(valid)))
+    """Last-cutoff rows scored by the baseline ranker (recent cart count)."""
+    spec = features.load_spec()
+    valid = date.fromisoformat(sorted(spec.cutoffs)[-1])
+    st = _store(spark, sf_dir, spec).filter(F.col("as_of_date") == F.lit(valid))
     return st.select(
         "entity_id",
         "as_of_date",
-        _F.col(_prop.BASELINE_FEATURE).cast("double").alias("score"),
-        _F.col(spec.label.name).cast("bigint").alias("y"),
+        F.col(propensity.BASELINE_FEATURE).cast("double").alias("score"),
+        F.col(spec.label.name).cast("bigint").alias("y"),
     )
 
 
 @register("baseline_auc")
 def baseline_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranking.roc_auc(_validation(spark, sf_dir), "score", "y")
+    return ranking.roc_auc(_validation(spark, sf_dir), "score", "y")
 
 
 @register("baseline_average_precision")
 def baseline_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranking.average_precision(_validation(spark, sf_dir), "score", "y")
+    return ranking.average_precision(_validation(spark, sf_dir), "score", "y")
 
 
 @register("baseline_lift")
 def baseline_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranking.top_fraction_lift(_validation(spark, sf_dir), "score", "y", "entity_id")
+    return ranking.top_fraction_lift(_validation(spark, sf_dir), "score", "y", "entity_id")
 
 
 @register("propensity_decile")
 def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _ranking.percent_rank_average(_validation(spark, sf_dir), "score", "pct_rank")
-    return v.select("entity_id", "as_of_date", "score", "pct_rank", _ranking.decile_from_pct("pct_rank").alias("decile"))
+    v = ranking.percent_rank_average(_validation(spark, sf_dir), "score", "pct_rank")
+    return v.select("entity_id", "as_of_date", "score", "pct_rank", ranking.decile_from_pct("pct_rank").alias("decile"))
 
 
 @lru_cache(maxsize=4)
-def _model_run(spark: SparkSession, sf_dir: str):
+def _model_run(spark: SparkSession, sf_dir: str) -> propensity.PropensityRun:
     """One fitted model per (session, input folder), shared by the model queries.
 
-    Fit on a checkpointed store: the fit, the scoring and the metrics all read it,
-    and none of them should recompute the feature store from the raw events."""
-    from cartwheel.session import ensure_checkpoint_dir
-
+    Fit on a checkpointed store: the fit, the scoring and the metrics all read
+    it, and none of them should recompute the feature store from raw events.
+    """
     ensure_checkpoint_dir(spark)
-    spec = _features.load_spec()
-    return _prop.train_propensity(_store(spark, sf_dir, spec).checkpoint(eager=True), spec)
+    spec = features.load_spec()
+    return propensity.train_propensity(_store(spark, sf_dir, spec).checkpoint(eager=True), spec)
 
 
 @register("propensity_scores")
@@ -226,17 +218,17 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model_run(spark, sf_dir).metrics
 
 
+@register("roc_auc_improvement")
+def roc_auc_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return propensity.auc_improvement(_model_run(spark, sf_dir).metrics)
+
+
 @register("remarketing_audience")
 def remarketing_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartwheel.operators.marts import remarketing_audience as _aud
-
-    return _aud(_model_run(spark, sf_dir).scores)
+    return marts.remarketing_audience(_model_run(spark, sf_dir).scores)
 
 
 # ---------------------------------------------------------------- data quality
-from cartwheel.operators import quality as _quality  # noqa: E402
-from cartwheel.plans.models import ModelTables  # noqa: E402
-
 # check name -> registered query name
 DQ_QUERIES = {
     "events_volume": "dq_row_count",
@@ -250,31 +242,35 @@ DQ_QUERIES = {
     "propensity_scores_not_orphaned": "dq_relationship",
     "quarantine_rate_within_slo": "dq_quarantine_rate",
 }
+NON_NULL_COLUMNS = ["event_id", "event_timestamp", "user_pseudo_id", "event_name"]
+ROW_CONDITIONS = [
+    "event_name IN ('session_start','page_view','view_item','add_to_cart','begin_checkout','purchase')",
+    "purchase_revenue IS NULL OR purchase_revenue >= 0",
+]
 
 
-def sql_checks():
+def sql_checks() -> tuple[str, list[quality.Check]]:
     """Default checks; the orphan check reads the feature store (same entities as the
     scores, which need the fitted model) so that every check has an SQL oracle."""
-    ref, checks = _quality.load_checks()
+    ref, checks = quality.load_checks()
     out = []
     for c in checks:
         if c.type == "relationship" and c.table == "mart_propensity_scores":
-            c = _quality.Check(c.name, c.type, "feature_store", c.column, c.severity, c.params)
+            c = quality.Check(c.name, c.type, "feature_store", c.column, c.severity, c.params)
         out.append(c)
     return ref, out
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> ModelTables:
-    m = models_for(spark, sf_dir)
-    return ModelTables(m, {"feature_store": _features.build_feature_store(m.stg_events, _features.load_spec())})
+    return ModelTables(models_for(spark, sf_dir), {"feature_store": _store(spark, sf_dir)})
 
 
 def _dq(check_name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ref, checks = sql_checks()
-        ch = [c for c in checks if c.name == check_name]
-        return _quality.check_results(spark, ch, _tables(spark, sf_dir), ref)
+        return quality.check_results(spark, [c for c in checks if c.name == check_name], _tables(spark, sf_dir), ref)
 
+    run.__name__ = DQ_QUERIES[check_name]
     return run
 
 
@@ -282,91 +278,72 @@ for _check, _qname in DQ_QUERIES.items():
     QUERIES[_qname] = _dq(_check)
 
 
-@register("dq_score")
-def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref, checks = sql_checks()
-    return _quality.quality_score(_quality.check_results(spark, checks, _tables(spark, sf_dir), ref))
-
-
 @register("dq_results")
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, checks = sql_checks()
-    return _quality.check_results(spark, checks, _tables(spark, sf_dir), ref)
+    return quality.check_results(spark, checks, _tables(spark, sf_dir), ref)
 
 
-@register("dq_assert_unique_rows")
-def dq_assert_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_unique_rows(models_for(spark, sf_dir).raw_events, ["event_id"])
+@register("dq_score")
+def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_score(dq_results(spark, sf_dir))
 
 
-NON_NULL_COLUMNS = ["event_id", "event_timestamp", "user_pseudo_id", "event_name"]
-ROW_CONDITIONS = [
-    "event_name IN ('session_start','page_view','view_item','add_to_cart','begin_checkout','purchase')",
-    "purchase_revenue IS NULL OR purchase_revenue >= 0",
-]
+@register("dq_assert_unique_rows")
+def dq_assert_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_unique_rows(models_for(spark, sf_dir).raw_events, ["event_id"])
 
 
 @register("dq_assert_non_null_rows")
 def dq_assert_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_non_null_rows(models_for(spark, sf_dir).raw_events, NON_NULL_COLUMNS).drop("null_columns")
+    return quality.assert_non_null_rows(models_for(spark, sf_dir).raw_events, NON_NULL_COLUMNS).drop("null_columns")
 
 
 @register("dq_assert_row_conditions")
 def dq_assert_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.assert_row_conditions(models_for(spark, sf_dir).raw_events, ROW_CONDITIONS)
-
+    return quality.assert_row_conditions(models_for(spark, sf_dir).raw_events, ROW_CONDITIONS)
 
-# ---------------------------------------------------------------- nested export
-from cartwheel.sources import ga4 as _ga4  # noqa: E402
 
-
-@register("ga4_flatten")
-def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stg_events_ga4(_ga4.ga4_export(models_for(spark, sf_dir).raw_events))
-
-
-# ---------------------------------------------------------------- sinks / scans / reconciliation
-from cartwheel.operators import ledger as _ledger  # noqa: E402
-from cartwheel.sources import sinks as _sinks  # noqa: E402
-
-PRUNE_RANGE = ("2024-01-08", "2024-01-14")
-
-
-@register("partition_pruned_scan")
-def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the clean events day-partitioned and clustered, then read one week back."""
-    path = _sinks.scratch_root(spark, "stg_events_by_day")
-    _sinks.write_partitioned(models_for(spark, sf_dir).stg_events, path)
-    return _sinks.read_date_range(spark, path, *PRUNE_RANGE)
-
-
-@register("run_reconciliation")
-def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = models_for(spark, sf_dir)
-    return _ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)
-
-
-# ---------------------------------------------------------------- build options
-@register("stg_events_strict")
-def stg_events_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging with ``strict=True``: a NULL event name is quarantined instead of lost."""
-    return staging.stg_events(models_for(spark, sf_dir).raw_events, strict=True)
-
-
-@register("stg_events_rejected_strict")
-def stg_events_rejected_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stg_events_rejected(models_for(spark, sf_dir).raw_events, strict=True)
-
-
-@register("mart_cohort_retention_calendar_weeks")
-def mart_cohort_retention_calendar_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cohort retention counting Monday boundaries crossed instead of whole 7-day spans (T4)."""
-    from cartwheel.operators.marts import mart_cohort_retention as _ret
-
-    m = models_for(spark, sf_dir)
-    return _ret(m.int_sessions, m.stg_crm_customers, calendar_weeks=True)
-
-
-@register("roc_auc_improvement")
-def roc_auc_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prop.auc_improvement(_model_run(spark, sf_dir).metrics)
+# ---------------------------------------------------------------- oracles
+def oracles() -> dict[str, str]:
+    spec = features.load_spec()
+    out: dict[str, str] = {}
+    out.update(oracle.staging_and_marts())
+    out.update(oracle.build_options())
+    out.update(oracle.features(spec))
+    out.update(oracle.baseline_metrics(spec))
+    out["feature_avg"] = oracle.with_base(
+        "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
+    )
+    out["ga4_flatten"] = oracle.ga4_flatten()
+    out["partition_pruned_scan"] = oracle.with_base(
+        f"SELECT * FROM stg_events WHERE event_date BETWEEN DATE '{PRUNE_RANGE[0]}' AND DATE '{PRUNE_RANGE[1]}'"
+    )
+    out["run_reconciliation"] = oracle.with_base(
+        f"""SELECT r AS raw_events, c AS events_processed, q AS records_quarantined,
+               {oracle.rnd('CASE WHEN r > 0 THEN CAST(q AS DOUBLE) / r ELSE 0.0 END', 5)} AS quarantine_rate,
+               CAST(greatest(0, r - q - c) AS BIGINT) AS dedup_removed
+        FROM (SELECT (SELECT count(*) FROM raw_events) AS r, (SELECT count(*) FROM stg_events) AS c,
+                     (SELECT count(*) FROM stg_events_rejected) AS q)"""
+    )
+    ref, checks = sql_checks()
+    for c in checks:
+        if c.name in DQ_QUERIES:
+            out[DQ_QUERIES[c.name]] = oracle.with_base(oracle.dq_check_sql(c, ref), oracle.dq_ctes(spec))
+    out["dq_results"] = oracle.with_base(
+        "\nUNION ALL\n".join(oracle.dq_check_sql(c, ref) for c in checks), oracle.dq_ctes(spec)
+    )
+    out["dq_score"] = oracle.dq_score_sql(checks, ref, spec)
+    out["dq_assert_unique_rows"] = oracle.with_base(
+        "SELECT * FROM raw_events WHERE event_id IN "
+        "(SELECT event_id FROM raw_events GROUP BY event_id HAVING count(*) > 1)"
+    )
+    nn = " OR ".join(f"{c} IS NULL" for c in NON_NULL_COLUMNS)
+    out["dq_assert_non_null_rows"] = oracle.with_base(f"SELECT * FROM raw_events WHERE {nn}")
+    out["dq_assert_row_conditions"] = oracle.with_base(
+        "\nUNION ALL\n".join(
+            f"SELECT *, {oracle.quote(c)} AS failed_condition FROM raw_events WHERE NOT coalesce(({c}), TRUE)"
+            for c in ROW_CONDITIONS
+        )
+    )
+    return {k: v for k, v in out.items() if k in QUERIES}
