@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import yaml
 from pyspark.sql import Column, DataFrame
@@ -140,9 +140,17 @@ def _out_type(f: Feature) -> str:
     return "double" if f.aggregation in ("sum", "avg") else "bigint"
 
 
-def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None) -> DataFrame:
-    """``(entity_id, as_of_date, <features...>, <label>)`` for every cutoff of the spec."""
+def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None, strategy: str = "daily") -> DataFrame:
+    """``(entity_id, as_of_date, <features...>, <label>)`` for every cutoff of the spec.
+
+    ``strategy="daily"`` (default) rolls events up to (entity, window day) first;
+    ``"events"`` pairs raw events with cutoffs in a single aggregation.
+    """
     spec = (spec or load_spec()).validate()
+    if strategy == "daily":
+        return _store_from_daily_rollup(events, spec)
+    if strategy != "events":
+        raise ValueError(f"unknown strategy: {strategy}")
     ts = F.col(spec.timestamp)
     bounds = cutoff_bounds(spec)
     widest = max(int(f.window_days) for f in spec.features) if spec.features else 0
@@ -170,6 +178,121 @@ def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None) -> D
     return j.select(*cols)
 
 
+# ------------------------------------------------------------------ daily roll-up strategy
+# Every window is (C - w days, C] in *window days*, where an event's window day
+# is the D with  D-1 23:59:59 < ts <= D 23:59:59  (the cutoff instant is 23:59:59,
+# trap T11). So events can be rolled up per (entity, window day) before any
+# cutoff is applied: additive features become daily partial sums, recency a
+# daily max, the label a daily flag, and distinct counts daily distinct keys.
+# Only the (much smaller) daily rows are then paired with the cutoffs.
+
+
+def window_day(ts: Column) -> Column:
+    """The day D with ``D-1 23:59:59 < ts <= D 23:59:59``."""
+    return F.to_date(F.timestamp_add("MICROSECOND", F.lit(999_999), ts))
+
+
+def _day_bounds(spec: FeatureSpec) -> Column:
+    """Literal array<struct> of every cutoff's day bounds (tiny, part of the plan)."""
+    windows = sorted({int(f.window_days) for f in spec.features})
+    items = []
+    for c in spec.cutoffs:
+        d = date.fromisoformat(c)
+        fields = [F.lit(d).alias("as_of_date"), F.lit(d + timedelta(days=int(spec.label.horizon_days))).alias("top")]
+        fields += [F.lit(d - timedelta(days=w)).alias(f"lo_{w}") for w in windows]
+        items.append(F.struct(*fields))
+    return F.array(*items)
+
+
+def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
+    ts = F.col(spec.timestamp)
+    ent = F.col(spec.entity).alias("entity_id")
+    days = _day_bounds(spec)
+    widest = max([int(f.window_days) for f in spec.features] or [0])
+    ev = events.withColumn("_d", window_day(ts))
+
+    def flt(f: Feature) -> Column:
+        return F.expr(f.filter) if f.filter else F.lit(True)
+
+    # ---- additive features, recency and label: one row per (entity, window day)
+    daily_aggs: list[Column] = [F.max(F.when(F.col(spec.event_column) == spec.label.event, F.lit(1))).alias("_lab")]
+    for i, f in enumerate(spec.features):
+        if f.aggregation == "count":
+            daily_aggs.append(F.count(F.when(flt(f), F.lit(1))).alias(f"_f{i}"))
+        elif f.aggregation == "sum":
+            daily_aggs.append(F.sum(F.when(flt(f), F.expr(f.column))).alias(f"_f{i}"))
+        elif f.aggregation == "avg":
+            v = F.when(flt(f), F.expr(f.column))
+            daily_aggs += [F.sum(v).alias(f"_f{i}"), F.count(v).alias(f"_n{i}")]
+        elif f.aggregation == "recency":
+            daily_aggs.append(F.max(F.when(flt(f), ts)).alias(f"_f{i}"))
+    daily = ev.groupBy(ent, F.col("_d")).agg(*daily_aggs)
+
+    # spine: every entity seen at or before the cutoff (first window day <= C)
+    spine = (
+        daily.groupBy("entity_id")
+        .agg(F.min("_d").alias("_first"))
+        .withColumn("_c", F.explode(F.filter(days, lambda b: F.col("_first") <= b["as_of_date"])))
+        .select("entity_id", F.col("_c")["as_of_date"].alias("as_of_date"))
+    )
+
+    d, c = F.col("_d"), F.col("_c")
+    paired = daily.withColumn(
+        "_c", F.explode(F.filter(days, lambda b: (d > b[f"lo_{widest}"] if widest else d > b["as_of_date"]) & (d <= b["top"])))
+    )
+    aggs: list[Column] = [F.max(F.when((d > c["as_of_date"]) & (d <= c["top"]), F.col("_lab"))).alias(spec.label.name)]
+    for i, f in enumerate(spec.features):
+        in_w = (d > c[f"lo_{int(f.window_days)}"]) & (d <= c["as_of_date"])
+        if f.aggregation == "count":
+            aggs.append(F.sum(F.when(in_w, F.col(f"_f{i}"))).alias(f.name))
+        elif f.aggregation == "sum":
+            aggs.append(F.sum(F.when(in_w, F.col(f"_f{i}"))).cast("double").alias(f.name))
+        elif f.aggregation == "avg":
+            aggs.append(
+                (F.sum(F.when(in_w, F.col(f"_f{i}"))).cast("double") / F.sum(F.when(in_w, F.col(f"_n{i}")))).alias(f.name)
+            )
+        elif f.aggregation == "recency":
+            aggs.append(
+                F.datediff(c["as_of_date"], F.to_date(F.max(F.when(in_w, F.col(f"_f{i}"))))).cast("bigint").alias(f.name)
+            )
+    per_cutoff = paired.groupBy("entity_id", c["as_of_date"].alias("as_of_date")).agg(*aggs)
+
+    # ---- distinct counts: daily distinct keys per column, then distinct over the window
+    distinct = [(i, f) for i, f in enumerate(spec.features) if f.aggregation == "count_distinct"]
+    j = spine.join(per_cutoff, ["entity_id", "as_of_date"], "left")
+    if distinct:
+        columns = sorted({f.column for _, f in distinct})
+        keyed = None
+        for k, col in enumerate(columns):
+            flags = [
+                (flt(f) if f.column == col else F.lit(False)).alias(f"_q{i}") for i, f in distinct
+            ]
+            part = ev.select(ent, "_d", F.lit(k).alias("_kind"), F.expr(col).cast("string").alias("_v"), *flags)
+            keyed = part if keyed is None else keyed.unionByName(part)
+        keyed = keyed.filter(F.col("_v").isNotNull())
+        day_keys = keyed.groupBy("entity_id", "_d", "_kind", "_v").agg(
+            *[F.max(F.col(f"_q{i}")).alias(f"_q{i}") for i, _ in distinct]
+        )
+        widest_d = max(int(f.window_days) for _, f in distinct)
+        paired_keys = day_keys.withColumn(
+            "_c", F.explode(F.filter(days, lambda b: (d > b[f"lo_{widest_d}"]) & (d <= b["as_of_date"])))
+        )
+        kind_of = {f.column: k for k, f in ((columns.index(f.column), f) for _, f in distinct)}
+        dist_aggs = []
+        for i, f in distinct:
+            where = (
+                f"_kind = {kind_of[f.column]} AND _q{i} AND _d > _c.lo_{int(f.window_days)} AND _d <= _c.as_of_date"
+            )
+            dist_aggs.append(F.expr(f"count(DISTINCT _v) FILTER (WHERE {where})").alias(f.name))
+        per_cutoff_d = paired_keys.groupBy("entity_id", c["as_of_date"].alias("as_of_date")).agg(*dist_aggs)
+        j = j.join(per_cutoff_d, ["entity_id", "as_of_date"], "left")
+
+    cols = [F.col("entity_id"), F.col("as_of_date")]
+    cols += [F.coalesce(F.col(f.name), F.lit(f.default)).cast(_out_type(f)).alias(f.name) for f in spec.features]
+    cols.append(F.coalesce(F.col(spec.label.name), F.lit(0)).cast("int").alias(spec.label.name))
+    return j.select(*cols)
+
+
 def feature_store_report(store: DataFrame, label: str) -> DataFrame:
     """Rows and positives per cutoff (FS13) with the label base rate."""
     return store.groupBy("as_of_date").agg(
