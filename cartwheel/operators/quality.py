@@ -246,11 +246,28 @@ def gate(score_row) -> None:
 
 
 # ------------------------------------------------------------------ row-returning assertions
-def assert_unique_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key occurs more than once (grouped count + semi join, no window)."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    cond = [df[k].eqNullSafe(dup[k]) for k in keys]
-    return df.join(dup, cond, "left_semi")
+HOT_FRACTION = 1e-3
+
+
+def assert_unique_rows(df: DataFrame, keys: list[str], hot_fraction: float = HOT_FRACTION) -> DataFrame:
+    """Rows whose key occurs more than once (grouped count + semi joins, no window).
+
+    A duplicated key may hold a third of all rows. Keys holding more than
+    ``hot_fraction`` of the duplicated rows are fewer than ``1 / hot_fraction``,
+    so their list is broadcast: their rows are found map-side, and only the
+    remaining rows are shuffled for the semi join with the other duplicated keys.
+    """
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    limit = dup.agg(F.sum("_n")).scalar() * F.lit(float(hot_fraction))
+    hot = F.broadcast(dup.filter(F.col("_n") > limit).select(*keys))
+    cold = dup.filter(F.col("_n") <= limit).select(*keys)
+
+    def on(other: DataFrame):
+        return [df[k].eqNullSafe(other[k]) for k in keys]
+
+    hot_rows = df.join(hot, on(hot), "left_semi")
+    cold_rows = df.join(hot, on(hot), "left_anti").join(cold, on(cold), "left_semi")
+    return hot_rows.unionByName(cold_rows)
 
 
 def assert_non_null_rows(df: DataFrame, columns: list[str]) -> DataFrame:

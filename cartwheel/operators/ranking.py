@@ -28,6 +28,7 @@ from cartwheel.functions import round_half_up
 from cartwheel.session import ensure_checkpoint_dir
 
 METRIC_DIGITS = 10
+MAX_LITERAL_GROUPS = 1000  # grouped prefix sums with at most this many groups use a literal lookup
 
 
 def prefix_sums(
@@ -55,7 +56,26 @@ def prefix_sums(
             *[F.min(f"{c}_before").alias(f"_{c}_start") for c in sum_cols],
             *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(f"_{c}_gtot") for c in sum_cols],
         )
-        j = glob.drop(*[f"{c}_total" for c in sum_cols]).join(starts, list(partition_by), "left")
+        few = starts.limit(MAX_LITERAL_GROUPS + 1).collect()
+        base = glob.drop(*[f"{c}_total" for c in sum_cols])
+        if len(few) <= MAX_LITERAL_GROUPS:
+            # few groups (e.g. two rankers): a literal lookup, because a join on a
+            # handful of keys would send each group's rows to a single reducer
+            key = F.struct(*[F.col(g) for g in partition_by])
+
+            def lookup(field: str) -> Column:
+                pairs = []
+                for r in few:
+                    pairs += [F.struct(*[F.lit(r[g]).alias(g) for g in partition_by]), F.lit(r[field])]
+                return F.create_map(*pairs)[key]
+
+            j = base.select(
+                "*",
+                *[lookup(f"_{c}_start").alias(f"_{c}_start") for c in sum_cols],
+                *[lookup(f"_{c}_gtot").alias(f"_{c}_gtot") for c in sum_cols],
+            )
+        else:
+            j = base.join(starts, list(partition_by), "left")
         return j.select(
             *df.columns,
             *[(F.col(f"{c}_before") - F.col(f"_{c}_start")).alias(f"{c}_before") for c in sum_cols],

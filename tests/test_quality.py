@@ -108,3 +108,10 @@ def test_row_returning_assertions(spark, tables):
     assert sorted((r.id, r.failed_condition) for r in bad) == [
         ("a", "v >= 2"), ("b", "cat IN ('x')")
     ]  # NULL v and NULL cat do not fail
+
+
+def test_unique_assertion_with_a_hot_key(spark):
+    rows = [("hot", i) for i in range(400)] + [("a", 1), ("a", 2), ("b", 3)] + [(f"u{i}", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "id string, v int")
+    got = q.assert_unique_rows(df, ["id"], hot_fraction=0.1).collect()
+    assert len(got) == 402 and {r.id for r in got} == {"hot", "a"}
