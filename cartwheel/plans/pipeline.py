@@ -13,6 +13,7 @@ import os
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,14 @@ BUILDERS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
 }
 
 
+def _run_all(fn, items: list, parallel: bool) -> list:
+    """Apply ``fn`` to every item, submitting the Spark jobs concurrently when asked."""
+    if not parallel or len(items) < 2:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(fn, items))
+
+
 class PipelineRun:
     def __init__(
         self,
@@ -83,27 +92,41 @@ class PipelineRun:
         return self.spark.read.parquet(self.path(name))
 
     # ------------------------------------------------------------ raw zone
-    def land_raw(self) -> None:
-        for name, df in self.raw.items():
-            sinks.write_table(df, self.path(os.path.join("raw", name)))
-            self.tables[name] = self._read(os.path.join("raw", name))
+    def land_raw(self, parallel: bool = True) -> None:
+        def land(name: str) -> tuple[str, DataFrame]:
+            sinks.write_table(self.raw[name], self.path(os.path.join("raw", name)))
+            return name, self._read(os.path.join("raw", name))
+
+        for name, df in _run_all(land, list(self.raw), parallel):
+            self.tables[name] = df
 
     # ------------------------------------------------------------ models + ledger
-    def materialise_models(self) -> DataFrame:
+    def _materialise(self, layer: str, model: str) -> tuple[tuple, DataFrame | None]:
+        t0 = time.perf_counter()
+        status, n, err, table = "success", 0, None, None
+        try:
+            sinks.write_table(BUILDERS[model](self.tables), self.path(model))
+            table = self._read(model)
+            # a count of the written Parquet is answered from file footers
+            n = table.count()
+        except Exception as exc:  # noqa: BLE001 - recorded in the ledger, the run goes on
+            status, err = "failed", (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+        row = (self.run_id, self.run_ts, model, layer, n, round(time.perf_counter() - t0, 4), status, err)
+        return row, table
+
+    def materialise_models(self, parallel: bool = True) -> DataFrame:
+        """Write every model, layer by layer. Models of one layer never read each
+        other, so with ``parallel`` their jobs are submitted together and share the
+        cluster instead of queueing behind each other."""
         if not self.tables:
-            self.land_raw()
+            self.land_raw(parallel)
         rows = []
-        for layer, model in Models.LAYERED:
-            t0 = time.perf_counter()
-            status, n, err = "success", 0, None
-            try:
-                sinks.write_table(BUILDERS[model](self.tables), self.path(model))
-                self.tables[model] = self._read(model)
-                # a count of the written Parquet is answered from file footers
-                n = self.tables[model].count()
-            except Exception as exc:  # noqa: BLE001 - recorded in the ledger, the run goes on
-                status, err = "failed", (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
-            rows.append((self.run_id, self.run_ts, model, layer, n, round(time.perf_counter() - t0, 4), status, err))
+        for layer in ("staging", "intermediate", "marts"):
+            names = [m for lay, m in Models.LAYERED if lay == layer]
+            for (row, table), model in zip(_run_all(lambda m: self._materialise(layer, m), names, parallel), names):
+                rows.append(row)
+                if table is not None:
+                    self.tables[model] = table
         led = self.spark.createDataFrame(rows, ledger.LEDGER_SCHEMA)
         sinks.append_table(led, self.path("_run_ledger"))
         # Run-level numbers over the whole ledger history
