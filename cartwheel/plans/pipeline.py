@@ -156,10 +156,14 @@ class PipelineRun:
     # ------------------------------------------------------------ model (ML*, S10)
     def fit_model(self, embargo_days: int = 0) -> propensity.PropensityRun:
         run = propensity.train_propensity(self.tables["feature_store"], self.spec, embargo_days=embargo_days)
-        sinks.overwrite_partitions(run.scores, self.path("mart_propensity_scores"), "as_of_date")
+        # scores, metrics and weights are independent outputs of the fitted model
+        writes = [
+            lambda: sinks.overwrite_partitions(run.scores, self.path("mart_propensity_scores"), "as_of_date"),
+            lambda: sinks.write_table(run.metrics, self.path("model_metrics")),
+            lambda: sinks.write_table(run.weights, self.path("feature_weights")),
+        ]
+        _run_all(lambda w: w(), writes, parallel=True)
         self.tables["mart_propensity_scores"] = self._read("mart_propensity_scores")
-        sinks.write_table(run.metrics, self.path("model_metrics"))
-        sinks.write_table(run.weights, self.path("feature_weights"))
         return run
 
     # ------------------------------------------------------------ checks (DQ13-DQ15, S9)
