@@ -52,7 +52,7 @@ def _run_all(fn, items: list, parallel: bool) -> list:
         return list(pool.map(fn, items))
 
 
-class PipelineRun:
+class WarehouseRun:
     def __init__(
         self,
         spark: SparkSession,
@@ -74,7 +74,7 @@ class PipelineRun:
     @classmethod
     def from_raw_paths(
         cls, spark: SparkSession, warehouse: str, events: str, spend: str, crm: str, **kw
-    ) -> PipelineRun:
+    ) -> WarehouseRun:
         """Run over a raw zone of Parquet files read with explicit schemas."""
         raw = {
             "raw_events": sinks.read_raw(spark, events, schema.RAW_EVENTS),
@@ -192,7 +192,7 @@ class PipelineRun:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit cartwheel/plans/pipeline.py --warehouse W --events E --spend S --crm C``"""
+    """``spark-submit cartwheel/plans/warehouse.py --warehouse W --events E --spend S --crm C``"""
     import argparse
 
     ap = argparse.ArgumentParser(description="end-to-end shop-event run")
@@ -203,7 +203,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--fail-on-critical", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartwheel-run").getOrCreate()
-    run = PipelineRun.from_raw_paths(spark, a.warehouse, a.events, a.spend, a.crm)
+    run = WarehouseRun.from_raw_paths(spark, a.warehouse, a.events, a.spend, a.crm)
     try:
         run.run_all(fail_on_critical=a.fail_on_critical)
     except quality.QualityGateError as exc:

@@ -1,4 +1,4 @@
-"""Adapter: the driver's TPC-H-style tables -> the raw zone of the shop pipeline.
+"""Adapter: the driver's TPC-H-style tables -> the raw zone of the shop-event models.
 
 The rules are fixed test-fixture definitions (FIXTURES.md section 3). Each output
 is a plain projection of one large table plus broadcast joins with dimension

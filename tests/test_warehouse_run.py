@@ -6,14 +6,14 @@ import tempfile
 
 import pytest
 
-from cartwheel.plans.pipeline import PipelineRun
+from cartwheel.plans.warehouse import WarehouseRun
 from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def platform(spark):
     wh = tempfile.mkdtemp(prefix="cartwheel-wh-", dir="/tmp")
-    run = PipelineRun(spark, wh, sf_dir=SF_SMALL)
+    run = WarehouseRun(spark, wh, sf_dir=SF_SMALL)
     out = run.run_all()
     out["run"] = run
     # a second quality run appends to the same audit table
@@ -51,7 +51,7 @@ def test_run_from_raw_parquet_paths(spark, platform):
     """The same DAG over a raw zone of Parquet files read with explicit schemas."""
     src = platform["run"]
     wh = tempfile.mkdtemp(prefix="cartwheel-wh2-", dir="/tmp")
-    run = PipelineRun.from_raw_paths(
+    run = WarehouseRun.from_raw_paths(
         spark, wh, src.path("raw/raw_events"), src.path("raw/raw_ad_spend"), src.path("raw/raw_crm_customers")
     )
     led = run.materialise_models().collect()
@@ -64,7 +64,7 @@ def test_failed_model_is_recorded_and_the_run_goes_on(spark):
 
     raw = fixtures.raw_zone(spark, SF_SMALL)
     del raw["raw_ad_spend"]  # spend missing: its staging model and the campaign mart fail
-    run = PipelineRun(spark, tempfile.mkdtemp(prefix="cartwheel-wh3-", dir="/tmp"), raw=raw)
+    run = WarehouseRun(spark, tempfile.mkdtemp(prefix="cartwheel-wh3-", dir="/tmp"), raw=raw)
     led = {r.model: r for r in run.materialise_models().collect()}
     assert led["stg_ad_spend"].status == "failed" and led["mart_campaign_efficiency"].status == "failed"
     assert led["stg_ad_spend"].error
