@@ -183,11 +183,45 @@ class WarehouseRun:
             quality.gate(score)
         return this_run, score
 
+    # ------------------------------------------------------------ consolidated metrics
+    def summary(self) -> DataFrame:
+        """One row of headline numbers, each a scalar subquery over a written table."""
+        t = self.tables
+        rec = ledger.run_reconciliation(t["raw_events"], t["stg_events"], t["stg_events_rejected"])
+        runs = self._read("run_summary").filter(F.col("run_id") == self.run_id)
+        model = self._read("model_metrics")
+        dq = self._read("dq_scores").orderBy(F.desc("run_ts")).limit(1)  # the latest quality run
+        one = lambda df, col: df.select(col).scalar()
+        return rec.select(
+            F.lit(self.run_id).alias("run_id"),
+            "*",
+            one(runs, "models_run").alias("models_run"),
+            one(runs, "success_rate").alias("pipeline_success_rate"),
+            one(runs, "latency_p50_s").alias("model_latency_p50_s"),
+            one(runs, "latency_p95_s").alias("model_latency_p95_s"),
+            one(self._read("feature_store_report"), F.sum("rows")).alias("feature_store_rows"),
+            one(model.filter(F.col("ranker") == "model"), "auc").alias("roc_auc_model"),
+            one(model.filter(F.col("ranker") != "model"), "auc").alias("roc_auc_baseline"),
+            one(model.filter(F.col("ranker") == "model"), "lift").alias("top_decile_lift_model"),
+            one(dq, "quality_score").alias("quality_score"),
+            one(dq, "critical_failures").alias("critical_failures"),
+        )
+
+    def write_reports(self) -> None:
+        """The small metric tables also as JSON (one file each) under ``reports/``."""
+        small = ["run_summary", "feature_store_report", "model_metrics", "feature_weights", "dq_scores"]
+        for name in small:
+            self._read(name).coalesce(1).write.mode("overwrite").json(self.path(os.path.join("reports", name)))
+        self.summary().coalesce(1).write.mode("overwrite").json(self.path(os.path.join("reports", "summary")))
+
     def run_all(self, fail_on_critical: bool = False) -> dict:
         led = self.materialise_models()
         report = self.backfill_features()
         run = self.fit_model()
-        _, score = self.check_quality(fail_on_critical)
+        _, score = self.check_quality(fail_on_critical=False)
+        self.write_reports()
+        if fail_on_critical:
+            quality.gate(score)
         return {"ledger": led, "feature_report": report, "model": run, "quality": score}
 
 

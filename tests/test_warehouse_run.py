@@ -71,3 +71,15 @@ def test_failed_model_is_recorded_and_the_run_goes_on(spark):
     assert all(r.status == "success" for m, r in led.items() if m not in ("stg_ad_spend", "mart_campaign_efficiency"))
     summary = spark.read.parquet(run.path("run_summary")).first()
     assert summary.models_run == 10 and summary.models_succeeded == 8 and summary.success_rate == 0.8
+
+
+def test_consolidated_summary_and_json_reports(platform, spark):
+    import os
+
+    run = platform["run"]
+    s = run.summary().first()
+    assert s.models_run == 10 and s.pipeline_success_rate == 1.0
+    assert s.raw_events == s.events_processed + s.records_quarantined + s.dedup_removed
+    assert s.feature_store_rows > 0 and s.quality_score >= 90
+    for name in ("run_summary", "feature_store_report", "model_metrics", "feature_weights", "dq_scores", "summary"):
+        assert any(f.endswith(".json") for f in os.listdir(run.path(os.path.join("reports", name))))
