@@ -264,9 +264,7 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
         columns = sorted({f.column for _, f in distinct})
         keyed = None
         for k, col in enumerate(columns):
-            flags = [
-                (flt(f) if f.column == col else F.lit(False)).alias(f"_q{i}") for i, f in distinct
-            ]
+            flags = [(flt(f) if f.column == col else F.lit(False)).alias(f"_q{i}") for i, f in distinct]
             part = ev.select(ent, "_d", F.lit(k).alias("_kind"), F.expr(col).cast("string").alias("_v"), *flags)
             keyed = part if keyed is None else keyed.unionByName(part)
         keyed = keyed.filter(F.col("_v").isNotNull())
@@ -277,7 +275,7 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
         paired_keys = day_keys.withColumn(
             "_c", F.explode(F.filter(days, lambda b: (d > b[f"lo_{widest_d}"]) & (d <= b["as_of_date"])))
         )
-        kind_of = {f.column: k for k, f in ((columns.index(f.column), f) for _, f in distinct)}
+        kind_of = {col: k for k, col in enumerate(columns)}
         dist_aggs = []
         for i, f in distinct:
             where = (
