@@ -147,7 +147,7 @@ def _fused_parts(check: Check, reference_date: str) -> tuple[list[Column], calla
     raise ValueError(f"not a fusable check: {check.type}")  # pragma: no cover
 
 
-def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+def _standalone(check: Check, tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
     p, col = check.params, check.column
     if check.type == "unique":
         t = tables[check.table]
@@ -166,7 +166,9 @@ def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         orphans = a.join(b, "_k", "left_anti").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
         return orphans.select(*_row(check, _pass(F.col("_o") == 0), F.col("_o"), 0.0))
     if check.type == "quarantine_rate":
-        raw = tables[p.get("raw_table", "raw_events")].agg(F.count(F.lit(1))).scalar()
+        # the raw side is a table of the run, or (spec compatibility) a Parquet path / glob
+        raw_df = spark.read.parquet(p["raw_glob"]) if "raw_glob" in p else tables[p.get("raw_table", "raw_events")]
+        raw = raw_df.agg(F.count(F.lit(1))).scalar()
         r = tables[p["rejected_table"]].agg(F.count(F.lit(1)).alias("_r")).withColumn("_w", raw)
         rate = F.when(F.col("_w") > 0, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
         return r.select(*_row(check, _pass(rate <= p["max_rate"]), rate, float(p["max_rate"])))
@@ -193,7 +195,7 @@ def check_results(
                 t.agg(*aggs).schema  # resolve now: a missing column becomes an error row
                 fused.setdefault(ch.table, []).append((ch, aggs, build))
             else:
-                df = _standalone(ch, tables)
+                df = _standalone(ch, tables, spark)
                 df.schema
                 parts.append(df)
         except (KeyError, ValueError, PySparkException) as exc:

@@ -115,3 +115,10 @@ def test_unique_assertion_with_a_hot_key(spark):
     df = spark.createDataFrame(rows, "id string, v int")
     got = q.assert_unique_rows(df, ["id"], hot_fraction=0.1).collect()
     assert len(got) == 402 and {r.id for r in got} == {"hot", "a"}
+
+
+def test_quarantine_rate_reads_a_raw_parquet_glob(spark, tables, tmp_path):
+    path = str(tmp_path / "raw")
+    tables["raw"].write.parquet(path)
+    r = _run(spark, tables, dict(name="qr", type="quarantine_rate", rejected_table="rej", raw_glob=path, max_rate=0.5))
+    assert r["qr"].status == "pass" and r["qr"].observed == pytest.approx(1 / 3)
