@@ -12,6 +12,10 @@
 
 Metrics first collapse rows to one row per distinct score (partial
 aggregation, so a score shared by a third of all rows is one row).
+
+An input of at most ``SMALL_ROWS`` rows (checked with a bounded count before
+anything else) takes one ordered window in a single task instead: a size-checked
+fast path, with the distributed path beyond it.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from cartwheel.session import ensure_checkpoint_dir
 
 METRIC_DIGITS = 10
 MAX_LITERAL_GROUPS = 1000  # grouped prefix sums with at most this many groups use a literal lookup
+SMALL_ROWS = 100_000  # prefix sums over at most this many rows run as one ordered window
 
 
 def prefix_sums(
@@ -37,20 +42,26 @@ def prefix_sums(
     sum_cols: Sequence[str],
     num_partitions: int | None = None,
     partition_by: Sequence[str] = (),
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<c>_before`` = sum of ``c`` over all rows strictly before each row in
     ``order``, and ``<c>_total`` = the sum over all rows.
 
     With ``partition_by`` the sums restart for every group (non-NULL group
     keys): one range-partitioned pass serves all groups, and each group's
-    start is subtracted afterwards.
+    start is subtracted afterwards. Inputs of at most ``small_rows`` rows
+    (checked with a bounded count) take a single ordered window instead.
 
     ``order`` must be a total order on the rows for a row-level meaning; with
     ties the split between tied rows follows the range partitioning.
     Sum columns must be integral and non-negative.
     """
+    if small_rows is None:
+        small_rows = 0 if num_partitions else SMALL_ROWS
     if partition_by:
-        glob = prefix_sums(df, [F.col(g).asc() for g in partition_by] + list(order), sum_cols, num_partitions)
+        glob = prefix_sums(
+            df, [F.col(g).asc() for g in partition_by] + list(order), sum_cols, num_partitions, small_rows=small_rows
+        )
         # one row per group: where the group starts in the global order, and its total
         starts = glob.groupBy(*partition_by).agg(
             *[F.min(f"{c}_before").alias(f"_{c}_start") for c in sum_cols],
@@ -81,6 +92,16 @@ def prefix_sums(
             *[(F.col(f"{c}_before") - F.col(f"_{c}_start")).alias(f"{c}_before") for c in sum_cols],
             *[F.col(f"_{c}_gtot").alias(f"{c}_total") for c in sum_cols],
         )
+    # small inputs (size checked, bounded by SMALL_ROWS): one ordered window in a
+    # single task is cheaper than sampling, range-partitioning and checkpointing
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        w_before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        w_all = Window.partitionBy()
+        return df.select(
+            *df.columns,
+            *[F.coalesce(F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).over(w_before), F.lit(0)).alias(f"{c}_before") for c in sum_cols],
+            *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).over(w_all).alias(f"{c}_total") for c in sum_cols],
+        )
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     # without an explicit count AQE sizes the range partitions from the data
