@@ -83,3 +83,20 @@ def test_consolidated_summary_and_json_reports(platform, spark):
     assert s.feature_store_rows > 0 and s.quality_score >= 90
     for name in ("run_summary", "feature_store_report", "model_metrics", "feature_weights", "dq_scores", "summary"):
         assert any(f.endswith(".json") for f in os.listdir(run.path(os.path.join("reports", name))))
+
+
+def test_submit_entry_runs_end_to_end(platform):
+    from cartwheel.plans import warehouse
+
+    src = platform["run"]
+    wh = tempfile.mkdtemp(prefix="cartwheel-wh4-", dir="/tmp")
+    code = warehouse.main(
+        [
+            "--warehouse", wh,
+            "--events", src.path("raw/raw_events"),
+            "--spend", src.path("raw/raw_ad_spend"),
+            "--crm", src.path("raw/raw_crm_customers"),
+            "--fail-on-critical",
+        ]
+    )
+    assert code == 0
