@@ -123,13 +123,9 @@ def _fused_parts(check: Check, reference_date: str) -> tuple[list[Column], calla
         status = F.when(F.col(key).isNull(), F.lit("error")).otherwise(_pass(days <= p["max_days"]))
         return aggs, lambda: _row(check, status, days, float(p["max_days"]))
     if check.type == "not_null":
-        aggs = [
-            F.coalesce(
-                F.sum(F.when(F.col(col).isNull(), 1).otherwise(0)).cast("double")
-                / F.nullif(F.count(F.lit(1)), F.lit(0)),
-                F.lit(0.0),
-            ).alias(key)
-        ]
+        rows, nulls = F.count(F.lit(1)), F.count(F.lit(1)) - F.count(F.col(col))
+        # share of NULLs; an empty table has none
+        aggs = [F.when(rows > 0, nulls.cast("double") / rows).otherwise(F.lit(0.0)).alias(key)]
         return aggs, lambda: _row(
             check, _pass(F.col(key) <= p["max_null_rate"]), F.col(key), float(p["max_null_rate"])
         )
