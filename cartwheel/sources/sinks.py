@@ -37,21 +37,24 @@ def write_partitioned(
     path: str,
     partition_col: str = "event_date",
     cluster_cols: tuple[str, ...] = ("event_name",),
-    split_col: str | None = "event_id",
     num_partitions: int | None = None,
     mode: str = "overwrite",
 ) -> None:
     """Partition by day and cluster files by ``cluster_cols``.
 
-    Range partitioning on (day, cluster columns, split column) spreads a hot
-    day over several writer tasks instead of one; sorting inside tasks keeps
-    each file clustered so Parquet min/max statistics skip row groups.
+    By default the rows are redistributed with a REBALANCE hint on the day:
+    each writer task holds few days (no writer touches every day folder), and
+    AQE splits a day that holds a large share of the rows into several
+    advisory-sized tasks and merges small ones. With ``num_partitions`` a range
+    partitioning on (day, cluster columns) is used instead. Sorting inside
+    tasks keeps each file clustered, so Parquet min/max statistics skip row groups.
     """
-    keys = [partition_col, *cluster_cols] + ([split_col] if split_col else [])
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if num_partitions:
+        spread = df.repartitionByRange(num_partitions, partition_col, *cluster_cols)
+    else:
+        spread = df.hint("rebalance", partition_col)
     (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(partition_col, *cluster_cols)
+        spread.sortWithinPartitions(partition_col, *cluster_cols)
         .write.mode(mode)
         .option("maxRecordsPerFile", 5_000_000)
         .partitionBy(partition_col)
