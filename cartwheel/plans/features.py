@@ -1,13 +1,19 @@
-"""Point-in-time feature store: spec -> Column expressions -> one aggregation.
+"""Point-in-time feature store: spec -> Column expressions -> Spark aggregations.
 
-All cutoffs are handled in the same pass. Each event is paired only with the
-cutoffs whose feature or label window contains it (``explode`` over a literal
-array of cutoff bounds, no join), then one ``groupBy(entity, as_of_date)``
-computes every feature and the forward label as conditional aggregates.
+All cutoffs are handled in the same job; no cutoff is a separate scan.
+
+* ``strategy="daily"`` (default): events are rolled up per (entity, window
+  day) first -- daily partial counts and sums, daily max time, a daily label
+  flag and daily distinct keys -- and only those daily rows are paired with
+  the cutoffs whose windows hold them (``explode`` over a literal array of
+  cutoff bounds, no join) and aggregated per (entity, cutoff). Shuffle volume
+  does not grow with events x cutoffs.
+* ``strategy="events"``: raw events are paired with cutoffs directly and one
+  ``groupBy(entity, as_of_date)`` computes every feature and the label.
 
 The entity spine (everyone seen on or before a cutoff, no lower bound) comes
-from one ``min(ts)`` per entity, so events older than the widest window are
-read only for that cheap aggregate instead of being replicated per cutoff.
+from one minimum per entity, so events older than the widest window are read
+only for that cheap aggregate instead of being replicated per cutoff.
 """
 
 from __future__ import annotations
