@@ -63,13 +63,3 @@ def test_entry_smoke(spark):
     assert len(rows) >= 1
     assert rows[-1]["traffic_source"] == "ALL"
 
-
-RANK_QUERIES = ["baseline_auc", "baseline_average_precision", "baseline_lift", "propensity_decile"]
-
-
-@pytest.mark.parametrize("name", RANK_QUERIES)
-def test_rank_queries_match_oracle_on_the_distributed_path(spark, con, name, monkeypatch):
-    from cartwheel.operators import ranking
-
-    monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
-    test_query_matches_oracle(spark, con, name)

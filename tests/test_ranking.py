@@ -11,14 +11,6 @@ from pyspark.sql import functions as F
 from cartwheel.operators import ranking
 
 
-@pytest.fixture(params=["single-window", "distributed"], autouse=True)
-def path(request, monkeypatch):
-    """Run every test through both prefix-sum paths."""
-    if request.param == "distributed":
-        monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
-    return request.param
-
-
 def test_percent_rank_and_decile_with_ties(spark):
     df = spark.createDataFrame([(1, 0.1), (2, 0.1), (3, 0.5), (4, 0.9)], "id int, score double")
     out = ranking.percent_rank_average(df, "score", "p").withColumn("d", ranking.decile_from_pct("p"))
