@@ -96,6 +96,14 @@ class Models:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def register_views(self, names: list[str] | None = None) -> list[str]:
+        """Expose the models as temporary views, so they can be queried with ``spark.sql``
+        like warehouse tables (lazy: a view is planned into each query that uses it)."""
+        names = names or [m for _, m in self.LAYERED] + ["campaign_efficiency_events"]
+        for n in names:
+            self.table(n).createOrReplaceTempView(n)
+        return names
+
 
 class ModelTables:
     """Read-only mapping ``name -> DataFrame`` over a :class:`Models` plus extra tables."""

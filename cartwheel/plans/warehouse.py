@@ -133,6 +133,12 @@ class WarehouseRun:
         sinks.write_table(ledger.run_summary(self.ledger()), self.path("run_summary"))
         return led
 
+    def register_views(self) -> list[str]:
+        """Temporary views over every written table of this run (for ``spark.sql``)."""
+        for name, df in self.tables.items():
+            df.createOrReplaceTempView(name)
+        return sorted(self.tables)
+
     def ledger(self) -> DataFrame:
         return self._read("_run_ledger")
 

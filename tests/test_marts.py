@@ -72,3 +72,14 @@ def test_funnel_total_is_sum_of_sources(spark):
     total = [r for r in f if r.traffic_source == "ALL"][0]
     assert total.sessions == sum(r.sessions for r in f if r.traffic_source != "ALL")
     assert f[-1].traffic_source == "ALL"
+
+
+def test_models_are_queryable_with_sql(spark):
+    from cartwheel.plans.models import Models
+
+    Models(spark, "/root/testdata/sf0.001").register_views()
+    out = spark.sql(
+        "SELECT traffic_source, sessions FROM mart_funnel WHERE traffic_source = 'ALL'"
+    ).collect()
+    total = spark.sql("SELECT count(*) AS n FROM int_sessions").first().n
+    assert out[0].sessions == total
