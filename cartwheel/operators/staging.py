@@ -69,9 +69,18 @@ def reject_reason(strict: bool = False) -> Column:
     return r
 
 
-def dedup_first(df: DataFrame, key: str = "event_id", order: str = "event_timestamp") -> DataFrame:
-    """Keep the earliest row per ``key``; NULL times last, the rest of the row breaks ties."""
-    tiebreak = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, order)]
+def dedup_first(
+    df: DataFrame, key: str = "event_id", order: str = "event_timestamp", full_row_ties: bool = False
+) -> DataFrame:
+    """Keep the earliest row per ``key`` (NULL times last).
+
+    Copies with the same key and time are resolved arbitrarily, as in the SQL
+    model; exact copies are identical anyway. Ordering by the time alone keeps
+    every other column out of the window, so Catalyst prunes columns a
+    consumer does not need below the shuffle. ``full_row_ties`` breaks such
+    ties by the rest of the row instead (deterministic, but reads every column).
+    """
+    tiebreak = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, order)] if full_row_ties else []
     w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last(), *tiebreak)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -100,10 +109,10 @@ def typed_events(df: DataFrame) -> DataFrame:
     )
 
 
-def stg_events(raw: DataFrame, strict: bool = False) -> DataFrame:
+def stg_events(raw: DataFrame, strict: bool = False, full_row_ties: bool = False) -> DataFrame:
     """Clean, de-duplicated event stream (M1)."""
     valid = raw.select(*CLEAN_COLUMNS).filter(is_valid(strict))
-    return typed_events(dedup_first(valid))
+    return typed_events(dedup_first(valid, full_row_ties=full_row_ties))
 
 
 def stg_events_rejected(raw: DataFrame, strict: bool = False) -> DataFrame:

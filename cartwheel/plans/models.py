@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import marts, sessions, staging
-from cartwheel.sources import fixtures
+from cartwheel.sources import fixtures, sinks
 
 
 class Models:
@@ -26,7 +26,11 @@ class Models:
     # ---- raw zone
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return self._raw if self._raw is not None else fixtures.raw_zone(self.spark, self.sf_dir)
+        """The raw zone: given, or landed once from the driver tables as Parquet
+        under the shared scratch folder and read back with explicit schemas."""
+        if self._raw is not None:
+            return self._raw
+        return fixtures.land_raw_zone(self.spark, self.sf_dir, sinks.scratch_root(self.spark, "raw-zone"))
 
     @property
     def raw_events(self) -> DataFrame:

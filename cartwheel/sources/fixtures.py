@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel import schema
+
 # ---- fixed values of the fixture mapping -------------------------------------------
 # driver event_type -> shop event_name
 EVENT_NAME_BY_TYPE = {
@@ -157,8 +159,28 @@ def raw_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw zone as lazy DataFrames over the driver tables."""
     return {
         "raw_events": raw_events(spark, sf_dir),
         "raw_ad_spend": raw_ad_spend(spark, sf_dir),
         "raw_crm_customers": raw_crm_customers(spark, sf_dir),
     }
+
+
+RAW_SCHEMAS = {
+    "raw_events": schema.RAW_EVENTS,
+    "raw_ad_spend": schema.RAW_AD_SPEND,
+    "raw_crm_customers": schema.RAW_CRM,
+}
+
+
+def land_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    """Write the raw zone once as Parquet under ``root`` (shared storage) and return
+    scans of it with the explicit raw schemas: the models then read raw Parquet,
+    as they do in production, instead of re-deriving it from the driver tables."""
+    out = {}
+    for name, df in raw_zone(spark, sf_dir).items():
+        path = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+    return out

@@ -44,11 +44,19 @@ def test_sessions_aggregate_partially_before_the_shuffle(spark):
     assert "partial_count" in plan and "partial_max" in plan
 
 
-def test_scans_read_only_needed_columns(spark):
-    plan = _plan(E.queries()["stg_crm_customers"](spark, SF_SMALL))
+def test_driver_scans_read_only_needed_columns(spark):
+    from cartwheel.sources import fixtures
+
+    plan = _plan(fixtures.raw_crm_customers(spark, SF_SMALL))
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in plan
 
 
+def test_marts_prune_raw_columns_through_the_dedup(spark):
+    plan = _plan(E.queries()["mart_funnel"](spark, SF_SMALL))
+    reads = [line for line in plan.splitlines() if "ReadSchema" in line and "event_id" in line]
+    assert reads and all("item_name" not in line and "country" not in line for line in reads)
+
+
 def test_hot_keys_stay_exact(make_raw):
     base = datetime(2024, 1, 5, 8)
     hot_copies = [raw_row(event_id="hot", event_timestamp=base + timedelta(minutes=i), item_id=f"h{i}") for i in range(60)]

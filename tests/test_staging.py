@@ -58,3 +58,10 @@ def test_null_user_reason_wins_over_revenue(make_raw):
 def test_quantity_rounds_not_truncates(make_raw):
     raw = make_raw([raw_row(event_id="q", quantity=1.7)])
     assert staging.stg_events(raw).first().quantity == 2
+
+
+def test_full_row_ties_option(make_raw):
+    t = datetime(2024, 1, 5, 9)
+    raw = make_raw([raw_row(event_id="t", event_timestamp=t, item_id=i) for i in ("b", "a", "c")])
+    assert [r.item_id for r in staging.stg_events(raw, full_row_ties=True).collect()] == ["a"]
+    assert len(staging.stg_events(raw).collect()) == 1
