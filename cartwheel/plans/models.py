@@ -1,9 +1,9 @@
 """The model DAG as plain functions of the raw zone.
 
 ``Models`` wires staging -> sessions -> marts with explicit dependencies and
-memoises each DataFrame, so a model used by several marts is one logical
-subtree (Spark reuses its exchanges); ``persist`` can be requested for the
-session table which four marts share.
+memoises each DataFrame, so a model used by several marts is one analysed
+subtree (within one query Spark reuses its identical exchanges). For the
+materialised, lineage-cutting version of the same DAG see ``warehouse.py``.
 """
 
 from __future__ import annotations
