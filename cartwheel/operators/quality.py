@@ -83,7 +83,9 @@ def load_checks(path: str | None = None) -> tuple[str, list[Check]]:
 
 
 # ------------------------------------------------------------------ result rows
-def _row(check: Check, status: Column, observed: Column, threshold: Column | float | None) -> list[Column]:
+def _row(
+    check: Check, status: Column, observed: Column, threshold: Column | float | None, error: Column | None = None
+) -> list[Column]:
     thr = threshold if isinstance(threshold, Column) else F.lit(threshold)
     return [
         F.lit(check.name).alias("check_name"),
@@ -94,7 +96,7 @@ def _row(check: Check, status: Column, observed: Column, threshold: Column | flo
         status.alias("status"),
         observed.cast("double").alias("observed"),
         thr.cast("double").alias("threshold"),
-        F.lit(None).cast("string").alias("error"),
+        (error if error is not None else F.lit(None)).cast("string").alias("error"),
     ]
 
 
@@ -121,7 +123,8 @@ def _fused_parts(check: Check, reference_date: str) -> tuple[list[Column], calla
         days = F.datediff(F.lit(reference_date).cast("date"), F.to_date(F.col(key)))
         # an empty table has no newest value: that is an error, not a pass
         status = F.when(F.col(key).isNull(), F.lit("error")).otherwise(_pass(days <= p["max_days"]))
-        return aggs, lambda: _row(check, status, days, float(p["max_days"]))
+        empty = F.when(F.col(key).isNull(), F.lit("no rows to measure freshness on"))
+        return aggs, lambda: _row(check, status, days, float(p["max_days"]), empty)
     if check.type == "not_null":
         rows, nulls = F.count(F.lit(1)), F.count(F.lit(1)) - F.count(F.col(col))
         # share of NULLs; an empty table has none

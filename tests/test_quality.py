@@ -67,7 +67,7 @@ def test_null_and_empty_edges(spark, tables):
     assert r["nn_empty"].status == "pass" and r["nn_empty"].observed == 0.0
     assert r["min_empty"].status == "pass"  # NULL minimum passes
     assert r["rng_empty"].status == "fail"  # NULL aggregate fails
-    assert r["fresh_empty"].status == "error"
+    assert r["fresh_empty"].status == "error" and r["fresh_empty"].error
     assert r["qr_empty"].status == "pass" and r["qr_empty"].observed == 0.0
 
 
