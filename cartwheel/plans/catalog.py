@@ -148,6 +148,12 @@ def feature_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_store_report(_store(spark, sf_dir, spec), spec.label.name)
 
 
+@register("label_base_rate")
+def label_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = features.load_spec()
+    return features.label_base_rate(_store(spark, sf_dir, spec), spec.label.name)
+
+
 @register("leakage_violations")
 def leakage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.leakage_violations(_store(spark, sf_dir))

@@ -306,6 +306,13 @@ def feature_store_report(store: DataFrame, label: str) -> DataFrame:
     )
 
 
+def label_base_rate(store: DataFrame, label: str) -> DataFrame:
+    """Share of positive labels per cutoff (R6); NULL for a cutoff without rows."""
+    return store.groupBy("as_of_date").agg(
+        F.try_divide(F.sum(F.col(label).cast("double")), F.count(F.lit(1)).cast("double")).alias("label_base_rate")
+    )
+
+
 def leakage_violations(store: DataFrame, recency_column: str = "days_since_last_event") -> DataFrame:
     """One row: rows whose recency is negative (a feature read past its cutoff)."""
     return store.agg(F.count(F.when(F.col(recency_column) < 0, F.lit(1))).alias("violations"))
