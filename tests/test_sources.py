@@ -6,7 +6,6 @@ import os
 import tempfile
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
 
 from cartwheel.operators import staging
 from cartwheel.sources import ga4, sinks
