@@ -89,3 +89,14 @@ def test_grouped_metrics_equal_per_group_runs(spark):
         assert ap[g].average_precision == ranking.average_precision(one, "s", "y").first().average_precision
         solo = ranking.top_fraction_lift(one, "s", "y", "k").first()
         assert (lift[g].k, lift[g].top_positives, lift[g].lift) == (solo.k, solo.top_positives, solo.lift)
+
+
+def test_prefix_sums_are_stable_when_recomputed(spark):
+    """The running sums are recomputed from the checkpointed range partitions on every
+    action (as after a lost executor): the result must not change."""
+    df = spark.range(0, 5000).select((F.col("id") % 97).alias("s"), F.col("id").alias("k"), F.lit(1).cast("bigint").alias("one"))
+    out = ranking.prefix_sums(df, [F.col("s").desc(), F.col("k").asc()], ["one"])
+    first = sorted((r.k, r.one_before) for r in out.collect())
+    second = sorted((r.k, r.one_before) for r in out.collect())
+    assert first == second
+    assert sorted(b for _, b in first) == list(range(5000))
