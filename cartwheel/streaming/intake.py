@@ -11,7 +11,10 @@ of its own; it re-uses the staging predicates):
   agree whenever copies arrive within the watermark delay in time order.
 
 Both sinks are append-only Parquet with their own checkpoint folders, so a
-restarted query resumes exactly where it stopped.
+restarted query resumes exactly where it stopped. As in any watermarked
+stream, a valid row whose event time is older than the watermark (latest event
+time seen minus the delay) is late and is not admitted to the clean branch;
+choose the delay to cover how far out of order events arrive.
 """
 
 from __future__ import annotations
