@@ -2,7 +2,7 @@
 
 All cutoffs are handled in the same job; no cutoff is a separate scan.
 
-* ``strategy="daily"`` (default): events are rolled up per (entity, window
+* ``strategy="daily"``: events are rolled up per (entity, window
   day) first -- daily partial counts and sums, daily max time, a daily label
   flag and daily distinct keys -- and only those daily rows are paired with
   the cutoffs whose windows hold them (``explode`` over a literal array of
@@ -10,6 +10,8 @@ All cutoffs are handled in the same job; no cutoff is a separate scan.
   does not grow with events x cutoffs.
 * ``strategy="events"``: raw events are paired with cutoffs directly and one
   ``groupBy(entity, as_of_date)`` computes every feature and the label.
+* ``strategy="auto"`` (default) picks from the spec: events while each event
+  meets few cutoffs, daily when back-fills are dense.
 
 The entity spine (everyone seen on or before a cutoff, no lower bound) comes
 from one minimum per entity, so events older than the widest window are read
@@ -146,13 +148,32 @@ def _out_type(f: Feature) -> str:
     return "double" if f.aggregation in ("sum", "avg") else "bigint"
 
 
-def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None, strategy: str = "daily") -> DataFrame:
+MAX_EVENT_REPLICATION = 4  # "auto" pairs raw events with cutoffs up to this many copies per event
+
+
+def cutoff_replication(spec: FeatureSpec) -> int:
+    """Most cutoffs any single event is paired with: the largest number of cutoffs
+    whose (cutoff - widest window, cutoff + horizon] spans overlap one instant."""
+    widest = max([int(f.window_days) for f in spec.features] or [0])
+    days = sorted(date.fromisoformat(c) for c in spec.cutoffs)
+    spans = [(d - timedelta(days=widest), d + timedelta(days=int(spec.label.horizon_days))) for d in days]
+    # the largest overlap of half-open spans (lo, hi] is reached at some right end
+    return max(sum(1 for lo, hi in spans if lo < point <= hi) for _, point in spans)
+
+
+def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None, strategy: str = "auto") -> DataFrame:
     """``(entity_id, as_of_date, <features...>, <label>)`` for every cutoff of the spec.
 
-    ``strategy="daily"`` (default) rolls events up to (entity, window day) first;
-    ``"events"`` pairs raw events with cutoffs in a single aggregation.
+    ``strategy="events"`` pairs raw events with the cutoffs in one aggregation
+    (fewest stages); ``"daily"`` rolls events up to (entity, window day) first,
+    so the pairing replicates daily rows instead of events. ``"auto"`` (default)
+    decides from the spec alone: events while an event meets at most
+    ``MAX_EVENT_REPLICATION`` cutoffs (the shipped three cutoffs), daily for
+    dense back-fills such as weekly cutoffs over a year.
     """
     spec = (spec or load_spec()).validate()
+    if strategy == "auto":
+        strategy = "events" if cutoff_replication(spec) <= MAX_EVENT_REPLICATION else "daily"
     if strategy == "daily":
         return _store_from_daily_rollup(events, spec)
     if strategy != "events":

@@ -99,3 +99,15 @@ def test_strategies_agree_on_driver_data(spark):
     a = feat.build_feature_store(ev, strategy="daily")
     b = feat.build_feature_store(ev, strategy="events")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_strategy_follows_cutoff_density():
+    shipped = feat.load_spec()
+    assert feat.cutoff_replication(shipped) == 3
+    weekly = feat.FeatureSpec(
+        entity="user_pseudo_id",
+        cutoffs=tuple(str(date(2024, 1, 7) + timedelta(days=7 * i)) for i in range(52)),
+        label=feat.Label("y", "purchase", 1),
+        features=(feat.Feature("events_90d", "count", 90),),
+    )
+    assert feat.cutoff_replication(weekly) == 13  # cutoffs in any 91-day stretch
