@@ -234,6 +234,7 @@ class WarehouseRun:
 def main(argv: list[str] | None = None) -> int:
     """``spark-submit cartwheel/plans/warehouse.py --warehouse W --events E --spend S --crm C``"""
     import argparse
+    import sys
 
     ap = argparse.ArgumentParser(description="end-to-end shop-event run")
     ap.add_argument("--warehouse", required=True)
@@ -247,7 +248,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         run.run_all(fail_on_critical=a.fail_on_critical)
     except quality.QualityGateError as exc:
-        print(exc)
+        print(exc, file=sys.stderr)
         return 1
     return 0
 
