@@ -142,6 +142,12 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir)
 
 
+@register("feature_store_daily_rollup")
+def feature_store_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store through the daily roll-up plan (the default for dense back-fills)."""
+    return features.build_feature_store(models_for(spark, sf_dir).stg_events, features.load_spec(), strategy="daily")
+
+
 @register("feature_store_report")
 def feature_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = features.load_spec()
@@ -325,6 +331,7 @@ def oracles() -> dict[str, str]:
     out.update(oracle.staging_and_marts())
     out.update(oracle.build_options())
     out.update(oracle.features(spec))
+    out["feature_store_daily_rollup"] = out["feature_store"]
     out.update(oracle.baseline_metrics(spec))
     out["feature_avg"] = oracle.with_base(
         "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
