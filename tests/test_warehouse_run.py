@@ -100,3 +100,10 @@ def test_submit_entry_runs_end_to_end(platform):
         ]
     )
     assert code == 0
+
+
+def test_written_tables_are_queryable_with_sql(platform, spark):
+    names = platform["run"].register_views()
+    assert {"stg_events", "int_sessions", "feature_store", "mart_propensity_scores"} <= set(names)
+    n = spark.sql("SELECT count(DISTINCT ga_session_id) AS n FROM stg_events").first().n
+    assert n == spark.sql("SELECT count(*) AS n FROM int_sessions").first().n
