@@ -9,6 +9,8 @@ so the adapter is a single map-side stage over ``events`` / ``orders`` /
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,9 +180,13 @@ def land_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, Data
     """Write the raw zone once as Parquet under ``root`` (shared storage) and return
     scans of it with the explicit raw schemas: the models then read raw Parquet,
     as they do in production, instead of re-deriving it from the driver tables."""
-    out = {}
-    for name, df in raw_zone(spark, sf_dir).items():
+    zone = raw_zone(spark, sf_dir)
+
+    def land(name: str) -> tuple[str, DataFrame]:
         path = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
-    return out
+        zone[name].write.mode("overwrite").parquet(path)
+        return name, spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+
+    # three independent jobs, submitted together
+    with ThreadPoolExecutor(max_workers=len(zone)) as pool:
+        return dict(pool.map(land, list(zone)))
