@@ -70,3 +70,40 @@ def test_funnel_total_equals_union_of_sources(make_raw, rows):
         for col in ("sessions", "view_item", "add_to_cart", "begin_checkout", "purchase"):
             assert total[0][col] == sum(r[col] for r in parts)
         assert abs(total[0].revenue - sum(r.revenue for r in parts)) < 1e-9
+
+
+edge_row = st.fixed_dictionaries(
+    {
+        "event_id": st.integers(0, 10_000).map(lambda i: f"e{i}"),
+        "day": st.integers(0, 40),
+        # plain seconds of the day, or the last second of the day with a fraction
+        "second": st.one_of(st.integers(0, 86_398), st.just(86_399)),
+        "micros": st.sampled_from([0, 1, 500_000, 999_999]),
+        "event_name": st.sampled_from(NAMES[1:]),
+        "user_pseudo_id": st.sampled_from(["u1", "u2", "u3"]),
+        "item": st.sampled_from([None, "p1", "p2"]),
+        "purchase_revenue": st.sampled_from([None, 3.5, 10.0]),
+    }
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(edge_row, min_size=1, max_size=40))
+def test_feature_store_plans_agree_at_window_edges(make_raw, rows):
+    from cartwheel.plans import features as feat
+
+    base = datetime(2024, 1, 1)
+    out = []
+    for r in rows:
+        ts = base + timedelta(days=r["day"], seconds=r["second"], microseconds=r["micros"])
+        out.append(
+            raw_row(
+                event_id=r["event_id"], event_timestamp=ts, event_date=ts.date(), event_name=r["event_name"],
+                user_pseudo_id=r["user_pseudo_id"], item_id=r["item"], ga_session_id=f"{r['user_pseudo_id']}.{ts.date()}",
+                purchase_revenue=r["purchase_revenue"] if r["event_name"] == "purchase" else None,
+            )
+        )
+    ev = staging.stg_events(make_raw(out))
+    a = feat.build_feature_store(ev, strategy="events")
+    b = feat.build_feature_store(ev, strategy="daily")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
