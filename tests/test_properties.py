@@ -107,3 +107,28 @@ def test_feature_store_plans_agree_at_window_edges(make_raw, rows):
     a = feat.build_feature_store(ev, strategy="events")
     b = feat.build_feature_store(ev, strategy="daily")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row, min_size=1, max_size=30, unique_by=lambda r: (r["event_id"], r["minute"])))
+def test_staging_matches_the_sql_oracle_on_random_raw_frames(spark, make_raw, rows):
+    """Random raw frames (NULL names and users, bad revenue, copies at different
+    times) through Spark staging and through the oracle's staging SQL in DuckDB."""
+    import duckdb
+
+    from cartwheel import oracle
+
+    raw = _raw(make_raw, rows)
+    pdf = raw.toPandas()
+    con = duckdb.connect()
+    con.register("raw_events", pdf)
+    sql = "WITH " + oracle.STAGING.strip().rstrip(",") + "\nSELECT event_id, event_timestamp, event_name, user_pseudo_id, purchase_revenue FROM stg_events"
+    want = sorted(tuple(r) for r in con.execute(sql).fetchall())
+    got = sorted(
+        tuple(r) for r in staging.stg_events(raw).select("event_id", "event_timestamp", "event_name", "user_pseudo_id", "purchase_revenue").collect()
+    )
+    assert got == want
+    rej_sql = "WITH " + oracle.STAGING.strip().rstrip(",") + "\nSELECT event_id, reject_reason FROM stg_events_rejected"
+    assert sorted(con.execute(rej_sql).fetchall()) == sorted(
+        tuple(r) for r in staging.stg_events_rejected(raw).select("event_id", "reject_reason").collect()
+    )
