@@ -176,10 +176,29 @@ class WarehouseRun:
     def check_quality(self, fail_on_critical: bool = False):
         ref, checks = quality.load_checks(self.checks_path)
         run_ts = datetime.now(timezone.utc).replace(tzinfo=None)
-        res = quality.check_results(self.spark, checks, self.tables, ref).withColumn(
-            "run_ts", F.lit(run_ts).cast("timestamp")
-        ).withColumn("run_date", F.to_date("run_ts"))
-        sinks.append_table(res, self.path("dq_audit_results"), "run_date")
+
+        def stamped(df: DataFrame) -> DataFrame:
+            return df.withColumn("run_ts", F.lit(run_ts).cast("timestamp")).withColumn("run_date", F.to_date("run_ts"))
+
+        try:
+            # all checks in one job (plain checks fused per table)
+            sinks.append_table(stamped(quality.check_results(self.spark, checks, self.tables, ref)),
+                               self.path("dq_audit_results"), "run_date")
+        except Exception:  # noqa: BLE001 - a check failed while running: isolate it
+            # the failed append committed nothing; evaluate check by check (one
+            # result row each) so the failing ones are recorded as errors
+            parts = []
+            for c in checks:
+                try:
+                    rows = quality.check_results(self.spark, [c], self.tables, ref).collect()
+                    parts.append(self.spark.createDataFrame(rows, quality.RESULT_SCHEMA))
+                except Exception as exc:  # noqa: BLE001
+                    msg = (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+                    parts.append(quality.error_row(self.spark, c, msg))
+            res = parts[0]
+            for p in parts[1:]:
+                res = res.unionByName(p)
+            sinks.append_table(stamped(res), self.path("dq_audit_results"), "run_date")
         audit = self._read("dq_audit_results")
         this_run = audit.filter(F.col("run_ts") == F.lit(run_ts).cast("timestamp"))
         summary = quality.quality_score(this_run).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))

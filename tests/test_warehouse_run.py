@@ -107,3 +107,31 @@ def test_written_tables_are_queryable_with_sql(platform, spark):
     assert {"stg_events", "int_sessions", "feature_store", "mart_propensity_scores"} <= set(names)
     n = spark.sql("SELECT count(DISTINCT ga_session_id) AS n FROM stg_events").first().n
     assert n == spark.sql("SELECT count(*) AS n FROM int_sessions").first().n
+
+
+def test_a_check_failing_at_run_time_is_recorded_as_error(platform, tmp_path):
+    import yaml
+
+    from cartwheel.operators import quality
+
+    ref, checks = quality.load_checks()
+    spec = {
+        "reference_date": ref,
+        "checks": [
+            {"name": "volume", "type": "row_count_min", "table": "stg_events", "min": 1, "severity": "high"},
+            # analyses fine, fails while running (ANSI cast of a name to a number)
+            {"name": "bad_cast", "type": "range_agg", "table": "stg_events",
+             "expr": "max(CAST(event_name AS INT))", "min": 0, "max": 1, "severity": "low"},
+        ],
+    }
+    path = tmp_path / "checks.yaml"
+    path.write_text(yaml.safe_dump(spec))
+    run = platform["run"]
+    run.checks_path = str(path)
+    try:
+        rows, score = run.check_quality()
+    finally:
+        run.checks_path = None
+    got = {r.check_name: r.status for r in rows.collect()}
+    assert got == {"volume": "pass", "bad_cast": "error"}
+    assert score.checks_total == 2 and score.critical_failures == 0
