@@ -53,6 +53,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(scols) == sorted(ocols)
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    stypes = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    otypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert stypes == otypes
     assert len(srows) == len(orows)
     assert _canon(srows, scols) == _canon(orows, ocols)
 
