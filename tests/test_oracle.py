@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from cartwheel.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,17 +37,17 @@ def con():
     return c
 
 
-ORACLES = E.oracle_sql()
+ORACLES = dict(catalog.oracles())
 
 
 def test_every_query_has_an_oracle_or_is_model_output():
     rows_only = {"propensity_scores", "feature_weights", "model_metrics", "remarketing_audience", "roc_auc_improvement"}
-    assert set(E.queries()) - set(ORACLES) == rows_only
+    assert set(catalog.QUERIES) - set(ORACLES) == rows_only
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
