@@ -7,6 +7,7 @@ repeated ids never merge two rows and a recomputed task cannot renumber them.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,16 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
+class Shared:
+    """A broadcast of any object of this package; ``get()`` unpacks it, once per task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return pickle.loads(self.packed.value)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """A-Z lower-cased, split at space, tab, LF, VT, FF, CR: exactly WORD_PATTERN."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -188,20 +200,26 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\n"), F.coalesce(F.col(text_col), F.lit(""))), 256)
 
 
-def drop_listed(docs: DataFrame, losers: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose ``row_key`` is in ``losers`` (column ``_key``, n rows).
+def drop_listed(docs: DataFrame, listed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows listed by their ``row_key`` (column ``_key``, no key twice).
 
-    Rows that a Bloom filter of the losers rules out pass straight through; only the
-    remaining few are shuffled for the exact anti join.
+    Where ``_stays`` is true, the key belongs to repeated rows of which one stays. Rows
+    that a Bloom filter of the keys rules out pass straight through; only the remaining
+    few are shuffled for the exact anti join.
     """
+    listed = shared_table(listed, "listed")
+    n = listed.count()
     if not n:
         return docs
-    bloom = Bloom(losers.select(F.xxhash64("_key")), n)
+    bloom = Bloom(listed.select(F.xxhash64("_key")), n)
     names = docs.columns
     keyed = docs.withColumn("_key", row_key(id_col, text_col)).withColumn("_maybe", bloom.maybe(F.xxhash64("_key")))
-    sure = keyed.filter(~F.col("_maybe"))
-    rest = keyed.filter("_maybe").join(losers.select("_key").distinct(), "_key", "left_anti")
-    return sure.select(*names).unionByName(rest.select(*names))
+    rest = keyed.filter("_maybe")
+    out = keyed.filter(~F.col("_maybe")).select(*names).unionByName(rest.join(listed, "_key", "left_anti").select(*names))
+    again = listed.filter("_stays")
+    if again.isEmpty():
+        return out
+    return out.unionByName(rest.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select(*names))
 
 
 def lower_ascii(c: Column) -> Column:

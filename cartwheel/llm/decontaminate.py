@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import drop_listed, map_batches, row_key
+from cartwheel.llm.common import Shared, drop_listed, map_batches, row_key
 
 ITEM_WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # fixed pattern, after A-Z are lower-cased
 WINDOW = 10
@@ -158,10 +158,10 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def searched(block: ItemBlock | None) -> DataFrame:
-        shared = spark.sparkContext.broadcast(block)
+        shared = Shared(spark, block)
 
         def run(batches):
-            own = shared.value or ItemBlock([])
+            own = shared.get() or ItemBlock([])
             shard: list[tuple] = []
             held = 0
 
@@ -216,8 +216,6 @@ def covered(found: list[tuple[int, int, int, int]]) -> list[dict]:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; all columns kept."""
-    from cartwheel.llm.common import shared_table
-
     found = find_matches(docs, benchmark, id_col, text_col, key="row_key", **kw)
-    bad = shared_table(found.filter("n_hit > 0").select(F.col("rid").alias("_key")), "decontaminate-dropped")
-    return drop_listed(docs, bad, bad.count(), id_col, text_col)
+    bad = found.filter("n_hit > 0").select(F.col("rid").alias("_key"), F.lit(False).alias("_stays")).distinct()
+    return drop_listed(docs, bad, id_col, text_col)

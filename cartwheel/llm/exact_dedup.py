@@ -61,15 +61,6 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each distinct text (the largest id), all columns kept."""
-    key = row_key("_id", "_t")
-    found = refine(docs, id_col, text_col, extra={"_key": key})
-    repeated = found.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any_kept")).filter("n > 1 or not any_kept")
-    repeated = shared_table(repeated, "dedup-dropped")
-    n = repeated.count()
-    out = drop_listed(docs, repeated, n, id_col, text_col)
-    # repeated rows (same id, same text) of which one stays
-    again = repeated.filter("any_kept")
-    if again.isEmpty():
-        return out
-    one = docs.withColumn("_key", row_key(id_col, text_col)).join(again.select("_key"), "_key", "left_semi")
-    return out.unionByName(one.dropDuplicates(["_key"]).select(*docs.columns))
+    found = refine(docs, id_col, text_col, extra={"_key": row_key("_id", "_t")})
+    listed = found.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("_stays")).filter("n > 1 or not _stays")
+    return drop_listed(docs, listed.select("_key", "_stays"), id_col, text_col)

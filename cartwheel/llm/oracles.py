@@ -32,4 +32,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5}
+OP6 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + least(3, len(w)) - 1), ' ') AS g
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+links AS (SELECT o.a, o.b FROM common o JOIN sizes x ON x.r = o.a JOIN sizes y ON y.r = o.b WHERE 100 * o.c >= 90 * (x.n + y.n - o.c)),
+reach AS (SELECT r, r AS s FROM d UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.s)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (r) JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.r = reach.s GROUP BY reach.r) USING (r)
+"""
+
+ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5, "op6_jaccard_join": OP6}

@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, html_text, mixing, secrets
-from cartwheel.llm.common import table
+from cartwheel.llm import decontaminate, exact_dedup, html_text, jaccard_join, langid, licenses, lm, mixing, secrets, toxicity
+from cartwheel.llm.common import remainder, table
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +26,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    families = F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["family"])))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("licenses").cast("long").alias("n_statements"), F.array_join(families, ",").alias("families"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda x: x["probability"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -24,6 +43,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -32,10 +55,20 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op5_decontamination, op7_secret_scan, op8_html_extraction, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_lm_scoring, op2_language_id, op3_exact_dedup, op4_license_scan, op5_decontamination,
+        op6_jaccard_join, op7_secret_scan, op8_html_extraction, op9_toxicity, op10_mixing,
+    )
 }
