@@ -8,7 +8,6 @@ repeated ids never merge two rows and a recomputed task cannot renumber them.
 from __future__ import annotations
 
 import pickle
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F
 from cartwheel.sources.sinks import scratch_root
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MEMO_ENTRIES = 250_000  # entries of a per-task word memo before it starts anew
 
 
@@ -179,20 +177,29 @@ class Bloom:
         second = (k >> np.uint64(32)) | np.uint64(1)
         return [((k + np.uint64(i) * second * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bits)).astype(np.int64) for i in range(3)]
 
+    def tester(self) -> Callable[[np.ndarray], np.ndarray]:
+        """The test as a function that tasks may call."""
+        shared, bits = self.array, self.bits
+
+        def test(keys: np.ndarray) -> np.ndarray:
+            own = shared.value
+            hit = np.ones(len(keys), bool)
+            for i in Bloom.spots(keys, bits):
+                hit &= (own[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
+            return hit
+
+        return test
+
     def maybe(self, key: Column) -> Column:
         import pandas as pd
 
-        shared, bits = self.array, self.bits
+        test = self.tester()
 
-        def test(keys: pd.Series) -> pd.Series:
-            own, k = shared.value, keys.to_numpy()
-            hit = np.ones(len(k), bool)
-            for i in Bloom.spots(k, bits):
-                hit &= (own[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
-            return pd.Series(hit)
+        def column(keys):
+            return pd.Series(test(keys.to_numpy()))
 
-        test.__annotations__ = {"keys": pd.Series, "return": pd.Series}
-        return F.pandas_udf(test, "boolean")(key)
+        column.__annotations__ = {"keys": pd.Series, "return": pd.Series}
+        return F.pandas_udf(column, "boolean")(key)
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -212,18 +219,14 @@ def drop_listed(docs: DataFrame, listed: DataFrame, id_col: str = "doc_id", text
     if not n:
         return docs
     bloom = Bloom(listed.select(F.xxhash64("_key")), n)
-    names = docs.columns
-    keyed = docs.withColumn("_key", row_key(id_col, text_col)).withColumn("_maybe", bloom.maybe(F.xxhash64("_key")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # no column of docs can clash
+    keyed = docs.select(whole, row_key(id_col, text_col).alias("_key")).withColumn("_maybe", bloom.maybe(F.xxhash64("_key")))
     rest = keyed.filter("_maybe")
-    out = keyed.filter(~F.col("_maybe")).select(*names).unionByName(rest.join(listed, "_key", "left_anti").select(*names))
+    out = keyed.filter(~F.col("_maybe")).select("_row.*").unionByName(rest.join(listed, "_key", "left_anti").select("_row.*"))
     again = listed.filter("_stays")
     if again.isEmpty():
         return out
-    return out.unionByName(rest.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select(*names))
-
-
-def lower_ascii(c: Column) -> Column:
-    return F.translate(c, UPPER, LOWER)
+    return out.unionByName(rest.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*"))
 
 
 def word_hash(word: bytes) -> int:
@@ -237,5 +240,71 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def has_letter(text: str) -> bool:
-    return any(map(str.isalpha, text)) if len(text) < 64 else re.search(r"[^\W\d_]", text) is not None
+SEGMENT, LONG_WORD = 1 << 20, 512
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_VALUE[0x41:0x5B] = _VALUE[0x61:0x7B]  # A-Z count as a-z
+_LOWER = np.arange(256)
+_LOWER[0x41:0x5B] += 32
+_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
+
+
+class WordHasher:
+    """64-bit hashes of the words (WORD_PATTERN, A-Z as a-z) of Arrow strings, computed on
+    the UTF-8 buffer without making a Python object per word: a polynomial over the bytes,
+    cut out of a running sum, then mixed. Long words are hashed one by one."""
+
+    def __init__(self):
+        ones = np.ones(SEGMENT + 1, np.uint64)
+        ones[1:] = np.uint64(_BASE)
+        self.power = np.multiply.accumulate(ones)
+        ones[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
+        self.inverse = np.multiply.accumulate(ones)
+
+    def chunks(self, column: pa.Array, most: int = 2 << 20, tails: bool = False) -> Iterator[tuple]:
+        """(first row, word hashes, words per row) of stretches of rows of about ``most``
+        bytes; with ``tails`` also the last two bytes of each word as one number (0 before
+        a single byte)."""
+        column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+        n = len(column)
+        if not n:
+            return
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+            yield lo, *self.rows(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], tails)
+            lo = hi
+
+    def rows(self, data: np.ndarray, offsets: np.ndarray, tails: bool) -> tuple:
+        word = ~_SPACE[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        before = np.empty(len(data), bool)
+        before[:1], before[1:] = True, ~word[:-1]
+        after = np.empty(len(data), bool)
+        after[-1:], after[:-1] = True, ~word[1:]
+        starts = np.flatnonzero(word & (before | edge[:-1]))
+        ends = np.flatnonzero(word & (after | edge[1:])) + 1
+        h = np.zeros(len(starts), np.uint64)
+        length = ends - starts
+        i = 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
+            at = starts[i]
+            part = data[at : ends[j - 1]]
+            if len(part) <= SEGMENT:
+                total = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(_VALUE[part] * self.power[: len(part)], out=total[1:])
+                own = starts[i:j] - at
+                h[i:j] = (total[ends[i:j] - at] - total[own]) * self.inverse[own]
+            i = j
+        h = mix64(h + length.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        for k in np.flatnonzero(length > LONG_WORD):
+            h[k] = word_hash(data[starts[k] : ends[k]].tobytes().lower())
+        sizes = np.diff(np.searchsorted(starts, offsets))
+        if not tails:
+            return h, sizes
+        last, prior = _LOWER[data[ends - 1]], _LOWER[data[np.maximum(ends - 2, 0)]]
+        return h, sizes, np.where(length > 1, prior, 0) * 256 + last

@@ -16,56 +16,66 @@ component already, so no component changes.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Bloom, Memo, collect_blocks, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table, sum_blocks, word_hash, words_of
+from cartwheel.llm.common import Bloom, WordHasher, collect_blocks, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table, sum_blocks
 from cartwheel.llm.graph import components
 
 SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14  # counters of the frequency sketch
 PARTS = 32  # parts of the suffix filter
 
 
-def shingle_set(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-grams of a word-hash sequence; a shorter
-    sequence counts as one shingle, an empty one has none."""
-    k = min(n, len(hashes))
-    if not k:
-        return hashes
-    h = np.full(len(hashes) - k + 1, np.uint64(k))
+def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hashes of all runs of k words in a sequence of word hashes."""
+    m = max(0, len(hashes) - k + 1)
+    h = np.full(m, np.uint64(k))
     for i in range(k):
-        h = mix64(h + hashes[i : len(hashes) - k + 1 + i])
-    return np.unique(h)
+        h = mix64(h + hashes[i : m + i])
+    return h
 
 
-def _sets(texts: list[str | None], memo: Memo, n: int):
-    for t in texts:
-        ws = words_of(t)
-        s = shingle_set(np.fromiter(map(memo.__getitem__, ws), np.uint64, len(ws)), n)
-        yield s, (xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-    memo.trim()
+def _sets(column: pa.Array, hasher: WordHasher, n: int):
+    """Per text its sorted distinct n-gram hashes (a shorter sequence counts as one
+    shingle, an empty one has none) and their 128-bit digest."""
+    for _, words, sizes in hasher.chunks(column):
+        runs, at = shingle_hashes(words, n), 0
+        for size in sizes.tolist():
+            if size >= n:
+                s = np.sort(runs[at : at + size - n + 1])
+                s = s[np.r_[True, s[1:] != s[:-1]]]
+            else:
+                s = shingle_hashes(words[at : at + size], size) if size else words[:0]
+            at += size
+            yield s, (xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
 
 
 def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[str, Column]) -> tuple[DataFrame, np.ndarray]:
     """(one row per document: id, row hash, set size, set digest; the frequency sketch)."""
     types = "".join(f", {k} string" for k in extra)
 
+    passed = list(extra)
+
     def run(batches):
-        memo, sketch = Memo(word_hash), np.zeros(SKETCH, np.int64)
+        hasher, sketch = WordHasher(), np.zeros(SKETCH, np.int64)
         for b in batches:
-            sizes, digests, all_ = [], [], []
-            for s, d in _sets(b.column(2).to_pylist(), memo, n):
-                sizes.append(len(s)), digests.append(d), all_.append(s)
-            if all_:
-                sketch += np.bincount((np.concatenate(all_) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            sizes, digests, held, count = [], [], [], 0
+            for s, d in _sets(b.column(2), hasher, n):
+                sizes.append(len(s)), digests.append(d), held.append(s)
+                count += len(s)
+                if count > SKETCH:
+                    sketch += _tally(held)
+                    held, count = [], 0
+            sketch += _tally(held)
             none = [None] * len(sizes)
             out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "block": none, "data": none}
-            yield out | {k: b.column(3 + i) for i, k in enumerate(extra)}
+            yield out | {k: b.column(3 + i) for i, k in enumerate(passed)}
         used = [k for k in range(SKETCH // SKETCH_BLOCK) if sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK].any()]
         none = [None] * len(used)
         out = {"_id": none, "row": none, "n": none, "digest": none, "block": used, "data": [pack(sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in used]}
-        yield out | {k: none for k in extra}
+        yield out | {k: none for k in passed}
 
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col), _row(id_col, text_col), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
@@ -74,6 +84,11 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
     return both.filter("block is null").drop("block", "data"), counts
 
 
+def _tally(sets: list[np.ndarray]) -> np.ndarray:
+    at = np.concatenate([*sets, np.zeros(0, np.uint64)]) & np.uint64(SKETCH - 1)
+    return np.bincount(at.astype(np.int64), minlength=SKETCH)
+
+
 def _row(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
@@ -84,39 +99,48 @@ def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int, text_col
     shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.uint32))
 
     def run(batches):
-        memo, seen, freq = Memo(word_hash), set(), shared.value
+        hasher, seen, freq = WordHasher(), set(), shared.value
         for b in batches:
-            shingles, digests, sizes, places = [], [], [], []
-            for s, d in _sets(b.column(0).to_pylist(), memo, n):
+            out, rows = {k: [] for k in ("shingle", "digest", "n", "pos")}, 0
+            for s, d in _sets(b.column(0), hasher, n):
                 if d is None or d in seen:  # a copy met earlier in this task
                     continue
                 if len(seen) < 200_000:
                     seen.add(d)
                 most = len(s) + (-percent * len(s) // 100) + 1
                 first = np.lexsort((s, freq[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))[:most]
-                shingles.append(s[first].view(np.int64)), digests.extend([d] * most)
-                sizes.append(np.full(most, len(s))), places.append(np.arange(1, most + 1))
-            if shingles:
-                yield {"shingle": np.concatenate(shingles), "digest": digests, "n": np.concatenate(sizes), "pos": np.concatenate(places)}
+                out["shingle"].append(s[first].view(np.int64)), out["digest"].extend([d] * most)
+                out["n"].append(np.full(most, len(s))), out["pos"].append(np.arange(1, most + 1))
+                rows += most
+                if rows > 100_000:
+                    yield {k: v if k == "digest" else np.concatenate(v) for k, v in out.items()}
+                    out, rows = {k: [] for k in out}, 0
+            if rows:
+                yield {k: v if k == "digest" else np.concatenate(v) for k, v in out.items()}
 
     return map_batches(docs.select(text_col), run, "shingle long, digest binary, n int, pos int")
 
 
 def whole_sets(docs: DataFrame, wanted: Bloom, n: int, id_col: str, text_col: str) -> DataFrame:
     """(digest, items, parts) of the documents whose row hash is wanted, one per digest."""
+    test = wanted.tester()
 
     def run(batches):
-        memo = Memo(word_hash)
+        hasher = WordHasher()
         for b in batches:
-            digests, items, parts = [], [], []
-            for s, d in _sets(b.column(0).to_pylist(), memo, n):
+            own = b.column(1).filter(pa.array(test(b.column(0).to_numpy(zero_copy_only=False))))
+            digests, items, parts, held = [], [], [], 0
+            for s, d in _sets(own, hasher, n):
                 if d is not None:
                     digests.append(d), items.append(s.tobytes())
                     parts.append(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=PARTS).tolist())
+                    held += len(s)
+                    if held > 1_000_000:
+                        yield {"digest": digests, "items": items, "parts": parts}
+                        digests, items, parts, held = [], [], [], 0
             yield {"digest": digests, "items": items, "parts": parts}
 
-    rows = docs.filter(wanted.maybe(_row(id_col, text_col))).select(text_col)
-    found = map_batches(rows, run, "digest binary, items binary, parts array<int>")
+    found = map_batches(docs.select(_row(id_col, text_col), F.col(text_col)), run, "digest binary, items binary, parts array<int>")
     return found.groupBy("digest").agg(F.first("items").alias("items"), F.first("parts").alias("parts"))
 
 
