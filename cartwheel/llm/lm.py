@@ -14,21 +14,20 @@ task trains on all training texts of its partition, starting from common paramet
 tasks' parameters are averaged, weighted by tokens, and go round again. Scoring normalises
 with one matrix product per block of distinct contexts and a log-sum-exp.
 
-Counts. Token counts cover all training texts. The TOP most frequent ones travel to the
-tasks as hashes (a fixed bound); scarcer tokens are joined with the count table.
+Counts. Token counts cover all training texts; a token is known by its 64-bit hash. The TOP
+most frequent ones travel to the tasks (a fixed bound); scarcer ones are joined with the
+count table.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Memo, Shared, collect_blocks, map_batches, pack, remainder, shared_table, sum_blocks, words_of
+from cartwheel.llm.common import Shared, WordHasher, collect_blocks, map_batches, pack, remainder, shared_table, sum_blocks
 
 UNITS, ENDINGS = 1024, 160  # units of single tokens, and of endings
 TOP = 1 << 19  # token counts sent to every task, as 64-bit hashes
@@ -40,16 +39,25 @@ LN10 = math.log(10.0)
 class Vocabulary:
     """Units and the counts within them; ``start`` is the unit before a text."""
 
-    def __init__(self, tokens: list[bytes], endings: list[bytes]):
-        self.tokens = {t: i + 1 for i, t in enumerate(tokens)}  # 0 is the end of text
-        self.endings = {e: len(tokens) + 1 + i for i, e in enumerate(endings)}
-        self.other = len(tokens) + 1 + len(endings)
+    def __init__(self, tokens: np.ndarray, endings: list[int]):
+        """tokens: hashes of the frequent tokens, by rank; endings: their last two bytes."""
+        self.order = np.argsort(tokens)
+        self.tokens = tokens[self.order]
+        self.open = len(tokens) + 1  # units from here on hold many tokens
+        self.other = self.open + len(endings)
         self.size = self.other + 1
         self.start = self.size  # as context only
-        self.open = len(tokens) + 1  # units from here on hold many tokens
+        self.by_ending = np.full(1 << 16, self.other, np.int64)
+        self.by_ending[endings] = self.open + np.arange(len(endings))
 
-    def unit(self, token: bytes) -> int:
-        return self.tokens.get(token) or self.endings.get(token[-2:], self.other)
+    def units(self, hashes: np.ndarray, tails: np.ndarray) -> np.ndarray:
+        """0 is the end of text, then the frequent tokens, then the endings."""
+        out = self.by_ending[tails]
+        if len(self.tokens):
+            spot = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
+            found = self.tokens[spot] == hashes
+            out[found] = self.order[spot[found]] + 1
+        return out
 
 
 class Params:
@@ -131,57 +139,52 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def encode_units(parts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes of (context, unit) for every token, units, text lengths in tokens with the
-    end) of texts given as units; unit 0 is the end."""
-    sizes = np.array([len(x) + 1 for x in parts], np.int64)
-    units = np.zeros(int(sizes.sum()), np.int64)
-    ends = np.cumsum(sizes)
-    inner = np.ones(len(units), bool)
-    inner[ends - 1] = False
-    units[inner] = np.concatenate([*parts, np.zeros(0, np.int64)])
-    place = np.arange(len(units)) - np.repeat(ends - sizes, sizes)
+def encode(inner: np.ndarray, sizes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of (context, unit) for every token, units, whether the token is a word) of
+    texts given as the units of their words; every text gets an end, unit 0."""
+    total = sizes + 1
+    ends = np.cumsum(total)
+    units = np.zeros(int(total.sum()), np.int64)
+    word = np.ones(len(units), bool)
+    word[ends - 1] = False
+    units[word] = inner
+    place = np.arange(len(units)) - np.repeat(ends - total, total)
     code, base = np.zeros(len(units), np.int64), start + 1
     for i in range(CONTEXT, 0, -1):
         prior = np.full(len(units), start, np.int64)
         prior[i:] = units[: len(units) - i]
         prior[place < i] = start
         code = code * base + prior
-    return code * base + units, units, sizes
-
+    return code * base + units, units, word
 
-def encode(texts: list[str | None], memo: Memo, start: int) -> np.ndarray:
-    """Codes of (context, unit) for every token; memo maps a word to its unit."""
-    return encode_units([np.fromiter(map(memo.__getitem__, ws), np.int64, len(ws)) for ws in map(words_of, texts)], start)[0]
 
+def count_tokens(texts: DataFrame, text_col: str, most: int = 1_000_000) -> DataFrame:
+    """(token as its 64-bit hash, its last two bytes, n) over all texts; the end of text is
+    not counted here."""
 
-def chunks(texts: list, most: int = 2_000_000):
-    """Texts in groups of about ``most`` characters."""
-    group, held = [], 0
-    for t in texts:
-        group.append(t)
-        held += len(t or "")
-        if held >= most:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
-def count_tokens(texts: DataFrame, text_col: str) -> DataFrame:
-    """(token, n) over all texts; the end of text is not counted here."""
+    def merged(parts):
+        h, tail, n = (np.concatenate(x) for x in zip(*parts))
+        own, first, where = np.unique(h, return_index=True, return_inverse=True)
+        return own, tail[first], np.bincount(where, n, len(own)).astype(np.int64)
 
     def run(batches):
-        counts: Counter = Counter()
+        hasher, parts, held = WordHasher(), [], 0
         for b in batches:
-            for t in b.column(0).to_pylist():
-                counts.update(words_of(t))
-                if len(counts) > 400_000:
-                    yield {"token": list(counts), "n": list(counts.values())}
-                    counts.clear()
-        yield {"token": list(counts), "n": list(counts.values())}
-
-    return map_batches(texts.select(text_col), run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+            for _, h, _, tails in hasher.chunks(b.column(0), tails=True):
+                parts.append(merged([(h, tails, np.ones(len(h), np.int64))]))
+                held += len(parts[-1][0])
+                if held > most:
+                    parts = [merged(parts)]
+                    held = len(parts[0][0])
+                    if held > most // 2:
+                        yield dict(zip(("token", "tail", "n"), (parts[0][0].view(np.int64), *parts[0][1:])))
+                        parts, held = [], 0
+        if parts:
+            own = merged(parts)
+            yield dict(zip(("token", "tail", "n"), (own[0].view(np.int64), *own[1:])))
+
+    found = map_batches(texts.select(text_col), run, "token long, tail int, n long")
+    return found.groupBy("token").agg(F.first("tail").alias("tail"), F.sum("n").alias("n"))
 
 
 class LanguageModel:
@@ -203,26 +206,28 @@ class LanguageModel:
             floor = r["n"]
         self.whole = room >= 0  # all tokens fit
         top = self.counts.filter(F.col("n") >= (floor if floor is not None else self.total + 1)).toArrow()
-        pairs = sorted(zip(top.column("n").to_pylist(), top.column("token").to_pylist()), key=lambda x: (-x[0], x[1]))
-        tokens, n = [t for _, t in pairs], np.array([c for c, _ in pairs], np.int64)
-        frequent = tokens[:UNITS]
-        scarce = self.counts.join(F.broadcast(self.spark.createDataFrame([(bytearray(t),) for t in frequent], "token binary")), "token", "left_anti")
-        ending = F.expr("substring(token, greatest(octet_length(token) - 1, 1), 2)").alias("ending")
-        own = scarce.groupBy(ending).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))  # at most 65,792 endings
-        own = sorted(((bytes(r["ending"]), r["n"], r["v"]) for r in own.toLocalIterator()), key=lambda x: (-x[1], x[0]))
-        self.vocab = v = Vocabulary(frequent, [e for e, _, _ in own[:ENDINGS]])
+        h, n, tails = (top.column(k).to_numpy() for k in ("token", "n", "tail"))
+        rank = np.lexsort((h, -n))
+        h, n, tails = h[rank].view(np.uint64), n[rank], tails[rank]
+        frequent = list(zip(n[:UNITS].tolist(), tails[:UNITS].tolist()))
+        own: dict[int, list[int]] = {}  # ending -> tokens in all, distinct tokens; at most 65,536 endings
+        for r in self.counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toLocalIterator():
+            own[r["tail"]] = [r["n"], r["v"]]
+        for c, tail in frequent:  # frequent tokens are units of their own
+            own[tail][0] -= c
+            own[tail][1] -= 1
+        ranked = sorted(((e, c, k) for e, (c, k) in own.items() if k), key=lambda x: (-x[1], x[0]))
+        self.vocab = v = Vocabulary(h[:UNITS], [e for e, _, _ in ranked[:ENDINGS]])
         unit_n = np.zeros(v.size, np.float64)
         unit_v = np.zeros(v.size, np.float64)
         unit_n[0] = self.n_texts
-        unit_n[1 : 1 + len(frequent)] = n[: len(frequent)]
-        for e, c, k in own:
-            u = v.endings.get(e, v.other)
-            unit_n[u] += c
-            unit_v[u] += k
+        unit_n[1 : v.open] = n[:UNITS]
+        for e, c, k in ranked:
+            unit_n[v.by_ending[e]] += c
+            unit_v[v.by_ending[e]] += k
         self.unit_n = unit_n
         self.inside = np.zeros(v.size)  # log of the divisor within an open unit
         self.inside[v.open :] = np.log(unit_n[v.open :] + unit_v[v.open :] + 1)
-        h = np.array([xxhash.xxh64_intdigest(t) for t in tokens], np.uint64)
         order = np.argsort(h)
         self.top = (h[order], n[order])
         self.flat = Params.initial(v.size, unit_n).flat
@@ -238,13 +243,12 @@ class LanguageModel:
 
         def run(batches):
             start, vocab, noise = shared.get()
-            trainer, seen, memo = Trainer(start, vocab.size, noise, rate), 0, Memo(vocab.unit)
+            trainer, seen, hasher = Trainer(start, vocab.size, noise, rate), 0, WordHasher()
             for b in batches:
-                for group in chunks(b.column(0).to_pylist(), 4_000_000):
-                    codes, weight = np.unique(encode(group, memo, vocab.start), return_counts=True)
+                for _, h, sizes, tails in hasher.chunks(b.column(0), 4 << 20, tails=True):
+                    codes, weight = np.unique(encode(vocab.units(h, tails), sizes, vocab.start)[0], return_counts=True)
                     trainer.fit(codes, weight)
                     seen += int(weight.sum())
-                memo.trim()
             if seen:
                 flat = np.concatenate([trainer.p.flat.astype(np.float64) * seen, [float(seen)]])
                 yield {"block": list(range(-(-len(flat) // step))), "data": [pack(flat[i : i + step]) for i in range(0, len(flat), step)]}
@@ -267,65 +271,42 @@ class LanguageModel:
         def run(batches):
             flat, vocab, inside, (top, top_n), log_z = shared.get()
             p, base = Params(flat, vocab.size), vocab.size + 1
-            fresh: list[bytes] = []
-            memo = Memo(lambda t: (fresh.append(t), len(memo))[1])
-            unit_of, count_of, names = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+            hasher = WordHasher()
             for b in batches:
-                at = 0
-                for group in chunks(b.column(1).to_pylist(), 4_000_000):
-                    slots = [np.fromiter(map(memo.__getitem__, ws), np.int64, len(ws)) for ws in map(words_of, group)]
-                    if fresh:
-                        h = np.array([xxhash.xxh64_intdigest(t) for t in fresh], np.uint64)
-                        spot = np.searchsorted(top, h)
-                        known = spot < len(top)
-                        known[known] = top[spot[known]] == h[known]
-                        found = np.full(len(fresh), 0 if whole else -1, np.int64)  # -1: look it up later
-                        found[known] = top_n[spot[known]]
-                        unit_of = np.concatenate([unit_of, [vocab.unit(t) for t in fresh]]).astype(np.int64)
-                        count_of = np.concatenate([count_of, found])
-                        names += fresh
-                        fresh.clear()
-                    code, units, sizes = encode_units([unit_of[x] for x in slots], vocab.start)
-                    ends = np.cumsum(sizes)
-                    count = np.full(len(units), -2, np.int64)
-                    inner = np.ones(len(units), bool)
-                    inner[ends - 1] = False
-                    all_slots = np.concatenate([*slots, np.zeros(0, np.int64)])
-                    count[inner] = count_of[all_slots]
-                    owner = np.repeat(np.arange(len(group)), sizes)
+                for at, h, sizes, tails in hasher.chunks(b.column(1), tails=True):
+                    rows = len(sizes)
+                    code, units, word = encode(vocab.units(h, tails), sizes, vocab.start)
+                    count = np.zeros(len(h), np.int64) if whole else np.full(len(h), -1, np.int64)  # -1: look it up later
+                    if len(top):
+                        spot = np.minimum(np.searchsorted(top, h), len(top) - 1)
+                        known = top[spot] == h
+                        count[known] = top_n[spot[known]]
+                    log_count = np.full(len(units), end_count)
+                    log_count[word] = np.log(np.maximum(count, 0) + 1)
+                    owner = np.repeat(np.arange(rows), sizes + 1)
                     context = code // base
                     q = sum(p.q[(context // base ** (CONTEXT - 1 - i)) % base] * p.c[i] for i in range(CONTEXT))
                     logp = (np.einsum("ij,ij->i", q, p.r[units]) + p.b[units]).astype(np.float64) - log_z[context]
-                    log_count = np.where(count == -2, end_count, np.log(np.maximum(count, 0) + 1))
                     logp += np.where(units >= vocab.open, log_count - inside[units], 0.0)
-                    misses = [[] for _ in group]
-                    lost = np.flatnonzero(count[inner] == -1)
-                    for d, k in zip(owner[inner][lost], all_slots[lost]):
-                        misses[d].append(names[k])
-                    tallies = [Counter(m) for m in misses]
-                    seen = np.bincount(owner, (count > 0) | ((count == -2) & (end_count > 0)), len(group))
+                    seen = np.bincount(owner[word], count > 0, rows) + (end_count > 0)
+                    lost = np.flatnonzero(count < 0)
+                    cut = np.searchsorted(owner[word][lost], np.arange(1, rows))
                     yield {
-                        **{k: b.column(2 + i).slice(at, len(group)) for i, k in enumerate(passed)},
-                        "rid": b.column(0).slice(at, len(group)), "n_tokens": sizes, "n_known": seen.astype(np.int64),
-                        "log_counts": np.bincount(owner, log_count, len(group)), "logp": np.bincount(owner, logp, len(group)),
-                        "missed": [list(t) for t in tallies], "times": [list(t.values()) for t in tallies],
+                        **{k: b.column(2 + i).slice(at, rows) for i, k in enumerate(passed)},
+                        "rid": b.column(0).slice(at, rows), "n_tokens": sizes + 1, "n_known": seen.astype(np.int64),
+                        "log_counts": np.bincount(owner, log_count, rows), "logp": np.bincount(owner, logp, rows),
+                        "missed": [x.view(np.int64) for x in np.split(h[lost], cut)],
                     }
-                    at += len(group)
-                    if len(memo) > 250_000:
-                        memo.clear()
-                        unit_of, count_of, names = unit_of[:0], count_of[:0], []
 
         types = "".join(f", {k} {docs.select(c.alias(k)).schema[k].dataType.simpleString()}" for k, c in extra.items())
         source = docs.select(F.monotonically_increasing_id(), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
-        schema = f"rid long, n_tokens long, n_known long, log_counts double, logp double, missed array<binary>, times array<int>{types}"
+        schema = f"rid long, n_tokens long, n_known long, log_counts double, logp double, missed array<long>{types}"
         out = shared_table(map_batches(source, run, schema), "lm-scores")
         names = ["rid", *extra, "n_tokens", "n_known"]
         known, more = F.col("n_known"), F.lit(0.0)
         if not whole:  # counts of the scarce tokens; one not in the table counts zero and adds nothing
-            lost = out.select("rid", F.explode(F.arrays_zip("missed", "times")).alias("m")).select("rid", F.col("m.missed").alias("token"), F.col("m.times").alias("times"))
-            found = lost.join(self.counts, "token").groupBy("rid").agg(
-                F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log(F.col("n") + 1.0)).alias("more")
-            )
+            lost = out.select("rid", F.explode("missed").alias("token"))
+            found = lost.join(self.counts, "token").groupBy("rid").agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log(F.col("n") + 1.0)).alias("more"))
             out = out.join(found, "rid", "left")
             known, more = known + F.coalesce("more_known", F.lit(0)), F.coalesce("more", F.lit(0.0))
         divisor = math.log(max(1, self.total + self.distinct + 1))
