@@ -252,5 +252,5 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 
 def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents whose language cannot be told."""
-    marked = predict(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text")), model, "_text")
+    marked = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text")), model, "_text")
     return marked.filter(F.col("language.lang") != UNKNOWN).select("_row.*")

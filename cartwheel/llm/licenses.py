@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import Memo, Shared, map_batches, mix64, word_hash
 
 DIM = 1 << 14
-PARAGRAPH_WORDS, STRIDE = 60, 30
-SAMPLE_DOCS, VARIATIONS = 500, 60
+PARAGRAPH_WORDS, STRIDE = 24, 12
+SAMPLE_DOCS, VARIATIONS = 300, 60
 MIN_PROBABILITY, MIN_AGREEMENT = 0.5, 0.6
 UNKNOWN = "unknown"
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*|©")
@@ -132,7 +132,7 @@ class Model:
                 paras.append(ws), y.append(k)
                 for _ in range(VARIATIONS):
                     v = [w for w in ws if rng.random() > 0.08] if len(ws) > 4 else list(ws)
-                    pad = [filler[int(rng.integers(len(filler)))] for _ in range(int(rng.integers(0, 9)))]
+                    pad = [filler[int(rng.integers(len(filler)))] for _ in range(int(rng.integers(0, 17)))]
                     cut = int(rng.integers(len(pad) + 1))
                     paras.append(pad[:cut] + v + pad[cut:]), y.append(k)
         pairs = {f: [_pairs(WORD.findall(t.lower())) for t in TEMPLATES[f]] for f in FAMILIES}

@@ -153,14 +153,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def _fill(t: pa.Table) -> pa.Table:
-    """Rows of a source's last block, in hashed order, each taken if it still fits."""
+    """Rows of a source's last block, in hashed order, each taken if it still fits; then
+    single additions or swaps while they bring the sum nearer to the room."""
     t = t.sort_by([("_h", "ascending"), ("rid", "ascending")])
-    room, take = t.column("room")[0].as_py(), []
-    for i, n in enumerate(t.column("size").to_pylist()):
+    sizes = t.column("size").to_numpy()
+    room, taken = t.column("room")[0].as_py(), np.zeros(len(sizes), bool)
+    for i, n in enumerate(sizes.tolist()):
         if n <= room:
             room -= n
-            take.append(i)
-    return t.take(pa.array(take, pa.int64())).select(["rid", "size", "copy", "shard", "_h"])
+            taken[i] = True
+    for _ in range(8):
+        out = np.flatnonzero(~taken)
+        out = out[np.argsort(sizes[out], kind="stable")]
+        if not len(out) or abs(room) < 1:
+            break
+        ins = np.r_[-1, np.flatnonzero(taken)]  # -1: add without taking one away
+        want = np.r_[0, sizes[taken]] + room
+        spot = np.searchsorted(sizes[out], want)
+        spot = np.stack([np.maximum(spot - 1, 0), np.minimum(spot, len(out) - 1)])
+        miss = np.abs(sizes[out][spot] - want)
+        side, k = np.unravel_index(miss.argmin(), miss.shape)
+        if miss[side, k] >= abs(room):
+            break
+        new = out[spot[side, k]]
+        room = float(want[k] - sizes[new])
+        taken[new] = True
+        if ins[k] >= 0:
+            taken[ins[k]] = False
+    return t.take(pa.array(np.flatnonzero(taken))).select(["rid", "size", "copy", "shard", "_h"])
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:

@@ -21,13 +21,12 @@ from cartwheel.llm.common import map_batches
 # Fixed patterns (values that must match). Letters of the names in either ASCII case.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
 NAMES = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
-MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
+MIN_ASSIGN, MIN_ACCESS = 8, 16
 BASE_KINDS = ("assign", "access", "hex")
 
+LONG_HEX = re.compile(r"[0-9a-f]{32,}")  # the same as all runs less those under 32
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
-LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 WINDOW = 20
 # class -> (its characters, least bits per character in a window, least digits in a window)
 CLASSES = {
@@ -42,7 +41,6 @@ ALLOW = (
     r".*(?:EXAMPLE|example).*",
 )
 XLOGX = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
-SCHEMA = "rid long, start long, `end` long, kind string"
 
 
 def base_findings(text: str) -> list[tuple[int, int, str]]:
@@ -52,7 +50,6 @@ def base_findings(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
     if "AKIA" in text:
         found += [(*m.span(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
-    # {32,} finds the same runs as matching all runs and dropping the short ones
     found += [(*m.span(), "hex") for m in LONG_HEX.finditer(text)]
     return sorted(found, key=lambda f: (f[0], BASE_KINDS.index(f[2])))
 
