@@ -31,13 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage,
     survives lost executors); the folder goes when the session ends."""
-    spark = df.sparkSession
-    path = scratch_root(spark, name)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    df.write.parquet(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_root(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remainder(id_col: str, modulus: int) -> Column:
