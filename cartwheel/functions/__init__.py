@@ -1,7 +1,7 @@
 from cartwheel.functions.columns import (  # noqa: F401
     flag,
     money,
-    money_sum,
+    MONEY,
     round_half_up,
     safe_div,
     week_diff,

@@ -19,23 +19,23 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 def round_half_up(x: ColumnOrName, digits: int) -> Column:
-    """Round a non-negative DOUBLE half-up to ``digits`` places.
+    """Round a DOUBLE to ``digits`` places, halves away from zero (trap T5).
 
-    ``floor(x * 10^n + 0.5) / 10^n`` gives the same bits in every engine, unlike
-    ``round`` whose decimal/binary handling differs between engines (trap T5).
+    Written with ``floor`` on the scaled magnitude, because ``round`` of a DOUBLE
+    goes through its decimal text in some engines and not in others.
     """
     scale = float(10**digits)
-    return (F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    v = _c(x)
+    return (F.signum(v) * F.floor(F.abs(v) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
-def money(x: ColumnOrName, scale: int = 2) -> Column:
-    """Exact decimal view of a money column, so sums do not depend on row order (trap T13)."""
-    return _c(x).cast(f"decimal(18,{scale})")
+MONEY = "decimal(38,12)"
 
 
-def money_sum(x: ColumnOrName, scale: int = 2) -> Column:
-    """Order-independent sum of a DOUBLE money column, returned as DOUBLE."""
-    return F.sum(money(x, scale)).cast("double")
+def money(x: ColumnOrName) -> Column:
+    """Decimal view of a number with 12 fractional digits (26 before the point), so sums
+    do not depend on row order (trap T13) and converted currencies keep their fractions."""
+    return _c(x).cast(MONEY)
 
 
 def flag(cond: Column) -> Column:

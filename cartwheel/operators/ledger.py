@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions import round_half_up
+from cartwheel.operators import staging
+from cartwheel.operators.quality import SEVERITY_WEIGHT
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -32,6 +34,10 @@ def run_reconciliation(raw: DataFrame, clean: DataFrame, rejected: DataFrame) ->
         clean.agg(F.count(F.lit(1))).scalar().alias("events_processed"),
         rejected.agg(F.count(F.lit(1))).scalar().alias("records_quarantined"),
     )
+    return _reconciled(j)
+
+
+def _reconciled(j: DataFrame) -> DataFrame:
     rate = F.when(F.col("raw_events") > 0, F.col("records_quarantined") / F.col("raw_events")).otherwise(F.lit(0.0))
     return j.select(
         "raw_events",
@@ -44,6 +50,20 @@ def run_reconciliation(raw: DataFrame, clean: DataFrame, rejected: DataFrame) ->
     )
 
 
+def raw_reconciliation(raw: DataFrame) -> DataFrame:
+    """The same numbers from one pass over the raw events: an event id with a valid row is
+    processed once, rejected rows are quarantined each."""
+    per_id = raw.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(staging.is_valid()).alias("valid"), F.count(F.when(staging.is_rejected(), 1)).alias("rejected")
+    )
+    n = per_id.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("raw_events"),
+        F.count(F.when(F.col("valid"), 1)).alias("events_processed"),
+        F.coalesce(F.sum("rejected"), F.lit(0)).cast("bigint").alias("records_quarantined"),
+    )
+    return _reconciled(n)
+
+
 def _index_pick(df: DataFrame, group: list[str], value: str, p: float) -> DataFrame:
     """``sorted(values)[min(n - 1, int(p * n))]`` per group (an index rule, not interpolation)."""
     w = Window.partitionBy(*group).orderBy(F.col(value).asc_nulls_last())
@@ -80,16 +100,28 @@ def model_history(ledger: DataFrame) -> DataFrame:
     return agg.join(p50, "model", "left").join(p95, "model", "left")
 
 
-def dq_trend(audit: DataFrame) -> DataFrame:
-    """Quality trend over the audit history: per run and severity, checks, passes, pass rate."""
+def dq_trend(audit: DataFrame, by: str = "severity") -> DataFrame:
+    """Quality trend over the audit history: per run and severity (or ``check_name``),
+    checks, passes, pass rate (R7)."""
     rank = F.coalesce(*[F.when(F.col("severity") == k, F.lit(v)) for k, v in SEVERITY_RANK.items()], F.lit(9))
     return (
-        audit.groupBy("run_ts", "severity")
+        audit.groupBy("run_ts", by)
         .agg(
             F.count(F.lit(1)).alias("checks"),
             F.count(F.when(F.col("status") == "pass", 1)).alias("passed"),
+            F.min(rank).alias("severity_rank"),
         )
-        .withColumn("pass_rate", F.col("passed") / F.col("checks"))
-        .withColumn("severity_rank", rank)
-        .orderBy("run_ts", "severity_rank")
+        .select("run_ts", by, "checks", "passed", (F.col("passed") / F.col("checks")).alias("pass_rate"), "severity_rank")
+        .orderBy("run_ts", "severity_rank", by)
+    )
+
+
+def dq_scores(audit: DataFrame) -> DataFrame:
+    """Severity-weighted score, checks and passes of every run of the audit."""
+    w = F.coalesce(*[F.when(F.col("severity") == k, F.lit(v)) for k, v in SEVERITY_WEIGHT.items()], F.lit(max(SEVERITY_WEIGHT.values())))
+    passed = F.col("status") == "pass"
+    return audit.groupBy("run_ts").agg(
+        F.count(F.lit(1)).alias("checks"),
+        F.count(F.when(passed, 1)).alias("passed"),
+        round_half_up(F.lit(100.0) * F.sum(F.when(passed, w).otherwise(0)) / F.sum(w), 1).alias("quality_score"),
     )

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions import day_diff, flag, money, round_half_up, safe_div, week_diff
+from cartwheel.functions import MONEY, day_diff, flag, money, round_half_up, safe_div, week_diff
 
 
-def _dec_sum(c: str, scale: int = 2):
-    return F.sum(money(c, scale)).cast("double")
+def _dec_sum(c: str):
+    return F.sum(money(c)).cast("double")
 
 
 # ----------------------------------------------------------------- M6 customer features
@@ -131,7 +131,7 @@ def mart_funnel(sessions: DataFrame, total_label: str = "ALL", ordered: bool = T
 def spend_by_campaign(spend: DataFrame) -> DataFrame:
     return spend.groupBy("campaign_id").agg(
         F.min("channel").alias("channel"),
-        _dec_sum("cost", 6).alias("spend"),
+        _dec_sum("cost").alias("spend"),
         F.sum("impressions").cast("bigint").alias("impressions"),
         F.sum("clicks").cast("bigint").alias("clicks"),
     )
@@ -245,14 +245,14 @@ def campaign_efficiency_events(events: DataFrame, spend: DataFrame, ordered: boo
     is_buy = F.col("event_name") == "purchase"
     per_session = events.groupBy("campaign_id", "ga_session_id").agg(
         F.max(flag(is_buy)).alias("_buy"),
-        F.sum(F.when(is_buy, money("purchase_revenue")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("_rev"),
+        F.sum(F.when(is_buy, money("purchase_revenue")).otherwise(F.lit(0).cast(MONEY))).alias("_rev"),
     )
     by_campaign = per_session.groupBy("campaign_id").agg(
         F.count("ga_session_id").alias("sessions"),
         F.count(F.when((F.col("_buy") == 1) & F.col("ga_session_id").isNotNull(), F.lit(1))).alias("buyers"),
         F.sum("_rev").cast("double").alias("revenue"),
     )
-    cost = spend.groupBy("campaign_id").agg(_dec_sum("cost", 6).alias("spend"))
+    cost = spend.groupBy("campaign_id").agg(_dec_sum("cost").alias("spend"))
     out = by_campaign.join(cost, "campaign_id", "left").select(
         "campaign_id",
         "spend",

@@ -37,6 +37,18 @@ CHECK_TYPES = (
     "relationship",
     "quarantine_rate",
 )
+NEEDS = {
+    "row_count_min": ("table", "min"),
+    "freshness": ("table", "column", "max_days"),
+    "not_null": ("table", "column", "max_null_rate"),
+    "unique": ("table", "column"),
+    "accepted_values": ("table", "column", "values"),
+    "min_value": ("table", "column", "min"),
+    "range_agg": ("table", "expr", "min", "max"),
+    "reconcile_count": ("table", "source_table", "source_expr"),
+    "relationship": ("table", "column", "to_table", "to_column"),
+    "quarantine_rate": ("rejected_table", "max_rate"),
+}
 FUSABLE = ("row_count_min", "freshness", "not_null", "accepted_values", "min_value", "range_agg")
 DEFAULT_CHECKS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "conf", "checks.yaml")
 
@@ -69,6 +81,15 @@ class Check:
     def table_name(self) -> str | None:
         return self.table or self.params.get("rejected_table")
 
+    def __post_init__(self) -> None:
+        if self.severity not in SEVERITY_WEIGHT:
+            raise ValueError(f"check {self.name}: unknown severity {self.severity!r}")
+
+    def missing(self) -> list[str]:
+        """Parameters its type needs and it does not have."""
+        given = {**self.params, "table": self.table, "column": self.column}
+        return [p for p in NEEDS.get(self.type, ()) if given.get(p) is None]
+
     @staticmethod
     def from_dict(d: dict) -> Check:
         d = dict(d)
@@ -175,7 +196,7 @@ def _standalone(check: Check, tables: Mapping[str, DataFrame], spark: SparkSessi
 
 
 def _message(exc: Exception) -> str:
-    return (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+    return str(exc).strip() or type(exc).__name__
 
 
 def check_results(
@@ -183,27 +204,29 @@ def check_results(
 ) -> DataFrame:
     """All check results as one DataFrame (lazy; fused aggregates per table)."""
     parts: list[DataFrame] = []
-    fused: dict[str, list[tuple[Check, list[Column], callable]]] = {}
+    fused: dict[str, list[tuple[list[Column], Column]]] = {}
     for ch in checks:
         try:
             if ch.type not in CHECK_TYPES:
                 raise ValueError(f"unknown check type: {ch.type}")
+            if ch.missing():
+                raise ValueError(f"missing parameter: {', '.join(ch.missing())}")
             if ch.type in FUSABLE:
-                t = tables[ch.table]
                 aggs, build = _fused_parts(ch, reference_date)
-                t.agg(*aggs).schema  # resolve now: a missing column becomes an error row
-                fused.setdefault(ch.table, []).append((ch, aggs, build))
+                row = F.struct(*build())
+                tables[ch.table].agg(*aggs).select(row).schema  # resolve now: what cannot be becomes an error row
+                fused.setdefault(ch.table, []).append((aggs, row))
             else:
                 df = _standalone(ch, tables, spark)
                 df.schema
                 parts.append(df)
-        except (KeyError, ValueError, PySparkException) as exc:
-            msg = f"missing table: {exc}" if isinstance(exc, KeyError) else _message(exc)
-            parts.append(error_row(spark, ch, msg))
+        except KeyError as exc:
+            parts.append(error_row(spark, ch, f"missing table: {exc}"))
+        except (TypeError, ValueError, PySparkException) as exc:
+            parts.append(error_row(spark, ch, _message(exc)))
     for table, items in fused.items():
-        one = tables[table].agg(*[a for _, aggs, _ in items for a in aggs])  # one pass over the table
-        rows = [F.struct(*build()) for _, _, build in items]
-        parts.append(one.select(F.inline(F.array(*rows))))
+        one = tables[table].agg(*[a for aggs, _ in items for a in aggs])  # one pass over the table
+        parts.append(one.select(F.inline(F.array(*[row for _, row in items]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -211,16 +234,21 @@ def check_results(
 
 
 def quality_score(results: DataFrame) -> DataFrame:
-    """Severity-weighted pass rate (0..100, one decimal), counts and critical failures, one row."""
+    """Severity-weighted pass rate (0..100, one decimal), counts and critical failures, one row.
+
+    Checks cannot be built with an unknown severity; a row that has one all the same (an
+    audit written elsewhere) counts as critical, so that no failure can hide behind it.
+    """
     w = F.coalesce(
-        *[F.when(F.col("severity") == k, F.lit(v)) for k, v in SEVERITY_WEIGHT.items()], F.lit(None).cast("int")
+        *[F.when(F.col("severity") == k, F.lit(v)) for k, v in SEVERITY_WEIGHT.items()], F.lit(max(SEVERITY_WEIGHT.values()))
     )
+    critical = ~F.coalesce(F.col("severity").isin([k for k in SEVERITY_WEIGHT if k != "critical"]), F.lit(False))
     passed = F.col("status") == "pass"
     agg = results.agg(
         F.count(F.lit(1)).alias("checks_total"),
         F.count(F.when(passed, 1)).alias("checks_passed"),
         F.count(F.when(~passed, 1)).alias("checks_failed"),
-        F.count(F.when(~passed & (F.col("severity") == "critical"), 1)).alias("critical_failures"),
+        F.count(F.when(~passed & critical, 1)).alias("critical_failures"),
         F.sum(w).alias("_wsum"),
         F.sum(F.when(passed, w).otherwise(0)).alias("_wpass"),
     )

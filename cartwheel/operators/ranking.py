@@ -28,7 +28,6 @@ from cartwheel.functions import round_half_up
 from cartwheel.session import ensure_checkpoint_dir
 
 METRIC_DIGITS = 10
-MAX_LITERAL_GROUPS = 1000  # grouped prefix sums with at most this many groups use a literal lookup
 
 
 def prefix_sums(
@@ -41,8 +40,8 @@ def prefix_sums(
     """Add ``<c>_before`` = sum of ``c`` over all rows strictly before each row in
     ``order``, and ``<c>_total`` = the sum over all rows.
 
-    With ``partition_by`` the sums restart for every group (non-NULL group
-    keys): one range-partitioned pass serves all groups, and each group's
+    With ``partition_by`` the sums restart for every group (NULL keys form
+    groups too): one range-partitioned pass serves all groups, and each group's
     start is subtracted afterwards.
 
     ``order`` must be a total order on the rows for a row-level meaning; with
@@ -55,27 +54,15 @@ def prefix_sums(
         starts = glob.groupBy(*partition_by).agg(
             *[F.min(f"{c}_before").alias(f"_{c}_start") for c in sum_cols],
             *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(f"_{c}_gtot") for c in sum_cols],
+            F.count(F.lit(1)).alias("_rows"),
         )
-        few = starts.limit(MAX_LITERAL_GROUPS + 1).collect()
-        base = glob.drop(*[f"{c}_total" for c in sum_cols])
-        if len(few) <= MAX_LITERAL_GROUPS:
-            # few groups (e.g. two rankers): a literal lookup, because a join on a
-            # handful of keys would send each group's rows to a single reducer
-            key = F.struct(*[F.col(g) for g in partition_by])
-
-            def lookup(field: str) -> Column:
-                pairs = []
-                for r in few:
-                    pairs += [F.struct(*[F.lit(r[g]).alias(g) for g in partition_by]), F.lit(r[field])]
-                return F.create_map(*pairs)[key]
-
-            j = base.select(
-                "*",
-                *[lookup(f"_{c}_start").alias(f"_{c}_start") for c in sum_cols],
-                *[lookup(f"_{c}_gtot").alias(f"_{c}_gtot") for c in sum_cols],
-            )
-        else:
-            j = base.join(starts, list(partition_by), "left")
+        # NULL keys are a group like any other, and a group of a third of all rows is split
+        key = F.struct(*[F.col(g) for g in partition_by])
+        n_total = starts.agg(F.sum("_rows")).scalar()
+        table = starts.withColumns({"_s": key, "n": F.col("_rows"), "n_total": n_total})
+        base = glob.drop(*[f"{c}_total" for c in sum_cols]).withColumn("_group", key)
+        found = [f"_{c}_{x}" for c in sum_cols for x in ("start", "gtot")]
+        j = lookup_by_score(base, "_group", table, found)
         return j.select(
             *df.columns,
             *[(F.col(f"{c}_before") - F.col(f"_{c}_start")).alias(f"{c}_before") for c in sum_cols],

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions import flag, money
+from cartwheel.functions import MONEY, flag, money
 
 
 def _is(name: str):
@@ -35,8 +35,8 @@ def int_sessions(events: DataFrame) -> DataFrame:
         F.max(flag(_is("purchase"))).alias("did_purchase"),
         F.count_distinct(F.when(_is("view_item"), F.col("item_id"))).alias("products_viewed"),
         F.coalesce(
-            F.sum(F.when(_is("purchase"), money("purchase_revenue")).otherwise(F.lit(0).cast("decimal(18,2)"))),
-            F.lit(0).cast("decimal(28,2)"),
+            F.sum(F.when(_is("purchase"), money("purchase_revenue")).otherwise(F.lit(0).cast(MONEY))),
+            F.lit(0).cast(MONEY),
         )
         .cast("double")
         .alias("revenue"),

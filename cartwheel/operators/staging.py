@@ -70,18 +70,15 @@ def reject_reason(strict: bool = False) -> Column:
 
 
 def dedup_first(
-    df: DataFrame, key: str = "event_id", order: str = "event_timestamp", full_row_ties: bool = False
+    df: DataFrame, key: str = "event_id", order: str = "event_timestamp"
 ) -> DataFrame:
     """Keep the earliest row per ``key`` (NULL times last).
 
-    Copies with the same key and time are resolved arbitrarily, as in the SQL
-    model; exact copies are identical anyway. Ordering by the time alone keeps
-    every other column out of the window, so Catalyst prunes columns a
-    consumer does not need below the shuffle. ``full_row_ties`` breaks such
-    ties by the rest of the row instead (deterministic, but reads every column).
+    Copies with the same key and time but another payload are told apart by a hash of
+    the whole row, so a retried task or a second scan keeps the same one.
     """
-    tiebreak = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, order)] if full_row_ties else []
-    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last(), *tiebreak)
+    rest = F.xxhash64(*[F.col(c) for c in df.columns if c not in (key, order)])
+    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last(), rest)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -103,16 +100,15 @@ def typed_events(df: DataFrame) -> DataFrame:
         "item_id",
         "item_category",
         "item_name",
-        # DOUBLE -> INT rounds like the SQL engines do, not truncates (trap T10)
-        F.round(F.col("quantity")).cast("int").alias("quantity"),
+        # DOUBLE -> INT as the SQL cast does: to the nearest, halves to even (trap T10)
+        F.rint(F.col("quantity")).cast("int").alias("quantity"),
         F.col("purchase_revenue").cast("double").alias("purchase_revenue"),
     )
 
 
-def stg_events(raw: DataFrame, strict: bool = False, full_row_ties: bool = False) -> DataFrame:
-    """Clean, de-duplicated event stream (M1)."""
-    valid = raw.select(*CLEAN_COLUMNS).filter(is_valid(strict))
-    return typed_events(dedup_first(valid, full_row_ties=full_row_ties))
+def stg_events(raw: DataFrame, strict: bool = False) -> DataFrame:
+    """Valid events, one row per id, in the types of the warehouse (M1)."""
+    return typed_events(dedup_first(raw.select(*CLEAN_COLUMNS).filter(is_valid(strict))))
 
 
 def stg_events_rejected(raw: DataFrame, strict: bool = False) -> DataFrame:

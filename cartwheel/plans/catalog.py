@@ -1,23 +1,21 @@
 """Registry of the queries of the driver contract and their SQL oracles.
 
 Every query reads the driver tables (through the fixture adapter) or data
-Spark derives from them, over whole tables. Upstream DataFrames are memoised
-per (session, input folder), so queries that share models share their
-analysed plans, not their results: each query executes in full. The one
-shared result is the fitted propensity model (with the checkpointed store it
-was fitted on), reused by the five model-output queries.
+Spark derives from them, over whole tables, and executes in full: nothing is
+kept from one query for the next. A query that needs a model several times
+writes it to the shared scratch folder once (``Models.written``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import oracle
+from cartwheel.functions import round_half_up
 from cartwheel.operators import ledger, marts, quality, ranking, staging
 from cartwheel.plans import features, propensity
 from cartwheel.plans.models import Models, ModelTables
@@ -36,16 +34,18 @@ def register(name: str):
     return deco
 
 
-@lru_cache(maxsize=8)
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """One memoised model DAG per (session, input folder)."""
+    """The model DAG over an input folder."""
     return Models(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- staging, sessions, marts
 def _model(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return models_for(spark, sf_dir).table(name)
+        m = models_for(spark, sf_dir)
+        if name == "mart_customer_features":  # reads the sessions twice (their last day bounds the recency)
+            m.written("int_sessions")
+        return m.table(name)
 
     run.__name__ = name
     return run
@@ -108,18 +108,13 @@ def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("run_reconciliation")
 def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = models_for(spark, sf_dir)
-    return ledger.run_reconciliation(m.raw_events, m.stg_events, m.stg_events_rejected)
+    return ledger.raw_reconciliation(models_for(spark, sf_dir).raw_events)
 
 
 # ---------------------------------------------------------------- feature store
-@lru_cache(maxsize=8)
-def _store_for(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec) -> DataFrame:
-    return features.build_feature_store(models_for(spark, sf_dir).stg_events, spec)
-
-
-def _store(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec | None = None) -> DataFrame:
-    return _store_for(spark, sf_dir, spec or features.load_spec())
+def _store(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec | None = None, audit: bool = False) -> DataFrame:
+    events = models_for(spark, sf_dir).written("stg_events").stg_events
+    return features.build_feature_store(events, spec or features.load_spec(), audit=audit)
 
 
 def avg_spec() -> features.FeatureSpec:
@@ -128,7 +123,7 @@ def avg_spec() -> features.FeatureSpec:
     extra = features.Feature(
         name="avg_order_value_30d",
         aggregation="avg",
-        column="CAST(purchase_revenue AS DECIMAL(18,2))",
+        column="purchase_revenue",
         filter="event_name = 'purchase'",
         window_days=30,
     )
@@ -144,8 +139,8 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("feature_store_daily_rollup")
 def feature_store_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same store through the daily roll-up plan (the default for dense back-fills)."""
-    return features.build_feature_store(models_for(spark, sf_dir).stg_events, features.load_spec(), strategy="daily")
+    """The same store straight from the raw events, without a written copy of the clean ones."""
+    return features.build_feature_store(models_for(spark, sf_dir).stg_events, features.load_spec())
 
 
 @register("feature_store_report")
@@ -162,7 +157,7 @@ def label_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("leakage_violations")
 def leakage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.leakage_violations(_store(spark, sf_dir))
+    return features.leakage_violations(_store(spark, sf_dir, audit=True))
 
 
 @register("feature_avg")
@@ -211,13 +206,9 @@ def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("entity_id", "as_of_date", "score", "pct_rank", ranking.decile_from_pct("pct_rank").alias("decile"))
 
 
-@lru_cache(maxsize=4)
 def _model_run(spark: SparkSession, sf_dir: str) -> propensity.PropensityRun:
-    """One fitted model per (session, input folder), shared by the model queries.
-
-    Fit on a checkpointed store: the fit, the scoring and the metrics all read
-    it, and none of them should recompute the feature store from raw events.
-    """
+    """The fitted model, on a checkpointed store: the fit, the scoring and the metrics all
+    read it, and none of them should recompute the feature store."""
     ensure_checkpoint_dir(spark)
     spec = features.load_spec()
     return propensity.train_propensity(_store(spark, sf_dir, spec).checkpoint(eager=True), spec)
@@ -248,6 +239,36 @@ def remarketing_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.remarketing_audience(_model_run(spark, sf_dir).scores)
 
 
+@register("model_gradient")
+def model_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradient of the training objective at the fitted weights: zero, if they minimise it."""
+    return _model_run(spark, sf_dir).gradient
+
+
+# a weight vector kept as a specification, so that scores and audience can be checked in SQL
+FIXED_WEIGHTS = {"sessions_last_7d": 0.4, "views_last_14d": -0.05, "add_to_cart_last_14d": 0.3, "days_since_last_event": -0.02}
+FIXED_INTERCEPT = -0.7
+
+
+@register("propensity_fixed_weights")
+def propensity_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and deciles of the last cutoff under FIXED_WEIGHTS."""
+    ensure_checkpoint_dir(spark)
+    valid = date.fromisoformat(sorted(features.load_spec().cutoffs)[-1])
+    st = _store(spark, sf_dir).filter(F.col("as_of_date") == F.lit(valid))
+    z = F.lit(FIXED_INTERCEPT)
+    for name, w in FIXED_WEIGHTS.items():
+        z = z + F.col(name).cast("double") * F.lit(w)
+    scored = st.select("entity_id", "as_of_date", round_half_up(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 9).alias("propensity")).checkpoint(eager=True)
+    ranked = ranking.percent_rank_average(scored, "propensity", "_pct")
+    return ranked.select("entity_id", "as_of_date", "propensity", ranking.decile_from_pct("_pct").alias("decile"))
+
+
+@register("remarketing_audience_fixed_weights")
+def remarketing_audience_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.remarketing_audience(propensity_fixed_weights(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- data quality
 # check name -> registered query name
 DQ_QUERIES = {
@@ -262,11 +283,13 @@ DQ_QUERIES = {
     "propensity_scores_not_orphaned": "dq_relationship",
     "quarantine_rate_within_slo": "dq_quarantine_rate",
 }
+# ---- fixed values: asserted columns and conditions ----
 NON_NULL_COLUMNS = ["event_id", "event_timestamp", "user_pseudo_id", "event_name"]
 ROW_CONDITIONS = [
     "event_name IN ('session_start','page_view','view_item','add_to_cart','begin_checkout','purchase')",
     "purchase_revenue IS NULL OR purchase_revenue >= 0",
 ]
+CAMPAIGN_CONDITIONS = ["conversion_rate BETWEEN 0 AND 1", "roas >= 0"]
 
 
 def sql_checks() -> tuple[str, list[quality.Check]]:
@@ -282,13 +305,17 @@ def sql_checks() -> tuple[str, list[quality.Check]]:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> ModelTables:
-    return ModelTables(models_for(spark, sf_dir), {"feature_store": _store(spark, sf_dir)})
+    """Clean events, sessions and customer features, each computed once for all checks."""
+    m = models_for(spark, sf_dir).written("stg_events", "int_sessions", "mart_customer_features")
+    return ModelTables(m, {"feature_store": features.build_feature_store(m.stg_events, features.load_spec())})
 
 
 def _dq(check_name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ref, checks = sql_checks()
-        return quality.check_results(spark, [c for c in checks if c.name == check_name], _tables(spark, sf_dir), ref)
+        m = models_for(spark, sf_dir)
+        tables = ModelTables(m, {"feature_store": features.build_feature_store(m.stg_events, features.load_spec())})
+        return quality.check_results(spark, [c for c in checks if c.name == check_name], tables, ref)
 
     run.__name__ = DQ_QUERIES[check_name]
     return run
@@ -309,6 +336,91 @@ def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_score(dq_results(spark, sf_dir))
 
 
+def failing_checks() -> tuple[str, list[quality.Check]]:
+    """Every check type with a bound that the data must break."""
+    broken = {
+        "row_count_min": {"min": 10**12},
+        "freshness": {"max_days": -100_000},
+        "not_null": {"max_null_rate": -1.0},
+        "accepted_values": {"values": ["purchase"]},
+        "min_value": {"min": 1_000_000_000},
+        "range_agg": {"min": 2, "max": 3},
+        "reconcile_count": {"source_expr": "count(*) + 1"},
+        "relationship": {"to_table": "int_sessions", "to_column": "ga_session_id"},
+        "quarantine_rate": {"max_rate": -1.0},
+    }
+    ref, checks = sql_checks()
+    out = {}
+    for c in checks:
+        column = "event_name" if c.type == "unique" else c.column
+        out.setdefault(c.type, quality.Check(f"broken_{c.type}", c.type, c.table, column, c.severity, {**c.params, **broken.get(c.type, {})}))
+    return ref, list(out.values())
+
+
+@register("dq_results_failing")
+def dq_results_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, checks = failing_checks()
+    return quality.check_results(spark, checks, _tables(spark, sf_dir), ref)
+
+
+@register("dq_trend")
+def dq_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and pass rate per run over an audit of the checks at several reference dates."""
+    return ledger.dq_scores(_audit(spark, sf_dir))
+
+
+@register("dq_trend_per_check")
+def dq_trend_per_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.dq_trend(_audit(spark, sf_dir), "check_name").drop("severity_rank")
+
+
+TREND_DATES = ("2024-01-20", "2024-01-31", "2024-03-31")
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks as of TREND_DATES: only the freshness of the data changes between runs."""
+    tables, (_, checks) = _tables(spark, sf_dir), sql_checks()
+    out = None
+    for day in TREND_DATES:
+        one = quality.check_results(spark, checks, tables, day).withColumn("run_ts", F.lit(day).cast("timestamp_ntz"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("dq_scores_orphans")
+def dq_scores_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shipped orphan check on the model's own scores table."""
+    ref, checks = quality.load_checks()
+    m = models_for(spark, sf_dir)
+    tables = ModelTables(m, {"mart_propensity_scores": _model_run(spark, sf_dir).scores})
+    return quality.check_results(spark, [c for c in checks if c.type == "relationship"], tables, ref)
+
+
+@register("dq_assert_clean_events_unique_rows")
+def dq_assert_clean_events_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_unique_rows(models_for(spark, sf_dir).written("stg_events").stg_events, ["event_id"])
+
+
+@register("dq_assert_clean_events_non_null_rows")
+def dq_assert_clean_events_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_non_null_rows(models_for(spark, sf_dir).stg_events, NON_NULL_COLUMNS).drop("null_columns")
+
+
+@register("dq_assert_clean_events_row_conditions")
+def dq_assert_clean_events_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_row_conditions(models_for(spark, sf_dir).stg_events, ROW_CONDITIONS)
+
+
+@register("dq_assert_campaign_non_null_rows")
+def dq_assert_campaign_non_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_non_null_rows(models_for(spark, sf_dir).mart_campaign_efficiency, ["campaign_id"]).drop("null_columns")
+
+
+@register("dq_assert_campaign_row_conditions")
+def dq_assert_campaign_row_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assert_row_conditions(models_for(spark, sf_dir).mart_campaign_efficiency, CAMPAIGN_CONDITIONS)
+
+
 @register("dq_assert_unique_rows")
 def dq_assert_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assert_unique_rows(models_for(spark, sf_dir).raw_events, ["event_id"])
@@ -329,6 +441,7 @@ def oracles() -> dict[str, str]:
     spec = features.load_spec()
     out: dict[str, str] = {}
     out.update(oracle.staging_and_marts())
+    campaign = f"mart_campaign_efficiency AS ({oracle.campaign_sql()})"
     out.update(oracle.build_options())
     out.update(oracle.features(spec))
     out["feature_store_daily_rollup"] = out["feature_store"]
@@ -367,4 +480,37 @@ def oracles() -> dict[str, str]:
             for c in ROW_CONDITIONS
         )
     )
+    for name, columns in (("clean_events", NON_NULL_COLUMNS), ("campaign", ["campaign_id"])):
+        model, body = ("stg_events", "") if name == "clean_events" else ("mart_campaign_efficiency", campaign)
+        conditions = ROW_CONDITIONS if name == "clean_events" else CAMPAIGN_CONDITIONS
+        nulls = " OR ".join(f"{c} IS NULL" for c in columns)
+        out[f"dq_assert_{name}_non_null_rows"] = oracle.with_base(f"SELECT * FROM {model} WHERE {nulls}", body)
+        out[f"dq_assert_{name}_row_conditions"] = oracle.with_base(
+            "\nUNION ALL\n".join(f"SELECT *, {oracle.quote(c)} AS failed_condition FROM {model} WHERE NOT coalesce(({c}), TRUE)" for c in conditions), body
+        )
+    out["dq_assert_clean_events_unique_rows"] = oracle.with_base(
+        "SELECT * FROM stg_events WHERE event_id IN (SELECT event_id FROM stg_events GROUP BY event_id HAVING count(*) > 1)"
+    )
+    ref_f, broken = failing_checks()
+    out["dq_results_failing"] = oracle.with_base("\nUNION ALL\n".join(oracle.dq_check_sql(c, ref_f) for c in broken), oracle.dq_ctes(spec))
+    audit = "\nUNION ALL\n".join(
+        f"SELECT *, TIMESTAMP '{day}' AS run_ts FROM ({oracle.dq_check_sql(c, day)})" for day in TREND_DATES for c in checks
+    )
+    out["dq_trend"] = oracle.dq_trend_sql(audit, spec)
+    out["dq_trend_per_check"] = oracle.dq_trend_sql(audit, spec, "check_name")
+    orphan = next(c for c in quality.load_checks()[1] if c.type == "relationship")
+    last = sorted(spec.cutoffs)[-1]
+    out["dq_scores_orphans"] = oracle.with_base(
+        oracle.dq_check_sql(orphan, ref),
+        oracle.dq_ctes(spec) + f", mart_propensity_scores AS (SELECT entity_id FROM feature_store WHERE as_of_date = DATE '{last}')",
+    )
+    z = " + ".join([str(FIXED_INTERCEPT), *(f"{n} * CAST({w} AS DOUBLE)" for n, w in FIXED_WEIGHTS.items())])
+    fixed = f"""
+SELECT entity_id, as_of_date, propensity, CAST(floor(least(10.0 * (below + (same + 1) / CAST(2.0 AS DOUBLE)) / n, 10.0)) AS INTEGER) AS decile
+FROM (SELECT *, CAST(rank() OVER (ORDER BY propensity) - 1 AS DOUBLE) AS below, CAST(count(*) OVER (PARTITION BY propensity) AS DOUBLE) AS same,
+             CAST(count(*) OVER () AS DOUBLE) AS n
+      FROM (SELECT entity_id, as_of_date, {oracle.rnd(f'1 / (1 + exp(-({z})))', 9)} AS propensity FROM feature_store WHERE as_of_date = DATE '{last}'))"""
+    out["propensity_fixed_weights"] = oracle.with_base(fixed, oracle.feature_store_cte(spec))
+    out["remarketing_audience_fixed_weights"] = oracle.with_base(f"SELECT * FROM ({fixed}) WHERE decile >= 9", oracle.feature_store_cte(spec))
+    out["model_gradient"] = "SELECT * FROM (VALUES " + ", ".join(f"('{f.name}', CAST(0.0 AS DOUBLE))" for f in spec.features) + ") AS v(feature, gradient)"
     return {k: v for k, v in out.items() if k in QUERIES}

@@ -2,16 +2,11 @@
 
 All cutoffs are handled in the same job; no cutoff is a separate scan.
 
-* ``strategy="daily"``: events are rolled up per (entity, window
-  day) first -- daily partial counts and sums, daily max time, a daily label
-  flag and daily distinct keys -- and only those daily rows are paired with
-  the cutoffs whose windows hold them (``explode`` over a literal array of
-  cutoff bounds, no join) and aggregated per (entity, cutoff). Shuffle volume
-  does not grow with events x cutoffs.
-* ``strategy="events"``: raw events are paired with cutoffs directly and one
-  ``groupBy(entity, as_of_date)`` computes every feature and the label.
-* ``strategy="auto"`` (default) picks from the spec: events while each event
-  meets few cutoffs, daily when back-fills are dense.
+Events are rolled up per (entity, window day) first -- daily partial counts and sums,
+daily max time, a daily label flag and daily distinct keys -- and only those daily rows
+are paired with the cutoffs whose windows hold them (``explode`` over a literal array of
+cutoff bounds, no join) and aggregated per (entity, cutoff). Shuffle volume does not grow
+with events x cutoffs.
 
 The entity spine (everyone seen on or before a cutoff, no lower bound) comes
 from one minimum per entity, so events older than the widest window are read
@@ -22,12 +17,14 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions import money
+
 AGGREGATIONS = ("count", "count_distinct", "sum", "avg", "recency")
 RECENCY_MISSING = 999
 DEFAULT_SPEC = os.path.join(os.path.dirname(os.path.dirname(__file__)), "conf", "features.yaml")
@@ -95,117 +92,10 @@ def load_spec(path: str | None = None) -> FeatureSpec:
         return FeatureSpec.from_dict(yaml.safe_load(fh))
 
 
-def _end_of_day(as_of: str) -> datetime:
-    # the cutoff instant is as_of 23:59:59 (trap T11: the last fraction of a
-    # second belongs to the label window)
-    return datetime.fromisoformat(as_of) + timedelta(hours=23, minutes=59, seconds=59)
-
-
-def _ts(x: datetime) -> Column:
-    return F.lit(x.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-
-
-def cutoff_bounds(spec: FeatureSpec) -> Column:
-    """Literal array<struct> of every cutoff's bounds (tiny, part of the plan)."""
-    windows = sorted({int(f.window_days) for f in spec.features})
-    items = []
-    for c in spec.cutoffs:
-        hi = _end_of_day(c)
-        fields = [
-            F.lit(c).cast("date").alias("as_of_date"),
-            _ts(hi).alias("hi"),
-            _ts(hi + timedelta(days=int(spec.label.horizon_days))).alias("top"),
-        ]
-        fields += [_ts(hi - timedelta(days=w)).alias(f"lo_{w}") for w in windows]
-        items.append(F.struct(*fields))
-    return F.array(*items)
-
-
-def _feature_agg(f: Feature, ts: Column, ts_name: str) -> Column:
-    c = F.col("_c")
-    cond = (ts > c[f"lo_{int(f.window_days)}"]) & (ts <= c["hi"])
-    if f.filter:
-        cond = cond & F.expr(f.filter)
-    if f.aggregation == "count":
-        return F.count(F.when(cond, F.lit(1)))
-    if f.aggregation == "count_distinct":
-        # a FILTER clause (not a CASE inside DISTINCT) lets Catalyst share one
-        # Expand group among all distinct counts of the same column
-        window = f"`{ts_name}` > _c.lo_{int(f.window_days)} AND `{ts_name}` <= _c.hi"
-        where = f"{window} AND ({f.filter})" if f.filter else window
-        return F.expr(f"count(DISTINCT {f.column}) FILTER (WHERE {where})")
-    if f.aggregation == "sum":
-        return F.sum(F.when(cond, F.expr(f.column))).cast("double")
-    if f.aggregation == "avg":
-        v = F.when(cond, F.expr(f.column))
-        return F.sum(v).cast("double") / F.count(v)
-    if f.aggregation == "recency":
-        return F.datediff(c["as_of_date"], F.to_date(F.max(F.when(cond, ts)))).cast("bigint")
-    raise ValueError(f"unknown aggregation: {f.aggregation}")  # pragma: no cover
-
-
 def _out_type(f: Feature) -> str:
     return "double" if f.aggregation in ("sum", "avg") else "bigint"
 
 
-MAX_EVENT_REPLICATION = 4  # "auto" pairs raw events with cutoffs up to this many copies per event
-
-
-def cutoff_replication(spec: FeatureSpec) -> int:
-    """Most cutoffs any single event is paired with: the largest number of cutoffs
-    whose (cutoff - widest window, cutoff + horizon] spans overlap one instant."""
-    widest = max([int(f.window_days) for f in spec.features] or [0])
-    days = sorted(date.fromisoformat(c) for c in spec.cutoffs)
-    spans = [(d - timedelta(days=widest), d + timedelta(days=int(spec.label.horizon_days))) for d in days]
-    # the largest overlap of half-open spans (lo, hi] is reached at some right end
-    return max(sum(1 for lo, hi in spans if lo < point <= hi) for _, point in spans)
-
-
-def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None, strategy: str = "auto") -> DataFrame:
-    """``(entity_id, as_of_date, <features...>, <label>)`` for every cutoff of the spec.
-
-    ``strategy="events"`` pairs raw events with the cutoffs in one aggregation
-    (fewest stages); ``"daily"`` rolls events up to (entity, window day) first,
-    so the pairing replicates daily rows instead of events. ``"auto"`` (default)
-    decides from the spec alone: events while an event meets at most
-    ``MAX_EVENT_REPLICATION`` cutoffs (the shipped three cutoffs), daily for
-    dense back-fills such as weekly cutoffs over a year.
-    """
-    spec = (spec or load_spec()).validate()
-    if strategy == "auto":
-        strategy = "events" if cutoff_replication(spec) <= MAX_EVENT_REPLICATION else "daily"
-    if strategy == "daily":
-        return _store_from_daily_rollup(events, spec)
-    if strategy != "events":
-        raise ValueError(f"unknown strategy: {strategy}")
-    ts = F.col(spec.timestamp)
-    bounds = cutoff_bounds(spec)
-    widest = max(int(f.window_days) for f in spec.features) if spec.features else 0
-
-    # events -> (event, cutoff) pairs whose feature or label window holds the event
-    in_any = lambda c: (ts > c[f"lo_{widest}"]) & (ts <= c["top"]) if widest else (ts > c["hi"]) & (ts <= c["top"])
-    pairs = events.withColumn("_c", F.explode(F.filter(bounds, in_any)))
-
-    c = F.col("_c")
-    label_hit = (F.col(spec.event_column) == spec.label.event) & (ts > c["hi"]) & (ts <= c["top"])
-    aggs = [_feature_agg(f, ts, spec.timestamp).alias(f.name) for f in spec.features]
-    aggs.append(F.max(F.when(label_hit, F.lit(1))).alias(spec.label.name))
-    per_cutoff = pairs.groupBy(F.col(spec.entity).alias("entity_id"), c["as_of_date"].alias("as_of_date")).agg(*aggs)
-
-    # spine: every entity seen at or before the cutoff
-    first_seen = events.groupBy(F.col(spec.entity).alias("entity_id")).agg(F.min(ts).alias("_first"))
-    spine = first_seen.withColumn("_c", F.explode(F.filter(bounds, lambda b: F.col("_first") <= b["hi"]))).select(
-        "entity_id", F.col("_c")["as_of_date"].alias("as_of_date")
-    )
-
-    j = spine.join(per_cutoff, ["entity_id", "as_of_date"], "left")
-    cols = [F.col("entity_id"), F.col("as_of_date")]
-    cols += [F.coalesce(F.col(f.name), F.lit(f.default)).cast(_out_type(f)).alias(f.name) for f in spec.features]
-    cols.append(F.coalesce(F.col(spec.label.name), F.lit(0)).cast("int").alias(spec.label.name))
-    return j.select(*cols)
-
-
-# ------------------------------------------------------------------ daily roll-up strategy
 # Every window is (C - w days, C] in *window days*, where an event's window day
 # is the D with  D-1 23:59:59 < ts <= D 23:59:59  (the cutoff instant is 23:59:59,
 # trap T11). So events can be rolled up per (entity, window day) before any
@@ -231,7 +121,19 @@ def _day_bounds(spec: FeatureSpec) -> Column:
     return F.array(*items)
 
 
-def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
+NEWEST = "newest_event_ts"
+
+
+def build_feature_store(events: DataFrame, spec: FeatureSpec | None = None, audit: bool = False) -> DataFrame:
+    """``(entity_id, as_of_date, <features...>, <label>)`` for every cutoff of the spec.
+
+    One plan for every spec: events are rolled up per (entity, window day) with map-side
+    combine, and only those daily rows are paired with the cutoffs, so the shuffle does
+    not grow with events x cutoffs. Sums and averages add decimals, distinct counts keep
+    the column's own type. ``audit`` adds ``newest_event_ts``, the time of the newest
+    event that any feature of the row has read (NULL if none), for the leakage guard.
+    """
+    spec = (spec or load_spec()).validate()
     ts = F.col(spec.timestamp)
     ent = F.col(spec.entity).alias("entity_id")
     days = _day_bounds(spec)
@@ -247,12 +149,14 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
         if f.aggregation == "count":
             daily_aggs.append(F.count(F.when(flt(f), F.lit(1))).alias(f"_f{i}"))
         elif f.aggregation == "sum":
-            daily_aggs.append(F.sum(F.when(flt(f), F.expr(f.column))).alias(f"_f{i}"))
+            daily_aggs.append(F.sum(F.when(flt(f), money(F.expr(f.column)))).alias(f"_f{i}"))
         elif f.aggregation == "avg":
-            v = F.when(flt(f), F.expr(f.column))
+            v = F.when(flt(f), money(F.expr(f.column)))
             daily_aggs += [F.sum(v).alias(f"_f{i}"), F.count(v).alias(f"_n{i}")]
         elif f.aggregation == "recency":
             daily_aggs.append(F.max(F.when(flt(f), ts)).alias(f"_f{i}"))
+    if audit:
+        daily_aggs.append(F.max(ts).alias("_ts"))
     daily = ev.groupBy(ent, F.col("_d")).agg(*daily_aggs)
 
     # spine: every entity seen at or before the cutoff (first window day <= C)
@@ -282,6 +186,8 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
             aggs.append(
                 F.datediff(c["as_of_date"], F.to_date(F.max(F.when(in_w, F.col(f"_f{i}"))))).cast("bigint").alias(f.name)
             )
+    if audit:
+        aggs.append(F.max(F.when((d > c[f"lo_{widest}"]) & (d <= c["as_of_date"]), F.col("_ts")) if widest else F.lit(None).cast("timestamp_ntz")).alias(NEWEST))
     per_cutoff = paired.groupBy("entity_id", c["as_of_date"].alias("as_of_date")).agg(*aggs)
 
     # ---- distinct counts: daily distinct keys per column, then distinct over the window
@@ -289,12 +195,14 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
     j = spine.join(per_cutoff, ["entity_id", "as_of_date"], "left")
     if distinct:
         columns = sorted({f.column for _, f in distinct})
+        types = {col: ev.select(F.expr(col)).schema[0].dataType for col in columns}
         keyed = None
         for k, col in enumerate(columns):
             flags = [(flt(f) if f.column == col else F.lit(False)).alias(f"_q{i}") for i, f in distinct]
-            part = ev.select(ent, "_d", F.lit(k).alias("_kind"), F.expr(col).cast("string").alias("_v"), *flags)
+            # a struct with one field per column keeps every key in its own type
+            value = F.struct(*[(F.expr(o) if o == col else F.lit(None).cast(types[o])).alias(f"_{n}") for n, o in enumerate(columns)])
+            part = ev.filter(F.expr(col).isNotNull()).select(ent, "_d", F.lit(k).alias("_kind"), value.alias("_v"), *flags)
             keyed = part if keyed is None else keyed.unionByName(part)
-        keyed = keyed.filter(F.col("_v").isNotNull())
         day_keys = keyed.groupBy("entity_id", "_d", "_kind", "_v").agg(
             *[F.max(F.col(f"_q{i}")).alias(f"_q{i}") for i, _ in distinct]
         )
@@ -315,7 +223,7 @@ def _store_from_daily_rollup(events: DataFrame, spec: FeatureSpec) -> DataFrame:
     cols = [F.col("entity_id"), F.col("as_of_date")]
     cols += [F.coalesce(F.col(f.name), F.lit(f.default)).cast(_out_type(f)).alias(f.name) for f in spec.features]
     cols.append(F.coalesce(F.col(spec.label.name), F.lit(0)).cast("int").alias(spec.label.name))
-    return j.select(*cols)
+    return j.select(*cols, *([NEWEST] if audit else []))
 
 
 def feature_store_report(store: DataFrame, label: str) -> DataFrame:
@@ -334,6 +242,8 @@ def label_base_rate(store: DataFrame, label: str) -> DataFrame:
     )
 
 
-def leakage_violations(store: DataFrame, recency_column: str = "days_since_last_event") -> DataFrame:
-    """One row: rows whose recency is negative (a feature read past its cutoff)."""
-    return store.agg(F.count(F.when(F.col(recency_column) < 0, F.lit(1))).alias("violations"))
+def leakage_violations(store: DataFrame) -> DataFrame:
+    """One row: rows of an audited store whose newest event used lies past the cutoff
+    instant (``as_of_date`` 23:59:59)."""
+    instant = F.timestamp_add("SECOND", F.lit(86_399), F.col("as_of_date").cast("timestamp_ntz"))
+    return store.agg(F.count(F.when(F.col(NEWEST) > instant, F.lit(1))).alias("violations"))

@@ -26,16 +26,22 @@ class Models:
     # ---- raw zone
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        """The raw zone: given, or landed once from the driver tables as Parquet
-        under the shared scratch folder and read back with explicit schemas."""
-        if self._raw is not None:
-            return self._raw
-        return fixtures.land_raw_zone(self.spark, self.sf_dir, sinks.scratch_root(self.spark, "raw-zone"))
+        """The raw zone: given, or read straight from the driver tables."""
+        return self._raw if self._raw is not None else fixtures.raw_zone(self.spark, self.sf_dir)
 
     @property
     def raw_events(self) -> DataFrame:
         return self.raw["raw_events"]
 
+    def written(self, *names: str) -> Models:
+        """The same DAG with the named models written to the shared scratch folder once and
+        read back, for queries that would otherwise compute them several times."""
+        for name in names:
+            path = sinks.scratch_root(self.spark, name)
+            sinks.write_table(self.table(name), path)
+            self.__dict__[name] = self.spark.read.schema(self.table(name).schema).parquet(path)
+        return self
+
     # ---- staging
     @cached_property
     def stg_events(self) -> DataFrame:

@@ -41,6 +41,7 @@ class PropensityRun:
     train_cutoffs: list[str]
     valid_cutoff: str
     n_train: int
+    gradient: DataFrame  # feature, gradient of the training objective at the fit, to 5 digits
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -181,7 +182,16 @@ def train_propensity(
         ),
     )
 
-    return PropensityRun(scores, weights, scored, train_cutoffs, valid_cutoff, n)
+    # mean weighted (p - y) * x + regParam * weight: zero where the objective is least
+    z = F.lit(float(model.intercept))
+    for c, w in zip(cols, coefs):
+        z = z + F.col(c) * F.lit(w)
+    err = F.col("_w") * (F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col("_y"))
+    slopes = train_x.agg(
+        *[F.abs(F.sum(err * F.col(c)) / F.sum("_w") + F.lit(w / n)).alias(c) for c, w in zip(cols, coefs)]
+    )
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), ranking.round_half_up(F.col(c), 5).alias("gradient")) for c in cols])
+    return PropensityRun(scores, weights, scored, train_cutoffs, valid_cutoff, n, slopes.select(F.inline(rows)))
 
 
 def auc_improvement(metrics: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ class WarehouseRun:
             # a count of the written Parquet is answered from file footers
             n = table.count()
         except Exception as exc:  # noqa: BLE001 - recorded in the ledger, the run goes on
-            status, err = "failed", (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+            status, err = "failed", str(exc).strip() or type(exc).__name__
         row = (self.run_id, self.run_ts, model, layer, n, round(time.perf_counter() - t0, 4), status, err)
         return row, table
 
@@ -149,12 +149,12 @@ class WarehouseRun:
 
     # ------------------------------------------------------------ feature store (FS11, FS12, S8)
     def backfill_features(self) -> DataFrame:
-        store = feat.build_feature_store(self.tables["stg_events"], self.spec)
+        store = feat.build_feature_store(self.tables["stg_events"], self.spec, audit=True)
         sinks.overwrite_partitions(store, self.path("feature_store"), "as_of_date")
         self.tables["feature_store"] = self._read("feature_store")
         leaks = feat.leakage_violations(self.tables["feature_store"]).first()["violations"]
         if leaks:
-            raise AssertionError(f"point-in-time violation: {leaks} rows with negative recency")
+            raise AssertionError(f"point-in-time violation: {leaks} rows read an event past their cutoff")
         report = feat.feature_store_report(self.tables["feature_store"], self.spec.label.name)
         sinks.write_table(report, self.path("feature_store_report"))  # S12
         return self._read("feature_store_report")
@@ -193,14 +193,15 @@ class WarehouseRun:
                     rows = quality.check_results(self.spark, [c], self.tables, ref).collect()
                     parts.append(self.spark.createDataFrame(rows, quality.RESULT_SCHEMA))
                 except Exception as exc:  # noqa: BLE001
-                    msg = (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+                    msg = str(exc).strip() or type(exc).__name__
                     parts.append(quality.error_row(self.spark, c, msg))
             res = parts[0]
             for p in parts[1:]:
                 res = res.unionByName(p)
             sinks.append_table(stamped(res), self.path("dq_audit_results"), "run_date")
         audit = self._read("dq_audit_results")
-        this_run = audit.filter(F.col("run_ts") == F.lit(run_ts).cast("timestamp"))
+        # the date is the partition column: only this day's files are read
+        this_run = audit.filter((F.col("run_date") == F.lit(run_ts.date())) & (F.col("run_ts") == F.lit(run_ts).cast("timestamp")))
         summary = quality.quality_score(this_run).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
         sinks.append_table(summary, self.path("dq_scores"))  # S12: one row per quality run
         score = summary.first()

@@ -9,12 +9,10 @@ so the adapter is a single map-side stage over ``events`` / ``orders`` /
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel import schema
 
 # ---- fixed values of the fixture mapping -------------------------------------------
 # driver event_type -> shop event_name
@@ -55,20 +53,10 @@ DRIVER_SCHEMAS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read one driver table.
-
-    With ``spread`` a scan that yields fewer splits than the cluster has cores
-    (a small file with a single row group cannot be split) is spread
-    round-robin over the cores; a scan of many files is left as it is.
-    """
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table."""
     reader = spark.read.schema(DRIVER_SCHEMAS[name]) if name in DRIVER_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _case(col: Column, mapping: dict) -> Column:
@@ -80,7 +68,7 @@ def _case(col: Column, mapping: dict) -> Column:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw shop events (17 columns, reference raw shape) derived from ``events``."""
-    ev = _table(spark, sf_dir, "events", spread=True).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
@@ -140,7 +128,7 @@ def raw_crm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign x day spend aggregated from ``orders`` (partial + final hash aggregate)."""
-    o = _table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_totalprice")
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     cno = (F.expr(f"o_orderkey div {SPEND_DAYS}") % N_CAMPAIGNS).alias("cno")
     day = F.date_add(F.lit(SIGNUP_BASE).cast("date"), (F.col("o_orderkey") % SPEND_DAYS).cast("int")).alias("date")
     g = o.groupBy(day, cno).agg(
@@ -167,26 +155,3 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "raw_ad_spend": raw_ad_spend(spark, sf_dir),
         "raw_crm_customers": raw_crm_customers(spark, sf_dir),
     }
-
-
-RAW_SCHEMAS = {
-    "raw_events": schema.RAW_EVENTS,
-    "raw_ad_spend": schema.RAW_AD_SPEND,
-    "raw_crm_customers": schema.RAW_CRM,
-}
-
-
-def land_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
-    """Write the raw zone once as Parquet under ``root`` (shared storage) and return
-    scans of it with the explicit raw schemas: the models then read raw Parquet,
-    as they do in production, instead of re-deriving it from the driver tables."""
-    zone = raw_zone(spark, sf_dir)
-
-    def land(name: str) -> tuple[str, DataFrame]:
-        path = f"{root}/{name}"
-        zone[name].write.mode("overwrite").parquet(path)
-        return name, spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
-
-    # three independent jobs, submitted together
-    with ThreadPoolExecutor(max_workers=len(zone)) as pool:
-        return dict(pool.map(land, list(zone)))

@@ -43,7 +43,7 @@ def ga4_export(raw_events: DataFrame) -> DataFrame:
     item = lambda iid, name, cat, q: F.struct(
         iid.alias("item_id"), name.alias("item_name"), cat.alias("item_category"), q.cast("bigint").alias("quantity")
     )
-    first = item(F.col("item_id"), F.col("item_name"), F.col("item_category"), F.round("quantity"))
+    first = item(F.col("item_id"), F.col("item_name"), F.col("item_category"), F.rint("quantity"))
     second = item(
         F.concat(F.col("item_id"), F.lit("_b")), F.concat(F.col("item_name"), F.lit(" B")), F.col("item_category"), F.lit(1)
     )

@@ -17,9 +17,13 @@ from cartwheel.session import ensure_checkpoint_dir
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder under the shared checkpoint folder, removed when the session ends."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)  # only a path that exists can be marked
+    files.deleteOnExit(where)
+    return path
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

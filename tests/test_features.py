@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.operators import staging
 from cartwheel.plans import features as feat
@@ -29,18 +30,9 @@ def _ev(i, ts, user="u1", name="view_item", rev=None):
                    event_name=name, ga_session_id=f"{user}.{ts.date()}", purchase_revenue=rev)
 
 
-STRATEGY = {"value": "daily"}
-
-
-@pytest.fixture(params=["daily", "events"], autouse=True)
-def strategy(request):
-    STRATEGY["value"] = request.param
-    yield request.param
-
-
 def _store(make_raw, rows, spec=SPEC):
     ev = staging.stg_events(make_raw(rows))
-    return {r.entity_id: r for r in feat.build_feature_store(ev, spec, strategy=STRATEGY["value"]).collect()}
+    return {r.entity_id: r for r in feat.build_feature_store(ev, spec).collect()}
 
 
 def test_window_edges_and_label_second(make_raw):
@@ -83,31 +75,35 @@ def test_spec_validation():
     assert len(spec.features) == 9 and spec.label.horizon_days == 1
 
 
-def test_shipped_store_has_no_leakage(spark, strategy):
+def test_shipped_store_has_no_leakage(spark):
     from cartwheel.plans.models import Models
 
-    store = feat.build_feature_store(Models(spark, "/root/testdata/sf0.001").stg_events, strategy=strategy)
+    store = feat.build_feature_store(Models(spark, "/root/testdata/sf0.001").stg_events, audit=True)
     assert feat.leakage_violations(store).first().violations == 0
     rep = {r.as_of_date: r for r in feat.feature_store_report(store, "purchased_next_1d").collect()}
     assert len(rep) == 3 and all(r.rows > 0 for r in rep.values())
 
 
-def test_strategies_agree_on_driver_data(spark):
+def test_planted_leak_is_seen(spark):
     from cartwheel.plans.models import Models
 
-    ev = Models(spark, "/root/testdata/sf0.01").stg_events
-    a = feat.build_feature_store(ev, strategy="daily")
-    b = feat.build_feature_store(ev, strategy="events")
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    store = feat.build_feature_store(Models(spark, "/root/testdata/sf0.001").stg_events, audit=True)
+    cutoff = F.timestamp_add("SECOND", F.lit(86_399), F.col("as_of_date").cast("timestamp_ntz"))
+    at, past = cutoff, F.timestamp_add("MICROSECOND", F.lit(1), cutoff)
+    n = store.count()
+    assert feat.leakage_violations(store.withColumn("newest_event_ts", at)).first().violations == 0
+    assert feat.leakage_violations(store.withColumn("newest_event_ts", past)).first().violations == n
 
 
-def test_auto_strategy_follows_cutoff_density():
-    shipped = feat.load_spec()
-    assert feat.cutoff_replication(shipped) == 3
-    weekly = feat.FeatureSpec(
-        entity="user_pseudo_id",
-        cutoffs=tuple(str(date(2024, 1, 7) + timedelta(days=7 * i)) for i in range(52)),
-        label=feat.Label("y", "purchase", 1),
-        features=(feat.Feature("events_90d", "count", 90),),
+def test_sums_and_distinct_keys_do_not_depend_on_order_or_cutoffs(make_raw):
+    spec = feat.FeatureSpec(
+        entity="user_pseudo_id", cutoffs=("2024-01-10",), label=feat.Label("y", "purchase", 1),
+        features=(feat.Feature("s", "sum", 30, column="purchase_revenue"), feat.Feature("d", "count_distinct", 30, column="purchase_revenue")),
     )
-    assert feat.cutoff_replication(weekly) == 13  # cutoffs in any 91-day stretch
+    rows = [_ev(i, HI - timedelta(days=i), name="view_item", rev=v) for i, v in enumerate((0.1, 0.2, 0.3, 1e16, -1e16, 0.0, -0.0))]
+    for cutoffs in (spec.cutoffs, tuple(str(date(2024, 1, 10) + timedelta(days=7 * i)) for i in range(20))):
+        many = feat.FeatureSpec(spec.entity, cutoffs, spec.label, spec.features)
+        for order in (rows, rows[::-1]):
+            ev = staging.stg_events(make_raw(order))
+            r = next(x for x in feat.build_feature_store(ev, many).collect() if str(x.as_of_date) == "2024-01-10")
+            assert (r.s, r.d) == (0.6, 6)

@@ -60,8 +60,20 @@ def test_quantity_rounds_not_truncates(make_raw):
     assert staging.stg_events(raw).first().quantity == 2
 
 
-def test_full_row_ties_option(make_raw):
+def test_ties_do_not_depend_on_input_order(make_raw):
     t = datetime(2024, 1, 5, 9)
-    raw = make_raw([raw_row(event_id="t", event_timestamp=t, item_id=i) for i in ("b", "a", "c")])
-    assert [r.item_id for r in staging.stg_events(raw, full_row_ties=True).collect()] == ["a"]
-    assert len(staging.stg_events(raw).collect()) == 1
+    rows = [raw_row(event_id="t", event_timestamp=t, item_id=i) for i in ("b", "a", "c", "d")]
+    kept = {staging.stg_events(make_raw(rows[k:] + rows[:k]).repartition(3)).first().item_id for k in range(4)}
+    assert len(kept) == 1
+
+
+def test_quantity_halves_round_to_even(make_raw):
+    raw = make_raw([raw_row(event_id=f"q{q}", quantity=q) for q in (0.5, 1.5, 2.5, 3.5)])
+    assert sorted(r.quantity for r in staging.stg_events(raw).collect()) == [0, 2, 2, 4]
+
+
+def test_money_below_a_cent_is_kept(make_raw):
+    from cartwheel.operators import sessions
+
+    raw = make_raw([raw_row(event_id=f"p{i}", event_name="purchase", purchase_revenue=0.004) for i in range(1000)])
+    assert sessions.int_sessions(staging.stg_events(raw)).first().revenue == 4.0
