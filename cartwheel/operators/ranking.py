@@ -168,7 +168,7 @@ def lookup_by_score(
     is_hot = F.col("n") > F.col("n_total") * F.lit(float(hot_fraction))
     hot = table.filter(is_hot).select(F.col("_s").alias("_hs"), F.lit(True).alias("_hot"))
     right = table.select(
-        "_s",
+        F.col("_s").alias("_ls"),
         *cols,
         F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
     )
@@ -176,7 +176,7 @@ def lookup_by_score(
         "_salt",
         F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))).otherwise(F.lit(0)),
     )
-    joined = left.join(right, F.col(score).eqNullSafe(F.col("_s")) & (left["_salt"] == right["_salt"]), "left")
+    joined = left.join(right, F.col(score).eqNullSafe(F.col("_ls")) & (left["_salt"] == right["_salt"]), "left")
     return joined.select(*[df[c] for c in df.columns], *[F.col(c) for c in cols])
 
 
