@@ -34,11 +34,12 @@ BLOCK = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE_TAGS = set("nav footer aside form button menu dialog head select label fieldset".split())
 FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|gdpr|nav\w*|menu|breadcrumbs?|sidebar|side|footer|header|masthead|topbar|"
-    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|overlay|widget|comments?|respond|replies|disqus|pagination|pager|toolbar|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|gdpr|\w*nav|nav\w*|menu|breadcrumbs?|sidebar|side|footer|"
+    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|overlay|widgets?|comment\w*|respond|replies|disqus|pagination|pager|toolbar|"
     r"skip|copyright|legal|tags|meta|byline)(?:$|[\s_-])",
     re.I,
 )
+HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:\w*header|masthead|topbar)(?:$|[\s_-])", re.I)  # furniture outside an article only
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 MARKUP = re.compile(
     rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|$))|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S | re.I
@@ -87,7 +88,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
                         break
         elif tag not in VOID and tag in BLOCK | FURNITURE_TAGS or tag in ("span", "b"):
             attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(m["attrs"] or "")}
-            named = FURNITURE_NAMES.search(f"{attrs.get('class', '')} {attrs.get('id', '')}") if tag not in ("html", "body", "article", "main") else None
+            names = f"{attrs.get('class', '')} {attrs.get('id', '')}" if tag not in ("html", "body", "article", "main") else ""
+            named = FURNITURE_NAMES.search(names) or (not article and HEADER_NAMES.search(names))
             hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
             dull = tag in FURNITURE_TAGS or bool(named) or attrs.get("role") in FURNITURE_ROLES or hidden or (tag == "header" and not article)
             marked = tag in ("article", "main") or attrs.get("role") in ("main", "article")

@@ -281,6 +281,11 @@ def test_html_with_article():
     assert html_text.extract(html) == "The title First <part> bold word. Second part third one two Ok."
 
 
+def test_html_header_of_an_article_stays():
+    html = "<div class='site-header'>Site</div><article><div class='entry-header'><h1>Title</h1></div><p>Text.</p><section class=comments-area>hm</section></article>"
+    assert html_text.extract(html) == "Title Text."
+
+
 def test_html_without_article():
     body = "".join(f"<p>{'Sentence of the main text number %d. ' % i * 4}</p>" for i in range(8))
     html = f"<body><div class=menu><a>a</a><a>b</a></div><div><a href=1>Some link</a> <a href=2>Other link</a></div><div>{body}</div><div class='related'>{'x ' * 90}</div><p>tiny</p></body>"
