@@ -26,6 +26,7 @@ from cartwheel.llm.graph import components
 
 SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14  # counters of the frequency sketch
 PARTS = 32  # parts of the suffix filter
+CUTS = np.array([*(np.uint64(i << 59) for i in range(PARTS)), np.uint64(2**64 - 1)], np.uint64)
 
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -61,25 +62,26 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
     def run(batches):
         hasher, sketch = WordHasher(), np.zeros(SKETCH, np.int64)
         for b in batches:
-            sizes, digests, held, count = [], [], [], 0
+            sizes, digests, parts, held, count = [], [], [], [], 0
             for s, d in _sets(b.column(2), hasher, n):
                 sizes.append(len(s)), digests.append(d), held.append(s)
+                parts.append(np.diff(np.searchsorted(s, CUTS)) if d else None)
                 count += len(s)
                 if count > SKETCH:
                     sketch += _tally(held)
                     held, count = [], 0
             sketch += _tally(held)
             none = [None] * len(sizes)
-            out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "block": none, "data": none}
+            out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "parts": parts, "block": none, "data": none}
             yield out | {k: b.column(3 + i) for i, k in enumerate(passed)}
         used = [k for k in range(SKETCH // SKETCH_BLOCK) if sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK].any()]
         none = [None] * len(used)
-        out = {"_id": none, "row": none, "n": none, "digest": none, "block": used, "data": [pack(sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in used]}
+        out = {"_id": none, "row": none, "n": none, "digest": none, "parts": none, "block": used, "data": [pack(sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in used]}
         yield out | {k: none for k in passed}
 
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col), _row(id_col, text_col), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
-    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, block int, data binary{types}"), "jaccard-sets")
+    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, parts array<int>, block int, data binary{types}"), "jaccard-sets")
     counts = collect_blocks(sum_blocks(both.filter("block is not null"), "int64"), "int64", SKETCH, SKETCH_BLOCK)
     return both.filter("block is null").drop("block", "data"), counts
 
@@ -121,46 +123,51 @@ def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int, text_col
     return map_batches(docs.select(text_col), run, "shingle long, digest binary, n int, pos int")
 
 
-def whole_sets(docs: DataFrame, wanted: Bloom, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(digest, items, parts) of the documents whose row hash is wanted, one per digest."""
+def whole_sets(docs: DataFrame, classes: DataFrame, n: int, id_col: str, text_col: str, repeated: bool) -> DataFrame:
+    """(digest, items): the whole sets of some classes, read from one row of each (its row
+    hash ``row``; a Bloom filter lets few other rows through). ``repeated``: rows may
+    agree in id and text, so one class may be read more than once."""
+    wanted = Bloom(classes.select("row"), classes.count())
     test = wanted.tester()
 
     def run(batches):
         hasher = WordHasher()
         for b in batches:
             own = b.column(1).filter(pa.array(test(b.column(0).to_numpy(zero_copy_only=False))))
-            digests, items, parts, held = [], [], [], 0
+            digests, items, held = [], [], 0
             for s, d in _sets(own, hasher, n):
                 if d is not None:
                     digests.append(d), items.append(s.tobytes())
-                    parts.append(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=PARTS).tolist())
                     held += len(s)
-                    if held > 1_000_000:
-                        yield {"digest": digests, "items": items, "parts": parts}
-                        digests, items, parts, held = [], [], [], 0
-            yield {"digest": digests, "items": items, "parts": parts}
+                    if held > 500_000:
+                        yield {"digest": digests, "items": items}
+                        digests, items, held = [], [], 0
+            yield {"digest": digests, "items": items}
 
-    found = map_batches(docs.select(_row(id_col, text_col), F.col(text_col)), run, "digest binary, items binary, parts array<int>")
-    return found.groupBy("digest").agg(F.first("items").alias("items"), F.first("parts").alias("parts"))
+    found = map_batches(docs.select(_row(id_col, text_col), F.col(text_col)), run, "digest binary, items binary")
+    return found.groupBy("digest").agg(F.first("items").alias("items")) if repeated else found
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, own: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame:
     """The pairs (a, b) whose whole sets are within the threshold."""
+    both = shared_table(pairs, "jaccard-pairs")
+    met = both.select(F.col("a").alias("digest")).union(both.select("b")).distinct().join(own.select("digest", "row"), "digest")
+    sets = shared_table(whole_sets(docs, shared_table(met, "jaccard-met"), n, id_col, text_col, repeated), "jaccard-whole")
 
     def run(batches):
         for batch in batches:
-            a, b, x, y = (batch.column(k).to_pylist() for k in range(4))
+            a, b, x, y = (batch.column(k) for k in range(4))
             good = []
             for i in range(len(a)):
-                p, q = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * both >= percent * (len(p) + len(q) - both):
+                p, q = (np.frombuffer(z[i].as_buffer(), np.uint64) for z in (x, y))
+                same = len(np.intersect1d(p, q, assume_unique=True))
+                if 100 * same >= percent * (len(p) + len(q) - same):
                     good.append(i)
-            yield {"a": [a[i] for i in good], "b": [b[i] for i in good]}
+            yield {"a": a.take(pa.array(good, pa.int64())), "b": b.take(pa.array(good, pa.int64()))}
 
     one = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
-    return map_batches(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), run, "a binary, b binary")
+    return map_batches(both.join(one, "a").join(two, "b").select("a", "b", "x", "y"), run, "a binary, b binary")
 
 
 def feasible(p: int, n: str, pos: str, m: str, pos2: str) -> Column:
@@ -179,7 +186,7 @@ def suffix_feasible(p: int) -> Column:
     """Suffix filter: the sets, cut into parts of the hash range, differ part by part in
     size by no more than the threshold lets whole sets differ."""
     apart = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    return apart * (100 + p) <= (F.col("n") + F.col("n2")) * (100 - p)
+    return apart.cast("long") * (100 + p) <= (F.col("n") + F.col("n2")).cast("long") * (100 - p)
 
 
 def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
@@ -196,8 +203,9 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     rows, counts = describe(docs, n, id_col, text_col, extra or {})
     some = rows.filter("digest is not null")
     total = some.count()
-    own = shared_table(some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row")), "jaccard-classes")
-    links = all_links(docs, own, counts, n, percent, id_col, text_col)
+    own = shared_table(some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row"), F.first("parts").alias("parts")), "jaccard-classes")
+    repeated = not some.groupBy("row").count().filter("count > 1").isEmpty()
+    links = all_links(docs, own, counts, n, percent, id_col, text_col, repeated)
     if links is None:
         comps = own.select("digest", F.col("low").alias("component_id"), F.col("digest").alias("component"), F.col("rows").alias("members"), "rows")
     else:
@@ -216,7 +224,7 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     return out.unionByName(empty.select(*names))
 
 
-def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, percent: int, id_col: str, text_col: str) -> DataFrame | None:
+def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame | None:
     """Links (a, b) between set digests whose components are those of all links."""
     every = shared_table(prefixes(docs, counts, n, percent, text_col), "jaccard-prefixes")
     # shingles in the prefixes of two or more classes; others cannot make a pair
@@ -228,24 +236,24 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
         return None
     near = shared_table(every.filter(Bloom(common, n_common).maybe(F.col("shingle"))), "jaccard-near")
 
+    whole = (own, docs, n, percent, id_col, text_col, repeated)
+
     # the most central class of each shingle, and the classes that meet it
     centre = near.groupBy("shingle").agg(F.min(F.struct("pos", "n", "digest")).alias("c"))
     centre = centre.select("shingle", F.col("c.pos").alias("pos2"), F.col("c.n").alias("n2"), F.col("c.digest").alias("centre"))
     met = near.join(centre, "shingle").filter((F.col("digest") != F.col("centre")) & feasible(percent, "n", "pos", "n2", "pos2"))
-    pairs = shared_table(met.select(F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")).distinct(), "jaccard-pairs")
-
-    # whole sets of the classes that share a prefix shingle, read from one row of each
-    wanted = near.select("digest").distinct().join(own.select("digest", "row"), "digest").select("row")
-    wanted = shared_table(wanted, "jaccard-wanted")
-    sets = shared_table(whole_sets(docs, Bloom(wanted, wanted.count()), n, id_col, text_col), "jaccard-whole")
-    first = shared_table(verify(pairs, sets, percent), "jaccard-links")
+    met = met.groupBy("digest", "centre").agg(F.first("n").alias("n"), F.first("n2").alias("n2"))
+    parts = own.select(F.col("digest").alias("centre"), F.col("parts").alias("parts2"))
+    met = met.join(own.select("digest", "parts"), "digest").join(parts, "centre").filter(suffix_feasible(percent))
+    met = met.select(F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")).distinct()
+    first = shared_table(verify(met, *whole), "jaccard-links")
     labels = components(first)
 
     # all pairs that share a prefix shingle and are not in one component yet
     placed = near.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     placed = shared_table(placed, "jaccard-placed")
     split = placed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("shingle")
-    open_ = placed.join(split, "shingle", "left_semi").join(sets.select("digest", "parts"), "digest")
+    open_ = placed.join(split, "shingle", "left_semi").join(own.select("digest", "parts"), "digest")
     open_ = shared_table(open_.distinct(), "jaccard-open")
     # the smaller side (ties: by digest) needs its shorter, index prefix only
     index = open_.filter(F.col("pos") * (100 + percent) <= F.col("n") * (100 - percent) + (100 + percent))
@@ -253,8 +261,7 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
     ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("digest2") < F.col("digest")))
     on = (F.col("shingle") == F.col("shingle2")) & ahead & (F.col("label") != F.col("label2")) & feasible(percent, "n", "pos", "n2", "pos2") & suffix_feasible(percent)
     more = open_.join(index, on).select(F.col("digest").alias("a"), F.col("digest2").alias("b")).distinct()
-    second = verify(shared_table(more, "jaccard-pairs"), sets, percent)
-    return first.unionByName(second)
+    return first.unionByName(verify(more, *whole))
 
 
 def drop_linked(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
