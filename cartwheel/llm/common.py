@@ -84,6 +84,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
             arrays = [x.cast(f.type) if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in arrow]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+                del arrays, out
+        pa.default_memory_pool().release_unused()  # the worker lives on, idle
 
     return df.mapInArrow(run, schema)
 
@@ -236,7 +238,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-SEGMENT, LONG_WORD = 1 << 20, 512
+SEGMENT, LONG_WORD = 1 << 18, 512
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _VALUE[0x41:0x5B] = _VALUE[0x61:0x7B]  # A-Z count as a-z
@@ -257,15 +259,15 @@ class WordHasher:
         ones[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
         self.inverse = np.multiply.accumulate(ones)
 
-    def chunks(self, column: pa.Array, most: int = 2 << 20, tails: bool = False) -> Iterator[tuple]:
+    def chunks(self, column: pa.Array, most: int = 1 << 20, tails: bool = False) -> Iterator[tuple]:
         """(first row, word hashes, words per row) of stretches of rows of about ``most``
         bytes; with ``tails`` also the last two bytes of each word as one number (0 before
         a single byte)."""
-        column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
         n = len(column)
         if not n:
             return
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
+        wide = pa.types.is_large_string(column.type)
+        offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32).astype(np.int64, copy=False)[column.offset : column.offset + n + 1]
         data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
         lo = 0
         while lo < n:

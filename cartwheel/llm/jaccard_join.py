@@ -25,7 +25,7 @@ from cartwheel.llm.common import Bloom, WordHasher, collect_blocks, drop_listed,
 from cartwheel.llm.graph import components
 
 SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14  # counters of the frequency sketch
-PARTS = 32  # parts of the suffix filter
+PARTS = 32  # parts of the suffix filter; counts above 127 stay 127, which keeps it a lower bound
 CUTS = np.array([*(np.uint64(i << 59) for i in range(PARTS)), np.uint64(2**64 - 1)], np.uint64)
 
 
@@ -65,7 +65,7 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
             sizes, digests, parts, held, count = [], [], [], [], 0
             for s, d in _sets(b.column(2), hasher, n):
                 sizes.append(len(s)), digests.append(d), held.append(s)
-                parts.append(np.diff(np.searchsorted(s, CUTS)) if d else None)
+                parts.append(np.minimum(np.diff(np.searchsorted(s, CUTS)), 127).astype(np.int8) if d else None)
                 count += len(s)
                 if count > SKETCH:
                     sketch += _tally(held)
@@ -81,7 +81,7 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
 
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col), _row(id_col, text_col), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
-    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, parts array<int>, block int, data binary{types}"), "jaccard-sets")
+    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, parts array<tinyint>, block int, data binary{types}"), "jaccard-sets")
     counts = collect_blocks(sum_blocks(both.filter("block is not null"), "int64"), "int64", SKETCH, SKETCH_BLOCK)
     return both.filter("block is null").drop("block", "data"), counts
 
@@ -107,7 +107,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int, text_col
             for s, d in _sets(b.column(0), hasher, n):
                 if d is None or d in seen:  # a copy met earlier in this task
                     continue
-                if len(seen) < 200_000:
+                if len(seen) < 50_000:
                     seen.add(d)
                 most = len(s) + (-percent * len(s) // 100) + 1
                 first = np.lexsort((s, freq[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))[:most]
@@ -151,8 +151,11 @@ def whole_sets(docs: DataFrame, classes: DataFrame, n: int, id_col: str, text_co
 def verify(pairs: DataFrame, own: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame:
     """The pairs (a, b) whose whole sets are within the threshold."""
     both = shared_table(pairs, "jaccard-pairs")
-    met = both.select(F.col("a").alias("digest")).union(both.select("b")).distinct().join(own.select("digest", "row"), "digest")
-    sets = shared_table(whole_sets(docs, shared_table(met, "jaccard-met"), n, id_col, text_col, repeated), "jaccard-whole")
+    met = both.select(F.col("a").alias("class")).union(both.select("b")).distinct().join(own.select("class", "row", "digest"), "class")
+    met = shared_table(met, "jaccard-met")
+    sets = shared_table(whole_sets(docs, met, n, id_col, text_col, repeated), "jaccard-whole")
+    for c in "ab":
+        both = both.join(met.select(F.col("class").alias(c), F.col("digest").alias(f"d{c}")), c)
 
     def run(batches):
         for batch in batches:
@@ -165,9 +168,9 @@ def verify(pairs: DataFrame, own: DataFrame, docs: DataFrame, n: int, percent: i
                     good.append(i)
             yield {"a": a.take(pa.array(good, pa.int64())), "b": b.take(pa.array(good, pa.int64()))}
 
-    one = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
-    two = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
-    return map_batches(both.join(one, "a").join(two, "b").select("a", "b", "x", "y"), run, "a binary, b binary")
+    one = sets.select(F.col("digest").alias("da"), F.col("items").alias("x"))
+    two = sets.select(F.col("digest").alias("db"), F.col("items").alias("y"))
+    return map_batches(both.join(one, "da").join(two, "db").select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def feasible(p: int, n: str, pos: str, m: str, pos2: str) -> Column:
@@ -185,14 +188,14 @@ def feasible(p: int, n: str, pos: str, m: str, pos2: str) -> Column:
 def suffix_feasible(p: int) -> Column:
     """Suffix filter: the sets, cut into parts of the hash range, differ part by part in
     size by no more than the threshold lets whole sets differ."""
-    apart = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    apart = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x.cast("int"))
     return apart.cast("long") * (100 + p) <= (F.col("n") + F.col("n2")).cast("long") * (100 - p)
 
 
 def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by
-    links, its own included), ``members`` (rows in the component), ``component`` (a digest
-    naming it, null for empty sets).
+    links, its own included), ``members`` (rows in the component), ``component`` (a number
+    naming it within this result, null for empty sets).
 
     Two rows link when 100 * |A and B| >= percent * |A or B| for their sets of distinct
     word n-grams. Null, empty and blank texts have empty sets and link with nothing. Rows
@@ -203,29 +206,29 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     rows, counts = describe(docs, n, id_col, text_col, extra or {})
     some = rows.filter("digest is not null")
     total = some.count()
-    own = shared_table(some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row"), F.first("parts").alias("parts")), "jaccard-classes")
+    own = some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row"), F.first("parts").alias("parts"))
+    own = shared_table(own.withColumn("class", F.monotonically_increasing_id()), "jaccard-classes")
     repeated = not some.groupBy("row").count().filter("count > 1").isEmpty()
     links = all_links(docs, own, counts, n, percent, id_col, text_col, repeated)
     if links is None:
-        comps = own.select("digest", F.col("low").alias("component_id"), F.col("digest").alias("component"), F.col("rows").alias("members"), "rows")
+        comps = own.select("digest", F.col("low").alias("component_id"), F.col("class").alias("component"), F.col("rows").alias("members"), "rows")
     else:
         labels = components(links)
-        tied = own.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-        tied = shared_table(tied, "jaccard-labels")
+        tied = shared_table(own.drop("row", "parts").join(labels.withColumnRenamed("node", "class"), "class", "left"), "jaccard-labels")
         linked = tied.filter("label is not null")
         sums = linked.groupBy("label").agg(F.min("low").alias("component_id"), F.sum("rows").alias("members"), F.count(F.lit(1)).alias("sets"))
         linked = join_groups(linked.select("digest", "label", "rows"), shared_table(sums, "jaccard-sums"), ["label"], "sets", total)
-        alone = tied.filter("label is null").select("digest", F.col("low").alias("component_id"), F.col("digest").alias("component"), F.col("rows").alias("members"), "rows")
+        alone = tied.filter("label is null").select("digest", F.col("low").alias("component_id"), F.col("class").alias("component"), F.col("rows").alias("members"), "rows")
         comps = alone.unionByName(linked.select("digest", "component_id", F.col("label").alias("component"), "members", "rows"))
     comps = shared_table(comps, "jaccard-components")
     names = [F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "members", "component", *(extra or {})]
     out = join_groups(some, comps, ["digest"], "rows", total).select(*names)
-    empty = rows.filter("digest is null").withColumns({"component_id": F.col("_id"), "members": F.lit(1).cast("long"), "component": F.lit(None).cast("binary")})
+    empty = rows.filter("digest is null").withColumns({"component_id": F.col("_id"), "members": F.lit(1).cast("long"), "component": F.lit(None).cast("long")})
     return out.unionByName(empty.select(*names))
 
 
 def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame | None:
-    """Links (a, b) between set digests whose components are those of all links."""
+    """Links (a, b) between class numbers whose components are those of all links."""
     every = shared_table(prefixes(docs, counts, n, percent, text_col), "jaccard-prefixes")
     # shingles in the prefixes of two or more classes; others cannot make a pair
     code = F.xxhash64("digest")
@@ -234,33 +237,33 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
     n_common = common.count()
     if not n_common:
         return None
-    near = shared_table(every.filter(Bloom(common, n_common).maybe(F.col("shingle"))), "jaccard-near")
-
+    near = every.filter(Bloom(common, n_common).maybe(F.col("shingle")))
+    near = shared_table(near.join(own.select("digest", "class"), "digest").select("shingle", "class", "n", "pos").distinct(), "jaccard-near")
     whole = (own, docs, n, percent, id_col, text_col, repeated)
 
     # the most central class of each shingle, and the classes that meet it
-    centre = near.groupBy("shingle").agg(F.min(F.struct("pos", "n", "digest")).alias("c"))
-    centre = centre.select("shingle", F.col("c.pos").alias("pos2"), F.col("c.n").alias("n2"), F.col("c.digest").alias("centre"))
-    met = near.join(centre, "shingle").filter((F.col("digest") != F.col("centre")) & feasible(percent, "n", "pos", "n2", "pos2"))
-    met = met.groupBy("digest", "centre").agg(F.first("n").alias("n"), F.first("n2").alias("n2"))
-    parts = own.select(F.col("digest").alias("centre"), F.col("parts").alias("parts2"))
-    met = met.join(own.select("digest", "parts"), "digest").join(parts, "centre").filter(suffix_feasible(percent))
-    met = met.select(F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")).distinct()
+    centre = near.groupBy("shingle").agg(F.min(F.struct("pos", "n", "class")).alias("c"))
+    centre = centre.select("shingle", F.col("c.pos").alias("pos2"), F.col("c.n").alias("n2"), F.col("c.class").alias("centre"))
+    met = near.join(centre, "shingle").filter((F.col("class") != F.col("centre")) & feasible(percent, "n", "pos", "n2", "pos2"))
+    met = met.groupBy("class", "centre").agg(F.first("n").alias("n"), F.first("n2").alias("n2"))
+    parts = own.select(F.col("class").alias("centre"), F.col("parts").alias("parts2"))
+    met = met.join(own.select("class", "parts"), "class").join(parts, "centre").filter(suffix_feasible(percent))
+    met = met.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
     first = shared_table(verify(met, *whole), "jaccard-links")
     labels = components(first)
 
     # all pairs that share a prefix shingle and are not in one component yet
-    placed = near.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    placed = near.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     placed = shared_table(placed, "jaccard-placed")
     split = placed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("shingle")
-    open_ = placed.join(split, "shingle", "left_semi").join(own.select("digest", "parts"), "digest")
-    open_ = shared_table(open_.distinct(), "jaccard-open")
-    # the smaller side (ties: by digest) needs its shorter, index prefix only
+    open_ = placed.join(split, "shingle", "left_semi").join(own.select("class", "parts"), "class")
+    open_ = shared_table(open_.select("shingle", "class", "n", "pos", "label", "parts"), "jaccard-open")
+    # the smaller side (ties: by number) needs its shorter, index prefix only
     index = open_.filter(F.col("pos") * (100 + percent) <= F.col("n") * (100 - percent) + (100 + percent))
-    index = index.select(*[F.col(c).alias(f"{c}2") for c in ("shingle", "digest", "n", "pos", "label", "parts")])
-    ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("digest2") < F.col("digest")))
+    index = index.select(*[F.col(c).alias(f"{c}2") for c in ("shingle", "class", "n", "pos", "label", "parts")])
+    ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("class2") < F.col("class")))
     on = (F.col("shingle") == F.col("shingle2")) & ahead & (F.col("label") != F.col("label2")) & feasible(percent, "n", "pos", "n2", "pos2") & suffix_feasible(percent)
-    more = open_.join(index, on).select(F.col("digest").alias("a"), F.col("digest2").alias("b")).distinct()
+    more = open_.join(index, on).select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct()
     return first.unionByName(verify(more, *whole))
 
 
