@@ -33,7 +33,17 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     survives lost executors); the folder goes when the session ends."""
     path = scratch_root(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete shared tables that nothing reads any more, before the session ends."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(t._scratch)
+        where.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def remainder(id_col: str, modulus: int) -> Column:
@@ -72,11 +82,23 @@ class Memo(dict):
             self.clear()
 
 
+# Arrow batch bounds of the session, where they are still Spark's own: texts may be long, and a
+# worker and its executor each hold a few copies of a batch
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    for key, (own, bound) in BATCHES.items():
+        if spark.conf.get(key, own) == own:
+            spark.conf.set(key, bound)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` whose function yields plain dicts of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    bound_batches(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):

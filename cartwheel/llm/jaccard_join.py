@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Bloom, WordHasher, collect_blocks, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table, sum_blocks
+from cartwheel.llm.common import Bloom, WordHasher, collect_blocks, discard, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table, sum_blocks
 from cartwheel.llm.graph import components
 
 SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14  # counters of the frequency sketch
@@ -150,7 +150,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, n: int, id_col: str, text_co
 
 def verify(pairs: DataFrame, own: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame:
     """The pairs (a, b) whose whole sets are within the threshold."""
-    both = shared_table(pairs, "jaccard-pairs")
+    both = written = shared_table(pairs, "jaccard-pairs")
     met = both.select(F.col("a").alias("class")).union(both.select("b")).distinct().join(own.select("class", "row", "digest"), "class")
     met = shared_table(met, "jaccard-met")
     sets = shared_table(whole_sets(docs, met, n, id_col, text_col, repeated), "jaccard-whole")
@@ -170,7 +170,9 @@ def verify(pairs: DataFrame, own: DataFrame, docs: DataFrame, n: int, percent: i
 
     one = sets.select(F.col("digest").alias("da"), F.col("items").alias("x"))
     two = sets.select(F.col("digest").alias("db"), F.col("items").alias("y"))
-    return map_batches(both.join(one, "da").join(two, "db").select("a", "b", "x", "y"), run, "a long, b long")
+    links = shared_table(map_batches(both.join(one, "da").join(two, "db").select("a", "b", "x", "y"), run, "a long, b long"), "jaccard-links")
+    discard(sets, met, written)
+    return links
 
 
 def feasible(p: int, n: str, pos: str, m: str, pos2: str) -> Column:
@@ -239,6 +241,7 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
         return None
     near = every.filter(Bloom(common, n_common).maybe(F.col("shingle")))
     near = shared_table(near.join(own.select("digest", "class"), "digest").select("shingle", "class", "n", "pos").distinct(), "jaccard-near")
+    discard(every, common)
     whole = (own, docs, n, percent, id_col, text_col, repeated)
 
     # the most central class of each shingle, and the classes that meet it
@@ -249,7 +252,7 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
     parts = own.select(F.col("class").alias("centre"), F.col("parts").alias("parts2"))
     met = met.join(own.select("class", "parts"), "class").join(parts, "centre").filter(suffix_feasible(percent))
     met = met.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
-    first = shared_table(verify(met, *whole), "jaccard-links")
+    first = verify(met, *whole)
     labels = components(first)
 
     # all pairs that share a prefix shingle and are not in one component yet
@@ -264,7 +267,9 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
     ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("class2") < F.col("class")))
     on = (F.col("shingle") == F.col("shingle2")) & ahead & (F.col("label") != F.col("label2")) & feasible(percent, "n", "pos", "n2", "pos2") & suffix_feasible(percent)
     more = open_.join(index, on).select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct()
-    return first.unionByName(verify(more, *whole))
+    second = verify(more, *whole)
+    discard(near, placed, open_)
+    return first.unionByName(second)
 
 
 def drop_linked(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from cartwheel.llm.common import Memo, Shared, map_batches, remainder
+from cartwheel.llm.common import Memo, Shared, bound_batches, map_batches, remainder
 
 DIM = 1 << 13
 PER_LANGUAGE, SAMPLE = 400, 4000  # training documents per language, and in all
@@ -194,6 +194,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     Null texts and texts without a letter give "und" with score 0, as does any text if
     there was nothing to learn from. Whole texts are read; no other column is.
     """
+    bound_batches(docs.sparkSession)
     shared = Shared(docs.sparkSession, model)
 
     def run(batches):

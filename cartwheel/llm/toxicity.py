@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Memo, Shared, map_batches, remainder
+from cartwheel.llm.common import Memo, Shared, bound_batches, map_batches, remainder
 
 DIM, FACTORS = 1 << 16, 4
 SAMPLE_ROWS, SAMPLE_TERMS = 20_000, 8_000_000
@@ -135,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``toxicity`` (0 to 1). Null and empty texts get the score of
     a text without terms. Whole texts are read; no other column is."""
+    bound_batches(docs.sparkSession)
     shared = Shared(docs.sparkSession, model)
 
     def run(batches):
