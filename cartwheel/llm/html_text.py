@@ -5,8 +5,9 @@ headers, footers, sidebars, notices, adverts, forms, comments; also scripts and
 count zero, as do lines that are mostly link text. Over windows of a few lines the text
 lengths are summed; a region begins at a surge (the first line with text where the sum
 rises above the threshold) and ends at the dive (the last line with text before the sum
-falls to zero, or a line of furniture). Where the page marks its article, the lines in it
-compete alone and any text is a surge; else only regions near the densest one's size stay.
+falls to zero, a line of furniture, or the edge of a marked article). Lines in a marked
+article weigh MARK times as much in the windows. Only regions near the densest one's size
+stay; an article that stays keeps its short lines too.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import map_batches
 
 WINDOW = 3  # lines per block
-SURGE = 80  # characters in a window that start a region on pages that mark no article
+SURGE = 80  # characters in a window that start a region
+MARK = 5  # a character in a marked article weighs as much as so many others
 SHARE = 0.2  # a region stays if it holds this share of the largest region's text
 LINKS = 0.5  # a line with more of its text inside links is furniture
 
@@ -47,17 +49,18 @@ MARKUP = re.compile(
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters inside links, is furniture, is in the article) of every block line."""
+def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
+    """(text, characters inside links, is furniture, number of the outermost marked article
+    it is in or 0) of every block line."""
     lines, parts = [], []
-    links = link_depth = furniture = article = 0
+    links = link_depth = furniture = article = articles = 0
     stack: list[tuple[str, bool, bool, bool]] = []  # tag, furniture, article, header outside the article
 
     def flush():
         nonlocal parts, links
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            lines.append((text, links, furniture > 0, article > 0))
+            lines.append((text, links, furniture > 0, articles if article else 0))
         parts, links = [], 0
 
     def close(entry):
@@ -101,6 +104,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
             entry = (tag, dull, marked, False)
             stack.append(entry)
             furniture += dull
+            articles += marked and not article
             article += marked
     if at < len(html):
         parts.append(html[at:])
@@ -108,35 +112,45 @@ def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
     return lines
 
 
-def main_lines(lines: list[tuple[str, int, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def main_lines(lines: list[tuple[str, int, bool, int]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between surge and dive points, in page order."""
-    marked = any(in_article and not dull for _, _, dull, in_article in lines)
-    weight = [0 if dull or (marked and not inside) or (links > LINKS * len(text) and not marked) else len(text) for text, links, dull, inside in lines]
-    least = 1 if marked else surge
-    total = [0, *accumulate(weight)]
     n = len(lines)
-    # text in the lines around each line, not reaching across furniture
+    inside = [article for _, _, _, article in lines]
+    linked = [links > LINKS * len(text) for text, links, _, _ in lines]
+    # in an article a single line of links (a linked headline) is text, a run of them is a list
+    listed = [linked[i] and (not inside[i] or any(0 <= k < n and linked[k] and inside[k] == inside[i] for k in (i - 1, i + 1))) for i in range(n)]
+    weight = [0 if dull or listed[i] else len(text) * (MARK if article else 1) for i, (text, _, dull, article) in enumerate(lines)]
+    total = [0, *accumulate(weight)]
+    # text in the lines around each line, not reaching across furniture or the edge of an article
     barrier = [0, *accumulate(dull for _, _, dull, _ in lines)]
     regions: list[tuple[int, int]] = []
     start = None
     for i in range(n):
         hi = min(n, i + window)
-        while barrier[hi] - barrier[i] and hi > i:
+        while hi > i and (barrier[hi] - barrier[i] or inside[hi - 1] != inside[i]):
             hi -= 1
         block = total[hi] - total[i]
-        if start is None:
-            if weight[i] and block >= least:
-                start = i  # surge
-        elif not block:
+        if start is not None and (not block or inside[i] != inside[start]):
             regions.append((start, i))  # dive
             start = None
+        if start is None and weight[i] and block >= surge:
+            start = i  # surge
     if start is not None:
         regions.append((start, n))
-    if not regions and any(weight):  # little text throughout: the window never surged
-        regions = [(0, n)]
-    mass = [total[b] - total[a] for a, b in regions]
-    keep = [r for r, m in zip(regions, mass) if marked or m >= SHARE * max(mass)]
-    return [lines[i][0] for a, b in keep for i in range(a, b) if weight[i]]
+    if not regions:  # little text throughout: the window never surged
+        marked = any(w and a for w, a in zip(weight, inside))
+        return [lines[i][0] for i in range(n) if weight[i] and (inside[i] or not marked)]
+    # an article stays or goes as a whole: its mass is that of all its lines
+    mass: dict[int, int] = {}
+    for w, a in zip(weight, inside):
+        mass[a] = mass.get(a, 0) + w
+    sizes = [mass[inside[a]] if inside[a] else total[b] - total[a] for a, b in regions]
+    if not inside[regions[sizes.index(max(sizes))][0]]:  # the main text is in no article: the mark gives no weight
+        sizes = [m // MARK if inside[a] else m for m, (a, _) in zip(sizes, regions)]
+    keep = [r for r, m in zip(regions, sizes) if m >= SHARE * max(sizes)]
+    articles = {inside[a] for a, _ in keep} - {0}
+    spans = {i for a, b in keep for i in range(a, b)}
+    return [lines[i][0] for i in range(n) if weight[i] and (i in spans or inside[i] in articles)]
 
 
 def extract(html: str | None) -> str:

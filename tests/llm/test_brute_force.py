@@ -293,6 +293,18 @@ def test_html_without_article():
     assert got.startswith("Sentence of the main text number 0.") and "number 7." in got and "link" not in got and "x x" not in got
 
 
+def test_html_lists_of_links_in_an_article_go():
+    text = [f"Sentence {i} of the article, long enough to be text." for i in range(6)]
+    html = f"<article><h1><a href=/>Linked headline</a></h1>{''.join(f'<p>{t}</p>' for t in text)}<ul>{'<li><a href=x>Some other story</a></li>' * 3}</ul><p>Ok.</p></article>"
+    assert html_text.extract(html) == " ".join(["Linked headline", *text, "Ok."])
+
+
+def test_html_main_text_beside_a_short_article():
+    text = [f"Sentence {i} of the main text, which stands in a plain division." for i in range(12)]
+    html = f"<body><div>{''.join(f'<p>{t}</p>' for t in text)}</div><article><h3>Teaser</h3><p>Read this one too.</p></article></body>"
+    assert html_text.extract(html) == " ".join(text)
+
+
 def test_html_pages_of_the_table(spark):
     for r in queries.op8_html_extraction(spark, SF_SMALL).join(table(spark, SF_SMALL, "pages").select("page_id", "html"), "page_id").collect():
         inner = re.search(r"<article>(.*?)(?:</article>|$)", r["html"], re.S)[1]
