@@ -7,11 +7,19 @@ negatives are paragraphs of a bounded sample of the corpus (the SAMPLE_DOCS docu
 with the smallest row hash). A temperature fitted on held-back variations calibrates the
 probabilities; a paragraph below MIN_PROBABILITY is unknown. A prediction counts only if
 the paragraph also agrees with a template of its family word pair by word pair.
+
+A notice may be wrapped over lines. So each block (lines up to a line without words) is
+read as one word sequence too: every stretch of it that agrees with a template and is
+not inside one paragraph is classified as well; of stretches that overlap, the one that
+agrees best with a template of its family stays.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,6 +29,7 @@ from cartwheel.llm.common import Memo, Shared, map_batches, mix64, word_hash
 
 DIM = 1 << 14
 PARAGRAPH_WORDS, STRIDE = 24, 12
+SLACK = 8  # words that a wrapped statement may hold besides its template's
 SAMPLE_DOCS, VARIATIONS = 300, 60
 MIN_PROBABILITY, MIN_AGREEMENT = 0.5, 0.6
 UNKNOWN = "unknown"
@@ -92,20 +101,87 @@ TEMPLATES = {
 FAMILIES = sorted(TEMPLATES)
 
 
-def paragraphs(text: str) -> list[list[str]]:
-    """Word lists of the lines, long lines in overlapping windows; lines without words
-    are left out."""
-    out = []
+def _pairs(ws: list[str]) -> set:
+    return set(zip(ws, ws[1:])) or {(w,) for w in ws} or {()}
+
+
+PAIRS = {f: [_pairs(WORD.findall(t.lower())) for t in ts] for f, ts in TEMPLATES.items()}
+SIZES = {f: [len(WORD.findall(t.lower())) for t in ts] for f, ts in TEMPLATES.items()}
+HOLDERS: dict[tuple, list[tuple[str, int]]] = {}  # pair -> the templates that hold it
+for _f, _ts in PAIRS.items():
+    for _k, _t in enumerate(_ts):
+        for _p in _t:
+            HOLDERS.setdefault(_p, []).append((_f, _k))
+KNOWN = frozenset(HOLDERS)
+
+
+def blocks(text: str) -> list[tuple[list[str], list[tuple[int, int]]]]:
+    """(words, paragraphs as word ranges) of the blocks. Paragraphs are the lines, long
+    lines in overlapping windows; a line without words (blank, or only comment marks, which
+    are no words) ends a block."""
+    out, words, units = [], [], []
     for line in text.split("\n"):
         ws = WORD.findall(line.lower())
-        if len(ws) <= PARAGRAPH_WORDS:
-            if ws:
-                out.append(ws)
+        if not ws:
+            if words:
+                out.append((words, units))
+                words, units = [], []
+            continue
+        at, n = len(words), len(ws)
+        if n <= PARAGRAPH_WORDS:
+            units.append((at, at + n))
         else:
-            out += [ws[i : i + PARAGRAPH_WORDS] for i in range(0, len(ws) - STRIDE, STRIDE)]
+            units += [(at + i, at + min(n, i + PARAGRAPH_WORDS)) for i in range(0, n - STRIDE, STRIDE)]
+        words += ws
+    return out + [(words, units)] * bool(words)
+
+
+def paragraphs(text: str) -> list[list[str]]:
+    """Word lists of the lines, long lines in overlapping windows; lines without words
+    are left out."""
+    return [ws[a:b] for ws, units in blocks(text) for a, b in units]
+
+
+def stretches(ws: list[str], family: str, k: int) -> list[tuple[float, int, int]]:
+    """(agreement, start, end) of the stretches of at most SLACK words more than template k
+    of the family that agree with it; of overlapping ones the best, then the shortest."""
+    pairs, reach = PAIRS[family][k], SIZES[family][k] + SLACK - 1
+    hits = [(i, p) for i, p in enumerate(zip(ws, ws[1:])) if p in pairs]
+    least, seen, hi, out = MIN_AGREEMENT * len(pairs), Counter(), 0, []
+    for lo, (start, pair) in enumerate(hits):
+        while hi < len(hits) and hits[hi][0] < start + reach:
+            seen[hits[hi][1]] += 1
+            hi += 1
+        if len(seen) >= least:
+            first = {}
+            for i, p in hits[lo:hi]:
+                first.setdefault(p, i)
+            new = (len(seen) / len(pairs), start, max(first.values()) + 2)
+            if not out or out[-1][2] <= start:
+                out.append(new)
+            elif (new[0], new[1] - new[2]) > (out[-1][0], out[-1][1] - out[-1][2]):
+                out[-1] = new
+        seen[pair] -= 1
+        if not seen[pair]:
+            del seen[pair]
     return out
 
 
+def wrapped(ws: list[str], units: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches of a block that agree with a template and lie in no single paragraph."""
+    if len(units) < 2:
+        return []
+    held = Counter(t for p in KNOWN.intersection(zip(ws, ws[1:])) for t in HOLDERS[p])
+    found = {(a, b) for (f, k), n in held.items() if n >= MIN_AGREEMENT * len(PAIRS[f][k]) for _, a, b in stretches(ws, f, k)}
+    if not found:
+        return []
+    ends = [0] * (len(ws) + 1)  # by word: the furthest end of a paragraph that begins there or before
+    for a, b in units:
+        ends[a] = max(ends[a], b)
+    ends = list(accumulate(ends, max))
+    return sorted((a, b) for a, b in found if b > ends[a])
+
+
 def grams(paras: list[list[str]], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     """(hashed 1- to 3-grams of all paragraphs, owner of each)."""
     sizes = np.array([len(p) for p in paras], np.int64)
@@ -135,8 +211,6 @@ class Model:
                     pad = [filler[int(rng.integers(len(filler)))] for _ in range(int(rng.integers(0, 17)))]
                     cut = int(rng.integers(len(pad) + 1))
                     paras.append(pad[:cut] + v + pad[cut:]), y.append(k)
-        pairs = {f: [_pairs(WORD.findall(t.lower())) for t in TEMPLATES[f]] for f in FAMILIES}
-        self.templates = pairs
         clean = [p for p in negatives if all(self.agreement(p, f) < MIN_AGREEMENT for f in FAMILIES)]
         paras += clean
         y += [len(FAMILIES)] * len(clean)
@@ -182,20 +256,45 @@ class Model:
     def agreement(self, para: list[str], family: str) -> float:
         """Largest share of a template's word pairs that the paragraph holds."""
         own = _pairs(para)
-        return max(len(t & own) / len(t) for t in self.templates[family])
+        return max(len(t & own) / len(t) for t in PAIRS[family])
 
-    def classify(self, paras: list[list[str]], memo: Memo) -> list[tuple[int, int, float]]:
-        """(paragraph, family, probability) of the confirmed paragraphs."""
+    def classify(self, paras: list[list[str]], memo: Memo) -> list[tuple[int, int, float, float]]:
+        """(paragraph, family, probability, agreement) of the confirmed paragraphs."""
         if not paras:
             return []
         prob = _softmax(self.logits(*grams(paras, memo), len(paras)) / self.temperature)
         best = prob.argmax(axis=1)
         likely = np.flatnonzero((best < len(FAMILIES)) & (prob.max(axis=1) >= MIN_PROBABILITY))
-        return [(int(i), int(best[i]), float(prob[i, best[i]])) for i in likely if self.agreement(paras[i], FAMILIES[best[i]]) >= MIN_AGREEMENT]
+        agree = [self.agreement(paras[i], FAMILIES[best[i]]) for i in likely]
+        return [(int(i), int(best[i]), float(prob[i, best[i]]), a) for i, a in zip(likely, agree) if a >= MIN_AGREEMENT]
 
 
-def _pairs(ws: list[str]) -> set:
-    return set(zip(ws, ws[1:])) or {(w,) for w in ws} or {()}
+def _plain(text: str) -> list[list[str]]:
+    """The paragraphs that hold no part of a wrapped statement."""
+    out = []
+    for ws, units in blocks(text):
+        stated = bytearray(len(ws))
+        for a, b in wrapped(ws, units):
+            stated[a:b] = b"\1" * (b - a)
+        out += [ws[a:b] for a, b in units if not any(stated[a:b])]
+    return out
+
+
+def _best(found: list[tuple[float, bool, float, int, int, int, int]]) -> list[tuple[int, int, float]]:
+    """(paragraph, family, probability) of the statements of a text, in order. ``found``:
+    (agreement, is wrapped, probability, family, start, end, paragraph). Of wrapped ones
+    that overlap another, the best in agreement stays, a paragraph before a stretch;
+    paragraphs do not rule out each other."""
+    if not any(f[1] for f in found):
+        return [(k, family, p) for _, _, p, family, _, _, k in found]
+    taken, out = {}, []
+    for _, joined, p, family, a, b, k in sorted(found, key=lambda f: (-f[0], f[1], -f[2])):
+        rivals = {taken[i] for i in range(a, b) if i in taken}
+        if True in rivals or (joined and rivals):
+            continue
+        taken.update(dict.fromkeys(range(a, b), joined))
+        out.append((k, family, p))
+    return sorted(out)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -203,17 +302,24 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _core(para: list[str], family: str, start: int, end: int) -> tuple[int, int]:
+    """The word range of a paragraph's statement; all of it if its words lie far apart."""
+    found = max((s for k in range(len(PAIRS[family])) for s in stretches(para, family, k)), default=None)
+    return (start + found[1], start + found[2]) if found else (start, end)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The classifier, with negatives from SAMPLE_DOCS documents of the corpus."""
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("t"))
     least = rows.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     found = [] if least is None else [(r["h"], r["t"]) for r in rows.filter(F.col("h") <= least).toLocalIterator()]
-    return Model([p for _, t in sorted(found) for p in paragraphs(t)])
+    return Model([p for _, t in sorted(found) for p in _plain(t)])
 
 
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_paragraphs``, ``licenses``: array of (paragraph,
-    family, probability) of the paragraphs that state a licence.
+    family, probability) of the paragraphs that state a licence; for a statement over
+    several paragraphs, the one it begins in.
 
     Null and empty texts have no paragraphs. Whole texts are read. Repeated rows repeat,
     null ids stay null, other columns are ignored.
@@ -223,22 +329,29 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     def run(batches):
         own, memo = shared.get(), Memo(word_hash)
         for b in batches:
-            counts, found = [], []
+            counts = []
             group, owner = [], []
             texts = b.column(1).to_pylist()
             found = [[] for _ in texts]
             words = 0
             for i, t in enumerate(texts):
-                paras = paragraphs(t) if t else []
-                counts.append(len(paras))
-                group += paras
-                owner += [(i, k) for k in range(len(paras))]
-                words += sum(map(len, paras))
+                at = k = 0
+                for ws, units in blocks(t) if t else ():
+                    within = [(a, e, False, k + j) for j, (a, e) in enumerate(units)]
+                    over = [(a, e, True, k + bisect_right(units, (a, len(ws))) - 1) for a, e in wrapped(ws, units)]
+                    for a, e, joined, n in within + over:
+                        group.append(ws[a:e])
+                        owner.append((i, joined, at + a, at + e, n))
+                        words += e - a
+                    at, k = at + len(ws), k + len(units)
+                counts.append(k)
                 if words > 200_000 or i == len(texts) - 1:
-                    for j, family, p in own.classify(group, memo):
-                        d, k = owner[j]
-                        found[d].append({"paragraph": k, "family": FAMILIES[family], "probability": p})
+                    for j, family, p, agree in own.classify(group, memo):
+                        d, joined, a, e, n = owner[j]
+                        a, e = (a, e) if joined else _core(group[j], FAMILIES[family], a, e)
+                        found[d].append((agree, joined, p, family, a, e, n))
                     group, owner, words = [], [], 0
+            found = [[{"paragraph": k, "family": FAMILIES[f], "probability": p} for k, f, p in _best(x)] for x in found]
             memo.trim()
             yield {"_id": b.column(0), "n_paragraphs": counts, "licenses": found}
 

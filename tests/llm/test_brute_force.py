@@ -120,6 +120,40 @@ def test_licenses_found_and_confirmed(spark):
     assert {r["doc_id"]: sorted({x["family"] for x in r["licenses"]}) for r in found} == {i: f for i, (_, f) in says.items()}
 
 
+NOTICES = {
+    "gpl": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "lgpl": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.""",
+    "bsd": """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions
+// are met:""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "apache": """;; Licensed under the Apache License, Version 2.0 (the "License");
+;; you may not use this file except in compliance with the License.
+;; You may obtain a copy of the License at""",
+    "cc-by-sa": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+}
+
+
+def test_licenses_wrapped_over_lines(spark):
+    model = licenses.train(table(spark, SF_SMALL, "documents"))
+    texts = {f: f"some words before it\nand then\n{t}\nint main\nreturn some other words" for f, t in NOTICES.items()}
+    found = licenses.scan(spark.createDataFrame([*texts.items(), ("none", "it is free\nyou can\nuse it under\nthe terms of\nthe house")], "doc_id string, text string"), model).collect()
+    assert {r["doc_id"]: [x["family"] for x in r["licenses"]] for r in found} == {**{f: [f] for f in NOTICES}, "none": []}
+    assert not any(licenses._plain(t.replace("\n#\n", "\n")) == licenses.paragraphs(t) for f, t in NOTICES.items() if f in ("gpl", "lgpl", "bsd"))
+
+
 # 5 ------------------------------------------------------------------------------------
 
 
