@@ -5,7 +5,8 @@ a candidate. Per character class (hexadecimal digits, base-64 characters) a wind
 over the candidate; character counts and the sum of count*log2(count) are updated by the
 one character that enters and the one that leaves, so a window costs constant time.
 Windows above the class's threshold merge into findings. The allow-list suppresses
-candidates known to be harmless; it never suppresses base findings.
+candidates, or path segments of them, known to be harmless; it never suppresses base
+findings.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ BASE_KINDS = ("assign", "access", "hex")
 
 LONG_HEX = re.compile(r"[0-9a-f]{32,}")  # the same as all runs less those under 32
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+SEGMENT = re.compile(r"[^/]+")
 WINDOW = 20
 # class -> (its characters, least bits per character in a window, least digits in a window)
 CLASSES = {
@@ -38,7 +40,8 @@ ALLOW = (
     r"[A-Za-z/_-]+",  # words, paths, identifiers without a digit
     r"[0-9/_+-]+",  # numbers, dates
     r"(?:[A-Za-z]+[-_/])+[A-Za-z]*[0-9]{0,4}",  # slugs with a trailing number
-    r".*(?:EXAMPLE|example).*",
+    r"[^/]*(?:EXAMPLE|example)[^/]*",  # a single path segment
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",  # the well-known sample key
 )
 XLOGX = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
@@ -86,20 +89,32 @@ def hot_windows(s: str, chars: frozenset, least_bits: float, least_digits: int)
 
 
 def entropy_findings(text: str, allow: re.Pattern) -> list[tuple[int, int, str]]:
+    """Hot spans of every class. A base-64 span within a hexadecimal one says nothing new;
+    a span is harmless if it, or each path segment it reaches into, is on the allow-list."""
+    """Hot spans of every class; a base-64 span within a hexadecimal one says nothing new.
+    Harmless are candidates on the allow-list, and spans that reach only into path segments
+    on it, at least one of them as long as a window."""
     found = []
     for m in CANDIDATE.finditer(text):
-        if allow.fullmatch(m[0]):
+        run = m[0]
+        if allow.fullmatch(run):
             continue
-        taken = False
+        spans: list[tuple[int, int, str]] = []
         for kind, (chars, bits, digits) in CLASSES.items():
-            if taken:
-                break
-            for lo, hi in hot_windows(m[0], chars, bits, digits):
-                found.append((m.start() + lo, m.start() + hi, kind))
-                taken = True
+            for lo, hi in hot_windows(run, chars, bits, digits):
+                if not any(a <= lo and hi <= b for a, b, _ in spans):
+                    spans.append((lo, hi, kind))
+        if spans and "/" in run:
+            segments = [(p.start(), p.end(), bool(allow.fullmatch(p[0]))) for p in SEGMENT.finditer(run)]
+            spans = [s for s in spans if not _harmless([p for p in segments if p[0] < s[1] and s[0] < p[1]])]
+        found += [(m.start() + lo, m.start() + hi, kind) for lo, hi, kind in spans]
     return found
 
 
+def _harmless(segments: list[tuple[int, int, bool]]) -> bool:
+    return all(ok for _, _, ok in segments) and any(b - a >= WINDOW for a, b, _ in segments)
+
+
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """One row per input row: id, ``findings`` array of (start, end, kind) in code points,
     end exclusive, by start and then kind (assign, access, hex, then entropy kinds).

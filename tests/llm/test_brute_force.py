@@ -302,6 +302,19 @@ def test_secrets_allow_list():
     assert not found("wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY")
 
 
+def test_secrets_both_classes_and_path_segments(spark):
+    token = "q8Zk3vT0xLw9Rb2nYc5Ha7Qe"
+    texts = [f"see {'0f3a9c41d27be85f6a0c' * k}/{token} now" for k in (1, 2)]
+    texts += [f"https://host/docs/example/{token}", f"key {token}", "x/wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["findings"] for r in secrets.scan(docs).collect()}
+    for i, t in enumerate(texts[:4]):
+        spans = [f for f in found[i] if f["kind"] == "entropy-base64"]
+        assert any(f["start"] <= t.index(token) and f["end"] >= t.index(token) + len(token) for f in spans)
+    assert sorted(f["kind"] for f in found[0]) == ["entropy-base64", "entropy-hex"]
+    assert "hex" in {f["kind"] for f in found[1]} and not found[4]
+
+
 # 8 ------------------------------------------------------------------------------------
 
 
