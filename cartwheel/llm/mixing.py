@@ -1,15 +1,16 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Every source is cut into blocks by a seeded hash of its rows. Its target, in words, is
-met by whole passes over all its blocks, then by blocks in a seeded permutation, then by
-rows of one last block. The blocks each source owes (its quota) are divided among the
+Every source is cut into blocks by a seeded hash of its rows; a row longer than the share
+LONG of a block is a block of its own. Its target, in words, is met by whole passes over
+all its blocks, then by blocks in a seeded permutation, where a long row that does not fit
+the remainder is passed over, then by rows of one last block. The blocks each source owes (its quota) are divided among the
 output shards by a tree: every node splits its quotas between its two halves by one
 multivariate-hypergeometric draw, so the shards together use each quota exactly. A
 shard's blocks are disjoint stretches of each source's permutation, and its rows are
 shuffled within the shard.
 
-What reaches the driver is one row per source; block lists hold at most MAX_BLOCKS rows
-per source and are ordered within Spark.
+What reaches the driver is one row per source; block lists hold at most (1 + 1 / LONG) *
+MAX_BLOCKS rows per source and are ordered within Spark.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from cartwheel.llm.common import WORD_PATTERN, shared_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK_WORDS, MAX_BLOCKS = 20_000, 4096
+LONG = 0.25  # of a block's mean words
 SHARD_WORDS, MAX_SHARDS = 2_000_000, 4096
 BROADCAST_SOURCES = 100_000  # beyond so many sources their table is joined, not broadcast
 
@@ -108,21 +110,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     small = F.broadcast(known) if len(per_source) <= BROADCAST_SOURCES else known
     rows = base.join(small, base["source"].eqNullSafe(known["source"]), "inner").drop(known["source"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "_h"), F.col("n_blocks")).cast("int"))
+    alone = (F.col("n_blocks") > 1) & (F.col("size") * F.col("n_blocks") > LONG * F.col("source_size"))
+    rows = rows.withColumn("block", F.when(alone, -1 - F.col("rid")).otherwise(F.pmod(F.xxhash64(F.lit(seed + 1), "_h"), F.col("n_blocks"))))
     filled = rows.filter("size > 0")
 
-    # blocks in the source's permutation; those before the remainder runs out are taken whole
-    order = W.Window.partitionBy("sidx").orderBy(F.xxhash64(F.lit(seed + 2), "sidx", "block"), "block")
-    blocks = filled.groupBy("sidx", "block", "passes", "rest").agg(F.sum("size").alias("words"))
-    blocks = blocks.withColumns({"end": F.sum("words").over(order), "rank": F.row_number().over(order)})
+    # blocks in the source's permutation; those that fit the remainder are taken whole
+    key = F.when(F.col("block") < 0, F.xxhash64(F.lit(seed + 2), "_h")).otherwise(F.xxhash64(F.lit(seed + 2), "sidx", "block"))
+    blocks = filled.withColumn("key", key).groupBy("sidx", "block", "passes", "rest", "key").agg(F.sum("size").alias("words"))
     blocks = shared_table(
-        blocks.select(
-            "sidx", "block", "passes", "rank", (F.col("end") <= F.col("rest")).alias("whole"),
-            ((F.col("end") > F.col("rest")) & (F.col("end") - F.col("words") < F.col("rest"))).alias("last"),
-            (F.col("rest") - F.col("end") + F.col("words")).alias("room"),
-        ),
+        blocks.groupBy("sidx").applyInArrow(_plan, "sidx int, block long, passes int, rank int, whole boolean, last boolean, room double"),
         "mix-blocks",
-    )
+    )
 
     # quotas in blocks and their shards
     quota = [0] * len(sizes)
@@ -152,6 +150,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return rows.select("rid", F.col("_id").alias(id_col), "source", "size", "source_size", "target"), draws
 
 
+def _plan(t: pa.Table) -> pa.Table:
+    """A source's blocks in their permutation, each taken whole if it still fits; the first
+    block of several rows that does not is the last one. If only long rows are left over,
+    they are added or swapped to come nearer to the target."""
+    t = t.sort_by([("key", "ascending"), ("block", "ascending")])
+    words, room, n = t.column("words").to_numpy(), t.column("rest")[0].as_py(), len(t)
+    alone, whole, last = t.column("block").to_numpy() < 0, np.zeros(n, bool), np.zeros(n, bool)
+    for i, w in enumerate(words.tolist()):
+        if w <= room:
+            room -= w
+            whole[i] = True
+        elif not alone[i]:
+            last[i] = room > 0
+            break
+    if not last.any() and room > 0 and alone.any():
+        whole[alone] = _nearest(words[alone], whole[alone], room)
+    out = t.select(["sidx", "block", "passes"]).append_column("rank", pa.array(np.arange(1, n + 1, dtype=np.int32)))
+    return out.append_column("whole", pa.array(whole)).append_column("last", pa.array(last)).append_column("room", pa.array(np.full(n, room, float)))
+
+
 def _fill(t: pa.Table) -> pa.Table:
     """Rows of a source's last block, in hashed order, each taken if it still fits; then
     single additions or swaps while they bring the sum nearer to the room."""
@@ -162,6 +180,13 @@ def _fill(t: pa.Table) -> pa.Table:
         if n <= room:
             room -= n
             taken[i] = True
+    taken = _nearest(sizes, taken, room)
+    return t.take(pa.array(np.flatnonzero(taken))).select(["rid", "size", "copy", "shard", "_h"])
+
+
+def _nearest(sizes: np.ndarray, taken: np.ndarray, room: float) -> np.ndarray:
+    """``taken`` after single additions or swaps that bring its sum nearer to ``room`` more."""
+    taken = taken.copy()
     for _ in range(8):
         out = np.flatnonzero(~taken)
         out = out[np.argsort(sizes[out], kind="stable")]
@@ -180,7 +205,7 @@ def _fill(t: pa.Table) -> pa.Table:
         taken[new] = True
         if ins[k] >= 0:
             taken[ins[k]] = False
-    return t.take(pa.array(np.flatnonzero(taken))).select(["rid", "size", "copy", "shard", "_h"])
+    return taken
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:

@@ -456,6 +456,19 @@ def test_mix_of_documents(spark, monkeypatch):
     assert sum(size.values()) == sum(per.values())
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_mix_with_one_very_long_document(spark, seed):
+    docs = spark.createDataFrame([(i, "w " * (100_000 if i == 0 else 500), "a") for i in range(401)], "doc_id long, text string, source string")
+    taken = sum(r["taken"] for r in mixing.mixed(docs, seed=seed).select("taken").collect())
+    assert abs(taken - 450_000) <= 500
+
+
+def test_mix_of_long_documents_only(spark):
+    docs = spark.createDataFrame([(i, "w " * (9_000 + 10 * i), "a") for i in range(30)], "doc_id long, text string, source string")
+    out = mixing.mixed(docs).collect()
+    assert abs(sum(r["taken"] for r in out) - 1.5 * sum(r["size"] for r in out)) <= 200
+
+
 def test_word_hasher_equals_words():
     texts = ["a B  c\n", "", None, "ab", "ba ab", "É é x\x0by z\x1cw", "q" * 600 + " Q" + "q" * 599, "AbC abc ABC", "k" * 3_000_000 + " end", " x" * 700_000]
     column, seen, words = pa.array(["skipped", *texts]).slice(1), {}, [w for t in texts for w in words_of(t)]
