@@ -10,6 +10,7 @@ scores read whole texts.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -123,11 +124,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield {"h": b.column(0), "y": b.column(1), "ids": [terms_of(t, memo).tolist() for t in b.column(2).to_pylist()]}
             memo.trim()
 
-    found, held = [], 0
-    for r in map_batches(rows, run, "h long, y int, ids array<int>").toLocalIterator():
-        if held < SAMPLE_TERMS:
-            found.append((r["h"], r["y"], np.array(r["ids"], np.int64)))
+    # rows in order of hash until their terms reach the bound, in whatever order they come
+    heap, held, bound = [], 0, None  # the largest key first; rows from bound on are out
+    for at, r in enumerate(map_batches(rows, run, "h long, y int, ids array<int>").toLocalIterator()):
+        key = (-r["h"], -r["y"], -len(r["ids"]))
+        if bound is None or key > bound:
+            heapq.heappush(heap, (key, at, np.array(r["ids"], np.int64)))
             held += len(r["ids"])
+            while len(heap) > 1 and (held > SAMPLE_TERMS or heap[0][0] == bound):
+                bound, _, ids = heapq.heappop(heap)
+                held -= len(ids)
+    found = [(-key[0], -key[1], ids) for key, _, ids in heap]
     found.sort(key=lambda x: (x[0], x[1], len(x[2])))
     return Model().fit([x[2] for x in found], np.array([x[1] for x in found], np.float32)) if found else Model()
 

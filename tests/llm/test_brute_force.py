@@ -381,6 +381,17 @@ def test_toxicity_learns_pairs():
     assert np.mean((m > 0) == (np.array(y[1200:]) > 0)) > 0.97
 
 
+def test_toxicity_sample_does_not_depend_on_row_order(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TERMS", 120)
+    drawn = []
+    monkeypatch.setattr(toxicity.Model, "fit", lambda self, docs, y: drawn.append(sorted(sorted(d.tolist()) for d in docs)) or self)
+    data = [(i, " ".join(f"w{i}x{k}" for k in range(5 + i % 7))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, toxic int")
+    for d in (data, data[::-1]):
+        toxicity.train(spark.createDataFrame(d, "doc_id long, text string").coalesce(1), labels)
+    assert drawn[0] == drawn[1] and sum(map(len, drawn[0])) <= 120
+
+
 def test_toxicity_held_out(spark):
     out = {r["doc_id"]: r for r in queries.op9_toxicity(spark, SF_ORACLE).collect()}
     labels = [r for r in table(spark, SF_ORACLE, "labels").collect() if held(r["doc_id"], 5, 0)]
