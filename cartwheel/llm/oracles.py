@@ -46,4 +46,51 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN sizes USING (r) JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.r = reach.s GROUP BY reach.r) USING (r)
 """
 
-ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5, "op6_jaccard_join": OP6}
+# crc32 of the decimal id, bit by bit; a run of period q is an island of positions whose
+# three words equal those q words on (such an island is two positions shorter)
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         CAST(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda x, y: list_reduce(list_prepend(xor(x, y), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, CAST(3988292384 AS BIGINT) * (v & 1)))
+         ) AS BIGINT) AS c
+  FROM documents
+),
+h AS (SELECT r, doc_id, w, len(w) AS n, xor(coalesce(c, 4294967295), 4294967295) AS h FROM d),
+a AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (
+  SELECT r, doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(generate_series(0, n - 1), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w
+  FROM p
+),
+grams AS (
+  SELECT r, n, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS k
+  FROM (SELECT r, n, w, unnest(generate_series(0, n - 3)) AS i FROM t WHERE n >= 6)
+),
+same AS (SELECT x.r, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.r = y.r AND x.k = y.k AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT r, q, min(i) AS s, count(*) + 2 + q AS l
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM same) GROUP BY r, q, k
+),
+runs AS (SELECT r, s, l, min(q) AS q FROM islands WHERE l >= 6 AND l >= 4 * q GROUP BY r, s, l),
+best AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS txt FROM runs GROUP BY r
+),
+top AS (
+  SELECT r, s, l, q FROM (
+    SELECT x.r, x.s, x.l, x.q, row_number() OVER (PARTITION BY x.r ORDER BY CAST(x.l AS DOUBLE) / x.q DESC, x.s, x.q) AS k FROM runs x
+  ) WHERE k = 1
+),
+gone AS (SELECT DISTINCT r, unnest(generate_series(s + q, s + l - 1)) AS i FROM runs),
+drops AS (SELECT r, list(i) AS i FROM gone GROUP BY r),
+words AS (SELECT t.r, unnest(t.w) AS w, unnest(generate_series(0, t.n - 1)) AS i FROM t SEMI JOIN drops USING (r)),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS txt FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT) AS start, CAST(l AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+       CAST(1000 * l // q AS BIGINT) AS exponent_milli, sha256(coalesce(best.txt, '')) AS runs_sha256,
+       sha256(CASE WHEN top.r IS NULL THEN array_to_string(t.w, ' ') ELSE coalesce(kept.txt, '') END) AS collapsed_sha256
+FROM t LEFT JOIN best USING (r) LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5, "op6_jaccard_join": OP6, "op11_periodic_runs": OP11}

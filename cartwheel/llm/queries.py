@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, html_text, jaccard_join, langid, licenses, lm, mixing, secrets, toxicity
+from cartwheel.llm import decontaminate, exact_dedup, html_text, jaccard_join, langid, licenses, lm, mixing, runs, secrets, toxicity
 from cartwheel.llm.common import remainder, table
 
 
@@ -65,10 +65,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.repeat_tail(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return runs.digest(runs.scan(docs, digest=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_language_id, op3_exact_dedup, op4_license_scan, op5_decontamination,
         op6_jaccard_join, op7_secret_scan, op8_html_extraction, op9_toxicity, op10_mixing,
+        op11_periodic_runs,
     )
 }
