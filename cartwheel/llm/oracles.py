@@ -93,4 +93,36 @@ SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT
 FROM t LEFT JOIN best USING (r) LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5, "op6_jaccard_join": OP6, "op11_periodic_runs": OP11}
+
+
+def vector_codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Whole-number k-means: one pair of steps per round over (vector, part) rows."""
+    near = """
+a{i} AS (
+  SELECT v, part, x, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT p.v, p.part, p.x, c.entry, list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM p JOIN c{i} c ON p.part = c.part)
+  GROUP BY v, part, x
+)"""
+    move = """
+m{i} AS (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x
+  FROM (SELECT part, entry, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n FROM a{i}, generate_series(1, (SELECT max(len(x)) FROM p)) AS g(k) GROUP BY ALL) GROUP BY part, entry
+),
+c{j} AS (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON c.part = m.part AND c.entry = m.entry)"""
+    steps = ",".join(near.format(i=i) + "," + move.format(i=i, j=i + 1) for i in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS v, vec_id, label, list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * 1024) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+),
+p AS (SELECT v, vec_id, k AS part, x[k * (len(x) // {parts}) + 1 : (k + 1) * (len(x) // {parts})] AS x FROM kept, generate_series(0, {parts - 1}) AS g(k)),
+ranked AS (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept),
+c0 AS (SELECT part, entry, x FROM p JOIN ranked USING (v) WHERE entry < {entries}),{steps},{near.format(i=rounds)},
+coded AS (SELECT v, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY v)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (v)
+"""
+
+
+ORACLES = {"op3_exact_dedup": OP3, "op5_decontamination": OP5, "op6_jaccard_join": OP6, "op11_periodic_runs": OP11, "op13_vector_codes": vector_codes_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, html_text, jaccard_join, langid, licenses, lm, mixing, runs, secrets, simhash, toxicity
+from cartwheel.llm import codes, decontaminate, exact_dedup, html_text, jaccard_join, langid, licenses, lm, mixing, runs, secrets, simhash, toxicity
 from cartwheel.llm.common import remainder, table
 
 
@@ -75,11 +75,16 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("codebooks_sha256", F.lit(codes.digest(books)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_language_id, op3_exact_dedup, op4_license_scan, op5_decontamination,
         op6_jaccard_join, op7_secret_scan, op8_html_extraction, op9_toxicity, op10_mixing,
-        op11_periodic_runs, op12_simhash,
+        op11_periodic_runs, op12_simhash, op13_vector_codes,
     )
 }
