@@ -2,30 +2,28 @@
 
 ``Window.orderBy`` with no partition moves every row to one task. Instead:
 
-1. range-partition the rows on the sort key and sort inside partitions;
-2. ``checkpoint()`` the result (reliable storage from ``spark.checkpoint.dir``)
-   so the sampled range bounds, and therefore every partition's content and
-   order, stay fixed if a task is re-run after an executor loss;
-3. per-partition running sums in one Arrow-batched ``mapInPandas`` pass;
-4. per-partition totals (one row per partition, bounded by the partition
+1. range-partition the rows on the sort key, number the partitions and write the rows to
+   the shared scratch folder, so the sampled range bounds, and with them every row's
+   partition number, stay fixed whatever is recomputed later;
+2. running sums inside each partition number: an ordinary window partitioned by it;
+3. per-partition totals (one row per partition, bounded by the partition
    count chosen here) -> exclusive offsets -> broadcast back.
 
-Metrics first collapse rows to one row per distinct score (partial
-aggregation, so a score shared by a third of all rows is one row).
+Everything stays in the JVM. Metrics first collapse rows to one row per distinct score
+(partial aggregation, so a score shared by a third of all rows is one row). A top fraction
+is not sorted at all: a quantile sketch brackets the score of the cut, and only the rows
+inside the bracket are ordered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartwheel.functions import round_half_up
-from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.sources import sinks
 
 METRIC_DIGITS = 10
 
@@ -68,37 +66,14 @@ def prefix_sums(
             *[(F.col(f"{c}_before") - F.col(f"_{c}_start")).alias(f"{c}_before") for c in sum_cols],
             *[F.col(f"_{c}_gtot").alias(f"{c}_total") for c in sum_cols],
         )
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # without an explicit count AQE sizes the range partitions from the data
     # (contiguous ranges are merged, so partition order still follows ``order``)
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-
-    in_schema = ranged.schema
-    out_schema = T.StructType(
-        list(in_schema.fields)
-        + [T.StructField("_pid", T.IntegerType(), False)]
-        + [T.StructField(f"_{c}_in", T.LongType(), False) for c in sum_cols]
-    )
-
-    def running(batches):
-        pid = TaskContext.get().partitionId()
-        carry = {c: 0 for c in sum_cols}
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf["_pid"] = np.int32(pid)
-            for c in sum_cols:
-                v = pdf[c].fillna(0).astype("int64").to_numpy()
-                cum = np.cumsum(v) - v + carry[c]
-                carry[c] += int(v.sum())
-                pdf[f"_{c}_in"] = cum
-            yield pdf
-
-    within = ranged.mapInPandas(running, out_schema)
-    totals = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(
-        *[F.sum(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(f"_{c}_tot") for c in sum_cols]
-    )
+    ranged = sinks.written(ranged.withColumn("_pid", F.spark_partition_id()), "ranked")
+    ahead = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    value = {c: F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in sum_cols}
+    within = ranged.withColumns({f"_{c}_in": F.coalesce(F.sum(v).over(ahead), F.lit(0)) for c, v in value.items()})
+    totals = ranged.groupBy("_pid").agg(*[F.sum(v).alias(f"_{c}_tot") for c, v in value.items()])
     # one row per range partition: windows here touch k rows only
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
@@ -241,41 +216,69 @@ def average_precision(
     )
 
 
+BRACKET = 2e-4  # half width, in quantiles, of the bracket around the cut
+SKETCH_ACCURACY = 20_000  # of the quantile sketch: ranks are right to one part in so many
+
+
+def _with_group(rows: DataFrame, small: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with the row of ``small`` (one per group) as a struct column."""
+    packed = F.struct(*[c for c in small.columns if c not in by])
+    if not by:
+        return rows.withColumn(name, small.select(packed).scalar())
+    right = small.select(packed.alias(name), *[F.col(b).alias(f"_g_{b}") for b in by])
+    match = F.lit(True)
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"_g_{b}"))
+    return rows.join(right, match).drop(*[f"_g_{b}" for b in by])
+
+
 def top_fraction_lift(
     df: DataFrame, score: str, label: str, key: str, fraction: float = 0.10, by: Sequence[str] = ()
 ) -> DataFrame:
     """Positive rate in the top ``max(1, int(n * fraction))`` rows over the base rate.
 
-    Rows are ordered by score descending, then ``key`` ascending, so tied scores
-    are cut reproducibly.
+    Rows are ordered by score descending (NULL last), then ``key`` ascending, so tied
+    scores are cut reproducibly. One aggregate counts the rows and sketches the quantiles
+    around the cut; a second one counts the rows above that bracket; only the rows inside
+    it are ordered. Should the bracket miss the cut (few rows, or a sketch beyond its
+    error), all rows count as inside, so the result is always exact. ``df`` is read
+    three times: pass a written table.
     """
+    number = F.when(F.isnan("_s"), F.lit(float("inf"))).otherwise(F.coalesce("_s", F.lit(float("-inf"))))
     rows = df.select(
-        *[F.col(b) for b in by],
-        F.col(score).alias("_s"),
-        F.col(key).alias("_k"),
-        F.col(label).cast("bigint").alias("_y"),
-        F.lit(1).cast("bigint").alias("_one"),
-    )
-    pos = prefix_sums(
-        rows, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one", "_y"], partition_by=tuple(by)
-    )
-    # every row carries the totals, so k and the cut are row-level expressions
-    k = F.greatest(F.lit(1), F.floor(F.col("_one_total") * F.lit(float(fraction)))).cast("bigint")
-    r = _agg(
-        pos,
-        by,
-        F.first("_one_total").alias("n"),
-        F.first("_y_total").alias("positives"),
-        F.first(k).alias("k"),
-        F.sum(F.when(F.col("_one_before") < k, F.col("_y")).otherwise(F.lit(0))).alias("top_positives"),
+        *[F.col(b) for b in by], F.col(score).cast("double").alias("_s"), F.col(key).alias("_k"), F.col(label).cast("bigint").alias("_y")
+    ).withColumn("_r", number)
+    cut = 1.0 - float(fraction)
+    ends = [max(0.0, cut - BRACKET), min(1.0, cut + BRACKET)]
+    groups = _agg(
+        rows, by, F.count(F.lit(1)).alias("n"), F.sum("_y").alias("positives"),
+        F.percentile_approx("_r", ends, SKETCH_ACCURACY).alias("ends"),
+    ).withColumns({"k": F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(fraction)))).cast("bigint"), "lo": F.col("ends")[0], "hi": F.col("ends")[1]}).drop("ends")
+    groups = sinks.written(groups, "lift-groups")
+    placed = _with_group(rows, groups, by, "_g").withColumns({"_above": F.col("_r") > F.col("_g.hi"), "_in": F.col("_r").between(F.col("_g.lo"), F.col("_g.hi"))})
+    counts = _agg(
+        placed, by, F.first("_g").alias("_g"), F.count_if("_above").alias("above"), F.count_if("_in").alias("inside"),
+        F.sum(F.when(F.col("_above"), F.col("_y"))).alias("above_positives"),
     )
+    hit = (F.col("above") < F.col("_g.k")) & (F.col("above") + F.col("inside") >= F.col("_g.k"))
+    counts = counts.select(
+        *by, "_g.n", "_g.positives", "_g.k",
+        F.when(hit, F.col("_g.lo")).alias("lo"), F.when(hit, F.col("_g.hi")).alias("hi"),
+        F.when(hit, F.col("above")).otherwise(0).alias("above"), F.when(hit, F.coalesce("above_positives", F.lit(0))).otherwise(0).alias("above_positives"),
+    )
+    counts = sinks.written(counts, "lift-counts")
+    inside = _with_group(rows, counts, by, "_c").filter(F.col("_c.lo").isNull() | F.col("_r").between(F.col("_c.lo"), F.col("_c.hi")))
+    inside = inside.select(*by, "_s", "_k", "_y", (F.col("_c.k") - F.col("_c.above")).alias("_left"), F.lit(1).cast("bigint").alias("_one"))
+    ordered = prefix_sums(inside, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one"], partition_by=tuple(by))
+    taken = _agg(ordered, by, F.sum(F.when(F.col("_one_before") < F.col("_left"), F.col("_y"))).alias("top"))
+    r = _with_group(counts, taken, by, "_t").withColumn("top_positives", F.col("above_positives") + F.coalesce("_t.top", F.lit(0)))
     base = F.col("positives").cast("double") / F.col("n")
-    top_rate = F.coalesce(F.col("top_positives"), F.lit(0)).cast("double") / F.col("k")
+    top_rate = F.col("top_positives").cast("double") / F.col("k")
     return r.select(
         *by,
         F.col("n").cast("bigint").alias("n"),
         F.col("k").cast("bigint").alias("k"),
-        F.coalesce(F.col("top_positives"), F.lit(0)).cast("bigint").alias("top_positives"),
+        F.col("top_positives").cast("bigint").alias("top_positives"),
         round_half_up(base, METRIC_DIGITS).alias("base_rate"),
         round_half_up(F.when(base > 0, top_rate / base).otherwise(F.lit(0.0)), METRIC_DIGITS).alias("lift"),
     )

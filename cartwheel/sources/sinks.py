@@ -26,6 +26,14 @@ def scratch_root(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: computed once, whoever reads it
+    again, and safe from lost executors."""
+    path = scratch_root(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Raw-zone Parquet with an explicit schema (no inference job, no drift)."""
     return spark.read.schema(schema).parquet(path)

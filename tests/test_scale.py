@@ -8,13 +8,13 @@ from datetime import datetime, timedelta
 
 import pytest
 
-import __spark_entry__ as E
 from cartwheel.operators import marts, sessions, staging
+from cartwheel.plans import catalog
 from conftest import SF_SMALL, raw_row
 
 # plans are built once per query; model queries fit a model while being built
-PLAN_QUERIES = sorted(set(E.queries()) - {"propensity_scores", "feature_weights", "model_metrics",
-                                           "remarketing_audience", "roc_auc_improvement"})
+MODEL_QUERIES = {"propensity_scores", "feature_weights", "model_metrics", "remarketing_audience", "roc_auc_improvement"}
+PLAN_QUERIES = sorted(set(catalog.QUERIES) - MODEL_QUERIES)
 
 
 def _plan(df) -> str:
@@ -25,14 +25,14 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", PLAN_QUERIES)
-def test_no_pairwise_join_and_no_row_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+def test_no_pairwise_join_and_no_python_worker(spark, name):
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow"):
         assert bad not in plan, f"{name}: {bad}"
 
 
 def test_dedup_limits_before_the_shuffle(spark):
-    plan = _plan(E.queries()["stg_events"](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES["stg_events"](spark, SF_SMALL))
     partial = plan.index("WindowGroupLimit")
     # the formatted plan lists operators bottom-up in its detail section; the
     # partial limit must appear together with an exchange on event_id
@@ -40,7 +40,7 @@ def test_dedup_limits_before_the_shuffle(spark):
 
 
 def test_sessions_aggregate_partially_before_the_shuffle(spark):
-    plan = _plan(E.queries()["int_sessions"](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES["int_sessions"](spark, SF_SMALL))
     assert "partial_count" in plan and "partial_max" in plan
 
 
@@ -52,7 +52,7 @@ def test_driver_scans_read_only_needed_columns(spark):
 
 
 def test_marts_prune_raw_columns_through_the_dedup(spark):
-    plan = _plan(E.queries()["mart_funnel"](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES["mart_funnel"](spark, SF_SMALL))
     reads = [line for line in plan.splitlines() if "ReadSchema" in line and "event_id" in line]
     assert reads and all("item_name" not in line and "country" not in line for line in reads)
 
