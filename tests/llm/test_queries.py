@@ -14,7 +14,7 @@ from cartwheel.llm.common import table
 from conftest import SF_ORACLE, SF_SMALL
 from llm.test_brute_force import brute_components, brute_contamination
 
-TABLES = ("documents", "benchmark", "labels", "pages")
+TABLES = ("documents", "benchmark", "labels", "pages", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in E.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_equals_the_stages_one_by_one(spark):
