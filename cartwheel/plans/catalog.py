@@ -113,8 +113,7 @@ def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- feature store
 def _store(spark: SparkSession, sf_dir: str, spec: features.FeatureSpec | None = None, audit: bool = False) -> DataFrame:
-    events = models_for(spark, sf_dir).written("stg_events").stg_events
-    return features.build_feature_store(events, spec or features.load_spec(), audit=audit)
+    return features.build_feature_store(models_for(spark, sf_dir).stg_events, spec or features.load_spec(), audit=audit)
 
 
 def avg_spec() -> features.FeatureSpec:
@@ -137,10 +136,17 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir)
 
 
+STATE_UNTIL = "2024-01-15"
+
+
 @register("feature_store_daily_rollup")
 def feature_store_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same store straight from the raw events, without a written copy of the clean ones."""
-    return features.build_feature_store(models_for(spark, sf_dir).stg_events, features.load_spec())
+    """The same store from a kept daily state that grew in two steps: the events up to
+    STATE_UNTIL first, then the days after them, without reading the first ones again."""
+    spec, root = features.load_spec(), sinks.scratch_root(spark, "state")
+    events = models_for(spark, sf_dir).written("stg_events").stg_events
+    features.update_state(events.filter(features.window_day(F.col(spec.timestamp)) <= F.lit(STATE_UNTIL).cast("date")), spec, root)
+    return features.store_from_state(features.update_state(events, spec, root), spec)
 
 
 @register("feature_store_report")

@@ -4,14 +4,14 @@ Each model is written to the warehouse folder and the next layer reads the
 written table, so lineage is cut at every layer (a lost executor recomputes
 from the last written table, not from the raw zone). Row counts are read back
 from the written Parquet (row-group metadata, no data pages). The ledger and
-the audit table are append-only Parquet folders that survive re-runs.
+the audit table are append-only Parquet folders, one partition per run, that survive
+re-runs; replaced tables are swapped in whole, so a failed job leaves the old one.
 """
 
 from __future__ import annotations
 
 import os
 import time
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -67,7 +67,7 @@ class WarehouseRun:
         self.raw = raw if raw is not None else fixtures.raw_zone(spark, sf_dir)
         self.spec = feature_spec or feat.load_spec()
         self.checks_path = checks_path
-        self.run_id = uuid.uuid4().hex[:12]
+        self.run_id = sinks.new_run_id()
         self.run_ts = datetime.now(timezone.utc).replace(tzinfo=None)
         self.tables: dict[str, DataFrame] = {}
 
@@ -89,12 +89,12 @@ class WarehouseRun:
         return os.path.join(self.warehouse, name)
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return sinks.read_table(self.spark, self.path(name))
 
     # ------------------------------------------------------------ raw zone
     def land_raw(self, parallel: bool = True) -> None:
         def land(name: str) -> tuple[str, DataFrame]:
-            sinks.write_table(self.raw[name], self.path(os.path.join("raw", name)))
+            sinks.replace_table(self.raw[name], self.path(os.path.join("raw", name)))
             return name, self._read(os.path.join("raw", name))
 
         for name, df in _run_all(land, list(self.raw), parallel):
@@ -105,7 +105,7 @@ class WarehouseRun:
         t0 = time.perf_counter()
         status, n, err, table = "success", 0, None, None
         try:
-            sinks.write_table(BUILDERS[model](self.tables), self.path(model))
+            sinks.replace_table(BUILDERS[model](self.tables), self.path(model))
             table = self._read(model)
             # a count of the written Parquet is answered from file footers
             n = table.count()
@@ -128,9 +128,9 @@ class WarehouseRun:
                 if table is not None:
                     self.tables[model] = table
         led = self.spark.createDataFrame(rows, ledger.LEDGER_SCHEMA)
-        sinks.append_table(led, self.path("_run_ledger"))
+        sinks.append_run(led, self.path("_run_ledger"), self.run_id)
         # Run-level numbers over the whole ledger history
-        sinks.write_table(ledger.run_summary(self.ledger()), self.path("run_summary"))
+        sinks.replace_table(ledger.run_summary(self.ledger()), self.path("run_summary"))
         return led
 
     def register_views(self) -> list[str]:
@@ -148,15 +148,18 @@ class WarehouseRun:
         )
 
     # ------------------------------------------------------------ feature store (FS11, FS12, S8)
-    def backfill_features(self) -> DataFrame:
-        store = feat.build_feature_store(self.tables["stg_events"], self.spec, audit=True)
+    def backfill_features(self, incremental: bool = False) -> DataFrame:
+        """Daily state, store, leakage guard and report. ``incremental`` keeps the state of
+        the last run and reads only the events of later days; else all are read once."""
+        state = feat.update_state(self.tables["stg_events"], self.spec, self.warehouse, rebuild=not incremental)
+        store = feat.store_from_state(state, self.spec, audit=True)
         sinks.overwrite_partitions(store, self.path("feature_store"), "as_of_date")
         self.tables["feature_store"] = self._read("feature_store")
         leaks = feat.leakage_violations(self.tables["feature_store"]).first()["violations"]
         if leaks:
             raise AssertionError(f"point-in-time violation: {leaks} rows read an event past their cutoff")
         report = feat.feature_store_report(self.tables["feature_store"], self.spec.label.name)
-        sinks.write_table(report, self.path("feature_store_report"))  # S12
+        sinks.replace_table(report, self.path("feature_store_report"))  # S12
         return self._read("feature_store_report")
 
     # ------------------------------------------------------------ model (ML*, S10)
@@ -165,15 +168,17 @@ class WarehouseRun:
         # scores, metrics and weights are independent outputs of the fitted model
         writes = [
             lambda: sinks.overwrite_partitions(run.scores, self.path("mart_propensity_scores"), "as_of_date"),
-            lambda: sinks.write_table(run.metrics, self.path("model_metrics")),
-            lambda: sinks.write_table(run.weights, self.path("feature_weights")),
+            lambda: sinks.replace_table(run.metrics, self.path("model_metrics")),
+            lambda: sinks.replace_table(run.weights, self.path("feature_weights")),
         ]
         _run_all(lambda w: w(), writes, parallel=True)
         self.tables["mart_propensity_scores"] = self._read("mart_propensity_scores")
         return run
 
     # ------------------------------------------------------------ checks (DQ13-DQ15, S9)
-    def check_quality(self, fail_on_critical: bool = False):
+    def check_quality(self, fail_on_critical: bool = False, run_id: str | None = None):
+        """One quality run; with the ``run_id`` of an earlier one its rows are replaced."""
+        run_id = run_id or sinks.new_run_id()
         ref, checks = quality.load_checks(self.checks_path)
         run_ts = datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -182,8 +187,8 @@ class WarehouseRun:
 
         try:
             # all checks in one job (plain checks fused per table)
-            sinks.append_table(stamped(quality.check_results(self.spark, checks, self.tables, ref)),
-                               self.path("dq_audit_results"), "run_date")
+            sinks.append_run(stamped(quality.check_results(self.spark, checks, self.tables, ref)),
+                             self.path("dq_audit_results"), run_id, ("run_date",))
         except Exception:  # noqa: BLE001 - a check failed while running: isolate it
             # the failed append committed nothing; evaluate check by check (one
             # result row each) so the failing ones are recorded as errors
@@ -198,12 +203,12 @@ class WarehouseRun:
             res = parts[0]
             for p in parts[1:]:
                 res = res.unionByName(p)
-            sinks.append_table(stamped(res), self.path("dq_audit_results"), "run_date")
+            sinks.append_run(stamped(res), self.path("dq_audit_results"), run_id, ("run_date",))
         audit = self._read("dq_audit_results")
-        # the date is the partition column: only this day's files are read
-        this_run = audit.filter((F.col("run_date") == F.lit(run_ts.date())) & (F.col("run_ts") == F.lit(run_ts).cast("timestamp")))
+        # date and run are partition columns: only this run's files are read
+        this_run = audit.filter((F.col("run_date") == F.lit(run_ts.date())) & (F.col("run_id") == run_id))
         summary = quality.quality_score(this_run).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
-        sinks.append_table(summary, self.path("dq_scores"))  # S12: one row per quality run
+        sinks.append_run(summary, self.path("dq_scores"), run_id)  # S12: one row per quality run
         score = summary.first()
         if fail_on_critical:
             quality.gate(score)

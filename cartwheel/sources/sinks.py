@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +41,9 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
-    """Materialise a model, replacing the previous version."""
-    df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(path)
+def write_table(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
+    """Write a model to a folder of its own (scratch copies; see :func:`replace_table`)."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
 def write_partitioned(
@@ -79,9 +81,19 @@ def read_date_range(spark: SparkSession, path: str, start: str, end: str, column
     return spark.read.parquet(path).filter(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[date]:
+    """The days a table partitioned by a date column holds, from its folder names alone."""
+    files, make = _files(spark, path)
+    if not files.exists(make(path)):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(make(path)) if f.isDirectory()]
+    return [date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}=") and "__HIVE" not in n]
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "as_of_date") -> None:
     """Replace only the partitions present in ``df`` (S8, S10): a re-run of one
-    cutoff rewrites that cutoff and leaves the others in place."""
+    cutoff rewrites that cutoff and leaves the others in place. Rows are staged beside
+    the table until the job commits, so a failed job changes nothing."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -90,9 +102,73 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "as_of_d
     )
 
 
-def append_table(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Append-only history (S9); the folder is created on first write."""
-    w = df.write.mode("append")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+def append_run(df: DataFrame, path: str, run_id: str, partition_cols: tuple[str, ...] = ()) -> None:
+    """Append-only history (S9, DQ13) that may run twice: the rows of a run are one
+    partition, which a repeated append replaces. The folder is created on first write."""
+    (
+        df.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols, "run_id")
+        .parquet(path)
+    )
+
+
+def new_run_id() -> str:
+    """A run id that no reader takes for a number (partition values are typed by their look)."""
+    return "run-" + uuid.uuid4().hex[:12]
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, maker of its paths) of a path."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _beside(path: str, what: str) -> str:
+    """A sibling of a table's folder whose name Spark's readers skip."""
+    parent, name = os.path.split(path.rstrip("/"))
+    return os.path.join(parent, f"_{name}.{what}-{uuid.uuid4().hex[:12]}")
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), max_records_per_file: int = 5_000_000) -> None:
+    """Materialise a model, replacing the previous version (S5) so that a failed or killed
+    job leaves that version in place: the new rows are written beside the table, and only
+    when all of them are there the two folders change places by rename. ``df`` may read
+    the table it replaces."""
+    files, make = _files(df.sparkSession, path)
+    new, old = _beside(path, "new"), _beside(path, "old")
+    recover(df.sparkSession, path)
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).option("partitionOverwriteMode", "static")
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new)
+    except BaseException:
+        files.delete(make(new), True)
+        raise
+    files.mkdirs(make(path).getParent())
+    had = files.exists(make(path))
+    if had and not files.rename(make(path), make(old)):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(make(new), make(path)):
+        if had:
+            files.rename(make(old), make(path))
+        raise OSError(f"cannot move {new}")
+    files.delete(make(old), True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the previous version back if a driver died between the two renames of a swap."""
+    files, make = _files(spark, path)
+    where = make(path)
+    if files.exists(where) or not files.exists(where.getParent()):
+        return
+    prefix = f"_{where.getName()}.old-"
+    left = [f for f in files.listStatus(where.getParent()) if f.getPath().getName().startswith(prefix)]
+    if left:
+        files.rename(max(left, key=lambda f: f.getModificationTime()).getPath(), where)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`replace_table`: its last complete version."""
+    recover(spark, path)
+    return spark.read.parquet(path)

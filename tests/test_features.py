@@ -107,3 +107,63 @@ def test_sums_and_distinct_keys_do_not_depend_on_order_or_cutoffs(make_raw):
             ev = staging.stg_events(make_raw(order))
             r = next(x for x in feat.build_feature_store(ev, many).collect() if str(x.as_of_date) == "2024-01-10")
             assert (r.s, r.d) == (0.6, 6)
+
+
+def _history(n_days=30, users=4):
+    """A few events a day of every user, with repeats of sessions and items between days."""
+    rows, i = [], 0
+    for d in range(n_days):
+        for u in range(users):
+            for k in range((d * 7 + u) % 3):
+                i += 1
+                name = ("view_item", "purchase", "add_to_cart")[(d + k) % 3]
+                r = _ev(i, datetime(2024, 1, 1, 8 + k) + timedelta(days=d), f"u{u}", name, 2.5 if name == "purchase" else None)
+                rows.append({**r, "ga_session_id": f"u{u}.{(d + k) % 5}"})
+    return rows
+
+
+WIDE = feat.FeatureSpec(
+    entity="user_pseudo_id", cutoffs=("2024-01-12", "2024-01-20"), label=feat.Label("y", "purchase", 3),
+    features=(
+        *SPEC.features,
+        feat.Feature("bought_sessions_14d", "count_distinct", 14, column="ga_session_id", filter="event_name = 'purchase'"),
+        feat.Feature("avg_rev_9d", "avg", 9, column="purchase_revenue"),
+    ),
+)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_state_grown_by_days_equals_a_full_run(spark, make_raw, tmp_path):
+    from dataclasses import replace
+
+    events = staging.stg_events(make_raw(_history()))
+    root = str(tmp_path)
+    early = events.filter("event_timestamp <= TIMESTAMP_NTZ'2024-01-13 23:59:59'")
+    feat.update_state(early, WIDE, root)
+    # old events that change later are not read again
+    changed = events.withColumn("ga_session_id", F.when(F.col("event_date") < "2024-01-10", F.concat("event_id", F.lit("x"))).otherwise(F.col("ga_session_id")))
+    state = feat.update_state(changed, WIDE, root)
+    assert _rows(feat.store_from_state(state, WIDE)) == _rows(feat.build_feature_store(events, WIDE))
+    # a further cutoff needs the state only, and running a step twice changes nothing
+    more = replace(WIDE, cutoffs=(*WIDE.cutoffs, "2024-01-25", "2024-01-26"))
+    state = feat.update_state(changed, more, root)
+    assert _rows(feat.store_from_state(state, more)) == _rows(feat.build_feature_store(events, more))
+    # days named to be redone are read again
+    redone = feat.update_state(changed, WIDE, root, redo=[date(2024, 1, d) for d in range(1, 10)])
+    assert _rows(feat.store_from_state(redone, WIDE)) == _rows(feat.build_feature_store(changed, WIDE))
+
+
+def test_the_store_reads_events_once_and_repeats_no_rows_per_cutoff(spark, make_raw):
+    from dataclasses import replace
+
+    events = staging.stg_events(make_raw(_history(40)))
+    state = feat.daily_state(events, WIDE)
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    many = replace(WIDE, cutoffs=tuple(str(date(2024, 1, 5) + timedelta(days=d)) for d in range(30)))
+    few, lots = (feat._changes(state, s, ["_lab", "_ts", *[f"_f{i}" for i in range(6)], "_n5"]).count() for s in (WIDE, many))
+    assert few == lots
+    assert len(_rows(feat.build_feature_store(events, many))) == sum(1 for _ in range(30)) * 4

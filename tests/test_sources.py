@@ -6,6 +6,8 @@ import os
 import tempfile
 from datetime import date, datetime
 
+import pytest
+
 
 from cartwheel.operators import staging
 from cartwheel.sources import ga4, sinks
@@ -56,3 +58,49 @@ def test_nested_export_edges(make_raw):
     assert flat["session_start"].item_id is None and flat["session_start"].quantity is None
     assert flat["add_to_cart"].ga_session_id == (date(2024, 1, 5) - date(1970, 1, 1)).days * 1_000_000 + 1
     assert flat["add_to_cart"].event_timestamp == datetime(2024, 1, 5, 10, 0, 0)
+
+
+def _failing(spark, n=1000):
+    """Rows of which one fails while the job writes them, after others were written."""
+    from pyspark.sql import functions as F
+
+    return spark.range(n).repartition(8).select(F.when(F.col("id") == n - 1, F.raise_error(F.lit("killed")).cast("long")).otherwise(F.col("id")).alias("v"))
+
+
+def test_a_killed_replace_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "wh" / "model")
+    sinks.replace_table(spark.range(5).toDF("v"), path)
+    with pytest.raises(Exception, match="killed"):
+        sinks.replace_table(_failing(spark), path)
+    assert sorted(r.v for r in sinks.read_table(spark, path).collect()) == [0, 1, 2, 3, 4]
+    assert os.listdir(tmp_path / "wh") == ["model"]  # nothing half-written stays
+    sinks.replace_table(sinks.read_table(spark, path).selectExpr("v + 10 AS v"), path)  # may read what it replaces
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [10, 11, 12, 13, 14]
+
+
+def test_a_driver_lost_between_the_renames_loses_no_table(spark, tmp_path):
+    path = str(tmp_path / "model")
+    sinks.replace_table(spark.range(3).toDF("v"), path)
+    os.rename(path, tmp_path / "_model.old-0123456789ab")
+    assert sinks.read_table(spark, path).count() == 3
+    os.rename(path, tmp_path / "_model.old-0123456789ab")
+    with pytest.raises(Exception, match="killed"):
+        sinks.replace_table(_failing(spark), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_killed_partition_overwrite_leaves_the_old_cutoff(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.createDataFrame([(1, date(2024, 1, 10)), (2, date(2024, 1, 17))], "v long, as_of_date date")
+    sinks.overwrite_partitions(rows, path)
+    with pytest.raises(Exception, match="killed"):
+        sinks.overwrite_partitions(_failing(spark).selectExpr("v", "DATE'2024-01-17' AS as_of_date"), path)
+    assert sorted((r.v, str(r.as_of_date)) for r in spark.read.parquet(path).collect()) == [(1, "2024-01-10"), (2, "2024-01-17")]
+
+
+def test_a_repeated_append_leaves_one_copy(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    one, two = sinks.new_run_id(), sinks.new_run_id()
+    for run, rows in ((one, 3), (two, 2), (one, 3)):
+        sinks.append_run(spark.range(rows).toDF("v"), path, run)
+    assert {r.run_id: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()} == {one: 3, two: 2}
