@@ -89,11 +89,12 @@ def run_summary(ledger: DataFrame) -> DataFrame:
 
 
 def model_history(ledger: DataFrame) -> DataFrame:
-    """Per model across the ledger history: runs, success rate, p50 / p95 seconds."""
+    """Per model across the ledger history: runs, success rate, total and p50 / p95 seconds."""
     agg = ledger.groupBy("model").agg(
         F.count(F.lit(1)).alias("runs"),
         (F.count(F.when(F.col("status") == "success", 1)) / F.count(F.lit(1))).alias("success_rate"),
         F.max("rows").alias("max_rows"),
+        F.sum("seconds").alias("total_seconds"),
     )
     p50 = _index_pick(ledger, ["model"], "seconds", 0.50).withColumnRenamed("p50", "latency_p50_s")
     p95 = _index_pick(ledger, ["model"], "seconds", 0.95).withColumnRenamed("p95", "latency_p95_s")

@@ -1,18 +1,18 @@
 """Declarative data-quality checks -> one result row each -> audit table, score, gate.
 
-Every check compiles to a one-row DataFrame with a fixed schema. Checks that
-are plain aggregates of the same table (row count, freshness, null rate,
-accepted values, minimum, aggregate range) are fused into **one** ``agg`` per
-table; uniqueness is a grouped count, relationships an anti join, and
-reconciliation / quarantine rate two counts. A check whose table or column
-does not resolve yields an ``error`` row and the run goes on.
+Every check compiles to a one-row DataFrame with a fixed schema. All checks that need
+aggregates of whole tables only (row count, freshness, null rate, accepted values,
+minimum, aggregate range, reconciliation, quarantine rate) share **one** ``agg`` per
+table, a scalar subquery each; uniqueness is a grouped count and relationships an anti
+join. A check whose table or column does not resolve yields an ``error`` row and the run
+goes on.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 import yaml
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.errors import PySparkException
 
 from cartwheel.functions import round_half_up
+from cartwheel.sources import sinks
 
 # ---- fixed values: severity weights of the quality score ----
 SEVERITY_WEIGHT = {"critical": 4, "high": 3, "medium": 2, "low": 1}
@@ -49,7 +50,8 @@ NEEDS = {
     "relationship": ("table", "column", "to_table", "to_column"),
     "quarantine_rate": ("rejected_table", "max_rate"),
 }
-FUSABLE = ("row_count_min", "freshness", "not_null", "accepted_values", "min_value", "range_agg")
+STANDALONE = ("unique", "relationship")  # need more than one aggregate
+ROWS = "_rows"
 DEFAULT_CHECKS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "conf", "checks.yaml")
 
 RESULT_SCHEMA = T.StructType(
@@ -132,67 +134,78 @@ def _pass(cond: Column) -> Column:
     return F.when(cond, F.lit("pass")).otherwise(F.lit("fail"))
 
 
-def _fused_parts(check: Check, reference_date: str) -> tuple[list[Column], callable]:
-    """Aggregate expressions of a fusable check and a builder of its result row."""
-    p, col = check.params, check.column
+# A check that needs nothing but aggregates names them as {(table, alias): expression} and
+# builds its result row from the values; the aggregates of all checks on one table are one
+# pass over it, whichever checks they belong to.
+Needs = dict[tuple[str, str], Column]
+
+
+def _aggregates(check: Check, reference_date: str) -> tuple[Needs, Callable[[Callable[[str, str], Column]], list[Column]]]:
+    p, col, t = check.params, check.column, check.table
     key = "_v_" + re.sub(r"\W", "_", check.name)
     if check.type == "row_count_min":
-        aggs = [F.count(F.lit(1)).alias(key)]
-        return aggs, lambda: _row(check, _pass(F.col(key) >= p["min"]), F.col(key), float(p["min"]))
+        return {(t, ROWS): F.count(F.lit(1))}, lambda v: _row(check, _pass(v(t, ROWS) >= p["min"]), v(t, ROWS), float(p["min"]))
     if check.type == "freshness":
-        aggs = [F.max(F.col(col)).alias(key)]
-        days = F.datediff(F.lit(reference_date).cast("date"), F.to_date(F.col(key)))
-        # an empty table has no newest value: that is an error, not a pass
-        status = F.when(F.col(key).isNull(), F.lit("error")).otherwise(_pass(days <= p["max_days"]))
-        empty = F.when(F.col(key).isNull(), F.lit("no rows to measure freshness on"))
-        return aggs, lambda: _row(check, status, days, float(p["max_days"]), empty)
+
+        def fresh(v):
+            days = F.datediff(F.lit(reference_date).cast("date"), F.to_date(v(t, key)))
+            # an empty table has no newest value: that is an error, not a pass
+            status = F.when(v(t, key).isNull(), F.lit("error")).otherwise(_pass(days <= p["max_days"]))
+            empty = F.when(v(t, key).isNull(), F.lit("no rows to measure freshness on"))
+            return _row(check, status, days, float(p["max_days"]), empty)
+
+        return {(t, key): F.max(F.col(col))}, fresh
     if check.type == "not_null":
-        rows, nulls = F.count(F.lit(1)), F.count(F.lit(1)) - F.count(F.col(col))
-        # share of NULLs; an empty table has none
-        aggs = [F.when(rows > 0, nulls.cast("double") / rows).otherwise(F.lit(0.0)).alias(key)]
-        return aggs, lambda: _row(
-            check, _pass(F.col(key) <= p["max_null_rate"]), F.col(key), float(p["max_null_rate"])
-        )
+
+        def rate(v):
+            # share of NULLs; an empty table has none
+            x = F.when(v(t, ROWS) > 0, (v(t, ROWS) - v(t, key)).cast("double") / v(t, ROWS)).otherwise(F.lit(0.0))
+            return _row(check, _pass(x <= p["max_null_rate"]), x, float(p["max_null_rate"]))
+
+        return {(t, ROWS): F.count(F.lit(1)), (t, key): F.count(F.col(col))}, rate
     if check.type == "accepted_values":
-        aggs = [F.count(F.when(~F.col(col).isin(list(p["values"])), F.lit(1))).alias(key)]
-        return aggs, lambda: _row(check, _pass(F.col(key) == 0), F.col(key), 0.0)
+        bad = F.count(F.when(~F.col(col).isin(list(p["values"])), F.lit(1)))
+        return {(t, key): bad}, lambda v: _row(check, _pass(v(t, key) == 0), v(t, key), 0.0)
     if check.type == "min_value":
-        aggs = [F.min(F.col(col)).alias(key)]
-        ok = F.col(key).isNull() | (F.col(key) >= p["min"])
-        return aggs, lambda: _row(check, _pass(ok), F.col(key), float(p["min"]))
+        return {(t, key): F.min(F.col(col))}, lambda v: _row(
+            check, _pass(v(t, key).isNull() | (v(t, key) >= p["min"])), v(t, key), float(p["min"])
+        )
     if check.type == "range_agg":
-        aggs = [F.expr(p["expr"]).alias(key)]
-        ok = F.col(key).isNotNull() & (F.col(key) >= p["min"]) & (F.col(key) <= p["max"])
-        return aggs, lambda: _row(check, F.coalesce(_pass(ok), F.lit("fail")), F.col(key), float(p["max"]))
-    raise ValueError(f"not a fusable check: {check.type}")  # pragma: no cover
+
+        def plausible(v):
+            ok = v(t, key).isNotNull() & (v(t, key) >= p["min"]) & (v(t, key) <= p["max"])
+            return _row(check, F.coalesce(_pass(ok), F.lit("fail")), v(t, key), float(p["max"]))
+
+        return {(t, key): F.expr(p["expr"])}, plausible
+    if check.type == "reconcile_count":
+        other = p["source_table"]
+        return {(t, ROWS): F.count(F.lit(1)), (other, key): F.expr(p["source_expr"])}, lambda v: _row(
+            check, _pass(v(t, ROWS) == v(other, key)), v(t, ROWS), v(other, key)
+        )
+    if check.type == "quarantine_rate":
+        bad, raw = p["rejected_table"], p["raw_glob"] if "raw_glob" in p else p.get("raw_table", "raw_events")
+
+        def quarantined(v):
+            x = F.when(v(raw, ROWS) > 0, v(bad, ROWS) / v(raw, ROWS)).otherwise(F.lit(0.0))
+            return _row(check, _pass(x <= p["max_rate"]), x, float(p["max_rate"]))
+
+        return {(bad, ROWS): F.count(F.lit(1)), (raw, ROWS): F.count(F.lit(1))}, quarantined
+    raise ValueError(f"unknown check type: {check.type}")
 
 
-def _standalone(check: Check, tables: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
+def _standalone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     p, col = check.params, check.column
     if check.type == "unique":
         t = tables[check.table]
         dupes = t.groupBy(F.col(col)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
         r = dupes.agg(F.count(F.lit(1)).alias("_d"))
         return r.select(*_row(check, _pass(F.col("_d") == 0), F.col("_d"), 0.0))
-    if check.type == "reconcile_count":
-        src = tables[p["source_table"]].agg(F.expr(p["source_expr"])).scalar()
-        r = tables[check.table].agg(F.count(F.lit(1)).alias("_t")).withColumn("_s", src)
-        return r.select(*_row(check, _pass(F.col("_t") == F.col("_s")), F.col("_t"), F.col("_s")))
-    if check.type == "relationship":
-        # count per child key first (a hot or NULL key becomes one row), then
-        # anti-join the distinct parent keys; NULL never matches, so it is an orphan
-        a = tables[check.table].groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-        b = tables[p["to_table"]].select(F.col(p["to_column"]).alias("_k")).distinct()
-        orphans = a.join(b, "_k", "left_anti").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
-        return orphans.select(*_row(check, _pass(F.col("_o") == 0), F.col("_o"), 0.0))
-    if check.type == "quarantine_rate":
-        # the raw side is a table of the run, or (spec compatibility) a Parquet path / glob
-        raw_df = spark.read.parquet(p["raw_glob"]) if "raw_glob" in p else tables[p.get("raw_table", "raw_events")]
-        raw = raw_df.agg(F.count(F.lit(1))).scalar()
-        r = tables[p["rejected_table"]].agg(F.count(F.lit(1)).alias("_r")).withColumn("_w", raw)
-        rate = F.when(F.col("_w") > 0, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
-        return r.select(*_row(check, _pass(rate <= p["max_rate"]), rate, float(p["max_rate"])))
-    raise ValueError(f"unknown check type: {check.type}")
+    # relationship: count per child key first (a hot or NULL key becomes one row), then
+    # anti-join the distinct parent keys; NULL never matches, so it is an orphan
+    a = tables[check.table].groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+    b = tables[p["to_table"]].select(F.col(p["to_column"]).alias("_k")).distinct()
+    orphans = a.join(b, "_k", "left_anti").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_o"))
+    return orphans.select(*_row(check, _pass(F.col("_o") == 0), F.col("_o"), 0.0))
 
 
 def _message(exc: Exception) -> str:
@@ -204,35 +217,58 @@ def check_results(
 ) -> DataFrame:
     """All check results as one DataFrame (lazy; fused aggregates per table)."""
     parts: list[DataFrame] = []
-    fused: dict[str, list[tuple[list[Column], Column]]] = {}
+    needs: Needs = {}
+    rows: list[Callable] = []
+
+    def table(name: str, check: Check) -> DataFrame:
+        # a raw side may be a Parquet path or glob instead of a table of the run
+        return spark.read.parquet(name) if name == check.params.get("raw_glob") else tables[name]
+
+    sources: dict[str, DataFrame] = {}
     for ch in checks:
         try:
             if ch.type not in CHECK_TYPES:
                 raise ValueError(f"unknown check type: {ch.type}")
             if ch.missing():
                 raise ValueError(f"missing parameter: {', '.join(ch.missing())}")
-            if ch.type in FUSABLE:
-                aggs, build = _fused_parts(ch, reference_date)
-                row = F.struct(*build())
-                tables[ch.table].agg(*aggs).select(row).schema  # resolve now: what cannot be becomes an error row
-                fused.setdefault(ch.table, []).append((aggs, row))
-            else:
-                df = _standalone(ch, tables, spark)
+            if ch.type in STANDALONE:
+                df = _standalone(ch, tables)
                 df.schema
                 parts.append(df)
+                continue
+            own, build = _aggregates(ch, reference_date)
+            found = {name: table(name, ch) for name, _ in own}
+            one_row(spark, found, own, [build]).schema  # resolve now: what cannot be becomes an error row
+            sources |= found
+            needs |= own
+            rows.append(build)
         except KeyError as exc:
             parts.append(error_row(spark, ch, f"missing table: {exc}"))
         except (TypeError, ValueError, PySparkException) as exc:
             parts.append(error_row(spark, ch, _message(exc)))
-    for table, items in fused.items():
-        one = tables[table].agg(*[a for aggs, _ in items for a in aggs])  # one pass over the table
-        parts.append(one.select(F.inline(F.array(*[row for _, row in items]))))
+    if rows:
+        parts.append(one_row(spark, sources, needs, rows))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(*RESULT_COLUMNS)
 
 
+def one_row(spark: SparkSession, tables: Mapping[str, DataFrame], needs: Needs, builds: list[Callable]) -> DataFrame:
+    """The result rows of some checks from one aggregate per table, each a scalar subquery."""
+    names = sorted({name for name, _ in needs})
+    values = {}
+    for i, name in enumerate(names):
+        aggs = [e.alias(alias) for (t, alias), e in needs.items() if t == name]
+        values[name] = tables[name].agg(*aggs).select(F.struct("*")).scalar().alias(f"_t{i}")
+    base = spark.range(1, numPartitions=1).select(*values.values())
+
+    def value(name: str, alias: str) -> Column:
+        return F.col(f"_t{names.index(name)}")[alias]
+
+    return base.select(F.inline(F.array(*[F.struct(*b(value)) for b in builds])))
+
+
 def quality_score(results: DataFrame) -> DataFrame:
     """Severity-weighted pass rate (0..100, one decimal), counts and critical failures, one row.
 
@@ -284,9 +320,10 @@ def assert_unique_rows(df: DataFrame, keys: list[str], hot_fraction: float = HOT
     A duplicated key may hold a third of all rows. Keys holding more than
     ``hot_fraction`` of the duplicated rows are fewer than ``1 / hot_fraction``,
     so their list is broadcast: their rows are found map-side, and only the
-    remaining rows are shuffled for the semi join with the other duplicated keys.
+    remaining rows are shuffled for the semi join with the other duplicated keys. The
+    duplicated keys are counted once and written.
     """
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    dup = sinks.written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "duplicated-keys")
     limit = dup.agg(F.sum("_n")).scalar() * F.lit(float(hot_fraction))
     hot = F.broadcast(dup.filter(F.col("_n") > limit).select(*keys))
     cold = dup.filter(F.col("_n") <= limit).select(*keys)

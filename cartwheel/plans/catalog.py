@@ -9,6 +9,7 @@ writes it to the shared scratch folder once (``Models.written``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,6 @@ from cartwheel.functions import round_half_up
 from cartwheel.operators import ledger, marts, quality, ranking, staging
 from cartwheel.plans import features, propensity
 from cartwheel.plans.models import Models, ModelTables
-from cartwheel.session import ensure_checkpoint_dir
 from cartwheel.sources import ga4, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,28 @@ def avg_spec() -> features.FeatureSpec:
     ).validate()
 
 
+def published_spec() -> features.FeatureSpec:
+    """The spec with the 21-day label it was first published with (a fixed value)."""
+    base = features.load_spec()
+    return replace(base, label=features.Label("purchased_next_21d", base.label.event, 21))
+
+
+@register("feature_store_21d_label")
+def feature_store_21d_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir, published_spec())
+
+
+def daily_spec() -> features.FeatureSpec:
+    """A cutoff on every day of the data: the state and the running sums stay the same size."""
+    base = features.load_spec()
+    return replace(base, cutoffs=tuple(str(date(2024, 1, d)) for d in range(1, 31)))
+
+
+@register("feature_store_daily_cutoffs")
+def feature_store_daily_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir, daily_spec())
+
+
 @register("feature_store")
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir)
@@ -175,20 +197,19 @@ def feature_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last-cutoff rows scored by the baseline ranker (recent cart count).
 
-    Checkpointed: the rank kit reads its input more than once (size check or
-    range sampling, then the pass itself), and the feature store behind it
+    Written: the rank kit reads its input more than once, and the feature store behind it
     should be computed once per query, not once per read.
     """
-    ensure_checkpoint_dir(spark)
     spec = features.load_spec()
     valid = date.fromisoformat(sorted(spec.cutoffs)[-1])
     st = _store(spark, sf_dir, spec).filter(F.col("as_of_date") == F.lit(valid))
-    return st.select(
+    rows = st.select(
         "entity_id",
         "as_of_date",
         F.col(propensity.BASELINE_FEATURE).cast("double").alias("score"),
         F.col(spec.label.name).cast("bigint").alias("y"),
-    ).checkpoint(eager=True)
+    )
+    return sinks.written(rows, "validation")
 
 
 @register("baseline_auc")
@@ -213,11 +234,10 @@ def propensity_decile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_run(spark: SparkSession, sf_dir: str) -> propensity.PropensityRun:
-    """The fitted model, on a checkpointed store: the fit, the scoring and the metrics all
+    """The fitted model, on a written store: the fit, the scoring and the metrics all
     read it, and none of them should recompute the feature store."""
-    ensure_checkpoint_dir(spark)
     spec = features.load_spec()
-    return propensity.train_propensity(_store(spark, sf_dir, spec).checkpoint(eager=True), spec)
+    return propensity.train_propensity(sinks.written(_store(spark, sf_dir, spec), "store"), spec)
 
 
 @register("propensity_scores")
@@ -259,13 +279,12 @@ FIXED_INTERCEPT = -0.7
 @register("propensity_fixed_weights")
 def propensity_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores and deciles of the last cutoff under FIXED_WEIGHTS."""
-    ensure_checkpoint_dir(spark)
     valid = date.fromisoformat(sorted(features.load_spec().cutoffs)[-1])
     st = _store(spark, sf_dir).filter(F.col("as_of_date") == F.lit(valid))
     z = F.lit(FIXED_INTERCEPT)
     for name, w in FIXED_WEIGHTS.items():
         z = z + F.col(name).cast("double") * F.lit(w)
-    scored = st.select("entity_id", "as_of_date", round_half_up(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 9).alias("propensity")).checkpoint(eager=True)
+    scored = sinks.written(st.select("entity_id", "as_of_date", round_half_up(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 9).alias("propensity")), "fixed-scores")
     ranked = ranking.percent_rank_average(scored, "propensity", "_pct")
     return ranked.select("entity_id", "as_of_date", "propensity", ranking.decile_from_pct("_pct").alias("decile"))
 
@@ -311,8 +330,8 @@ def sql_checks() -> tuple[str, list[quality.Check]]:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> ModelTables:
-    """Clean events, sessions and customer features, each computed once for all checks."""
-    m = models_for(spark, sf_dir).written("stg_events", "int_sessions", "mart_customer_features")
+    """Raw events read once; clean events, sessions and customer features each computed once."""
+    m = models_for(spark, sf_dir).sorted_out().written("stg_events", "int_sessions", "mart_customer_features")
     return ModelTables(m, {"feature_store": features.build_feature_store(m.stg_events, features.load_spec())})
 
 
@@ -380,6 +399,49 @@ def dq_trend_per_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.dq_trend(_audit(spark, sf_dir), "check_name").drop("severity_rank")
 
 
+@register("dq_trend_per_severity")
+def dq_trend_per_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pass rate per run and severity, the most severe first."""
+    return ledger.dq_trend(_audit(spark, sf_dir))
+
+
+def erring_checks() -> tuple[str, list[quality.Check]]:
+    """One sound check among checks that cannot be evaluated, each for another reason."""
+    ref, checks = sql_checks()
+    out = [checks[0]]
+    for name, kind, table, column, params in (
+        ("err_missing_table", "row_count_min", "no_such_table", None, {"min": 1}),
+        ("err_missing_column", "not_null", "stg_events", "no_such_column", {"max_null_rate": 0.0}),
+        ("err_unknown_type", "no_such_check", "stg_events", None, {}),
+        ("err_missing_parameter", "min_value", "stg_events", "purchase_revenue", {}),
+        ("err_bad_expression", "range_agg", "stg_events", None, {"expr": "max(no_such_column)", "min": 0, "max": 1}),
+    ):
+        out.append(quality.Check(name, kind, table, column, "low", params))
+    return ref, out
+
+
+@register("dq_results_with_errors")
+def dq_results_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks that cannot be evaluated become error rows, and the run goes on."""
+    ref, checks = erring_checks()
+    found = quality.check_results(spark, checks, ModelTables(models_for(spark, sf_dir)), ref)
+    return found.withColumn("error", F.col("error").isNotNull())
+
+
+def shipped_checks() -> tuple[str, list[quality.Check]]:
+    """The checks with the thresholds they were first published with."""
+    ref, checks = sql_checks()
+    # ---- fixed values: the published volume minimum and conversion range ----
+    published = {"events_volume": {"min": 100_000}, "conversion_rate_plausible": {"min": 0.01, "max": 0.20}}
+    return ref, [quality.Check(c.name, c.type, c.table, c.column, c.severity, {**c.params, **published.get(c.name, {})}) for c in checks]
+
+
+@register("dq_results_published_thresholds")
+def dq_results_published_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, checks = shipped_checks()
+    return quality.check_results(spark, checks, _tables(spark, sf_dir), ref)
+
+
 TREND_DATES = ("2024-01-20", "2024-01-31", "2024-03-31")
 
 
@@ -452,9 +514,12 @@ def oracles() -> dict[str, str]:
     out.update(oracle.features(spec))
     out["feature_store_daily_rollup"] = out["feature_store"]
     out.update(oracle.baseline_metrics(spec))
+    out.update(oracle.model(spec, *propensity.split_cutoffs(spec), propensity.BASELINE_FEATURE))
     out["feature_avg"] = oracle.with_base(
         "SELECT entity_id, as_of_date, avg_order_value_30d FROM feature_store", oracle.feature_store_cte(avg_spec())
     )
+    for name, other in (("feature_store_21d_label", published_spec()), ("feature_store_daily_cutoffs", daily_spec())):
+        out[name] = oracle.with_base("SELECT * FROM feature_store", oracle.feature_store_cte(other))
     out["ga4_flatten"] = oracle.ga4_flatten()
     out["partition_pruned_scan"] = oracle.with_base(
         f"SELECT * FROM stg_events WHERE event_date BETWEEN DATE '{PRUNE_RANGE[0]}' AND DATE '{PRUNE_RANGE[1]}'"
@@ -503,6 +568,13 @@ def oracles() -> dict[str, str]:
         f"SELECT *, TIMESTAMP '{day}' AS run_ts FROM ({oracle.dq_check_sql(c, day)})" for day in TREND_DATES for c in checks
     )
     out["dq_trend"] = oracle.dq_trend_sql(audit, spec)
+    out["dq_trend_per_severity"] = oracle.dq_trend_sql(audit, spec, "severity", ledger.SEVERITY_RANK)
+    ref_s, published = shipped_checks()
+    out["dq_results_published_thresholds"] = oracle.with_base("\nUNION ALL\n".join(oracle.dq_check_sql(c, ref_s) for c in published), oracle.dq_ctes(spec))
+    ref_e, erring = erring_checks()
+    head = f"SELECT * REPLACE (error IS NOT NULL AS error) FROM ({oracle.dq_check_sql(erring[0], ref_e)})"
+    tail = [f"SELECT {oracle.quote(c.name)}, {oracle.quote(c.type)}, {oracle.quote(c.table)}, CAST({oracle.quote(c.column)} AS VARCHAR), 'low', 'error', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), TRUE" for c in erring[1:]]
+    out["dq_results_with_errors"] = oracle.with_base("\nUNION ALL\n".join([head, *tail]))
     out["dq_trend_per_check"] = oracle.dq_trend_sql(audit, spec, "check_name")
     orphan = next(c for c in quality.load_checks()[1] if c.type == "relationship")
     last = sorted(spec.cutoffs)[-1]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.operators import marts, sessions, staging
 from cartwheel.sources import fixtures, sinks
@@ -42,6 +43,24 @@ class Models:
             self.__dict__[name] = self.spark.read.schema(self.table(name).schema).parquet(path)
         return self
 
+    def sorted_out(self) -> Models:
+        """The same DAG with the raw events read once: every row is written to the scratch
+        folder under its status (valid, rejected, or neither, trap T1), so the clean events
+        read only the valid rows, the quarantine only the rejected ones, and counting
+        either needs the file footers alone."""
+        raw = self.raw_events
+        status = F.when(staging.is_valid(self.strict), "valid").when(staging.is_rejected(self.strict), "rejected").otherwise("neither")
+        path = sinks.scratch_root(self.spark, "events-by-status")
+        raw.withColumn("_status", status).write.mode("overwrite").partitionBy("_status").parquet(path)
+        schema = raw.schema.add("_status", "string")
+        back = self.spark.read.schema(schema).parquet(path)
+        self.__dict__["raw"] = {**self.raw, "raw_events": back.drop("_status")}
+        valid = back.filter("_status = 'valid'").drop("_status")
+        self.__dict__["stg_events"] = staging.typed_events(staging.dedup_first(valid.select(*staging.CLEAN_COLUMNS)))
+        rejected = back.filter("_status = 'rejected'").drop("_status")
+        self.__dict__["stg_events_rejected"] = rejected.withColumn("reject_reason", staging.reject_reason(self.strict))
+        return self
+
     # ---- staging
     @cached_property
     def stg_events(self) -> DataFrame:
