@@ -44,18 +44,19 @@ def is_valid(strict: bool = False) -> Column:
 
     With the reference semantics a row with NULL ``event_name`` and NULL or
     non-positive revenue is neither valid nor rejected. ``strict=True`` also
-    requires a non-NULL ``event_name``.
+    requires a non-NULL ``event_name`` and ``event_id``: without an id (a surrogate id
+    with a NULL part has none) all such rows would count as copies of one event.
     """
     cond = F.col("user_pseudo_id").isNotNull() & ~_bad_revenue()
     if strict:
-        cond = cond & F.col("event_name").isNotNull()
+        cond = cond & F.col("event_name").isNotNull() & F.col("event_id").isNotNull()
     return cond
 
 
 def is_rejected(strict: bool = False) -> Column:
     cond = F.col("user_pseudo_id").isNull() | _bad_revenue()
     if strict:
-        cond = cond | F.col("event_name").isNull()
+        cond = cond | F.col("event_name").isNull() | F.col("event_id").isNull()
     return cond
 
 
@@ -65,7 +66,7 @@ def reject_reason(strict: bool = False) -> Column:
         _bad_revenue(), F.lit("non_positive_revenue")
     )
     if strict:
-        r = r.when(F.col("event_name").isNull(), F.lit("null_event_name"))
+        r = r.when(F.col("event_name").isNull(), F.lit("null_event_name")).when(F.col("event_id").isNull(), F.lit("null_event_id"))
     return r
 
 
@@ -184,6 +185,11 @@ def flatten_ga4(export: DataFrame) -> DataFrame:
     )
 
 
-def stg_events_ga4(export: DataFrame) -> DataFrame:
+def stg_events_ga4(export: DataFrame, strict: bool = False) -> DataFrame:
     """Warehouse staging model: flatten, validate, de-duplicate on the surrogate id."""
-    return dedup_first(flatten_ga4(export).filter(is_valid()))
+    return dedup_first(flatten_ga4(export).filter(is_valid(strict)))
+
+
+def ga4_rejected(export: DataFrame, strict: bool = True) -> DataFrame:
+    """Quarantine of the nested export: flattened rows that fail validation, with the reason."""
+    return flatten_ga4(export).filter(is_rejected(strict)).withColumn("reject_reason", reject_reason(strict))

@@ -95,6 +95,12 @@ def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_events_ga4(ga4.ga4_export(models_for(spark, sf_dir).raw_events))
 
 
+@register("ga4_rejected")
+def ga4_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the nested export that strict validation quarantines."""
+    return staging.ga4_rejected(ga4.ga4_export(models_for(spark, sf_dir).raw_events))
+
+
 PRUNE_RANGE = ("2024-01-08", "2024-01-14")
 
 
@@ -521,6 +527,7 @@ def oracles() -> dict[str, str]:
     for name, other in (("feature_store_21d_label", published_spec()), ("feature_store_daily_cutoffs", daily_spec())):
         out[name] = oracle.with_base("SELECT * FROM feature_store", oracle.feature_store_cte(other))
     out["ga4_flatten"] = oracle.ga4_flatten()
+    out["ga4_rejected"] = oracle.ga4_rejected()
     out["partition_pruned_scan"] = oracle.with_base(
         f"SELECT * FROM stg_events WHERE event_date BETWEEN DATE '{PRUNE_RANGE[0]}' AND DATE '{PRUNE_RANGE[1]}'"
     )

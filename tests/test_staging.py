@@ -77,3 +77,10 @@ def test_money_below_a_cent_is_kept(make_raw):
 
     raw = make_raw([raw_row(event_id=f"p{i}", event_name="purchase", purchase_revenue=0.004) for i in range(1000)])
     assert sessions.int_sessions(staging.stg_events(raw)).first().revenue == 4.0
+
+
+def test_a_missing_event_id_is_quarantined_when_strict(make_raw):
+    raw = make_raw([raw_row(event_id=None), raw_row(event_id=None, item_id="prod_2"), raw_row(event_id="e1")])
+    assert staging.stg_events(raw).count() == 2  # rows without an id count as copies of one event
+    assert [r.event_id for r in staging.stg_events(raw, strict=True).collect()] == ["e1"]
+    assert [r.reject_reason for r in staging.stg_events_rejected(raw, strict=True).collect()] == ["null_event_id"] * 2
