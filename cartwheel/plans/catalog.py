@@ -90,6 +90,18 @@ def mart_cohort_retention_calendar_weeks(spark: SparkSession, sf_dir: str) -> Da
     return marts.mart_cohort_retention(m.int_sessions, m.stg_crm_customers, calendar_weeks=True)
 
 
+@register("mart_funnel_bucketed")
+def mart_funnel_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel on clean events bucketed by session: sessions need no exchange."""
+    return models_for(spark, sf_dir).bucketed(stg_events="ga_session_id").mart_funnel
+
+
+@register("mart_customer_features_bucketed")
+def mart_customer_features_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer features on sessions bucketed by user: both aggregates need no exchange."""
+    return models_for(spark, sf_dir).bucketed(int_sessions="user_pseudo_id").mart_customer_features
+
+
 @register("ga4_flatten")
 def ga4_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_events_ga4(ga4.ga4_export(models_for(spark, sf_dir).raw_events))
@@ -515,6 +527,8 @@ def oracles() -> dict[str, str]:
     spec = features.load_spec()
     out: dict[str, str] = {}
     out.update(oracle.staging_and_marts())
+    for name in ("mart_funnel", "mart_customer_features"):
+        out[f"{name}_bucketed"] = out[name]
     campaign = f"mart_campaign_efficiency AS ({oracle.campaign_sql()})"
     out.update(oracle.build_options())
     out.update(oracle.features(spec))

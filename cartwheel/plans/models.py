@@ -43,6 +43,13 @@ class Models:
             self.__dict__[name] = self.spark.read.schema(self.table(name).schema).parquet(path)
         return self
 
+    def bucketed(self, **keys: str) -> Models:
+        """The same DAG with written models bucketed by a key each, if no key is too large."""
+        for name, key in keys.items():
+            self.written(name)
+            self.__dict__[name] = sinks.write_bucketed(self.table(name), name, key)
+        return self
+
     def sorted_out(self) -> Models:
         """The same DAG with the raw events read once: every row is written to the scratch
         folder under its status (valid, rejected, or neither, trap T1), so the clean events

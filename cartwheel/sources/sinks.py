@@ -76,6 +76,25 @@ def write_partitioned(
     )
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """A layer bucketed and sorted by ``key`` (S6), so that later aggregates and joins on it
+    need no exchange; ``df`` should be a written table.
+
+    Rows of one key lie in one bucket and are read by one task, which Spark cannot split.
+    So the largest key is counted first: if it holds more than twice an even bucket, ``df``
+    is returned as it is, and the usual exchanges with partial aggregation stay.
+    """
+    spark = df.sparkSession
+    buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most, total = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
+    if not total or most * buckets > 2 * max(total, buckets):
+        return df
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = scratch_root(spark, name)
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def read_date_range(spark: SparkSession, path: str, start: str, end: str, column: str = "event_date") -> DataFrame:
     """Date-range scan of a day-partitioned table; the range becomes a PartitionFilter."""
     return spark.read.parquet(path).filter(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

@@ -73,3 +73,20 @@ def test_hot_keys_stay_exact(make_raw):
     assert s["big"].event_count == 60 and s["big"].products_viewed == 7
     cf = {r.user_pseudo_id: r for r in marts.mart_customer_features(sessions.int_sessions(ev)).collect()}
     assert cf["whale"].sessions == 1 and cf["whale"].total_events == 60
+
+
+def test_a_bucketed_layer_needs_no_exchange_on_its_key(spark):
+    plan = _plan(catalog.QUERIES["mart_funnel_bucketed"](spark, SF_SMALL))
+    assert "hashpartitioning(ga_session_id" not in plan and "Bucketed: true" in plan
+    plan = _plan(catalog.QUERIES["mart_customer_features_bucketed"](spark, SF_SMALL))
+    assert "hashpartitioning(user_pseudo_id" not in plan and "Bucketed: true" in plan
+
+
+def test_a_layer_with_a_hot_key_is_not_bucketed(spark):
+    from cartwheel.sources import sinks
+
+    even = spark.range(4000).selectExpr("id % 500 AS k", "id AS v")
+    hot = spark.range(4000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
+    assert "Bucketed: true" in _plan(sinks.write_bucketed(even, "even", "k").groupBy("k").count())
+    assert sinks.write_bucketed(hot, "hot", "k") is hot
+    assert sinks.write_bucketed(even.limit(0), "none", "k").count() == 0
