@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.sources import sinks
+
 
 # ---- fixed values of the fixture mapping -------------------------------------------
 # driver event_type -> shop event_name
@@ -68,7 +70,7 @@ def _case(col: Column, mapping: dict) -> Column:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw shop events (17 columns, reference raw shape) derived from ``events``."""
-    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = sinks.spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")

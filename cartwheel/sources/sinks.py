@@ -36,6 +36,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan of fewer splits than the cluster has cores out to all of them, before
+    work that costs more than the shuffle of its few rows; a scan of as many splits or more
+    (any table of size) stays as it is, so nothing is shuffled at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Raw-zone Parquet with an explicit schema (no inference job, no drift)."""
     return spark.read.schema(schema).parquet(path)
