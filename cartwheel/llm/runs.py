@@ -46,8 +46,8 @@ def tiles(n: int, min_exponent: int) -> Iterator[tuple[int, int, int]]:
 
 def codes_of(words: list[bytes]) -> np.ndarray:
     """Words as numbers, equal only for equal words."""
-    seen: dict[bytes, int] = {}
-    return np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
 
 def z_function(x: list[int]) -> list[int]:
@@ -119,37 +119,73 @@ def primitive(z: np.ndarray, periods: np.ndarray) -> np.ndarray:
     return periods[~composed[periods]]
 
 
-def solve(x: np.ndarray, size: int, first: int, end: int) -> dict[int, list[list[int]]]:
-    """Period -> stretches [from, to) that the boundaries of one tile can see, merged."""
-    lo, hi = max(0, first - size), min(len(x), end + 5 * size)
-    x = x[lo:hi]
-    skip = first - lo
-    hits = recurring(x[skip:], size)
-    hits = hits[hits[:, 0] * size + first < end]
-    found: dict[int, list[list[int]]] = {}
-    if not len(hits):
+def chains(hits: np.ndarray, least: int, last: int) -> np.ndarray:
+    """(first block, blocks, shift) of the blocks in a row with the same shift: of rows of
+    ``least`` blocks or more, and of those that reach the tile's first or last block."""
+    hits = hits[np.lexsort((hits[:, 0], hits[:, 1]))]
+    new = np.flatnonzero(np.r_[True, (hits[1:, 1] != hits[:-1, 1]) | (hits[1:, 0] != hits[:-1, 0] + 1)])
+    sizes = np.diff(np.r_[new, len(hits)])
+    first = hits[new, 0]
+    out = np.stack([first, sizes, hits[new, 1]], 1)[(sizes >= least) | (first == 0) | (first + sizes > last)]
+    return out[np.lexsort((out[:, 2], out[:, 0]))]
+
+
+class Tile:
+    """The boundaries first, first + size, ... below ``end`` of one text, with the words
+    they can see."""
+
+    def __init__(self, x: np.ndarray, size: int, first: int, end: int):
+        self.lo, self.size = max(0, first - size), size
+        self.x = x[self.lo : min(len(x), end + 5 * size)]
+        self.skip, self.last = first - self.lo, (end - first - 1) // size
+        self.ahead: dict[int, np.ndarray] = {}
+        self.behind: dict[int, tuple[list[int], int]] = {}
+
+    def forward(self, b: int) -> np.ndarray:
+        """z[q]: how far the words from b on equal those from b + q on."""
+        if b not in self.ahead:
+            self.ahead[b] = np.array(z_function(self.x[b : b + 4 * self.size].tolist()))
+        return self.ahead[b]
+
+    def backward(self, b: int, q: int) -> int:
+        """How many words before b equal those before b + q, at most ``size``."""
+        if b not in self.behind:
+            back = self.x[max(0, b - self.size) : b][::-1].tolist()
+            ahead = self.x[max(0, b - self.size) : b + 2 * self.size][::-1].tolist()
+            self.behind[b] = z_function([*back, -1, *ahead]), len(ahead)
+        z, n = self.behind[b]
+        # read backwards, the words before b + q start n - len(back) - q items into ``ahead``
+        return z[1 + n - q] if len(z) > 1 + n else 0
+
+    def solve(self, least: int) -> dict[int, list[tuple[int, int]]]:
+        """Period -> stretches [from, to) that these boundaries can see. A stretch that
+        counts holds ``least`` whole blocks. Within a row of equal blocks only the first
+        and the last boundary need their Z-functions; the words between are compared."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        hits = recurring(self.x[self.skip :], self.size)
+        hits = hits[hits[:, 0] <= self.last]
+        rows = chains(hits, least, self.last) if len(hits) else hits
+        if not len(rows):
+            return found
+        at, starts = np.unique(rows[:, 0], return_index=True)
+        for block, own in zip(at.tolist(), np.split(rows, starts[1:])):
+            b = self.skip + block * self.size
+            good = set(primitive(self.forward(b), self.size + own[:, 2]).tolist())
+            for _, blocks, shift in own.tolist():
+                if (q := self.size + shift) in good:
+                    self.extend(b, blocks, q, found)
         return found
-    at, starts = np.unique(hits[:, 0], return_index=True)
-    for block, shifts in zip(at.tolist(), np.split(hits[:, 1], starts[1:])):
-        b = skip + block * size
-        z = np.array(z_function(x[b : b + 4 * size].tolist()))
-        periods = primitive(z, size + shifts)
-        periods = periods[z[periods] >= size]
-        if not len(periods):
-            continue
-        back = x[max(0, b - size) : b][::-1].tolist()
-        ahead = x[max(0, b - size) : b + 2 * size][::-1].tolist()
-        tail = z_function([*back, -1, *ahead])
-        for q in periods.tolist():
-            # the words before b + q, read backwards, start (len(ahead) - len(back) - q) items in
-            near = tail[len(back) + 1 + len(ahead) - len(back) - q] if back else 0
-            s, e = lo + b - near, lo + b + min(int(z[q]), 2 * size)
-            own = found.setdefault(q, [])
-            if own and s <= own[-1][1]:
-                own[-1][0], own[-1][1] = min(own[-1][0], s), max(own[-1][1], e)
-            else:
-                own.append([s, e])
-    return found
+
+    def extend(self, b: int, blocks: int, q: int, found: dict[int, list[tuple[int, int]]]) -> None:
+        end = b + (blocks - 1) * self.size  # the last boundary
+        if not np.array_equal(self.x[b:end], self.x[b + q : end + q]):  # hashes agreed by chance
+            if blocks > 1:
+                for i in range(blocks):
+                    self.extend(b + i * self.size, 1, q, found)
+            return
+        reach = min(int(self.forward(end)[q]), 2 * self.size)
+        if reach >= self.size:
+            found.setdefault(q, []).append((self.lo + b - self.backward(b, q), self.lo + end + reach))
 
 
 def fragments(x: np.ndarray, min_length: int, min_exponent: int) -> list[dict]:
@@ -158,7 +194,8 @@ def fragments(x: np.ndarray, min_length: int, min_exponent: int) -> list[dict]:
     out = []
     n = len(x)
     for size, first, end in tiles(n, min_exponent):
-        for q, own in solve(x, size, first, end).items():
+        shortest = max(min_length - 2 * size + 1, (min_exponent - 1) * size)
+        for q, own in Tile(x, size, first, end).solve(max(1, (shortest - size + 1) // size)).items():
             need = max(min_length, min_exponent * q) - q
             for s, e in own:
                 if e - s >= need or (s <= first and first) or (e >= end and end < n):
