@@ -19,8 +19,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions import round_half_up
 from cartwheel.sources import sinks
@@ -220,16 +221,17 @@ BRACKET = 2e-4  # half width, in quantiles, of the bracket around the cut
 SKETCH_ACCURACY = 20_000  # of the quantile sketch: ranks are right to one part in so many
 
 
-def _with_group(rows: DataFrame, small: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """``rows`` with the row of ``small`` (one per group) as a struct column."""
-    packed = F.struct(*[c for c in small.columns if c not in by])
+def _with_group(rows: DataFrame, small: list[Row], schema: T.StructType, by: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with the row of its group in ``small`` as a struct column."""
+    fields = [f for f in schema.fields if f.name not in by]
     if not by:
-        return rows.withColumn(name, small.select(packed).scalar())
-    right = small.select(packed.alias(name), *[F.col(b).alias(f"_g_{b}") for b in by])
+        return rows.withColumn(name, F.struct(*[F.lit(small[0][f.name]).cast(f.dataType).alias(f.name) for f in fields]))
+    groups = rows.sparkSession.createDataFrame(small, schema)
+    right = groups.select(F.struct(*[f.name for f in fields]).alias(name), *[F.col(b).alias(f"_g_{b}") for b in by])
     match = F.lit(True)
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_g_{b}"))
-    return rows.join(right, match).drop(*[f"_g_{b}" for b in by])
+    return rows.join(F.broadcast(right), match).drop(*[f"_g_{b}" for b in by])
 
 
 def top_fraction_lift(
@@ -242,7 +244,8 @@ def top_fraction_lift(
     around the cut; a second one counts the rows above that bracket; only the rows inside
     it are ordered. Should the bracket miss the cut (few rows, or a sketch beyond its
     error), all rows count as inside, so the result is always exact. ``df`` is read
-    three times: pass a written table.
+    three times: pass a written table. Groups (``by``) are rankers to compare: one row of
+    numbers for each reaches the driver.
     """
     number = F.when(F.isnan("_s"), F.lit(float("inf"))).otherwise(F.coalesce("_s", F.lit(float("-inf"))))
     rows = df.select(
@@ -254,8 +257,7 @@ def top_fraction_lift(
         rows, by, F.count(F.lit(1)).alias("n"), F.sum("_y").alias("positives"),
         F.percentile_approx("_r", ends, SKETCH_ACCURACY).alias("ends"),
     ).withColumns({"k": F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(fraction)))).cast("bigint"), "lo": F.col("ends")[0], "hi": F.col("ends")[1]}).drop("ends")
-    groups = sinks.written(groups, "lift-groups")
-    placed = _with_group(rows, groups, by, "_g").withColumns({"_above": F.col("_r") > F.col("_g.hi"), "_in": F.col("_r").between(F.col("_g.lo"), F.col("_g.hi"))})
+    placed = _with_group(rows, groups.collect(), groups.schema, by, "_g").withColumns({"_above": F.col("_r") > F.col("_g.hi"), "_in": F.col("_r").between(F.col("_g.lo"), F.col("_g.hi"))})
     counts = _agg(
         placed, by, F.first("_g").alias("_g"), F.count_if("_above").alias("above"), F.count_if("_in").alias("inside"),
         F.sum(F.when(F.col("_above"), F.col("_y"))).alias("above_positives"),
@@ -266,12 +268,13 @@ def top_fraction_lift(
         F.when(hit, F.col("_g.lo")).alias("lo"), F.when(hit, F.col("_g.hi")).alias("hi"),
         F.when(hit, F.col("above")).otherwise(0).alias("above"), F.when(hit, F.coalesce("above_positives", F.lit(0))).otherwise(0).alias("above_positives"),
     )
-    counts = sinks.written(counts, "lift-counts")
-    inside = _with_group(rows, counts, by, "_c").filter(F.col("_c.lo").isNull() | F.col("_r").between(F.col("_c.lo"), F.col("_c.hi")))
+    found = counts.collect()
+    inside = _with_group(rows, found, counts.schema, by, "_c").filter(F.col("_c.lo").isNull() | F.col("_r").between(F.col("_c.lo"), F.col("_c.hi")))
     inside = inside.select(*by, "_s", "_k", "_y", (F.col("_c.k") - F.col("_c.above")).alias("_left"), F.lit(1).cast("bigint").alias("_one"))
     ordered = prefix_sums(inside, [F.col("_s").desc_nulls_last(), F.col("_k").asc_nulls_last()], ["_one"], partition_by=tuple(by))
     taken = _agg(ordered, by, F.sum(F.when(F.col("_one_before") < F.col("_left"), F.col("_y"))).alias("top"))
-    r = _with_group(counts, taken, by, "_t").withColumn("top_positives", F.col("above_positives") + F.coalesce("_t.top", F.lit(0)))
+    r = (_with_group(taken, found, counts.schema, by, "_c")).select(*by, "_c.*", "top")
+    r = r.withColumn("top_positives", F.col("above_positives") + F.coalesce("top", F.lit(0)))
     base = F.col("positives").cast("double") / F.col("n")
     top_rate = F.col("top_positives").cast("double") / F.col("k")
     return r.select(
