@@ -13,6 +13,7 @@ stay; an article that stays keeps its short lines too.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from itertools import accumulate
 
@@ -28,7 +29,7 @@ SHARE = 0.2  # a region stays if it holds this share of the largest region's tex
 LINKS = 0.5  # a line with more of its text inside links is furniture
 
 # Fixed lists of HTML vocabulary
-RAW = "script|style|noscript|template|iframe|textarea|title|svg|math|object|select|noembed|noframes|xmp"
+RAW = "script|style|noscript|template|iframe|textarea|title|svg|object|select|noembed|noframes|xmp"
 BLOCK = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -36,16 +37,18 @@ BLOCK = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE_TAGS = set("nav footer aside form button menu dialog head select label fieldset".split())
 FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|gdpr|\w*nav|nav\w*|menu|breadcrumbs?|sidebar|side|footer|"
-    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|overlay|widgets?|comment\w*|respond|replies|disqus|pagination|pager|toolbar|"
-    r"skip|copyright|legal|tags|meta|byline)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|gdpr|\w*nav|nav\w*|menu|breadcrumbs?|sidebar|footer|"
+    r"share|sharing|recommend\w*|newsletter|subscribe|signup|login|popup|modal|overlay|comment\w*|respond|replies|disqus|pagination|pager|toolbar|skip)(?:$|[\s_-])",
     re.I,
 )
+# names that may also stand on article text: there only lines of links are furniture
+LOOSE_NAMES = re.compile(r"(?:^|[\s_-])(?:side|social|related|widgets?|copyright|legal|tags|meta|byline)(?:$|[\s_-])", re.I)
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:\w*header|masthead|topbar)(?:$|[\s_-])", re.I)  # furniture outside an article only
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 MARKUP = re.compile(
     rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|$))|<[!?][^>]*(?:>|$)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S | re.I
 )
+HREF = re.compile(r"""(?:^|[\s"'])href\s*=""", re.I)
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
@@ -53,27 +56,35 @@ def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
     """(text, characters inside links, is furniture, number of the outermost marked article
     it is in or 0) of every block line."""
     lines, parts = [], []
-    links = link_depth = furniture = article = articles = 0
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, furniture, article, header outside the article
+    links = furniture = loose = article = articles = 0
+    link = None  # depth of the stack where the open link began; it ends with the block around it
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, furniture, article, loosely named
+    open_: Counter[str] = Counter()  # tags on the stack
 
     def flush():
         nonlocal parts, links
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            lines.append((text, links, furniture > 0, articles if article else 0))
+            lines.append((text, links, furniture > 0 or (loose > 0 and links > LINKS * len(text)), articles if article else 0))
         parts, links = [], 0
 
-    def close(entry):
-        nonlocal furniture, article
-        furniture -= entry[1]
-        article -= entry[2]
+    def pop():
+        nonlocal furniture, article, loose, link
+        tag, dull, marked, vague = stack.pop()
+        open_[tag] -= 1
+        furniture -= dull
+        article -= marked
+        loose -= vague
+        if link is not None and len(stack) < link:
+            link = None
+        return tag
 
     at = 0
     for m in MARKUP.finditer(html):
         if m.start() > at:
             text = html[at : m.start()]
             parts.append(text)
-            links += len(text.strip()) * (link_depth > 0)
+            links += len(text.strip()) * (link is not None)
         at = m.end()
         if not (tag := m["tag"]):
             continue
@@ -81,29 +92,28 @@ def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
         if tag in BLOCK:
             flush()
         if tag == "a":
-            link_depth = 0 if m["end"] else 1
+            link = len(stack) if not m["end"] and HREF.search(m["attrs"] or "") else None
         if m["end"]:
-            if any(s[0] == tag for s in stack):
-                while stack:
-                    entry = stack.pop()
-                    close(entry)
-                    if entry[0] == tag:
-                        break
+            if open_[tag]:
+                while pop() != tag:
+                    pass
         elif tag not in VOID and tag in BLOCK | FURNITURE_TAGS or tag in ("span", "b"):
             attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(m["attrs"] or "")}
             names = f"{attrs.get('class', '')} {attrs.get('id', '')}" if tag not in ("html", "body", "article", "main") else ""
-            named = FURNITURE_NAMES.search(names) or (not article and HEADER_NAMES.search(names))
+            vague = bool(LOOSE_NAMES.search(names))
+            named = FURNITURE_NAMES.search(names) or (not article and (vague or HEADER_NAMES.search(names)))
             hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
             dull = tag in FURNITURE_TAGS or bool(named) or attrs.get("role") in FURNITURE_ROLES or hidden or (tag == "header" and not article)
             marked = tag in ("article", "main") or attrs.get("role") in ("main", "article")
             if tag == "p":  # an open paragraph ends where the next one begins
                 while stack and stack[-1][0] == "p":
-                    close(stack.pop())
-            if tag in ("span", "b") and not dull:
+                    pop()
+            if tag in ("span", "b") and not dull and not vague:
                 continue
-            entry = (tag, dull, marked, False)
-            stack.append(entry)
+            stack.append((tag, dull, marked, vague))
+            open_[tag] += 1
             furniture += dull
+            loose += vague
             articles += marked and not article
             article += marked
     if at < len(html):
