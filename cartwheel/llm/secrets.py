@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,9 +89,20 @@ def hot_windows(s: str, chars: frozenset, least_bits: float, least_digits: int)
     return [(a, b) for a, b in spans]
 
 
+def outside(spans: list[tuple[int, int, str]], others: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """The spans that lie within none of the others, by start: one sweep over both."""
+    spans, others = sorted(spans), sorted(others)
+    out, at, reach = [], 0, -1
+    for span in spans:
+        while at < len(others) and others[at][0] <= span[0]:
+            reach = max(reach, others[at][1])
+            at += 1
+        if span[1] > reach:
+            out.append(span)
+    return out
+
+
 def entropy_findings(text: str, allow: re.Pattern) -> list[tuple[int, int, str]]:
-    """Hot spans of every class. A base-64 span within a hexadecimal one says nothing new;
-    a span is harmless if it, or each path segment it reaches into, is on the allow-list."""
     """Hot spans of every class; a base-64 span within a hexadecimal one says nothing new.
     Harmless are candidates on the allow-list, and spans that reach only into path segments
     on it, at least one of them as long as a window."""
@@ -101,12 +113,11 @@ def entropy_findings(text: str, allow: re.Pattern) -> list[tuple[int, int, str]]
             continue
         spans: list[tuple[int, int, str]] = []
         for kind, (chars, bits, digits) in CLASSES.items():
-            for lo, hi in hot_windows(run, chars, bits, digits):
-                if not any(a <= lo and hi <= b for a, b, _ in spans):
-                    spans.append((lo, hi, kind))
+            spans += outside([(lo, hi, kind) for lo, hi in hot_windows(run, chars, bits, digits)], [s[:2] for s in spans])
         if spans and "/" in run:
             segments = [(p.start(), p.end(), bool(allow.fullmatch(p[0]))) for p in SEGMENT.finditer(run)]
-            spans = [s for s in spans if not _harmless([p for p in segments if p[0] < s[1] and s[0] < p[1]])]
+            starts, ends = [p[0] for p in segments], [p[1] for p in segments]
+            spans = [s for s in spans if not _harmless(segments[bisect_right(ends, s[0]) : bisect_left(starts, s[1])])]
         found += [(m.start() + lo, m.start() + hi, kind) for lo, hi, kind in spans]
     return found
 
@@ -133,9 +144,8 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", allow:
                 found = []
                 if t:
                     found = base_findings(t)
-                    own = [(s, e) for s, e, _ in found]
                     # a window inside a base finding says nothing new
-                    found += [f for f in entropy_findings(t, allowed) if not any(s <= f[0] and f[1] <= e for s, e in own)]
+                    found += outside(entropy_findings(t, allowed), [(s, e) for s, e, _ in found])
                     found.sort(key=lambda f: (f[0], order[f[2]]))
                 out.append([{"start": s, "end": e, "kind": k} for s, e, k in found])
             yield {"_id": b.column(0).to_pylist(), "findings": out}
