@@ -25,6 +25,8 @@ from cartwheel.llm.common import Memo, Shared, bound_batches, map_batches, remai
 DIM, FACTORS = 1 << 16, 4
 SAMPLE_ROWS, SAMPLE_TERMS = 20_000, 8_000_000
 MIN_EVIDENCE = 10.0  # likelihood-ratio statistic (G squared) a term needs to get weights
+# pairs of the PAIR_TERMS terms in most documents are tried too; a pair needs more, as there are many
+PAIR_TERMS, PAIR_EVIDENCE = 1024, 36.0
 EPOCHS, MIN_STEPS, BATCH, RATE = 12, 1500, 256, 0.1
 EDGE = re.compile(r"^\W+|\W+$")
 
@@ -40,20 +42,49 @@ def terms_of(text: str | None, memo: Memo) -> np.ndarray:
     return ids[1:] if len(ids) and ids[0] < 0 else ids
 
 
-def evidence(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """G squared of every term's presence against the label: terms that tell nothing stay
-    out of the model, or thousands of them would add up to noise."""
-    both = [np.bincount(np.concatenate([*(d for d, k in zip(docs, y) if (k > 0) == side), np.zeros(0, np.int64)]), minlength=DIM).astype(float) for side in (False, True)]
-    n = [float((y <= 0).sum()), float((y > 0).sum())]
-    total, out = sum(n), np.zeros(DIM)
-    with_term = both[0] + both[1]
+def g_squared(both: list[np.ndarray], n: list[float]) -> np.ndarray:
+    """Likelihood-ratio statistic of a presence against the label: ``both[k]`` counts the
+    rows of label k that have it, n[k] all rows of label k."""
+    total, held = sum(n), both[0] + both[1]
+    out = np.zeros(held.shape)
     for k in (0, 1):
-        for seen, expected in ((both[k], with_term * n[k] / max(total, 1)), (n[k] - both[k], (total - with_term) * n[k] / max(total, 1))):
+        for seen, expected in ((both[k], held * n[k] / max(total, 1)), (n[k] - both[k], (total - held) * n[k] / max(total, 1))):
             ok = (seen > 0) & (expected > 0)
             out[ok] += 2 * seen[ok] * np.log(seen[ok] / expected[ok])
     return out
 
 
+def evidence(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Which terms get weights: those whose presence tells something about the label, alone
+    or together with another term (two words may tell much as a pair and nothing apart).
+    Without this screen thousands of terms would add up to noise."""
+    sides = [[d for d, k in zip(docs, y) if (k > 0) == side] for side in (False, True)]
+    n = [float(len(s)) for s in sides]
+    both = [np.bincount(np.concatenate([*s, np.zeros(0, np.int64)]), minlength=DIM).astype(float) for s in sides]
+    good = g_squared(both, n) >= MIN_EVIDENCE
+    often = np.argsort(-(both[0] + both[1]), kind="stable")[:PAIR_TERMS]
+    often = often[(both[0] + both[1])[often] >= 2]
+    place = np.full(DIM, -1)
+    place[often] = np.arange(len(often))
+    pairs = []
+    for s in sides:
+        held = np.zeros((len(often), len(often)))
+        for lo in range(0, len(s), 2048):
+            x = np.zeros((len(s[lo : lo + 2048]), len(often)), np.float32)
+            for i, d in enumerate(s[lo : lo + 2048]):
+                at = place[d]
+                x[i, at[at >= 0]] = 1
+            held += x.T @ x
+        pairs.append(held)
+    told = g_squared(pairs, n)
+    np.fill_diagonal(told, 0)
+    # a pair counts for what it tells beyond each of its terms
+    alone = g_squared([b[often] for b in both], n)
+    beyond = told - np.maximum(alone[:, None], alone[None, :]) >= PAIR_EVIDENCE
+    good[often[beyond.any(1)]] = True
+    return good
+
+
 class Model:
     """bias + sum of w_i + sum over pairs of <v_i, v_j>, through a sigmoid."""
 
@@ -72,7 +103,7 @@ class Model:
     def fit(self, docs: list[np.ndarray], y: np.ndarray, seed: int = 7, l1: float = 1e-5, l2: float = 1e-4) -> "Model":
         """AdaGrad on the log loss with a soft threshold on the weights."""
         rng = np.random.default_rng(seed)
-        seen = evidence(docs, y) >= MIN_EVIDENCE
+        seen = evidence(docs, y)
         self.w[~seen] = 0
         self.v[~seen] = 0
         docs = [d[seen[d]] for d in docs]
