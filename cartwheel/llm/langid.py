@@ -166,7 +166,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return None
     most = max(20, min(PER_LANGUAGE, SAMPLE // len(langs)))
     order = W.Window.partitionBy("_lang").orderBy("_h")
-    last = rows.select("_lang", "_h").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most).groupBy("_lang").agg(F.max("_h").alias("h"))
+    last = rows.select("_lang", "_h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most).groupBy("_lang").agg(F.max("_h").alias("h"))
     limit = {r["_lang"]: r["h"] for r in last.toLocalIterator()}
     bound = F.create_map(*[F.lit(v) for kv in limit.items() for v in kv])
 
@@ -176,7 +176,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             counted = [np.unique(ids, return_counts=True) for ids, _ in found]
             yield {"lang": b.column(0), "ids": [x[0].tolist() for x in counted], "counts": [x[1].tolist() for x in counted]}
 
-    sample = map_batches(rows.filter(F.col("_h") <= bound[F.col("_lang")]).select("_lang", "_t"), run, "lang string, ids array<int>, counts array<int>")
+    drawn = rows.filter(F.col("_h") <= bound[F.col("_lang")]).dropDuplicates(["_lang", "_h"])  # a repeated row counts once
+    sample = map_batches(drawn.select("_lang", "_t"), run, "lang string, ids array<int>, counts array<int>")
     x, y = [], []
     for r in sample.toLocalIterator():
         v = np.zeros(DIM, np.float32)
