@@ -31,6 +31,7 @@ DIM = 1 << 14
 PARAGRAPH_WORDS, STRIDE = 24, 12
 SLACK = 8  # words that a wrapped statement may hold besides its template's
 SAMPLE_DOCS, VARIATIONS = 300, 60
+SAMPLE_CHARS = 100_000  # of a document that may train
 MIN_PROBABILITY, MIN_AGREEMENT = 0.5, 0.6
 UNKNOWN = "unknown"
 WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*|©")
@@ -309,10 +310,11 @@ def _core(para: list[str], family: str, start: int, end: int) -> tuple[int, int]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The classifier, with negatives from SAMPLE_DOCS documents of the corpus."""
-    rows = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("t"))
-    least = rows.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
-    found = [] if least is None else [(r["h"], r["t"]) for r in rows.filter(F.col("h") <= least).toLocalIterator()]
+    """The classifier, with negatives from SAMPLE_DOCS different documents of the corpus of
+    at most SAMPLE_CHARS characters (longer ones only do not train)."""
+    rows = docs.filter(F.length(text_col) <= SAMPLE_CHARS).select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("t"))
+    least = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    found = [] if least is None else [(r["h"], r["t"]) for r in rows.filter(F.col("h") <= least).dropDuplicates(["h"]).toLocalIterator()]
     return Model([p for _, t in sorted(found) for p in _plain(t)])
 
 
