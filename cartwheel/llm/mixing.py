@@ -209,10 +209,13 @@ def _nearest(sizes: np.ndarray, taken: np.ndarray, room: float) -> np.ndarray:
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:
-    """One row per document: id, size, source_size, target, taken, n_copies."""
+    """One row per document: id, size, source_size, target, taken, n_copies, and
+    ``places``: where the splitting tree and the local shuffle put its copies, an array of
+    (copy, shard, position) by copy, null if none is taken."""
     rows, draws = mix(docs, **kw)
-    taken = draws.groupBy("rid").agg(F.count(F.lit(1)).alias("n_copies"))
+    places = F.sort_array(F.collect_list(F.struct("copy", "shard", "position"))).alias("places")
+    taken = draws.groupBy("rid").agg(F.count(F.lit(1)).alias("n_copies"), places)
     return rows.join(taken, "rid", "left").select(
         kw.get("id_col", "doc_id"), "size", "source_size", "target",
-        (F.coalesce("n_copies", F.lit(0)) * F.col("size")).cast(T.LongType()).alias("taken"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "source",
+        (F.coalesce("n_copies", F.lit(0)) * F.col("size")).cast(T.LongType()).alias("taken"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "source", "places",
     )
