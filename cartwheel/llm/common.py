@@ -7,7 +7,9 @@ repeated ids never merge two rows and a recomputed task cannot renumber them.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,18 +34,34 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage,
     survives lost executors); the folder goes when the session ends."""
     path = scratch_root(df.sparkSession, name)
+    made.append(path)
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
+made: list[str] = []  # folders of the shared tables written so far
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete shared tables that nothing reads any more, before the session ends."""
     for t in tables:
-        jvm = t.sparkSession.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(t._scratch)
-        where.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(t.sparkSession, t._scratch)
+
+
+def discard_since(mark: int, keep: DataFrame) -> None:
+    """Delete all shared tables written since ``made`` had ``mark`` entries but ``keep``,
+    a written table, on whose way they were."""
+    for path in made[mark:]:
+        if path != keep._scratch:
+            _delete(keep.sparkSession, path)
+    made[mark:] = [keep._scratch]
 
 
 def remainder(id_col: str, modulus: int) -> Column:
@@ -93,6 +111,15 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, bound)
 
 
+def release() -> None:
+    """Give freed memory back to the system: the worker lives on, idle."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` whose function yields plain dicts of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -107,7 +134,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
                 del arrays, out
-        pa.default_memory_pool().release_unused()  # the worker lives on, idle
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -189,7 +216,10 @@ class Bloom:
 
         parts = map_batches(keys, build, "block int, data binary")
         whole = map_batches(parts.repartition(8, "block"), unite, "block int, data binary")
-        self.array = spark.sparkContext.broadcast(collect_blocks(whole, "uint8", size, step))
+        out = np.zeros(size, np.uint8)
+        for r in whole.collect():  # one job; together no longer than the bit array
+            out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(zlib.decompress(r["data"]), np.uint8)
+        self.array = spark.sparkContext.broadcast(out)
 
     @staticmethod
     def spots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -223,14 +253,18 @@ class Bloom:
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A digest of id and text; equal only for rows that agree in both."""
-    return F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\n"), F.coalesce(F.col(text_col), F.lit(""))), 256)
+    """A digest of id and text; equal only for rows that agree in both (the length of the
+    id goes first, so no id can run into the text; "-" stands for a null id)."""
+    own = F.col(id_col).cast("string")
+    named = F.coalesce(F.concat(F.length(own).cast("string"), F.lit(":"), own), F.lit("-"))
+    return F.sha2(F.concat(named, F.coalesce(F.col(text_col), F.lit(""))), 256)
 
 
 def drop_listed(docs: DataFrame, listed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows listed by their ``row_key`` (column ``_key``, no key twice).
 
-    Where ``_stays`` is true, the key belongs to repeated rows of which one stays. Rows
+    Where ``_stays`` is true, the key belongs to repeated rows of which one stays: of rows
+    that differ in other columns, the one with the smallest hash of the whole row. Rows
     that a Bloom filter of the keys rules out pass straight through; only the remaining
     few are shuffled for the exact anti join.
     """
@@ -246,7 +280,8 @@ def drop_listed(docs: DataFrame, listed: DataFrame, id_col: str = "doc_id", text
     again = listed.filter("_stays")
     if again.isEmpty():
         return out
-    return out.unionByName(rest.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*"))
+    one = rest.join(again, "_key", "left_semi").groupBy("_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return out.unionByName(one.select("_row.*"))
 
 
 def word_hash(word: bytes) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import shared_table
+from cartwheel.llm.common import discard, shared_table
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = shared_table(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        before, edges = edges, shared_table(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        discard(before)
         new = fingerprint(edges)
         if new == mark:
             break

@@ -144,3 +144,35 @@ def test_mixing(nasty, empty):
     assert all(r["size"] == 0 and r["taken"] == 0 for r in out if r["doc_id"] in (3, 4, 5))
     assert all(r["taken"] <= 2 * r["size"] for r in out)
     assert mixing.mixed(empty).count() == 0
+
+
+def test_pipeline_stages(spark, nasty, empty, tmp_path):
+    """Every stage on null, empty, repeated and long rows, and on an empty table."""
+    import corpus_pipeline
+
+    bench = spark.createDataFrame([(1, "no such passage in any document"), (2, None)], "item_id long, text string")
+    for items in (bench, bench.limit(0)):
+        items.write.mode("overwrite").parquet(str(tmp_path / "benchmark.parquet"))
+        docs, none = nasty, empty
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs, none = stage(spark, docs, str(tmp_path)), stage(spark, none, str(tmp_path))
+            assert docs.columns == nasty.columns and none.columns == nasty.columns and none.count() == 0
+        kept = rows(docs)
+        assert sorted(r["text"] for r in kept) == sorted({r[1] for r in ROWS if any(c.isalpha() for c in r[1] or "")})
+        assert [r["doc_id"] for r in kept if r["text"] == ROWS[0][1]] == [2] and sum(r["doc_id"] is None for r in kept) == 1
+        mix = rows(corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)))
+        assert len(mix) == len(kept) and corpus_pipeline.STAGES[-1][1](spark, none, str(tmp_path)).count() == 0
+
+
+def test_pipeline_leaves_only_its_last_table(spark):
+    import os
+
+    import corpus_pipeline
+    from cartwheel.llm.common import made
+    from conftest import SF_SMALL
+
+    before = len(made)
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    assert out.count() > 0
+    left = [p for p in made[before:] if os.path.exists(p.removeprefix("file:"))]
+    assert sum("pipeline-" in p for p in left) == 1 and not any("jaccard" in p or "dedup" in p or "listed" in p for p in left)
