@@ -1,8 +1,12 @@
 """Jaccard self-join of word n-gram sets with rare-first prefix filtering.
 
 Documents with equal sets collapse to one *class* (a 128-bit digest of the set). Shingles
-are ordered rare first by a frequency sketch over all documents (any global order gives
-the same links; a good one gives few candidates). Two sets within the threshold share a
+are ordered rare first: one in four of them, by hash, before the others, and these by a
+frequency sketch of 2^24 counters over all documents (any global order gives the same
+links; a good one gives few candidates, and a prefix holds a tenth of a set, so counting a
+quarter of the shingles is enough and fills the sketch four times later). The sketch tells
+shingles apart that are rarer than the mean load of a counter: some 2 at 0.5 GB of text,
+some 110 at 30 GB. Two sets within the threshold share a
 shingle of their prefixes, so prefixes are joined on their shingles under the length, the
 positional and the suffix filter, and every remaining pair is verified once on whole sets.
 
@@ -15,16 +19,21 @@ component already, so no component changes.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import Bloom, WordHasher, collect_blocks, discard, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table, sum_blocks
+from cartwheel.llm.common import Bloom, WordHasher, discard, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table
 from cartwheel.llm.graph import components
 
-SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14  # counters of the frequency sketch
+SKETCH, SKETCH_BLOCK = 1 << 24, 1 << 14  # counters of the frequency sketch
+SKETCH_TASKS = 64  # tasks that add up the blocks of the sketch
+FIRST = 4  # one shingle in so many, by hash, comes first in the order; only those are counted
+LAST = np.uint16(256)  # rank of shingles that are not counted
 PARTS = 32  # parts of the suffix filter; counts above 127 stay 127, which keeps it a lower bound
 CUTS = np.array([*(np.uint64(i << 59) for i in range(PARTS)), np.uint64(2**64 - 1)], np.uint64)
 
@@ -60,17 +69,17 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
     passed = list(extra)
 
     def run(batches):
-        hasher, sketch = WordHasher(), np.zeros(SKETCH, np.int64)
+        hasher, sketch = WordHasher(), np.zeros(SKETCH, np.uint8)
         for b in batches:
             sizes, digests, parts, held, count = [], [], [], [], 0
             for s, d in _sets(b.column(2), hasher, n):
                 sizes.append(len(s)), digests.append(d), held.append(s)
                 parts.append(np.minimum(np.diff(np.searchsorted(s, CUTS)), 127).astype(np.int8) if d else None)
                 count += len(s)
-                if count > SKETCH:
-                    sketch += _tally(held)
+                if count > 1 << 20:
+                    _tally(sketch, held)
                     held, count = [], 0
-            sketch += _tally(held)
+            _tally(sketch, held)
             none = [None] * len(sizes)
             out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "parts": parts, "block": none, "data": none}
             yield out | {k: b.column(3 + i) for i, k in enumerate(passed)}
@@ -82,13 +91,37 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col), _row(id_col, text_col), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
     both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, parts array<tinyint>, block int, data binary{types}"), "jaccard-sets")
-    counts = collect_blocks(sum_blocks(both.filter("block is not null"), "int64"), "int64", SKETCH, SKETCH_BLOCK)
-    return both.filter("block is null").drop("block", "data"), counts
+    return both.filter("block is null").drop("block", "data"), _levels(both.filter("block is not null").select("block", "data"))
+
+
+def _first(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(40)) % np.uint64(FIRST) == 0
+
+
+def _tally(sketch: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Count the first shingles into a task's own counters, which stay at 255 from there on."""
+    at = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    at, n = np.unique(at[_first(at)] & np.uint64(SKETCH - 1), return_counts=True)
+    at = at.astype(np.int64)
+    sketch[at] = np.minimum(sketch[at] + n, 255)
 
 
-def _tally(sets: list[np.ndarray]) -> np.ndarray:
-    at = np.concatenate([*sets, np.zeros(0, np.uint64)]) & np.uint64(SKETCH - 1)
-    return np.bincount(at.astype(np.int64), minlength=SKETCH)
+def _levels(tallies: DataFrame) -> np.ndarray:
+    """The sketch on the driver: the tasks' counters added up block by block, each as one
+    byte on a logarithmic scale (8 steps per doubling), which keeps the order."""
+
+    def run(batches):
+        acc: dict[int, np.ndarray] = {}
+        for b in batches:
+            for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = np.frombuffer(zlib.decompress(raw), np.uint8)
+                acc[key] = acc[key] + x if key in acc else x.astype(np.int64)
+        yield {"block": list(acc), "data": [pack(np.minimum(8 * np.log2(x + 1), 255).astype(np.uint8)) for x in acc.values()]}
+
+    out = np.zeros(SKETCH, np.uint8)
+    for r in map_batches(tallies.repartition(SKETCH_TASKS, "block"), run, "block int, data binary").collect():
+        out[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(zlib.decompress(r["data"]), np.uint8)
+    return out
 
 
 def _row(id_col: str, text_col: str) -> Column:
@@ -98,7 +131,7 @@ def _row(id_col: str, text_col: str) -> Column:
 def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int, text_col: str) -> DataFrame:
     """(shingle, digest, n, pos): the rarest shingles of every set, as many as a partner
     within the threshold cannot all miss; pos from 1 in the rare-first order."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.uint32))
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         hasher, seen, freq = WordHasher(), set(), shared.value
@@ -110,7 +143,8 @@ def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int, text_col
                 if len(seen) < 50_000:
                     seen.add(d)
                 most = len(s) + (-percent * len(s) // 100) + 1
-                first = np.lexsort((s, freq[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))[:most]
+                order = np.where(_first(s), freq[(s & np.uint64(SKETCH - 1)).astype(np.int64)], LAST)
+                first = np.lexsort((s, order))[:most]
                 out["shingle"].append(s[first].view(np.int64)), out["digest"].extend([d] * most)
                 out["n"].append(np.full(most, len(s))), out["pos"].append(np.arange(1, most + 1))
                 rows += most
