@@ -8,13 +8,20 @@ quarter of the shingles is enough and fills the sketch four times later). The sk
 shingles apart that are rarer than the mean load of a counter: some 2 at 0.5 GB of text,
 some 110 at 30 GB. Two sets within the threshold share a
 shingle of their prefixes, so prefixes are joined on their shingles under the length, the
-positional and the suffix filter, and every remaining pair is verified once on whole sets.
-
-Links only matter for the components they form, so the join runs twice: first every
-class meets the most central class (lowest position) of each of its prefix shingles, which
-ties large groups of near copies together in linear time; then all prefix pairs whose
-classes are still in *different* components are joined. A pair left out lies within one
-component already, so no component changes.
+positional and the parity filter, and every remaining pair is verified once on whole sets.
+
+The parity filter compares, of two sets, 512 bits: of how many shingles fall into each of 512
+parts of the hash range, odd or even. Every bit that differs takes a shingle that only one set
+has, so no pair within the threshold is lost, and pairs short of it by some hundredths are
+told apart while sets have up to some 2,000 shingles. Larger ones also compare their counts in
+256 parts, once per pair.
+
+Links only matter for the components they form, so the join runs in steps: first every
+class meets the most central class (lowest position) of each of its prefix shingles, and, of
+crowded shingles, some classes drawn by hash, which ties large groups of near copies together
+in linear time; then all prefix pairs whose classes are still in *different* components are joined. A pair left out lies within one
+component already, so no component changes. Near copies share stretches of their prefixes;
+a pair that also shares the shingle before is left out, since it has been met there.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import Bloom, WordHasher, discard, drop_listed, join_groups, map_batches, mix64, pack, row_key, shared_table
@@ -34,8 +41,9 @@ SKETCH, SKETCH_BLOCK = 1 << 24, 1 << 14  # counters of the frequency sketch
 SKETCH_TASKS = 64  # tasks that add up the blocks of the sketch
 FIRST = 4  # one shingle in so many, by hash, comes first in the order; only those are counted
 LAST = np.uint16(256)  # rank of shingles that are not counted
-PARTS = 32  # parts of the suffix filter; counts above 127 stay 127, which keeps it a lower bound
-CUTS = np.array([*(np.uint64(i << 59) for i in range(PARTS)), np.uint64(2**64 - 1)], np.uint64)
+ODD = 512  # bits of the parity filter
+DRAWN = 8  # classes drawn of each shingle that more than four times as many hold
+LARGE, PARTS = 1024, 256  # sets from this size on are counted in so many parts; counts above 127 stay 127, which keeps them a lower bound
 
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -62,8 +70,18 @@ def _sets(column: pa.Array, hasher: WordHasher, n: int):
             yield s, (xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
 
 
+def _parts(s: np.ndarray, parts: int) -> np.ndarray:
+    """How many hashes of a set fall into each of ``parts`` (a power of 2) parts of the range."""
+    return np.bincount((s >> np.uint64(65 - parts.bit_length())).astype(np.int64), minlength=parts)
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    return np.packbits((_parts(s, ODD) & 1).astype(np.uint8)).view(np.int64)
+
+
 def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[str, Column]) -> tuple[DataFrame, np.ndarray]:
-    """(one row per document: id, row hash, set size, set digest; the frequency sketch)."""
+    """(one row per document: id, row hash, set size, set digest, what the filters compare;
+    the frequency sketch)."""
     types = "".join(f", {k} string" for k in extra)
 
     passed = list(extra)
@@ -71,26 +89,27 @@ def describe(docs: DataFrame, n: int, id_col: str, text_col: str, extra: dict[st
     def run(batches):
         hasher, sketch = WordHasher(), np.zeros(SKETCH, np.uint8)
         for b in batches:
-            sizes, digests, parts, held, count = [], [], [], [], 0
+            sizes, digests, odd, parts, held, count = [], [], [], [], [], 0
             for s, d in _sets(b.column(2), hasher, n):
                 sizes.append(len(s)), digests.append(d), held.append(s)
-                parts.append(np.minimum(np.diff(np.searchsorted(s, CUTS)), 127).astype(np.int8) if d else None)
+                odd.append(parity(s) if d else None)
+                parts.append(np.minimum(_parts(s, PARTS), 127).astype(np.int8) if len(s) >= LARGE else None)
                 count += len(s)
                 if count > 1 << 20:
                     _tally(sketch, held)
                     held, count = [], 0
             _tally(sketch, held)
             none = [None] * len(sizes)
-            out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "parts": parts, "block": none, "data": none}
+            out = {"_id": b.column(0), "row": b.column(1), "n": sizes, "digest": digests, "odd": odd, "parts": parts, "block": none, "data": none}
             yield out | {k: b.column(3 + i) for i, k in enumerate(passed)}
         used = [k for k in range(SKETCH // SKETCH_BLOCK) if sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK].any()]
         none = [None] * len(used)
-        out = {"_id": none, "row": none, "n": none, "digest": none, "parts": none, "block": used, "data": [pack(sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in used]}
+        out = {"_id": none, "row": none, "n": none, "digest": none, "odd": none, "parts": none, "block": used, "data": [pack(sketch[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in used]}
         yield out | {k: none for k in passed}
 
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col), _row(id_col, text_col), F.col(text_col), *[c.alias(k) for k, c in extra.items()])
-    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, parts array<tinyint>, block int, data binary{types}"), "jaccard-sets")
+    both = shared_table(map_batches(source, run, f"_id {id_type}, row long, n long, digest binary, odd array<long>, parts array<tinyint>, block int, data binary{types}"), "jaccard-sets")
     return both.filter("block is null").drop("block", "data"), _levels(both.filter("block is not null").select("block", "data"))
 
 
@@ -221,11 +240,24 @@ def feasible(p: int, n: str, pos: str, m: str, pos2: str) -> Column:
     )
 
 
-def suffix_feasible(p: int) -> Column:
-    """Suffix filter: the sets, cut into parts of the hash range, differ part by part in
-    size by no more than the threshold lets whole sets differ."""
-    apart = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x.cast("int"))
-    return apart.cast("long") * (100 + p) <= (F.col("n") + F.col("n2")).cast("long") * (100 - p)
+def parity_feasible(p: int, odd: str, odd2: str, n: str, n2: str) -> Column:
+    """Parity filter: no more bits differ than the threshold lets shingles differ."""
+    apart = sum((F.bit_count(F.col(odd)[i].bitwiseXOR(F.col(odd2)[i])) for i in range(ODD // 64)), F.lit(0))
+    return _near_enough(p, apart, n, n2)
+
+
+def _near_enough(p: int, apart: Column, n: str, n2: str) -> Column:
+    return apart.cast("long") * (100 + p) <= (F.col(n).cast("long") + F.col(n2)) * (100 - p)
+
+
+def filtered(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the parity filter and, if both are large, whose counts by
+    parts differ by no more than the threshold lets sets differ."""
+    for c in "ab":
+        pairs = pairs.join(own.select(F.col("class").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("size", "odd", "parts")]), c)
+    apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x.cast("int") - y)), F.lit(0), lambda s, x: s + x)
+    counted = F.coalesce(_near_enough(percent, apart, "size_a", "size_b"), F.lit(True))
+    return pairs.filter(parity_feasible(percent, "odd_a", "odd_b", "size_a", "size_b") & counted).select("a", "b")
 
 
 def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
@@ -242,7 +274,7 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     rows, counts = describe(docs, n, id_col, text_col, extra or {})
     some = rows.filter("digest is not null")
     total = some.count()
-    own = some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row"), F.first("parts").alias("parts"))
+    own = some.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("_id").alias("low"), F.min("row").alias("row"), *[F.first(k).alias(v) for k, v in (("n", "size"), ("odd", "odd"), ("parts", "parts"))])
     own = shared_table(own.withColumn("class", F.monotonically_increasing_id()), "jaccard-classes")
     repeated = not some.groupBy("row").count().filter("count > 1").isEmpty()
     links = all_links(docs, own, counts, n, percent, id_col, text_col, repeated)
@@ -250,7 +282,7 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
         comps = own.select("digest", F.col("low").alias("component_id"), F.col("class").alias("component"), F.col("rows").alias("members"), "rows")
     else:
         labels = components(links)
-        tied = shared_table(own.drop("row", "parts").join(labels.withColumnRenamed("node", "class"), "class", "left"), "jaccard-labels")
+        tied = shared_table(own.drop("row", "size", "odd", "parts").join(labels.withColumnRenamed("node", "class"), "class", "left"), "jaccard-labels")
         linked = tied.filter("label is not null")
         sums = linked.groupBy("label").agg(F.min("low").alias("component_id"), F.sum("rows").alias("members"), F.count(F.lit(1)).alias("sets"))
         linked = join_groups(linked.select("digest", "label", "rows"), shared_table(sums, "jaccard-sums"), ["label"], "sets", total)
@@ -263,6 +295,45 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_i
     return out.unionByName(empty.select(*names))
 
 
+def drawn(open_: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs (a, b) of different labels, one of them drawn from those that hold a crowded
+    shingle, that pass the filters; None if no shingle is crowded."""
+    crowded = open_.groupBy("shingle").count().filter(F.col("count") > 4 * DRAWN).select("shingle")
+    crowded = shared_table(open_.join(crowded, "shingle", "left_semi").select("shingle", "class", "n", "pos", "label", "odd"), "jaccard-crowded")
+    if crowded.isEmpty():
+        return None
+    lot = F.xxhash64("shingle", "class")
+    some = crowded.groupBy("shingle", F.pmod(lot, F.lit(DRAWN)).alias("lot")).agg(F.min(F.struct(lot.alias("lot"), "class", "n", "pos", "label", "odd")).alias("c"))
+    some = some.select(F.col("shingle").alias("shingle2"), *[F.col(f"c.{c}").alias(f"{c}2") for c in ("class", "n", "pos", "label", "odd")])
+    on = (F.col("shingle") == F.col("shingle2")) & (F.col("label") != F.col("label2"))
+    on = on & feasible(percent, "n", "pos", "n2", "pos2") & parity_feasible(percent, "odd", "odd2", "n", "n2")
+    return crowded.join(some, on).select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b"))
+
+
+def tied(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Links with the components of ``labels`` and ``links`` together: each class with its
+    label, and one for all links between the same two labels."""
+    for c in "ab":
+        links = links.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")), c, "left")
+    ends = [F.coalesce(f"label_{c}", c) for c in "ab"]
+    links = links.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+    return shared_table(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links), "jaccard-ties")
+
+
+def meetings(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that share a shingle and pass the filters. A pair
+    whose shingles before (of all in ``open_``) are equal too has been met at that one,
+    where every filter is as wide or wider."""
+    # the smaller side (ties: by number) needs its shorter, index prefix only
+    index = open_.filter(F.col("pos") * (100 + percent) <= F.col("n") * (100 - percent) + (100 + percent))
+    index = index.select(*[F.col(c).alias(f"{c}2") for c in open_.columns])
+    ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("class2") < F.col("class")))
+    first = F.coalesce(F.col("before") != F.col("before2"), F.lit(True))
+    on = (F.col("shingle") == F.col("shingle2")) & ahead & (F.col("label") != F.col("label2")) & first
+    on = on & feasible(percent, "n", "pos", "n2", "pos2") & parity_feasible(percent, "odd", "odd2", "n", "n2")
+    return open_.join(index, on).select(F.col("class").alias("a"), F.col("class2").alias("b"))
+
+
 def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, percent: int, id_col: str, text_col: str, repeated: bool) -> DataFrame | None:
     """Links (a, b) between class numbers whose components are those of all links."""
     every = shared_table(prefixes(docs, counts, n, percent, text_col), "jaccard-prefixes")
@@ -282,28 +353,27 @@ def all_links(docs: DataFrame, own: DataFrame, counts: np.ndarray, n: int, perce
     centre = near.groupBy("shingle").agg(F.min(F.struct("pos", "n", "class")).alias("c"))
     centre = centre.select("shingle", F.col("c.pos").alias("pos2"), F.col("c.n").alias("n2"), F.col("c.class").alias("centre"))
     met = near.join(centre, "shingle").filter((F.col("class") != F.col("centre")) & feasible(percent, "n", "pos", "n2", "pos2"))
-    met = met.groupBy("class", "centre").agg(F.first("n").alias("n"), F.first("n2").alias("n2"))
-    parts = own.select(F.col("class").alias("centre"), F.col("parts").alias("parts2"))
-    met = met.join(own.select("class", "parts"), "class").join(parts, "centre").filter(suffix_feasible(percent))
     met = met.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
-    first = verify(met, *whole)
+    first = verify(filtered(met, own, percent), *whole)
     labels = components(first)
 
     # all pairs that share a prefix shingle and are not in one component yet
     placed = near.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     placed = shared_table(placed, "jaccard-placed")
     split = placed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("shingle")
-    open_ = placed.join(split, "shingle", "left_semi").join(own.select("class", "parts"), "class")
-    open_ = shared_table(open_.select("shingle", "class", "n", "pos", "label", "parts"), "jaccard-open")
-    # the smaller side (ties: by number) needs its shorter, index prefix only
-    index = open_.filter(F.col("pos") * (100 + percent) <= F.col("n") * (100 - percent) + (100 + percent))
-    index = index.select(*[F.col(c).alias(f"{c}2") for c in ("shingle", "class", "n", "pos", "label", "parts")])
-    ahead = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("class2") < F.col("class")))
-    on = (F.col("shingle") == F.col("shingle2")) & ahead & (F.col("label") != F.col("label2")) & feasible(percent, "n", "pos", "n2", "pos2") & suffix_feasible(percent)
-    more = open_.join(index, on).select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct()
-    second = verify(more, *whole)
+    before = F.lag("shingle").over(Window.partitionBy("class").orderBy("pos"))
+    open_ = placed.join(split, "shingle", "left_semi").withColumn("before", before).join(own.select("class", "odd"), "class")
+    open_ = shared_table(open_.select("shingle", "class", "n", "pos", "label", "before", "odd"), "jaccard-open")
+    more = drawn(open_, percent)
+    if more is not None:
+        labels = components(tied(labels, verify(filtered(more.distinct(), own, percent), *whole)))
+        now = labels.select(F.col("node").alias("class"), F.col("label").alias("now"))
+        found = open_.join(now, "class", "left").withColumn("label", F.coalesce("now", "class"))
+    else:
+        found = open_
+    second = verify(filtered(meetings(found.select(open_.columns), percent).distinct(), own, percent), *whole)
     discard(near, placed, open_)
-    return first.unionByName(second)
+    return tied(labels, second)
 
 
 def drop_linked(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
